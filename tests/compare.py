@@ -1,0 +1,52 @@
+"""Order-insensitive comparison of a Spark result with a DuckDB result."""
+
+from __future__ import annotations
+
+import decimal
+import math
+from collections import Counter
+
+import duckdb
+import pandas as pd
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings"
+    " pages benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    return con
+
+
+def _value(value):
+    if value is None or value is pd.NaT:
+        return None
+    if isinstance(value, float):
+        return None if math.isnan(value) else round(value, 9)
+    if isinstance(value, decimal.Decimal):
+        return round(float(value), 9)
+    if hasattr(value, "isoformat"):
+        text = value.isoformat(sep=" ") if hasattr(value, "hour") else value.isoformat()
+        return text.removesuffix(" 00:00:00")
+    return value
+
+
+def bag(rows, columns) -> Counter:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_value(row[i]) for i in order) for row in rows)
+
+
+def differences(spark_df, con, sql: str) -> tuple[list, list]:
+    """Rows only in Spark and rows only in DuckDB; raises if the columns differ."""
+    result = con.execute(sql)
+    names = [c[0] for c in result.description]
+    if sorted(names) != sorted(spark_df.columns):
+        raise AssertionError(f"columns {sorted(names)} != {sorted(spark_df.columns)}")
+    want = bag(result.fetchall(), names)
+    have = bag(spark_df.collect(), spark_df.columns)
+    return list((have - want).elements()), list((want - have).elements())
