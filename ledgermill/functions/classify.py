@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions.text import regexp_group
@@ -26,34 +26,39 @@ NAMED_USER = "usuario nominal"
 OTHER_USER = "Na"
 
 
-def anonymous_match(table_id: Column) -> Column:
-    return regexp_group(table_id, ANONYMOUS_TABLE)
+def add_matches(
+    df: DataFrame, job_id: Column, parent_job_id: Column, dataset_id: Column, table_id: Column
+) -> DataFrame:
+    """Name matches as columns, so that each pattern runs once per row."""
+    return df.withColumns(
+        {
+            "executor": regexp_group(job_id, OWN_EXECUTOR),
+            "executor_parent_cons_prog_job": regexp_group(parent_job_id, PARENT_SCHEDULED),
+            "executor_parent_airflow_job": regexp_group(parent_job_id, PARENT_AIRFLOW),
+            "executor_anon_job": regexp_group(table_id, ANONYMOUS_TABLE),
+            "dataset": regexp_group(dataset_id, SCRIPT_DATASET),
+            "dataset_others": regexp_group(dataset_id, HIDDEN_DATASET),
+        }
+    )
 
 
-def executor_class(job_id: Column, parent_job_id: Column, keep_other: bool = True) -> Column:
-    """Who started a job. The match ignores case but the comparison does not, so an
-    upper-case id keeps its own text (``keep_other``) or counts as manual."""
-    own = regexp_group(job_id, OWN_EXECUTOR)
-    scheduled_parent = regexp_group(parent_job_id, PARENT_SCHEDULED)
-    airflow_parent = regexp_group(parent_job_id, PARENT_AIRFLOW)
-    scheduled = F.coalesce(scheduled_parent, own) == "scheduled_query"
-    airflow = (own == "airflow") | ((own == "script_job") & (airflow_parent == "airflow"))
+def executor_class(keep_other: bool = True) -> Column:
+    """Who started a job, from the matches. A match ignores case but the comparison does
+    not, so an upper-case id keeps its own text (``keep_other``) or counts as manual."""
+    own = F.col("executor")
+    scheduled = F.coalesce("executor_parent_cons_prog_job", own) == "scheduled_query"
+    airflow = (own == "airflow") | (
+        (own == "script_job") & (F.col("executor_parent_airflow_job") == "airflow")
+    )
     rule = F.when(scheduled, "consulta_programada").when(airflow, "airflow")
     if keep_other:
         rule = rule.when(own.isNotNull(), own)
     return rule.otherwise("manual")
 
 
-def script_dataset(dataset_id: Column) -> Column:
-    return regexp_group(dataset_id, SCRIPT_DATASET)
-
-
-def hidden_dataset(dataset_id: Column) -> Column:
-    return regexp_group(dataset_id, HIDDEN_DATASET)
-
-
 def dataset_class(dataset_id: Column) -> Column:
-    temporary = script_dataset(dataset_id).isNotNull() | hidden_dataset(dataset_id).isNotNull()
+    """``temp`` for script and hidden datasets, from the matches."""
+    temporary = F.coalesce("dataset", "dataset_others").isNotNull()
     return F.when(temporary, "temp").otherwise(dataset_id)
 
 
@@ -61,8 +66,7 @@ def user_prefix(email: Column, prefixes: Iterable[str]) -> Column:
     return regexp_group(email, "^(" + "|".join(prefixes) + ")" + NAME_TAIL)
 
 
-def user_class(email: Column, prefixes: Iterable[str], allow_list: Iterable[str]) -> Column:
-    prefix = user_prefix(email, prefixes)
+def user_class(prefix: Column, email: Column, allow_list: Iterable[str]) -> Column:
     return (
         F.when(prefix == "bio", SERVICE_ACCOUNT)
         .when(prefix == "service", SECURITY_ACCOUNT)

@@ -17,6 +17,6 @@ def decimal_comma(value: Column, null: str | None = "0") -> Column:
     Formats from DECIMAL, because the text of a double differs between engines.
     """
     plain = F.round(value, 2).cast("decimal(38,2)").cast("string")
-    short = F.regexp_replace(plain, r"\.?0+$", "")
-    text = F.translate(short, ".", ",")
+    short = F.rtrim(F.rtrim(plain, F.lit("0")), F.lit("."))
+    text = F.replace(short, F.lit("."), F.lit(","))
     return text if null is None else F.coalesce(text, F.lit(null))

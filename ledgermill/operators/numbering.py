@@ -3,8 +3,8 @@
 A window over ``month`` would bring a whole month into one task. Here the rows are
 cut into ordered slices by a range partitioning, each slice is numbered alone, and a
 small table of slice totals shifts the slices. The slices are written to the shared
-checkpoint folder, so that a lost executor or a changed partition count cannot give
-the two reads different slices.
+folder first, so that a lost executor or a changed partition count cannot give the
+two reads different slices.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermill.session import ensure_checkpoint_dir
+from ledgermill.session import stored
 
 EXPAND_CHUNK = 100_000
 
@@ -26,9 +26,8 @@ def running_total(
 
     ``order`` must tell the rows of a group apart.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order)
-    slices = ranged.withColumn("_slice", F.spark_partition_id()).checkpoint()
+    slices = stored(ranged.withColumn("_slice", F.spark_partition_id()))
     slices = slices.withColumn("_part", F.struct(*keys, "_slice"))
 
     sizes = slices.groupBy("_part").agg(F.sum(amount).alias("_size"))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.session import ensure_checkpoint_dir
+from ledgermill.session import stored
 
 
 def upsert(
@@ -30,10 +30,8 @@ def upsert(
     Only rows that can be updated are shuffled with the source; all other target
     rows pass straight through. Source rows are collapsed per key and target keys are
     made distinct before their joins, so no key brings its copies into one task. The
-    source is read three times and must be the same each time, so it is written to the
-    shared checkpoint folder first.
+    source is read three times and must be the same each time, so it is stored first.
     """
-    ensure_checkpoint_dir(target.sparkSession)
     columns = target.columns
     set_cols = list(set_cols or columns)
     overrides = dict(overrides or {})
@@ -42,7 +40,7 @@ def upsert(
     keyed = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
 
     old = target.withColumns(key_values)
-    new = source.select(*columns).withColumns(key_values).checkpoint()
+    new = stored(source.select(*columns)).withColumns(key_values)
 
     may_update = keyed if update_when is None else keyed & F.coalesce(update_when, F.lit(False))
     untouched = old.filter(~may_update).select(*columns)

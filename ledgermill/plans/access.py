@@ -30,8 +30,10 @@ def last_access_flags(
     text and is a semi join of any size.
     """
     wanted = access_log.join(tables.select("table_id").distinct(), "table_id", "left_semi")
-    kind = classify.user_class(F.col("user_email"), classify.FLAG_PREFIXES, list(allow_list))
-    known = F.col("user_email").isNotNull() & F.col("dataset_id").isNotNull()
+    email = F.col("user_email")
+    wanted = wanted.withColumn("_prefix", classify.user_prefix(email, classify.FLAG_PREFIXES))
+    kind = classify.user_class(F.col("_prefix"), email, list(allow_list))
+    known = email.isNotNull() & F.col("dataset_id").isNotNull()
     flags = {
         "flag_user_sa_bio": classify.SERVICE_ACCOUNT,
         "flag_user_nominal": classify.NAMED_USER,
@@ -62,7 +64,9 @@ def last_users(access_log: DataFrame, project: str, allow_list: Iterable[str]) -
         [F.desc("access_date")],
         [F.asc_nulls_last("user_email")],
     )
-    kind = classify.user_class(F.col("user_email"), classify.SNAPSHOT_PREFIXES, list(allow_list))
+    email = F.col("user_email")
+    last = last.withColumn("_prefix", classify.user_prefix(email, classify.SNAPSHOT_PREFIXES))
+    kind = classify.user_class(F.col("_prefix"), email, list(allow_list))
     return last.select(
         F.lit(project).alias("project_id"), "dataset_id", "table_id", "access_date", "user_email",
         kind.alias("tipo_user"),

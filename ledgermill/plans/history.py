@@ -13,13 +13,14 @@ from ledgermill import schemas
 from ledgermill.functions.dates import datetime_lit, day_of
 from ledgermill.functions.text import decimal_comma
 from ledgermill.operators.aggregates import money_sum
-from ledgermill.operators.joins import anti_null_aware
+from ledgermill.operators.joins import anti_null_aware, left_join_many
 from ledgermill.operators.latest import latest_by
 from ledgermill.operators.upsert import upsert
 from ledgermill.plans.access import last_users
 
 RUN = "data_hora_execucao_job"
 TABLE = ["project_id", "dataset_id", "table_id"]
+Moment = str | date | datetime
 
 # Status labels and stand-ins for missing dates, which are merge keys.
 NEW, CORRECTED = "novo", "atualizado"
@@ -30,27 +31,36 @@ NO_EXECUTOR = "null"
 HISTORY_KEYS = [*TABLE, "executor_job", "data_acesso", "data_ult_modificacao", "to_date(data_carga)"]
 
 
-def on_day(moment: str, day: str | date | datetime) -> Column:
-    """Range form of ``date(moment) = day``, which a Parquet scan can use."""
-    start = day_of(day)
-    return (F.col(moment) >= datetime_lit(start)) & (
-        F.col(moment) < datetime_lit(start + timedelta(days=1))
-    )
+def moments_of(as_of: Moment | Sequence[Moment]) -> list[Moment]:
+    return [as_of] if isinstance(as_of, (str, date)) else list(as_of)
+
+
+def on_days(moment: str, days: Iterable[date]) -> Column:
+    """Range form of ``date(moment) in days``, which a Parquet scan can use."""
+
+    def one(day: date) -> Column:
+        start, end = datetime_lit(day), datetime_lit(day + timedelta(days=1))
+        return (F.col(moment) >= start) & (F.col(moment) < end)
+
+    return reduce(lambda a, b: a | b, [one(day) for day in days])
 
 
 def _access_date() -> Column:
     return F.coalesce("data_acesso", F.lit(NO_ACCESS).cast("date")).alias("data_acesso")
 
 
-def executed_tables(details: DataFrame, as_of: str | datetime, project: str) -> DataFrame:
-    """Tables run on the day, per executor, with the day's run count and cost.
+def executed_tables(
+    details: DataFrame, as_of: Moment | Sequence[Moment], project: str
+) -> DataFrame:
+    """Tables run on a day, per executor, with the day's run count and cost.
 
     Runs are first reduced to one row per run instant: the highest paid cost and the
     details of the latest access. A table whose last run cost nothing drops out,
     because its last paid run is not its last run.
     """
+    days = [day_of(m) for m in moments_of(as_of)]
     runs = (
-        details.filter((F.col("project_id") == project) & on_day(RUN, as_of))
+        details.filter((F.col("project_id") == project) & on_days(RUN, days))
         .groupBy(*TABLE, "executor_job", RUN)
         .agg(
             F.max(F.when(F.col("cost_us_dol") > 0, F.col("cost_us_dol"))).alias("_paid"),
@@ -62,7 +72,7 @@ def executed_tables(details: DataFrame, as_of: str | datetime, project: str) ->
             ).alias("_row"),
         )
     )
-    totals = runs.groupBy(*TABLE, "executor_job").agg(
+    totals = runs.groupBy(*TABLE, "executor_job", F.to_date(RUN)).agg(
         F.max(F.struct(RUN, "_row", "_paid")).alias("_last"),
         money_sum(F.round("_paid", 2)).alias("custo_query"),
         F.count("_paid").alias("qtde_execucao"),
@@ -81,16 +91,17 @@ def executed_tables(details: DataFrame, as_of: str | datetime, project: str) ->
     )
 
 
-def idle_tables(details: DataFrame, as_of: str | datetime, project: str) -> DataFrame:
-    """Tables not run on the day whose last run is unknown or of the day before.
+def idle_tables(details: DataFrame, as_of: Moment | Sequence[Moment], project: str) -> DataFrame:
+    """Tables not run on a day whose last run is unknown or of the day before.
 
     "Not run" compares table names only, over all projects and datasets.
     """
-    ran = details.filter(on_day(RUN, as_of)).select("table_id")
-    yesterday = day_of(as_of) - timedelta(days=1)
+    moments = moments_of(as_of)
+    days = [day_of(m) for m in moments]
+    ran = details.filter(on_days(RUN, days)).select("table_id", F.to_date(RUN).alias("_as_of"))
     quiet = details.filter(
         (F.col("project_id") == project)
-        & (F.col(RUN).isNull() | on_day(RUN, yesterday))
+        & (F.col(RUN).isNull() | on_days(RUN, [d - timedelta(days=1) for d in days]))
         & F.col("data_ult_modificacao").isNotNull()
     ).withColumn("_day", F.to_date(RUN))
     one = latest_by(
@@ -105,7 +116,15 @@ def idle_tables(details: DataFrame, as_of: str | datetime, project: str) -> Data
             )
         ],
     )
-    return anti_null_aware(one, ran, "table_id").select(
+    next_day = F.date_add("_day", 1)
+    loads = F.filter(
+        F.array(*[datetime_lit(m) for m in moments]),
+        lambda m: next_day.isNull() | (F.to_date(m) == next_day),
+    )
+    offered = one.withColumn("data_carga", F.explode(loads)).withColumn(
+        "_as_of", F.to_date("data_carga")
+    )
+    return anti_null_aware(offered, ran, "table_id", by="_as_of").select(
         *TABLE, _access_date(), "flag_user_sa_bio", "flag_user_nominal", "flag_sem_acesso",
         F.col("data_ult_modificacao").cast("timestamp_ntz").alias("data_ult_modificacao"),
         F.lit(NO_EXECUTOR).alias("executor_job"),
@@ -114,11 +133,13 @@ def idle_tables(details: DataFrame, as_of: str | datetime, project: str) -> Data
         F.col("pre_cost_us_dol").alias("custo_query"),
         F.col("pre_cost_storage").alias("custo_storage"),
         F.lit(0).cast("long").alias("qtde_execucao"), F.lit(NEW).alias("status"),
-        datetime_lit(as_of).alias("data_carga"),
+        "data_carga",
     )
 
 
-def history_source(details: DataFrame, as_of: str | datetime, project: str) -> DataFrame:
+def history_source(
+    details: DataFrame, as_of: Moment | Sequence[Moment], project: str
+) -> DataFrame:
     rows = executed_tables(details, as_of, project).unionByName(idle_tables(details, as_of, project))
     return schemas.conform(rows, schemas.HISTORY)
 
@@ -126,7 +147,7 @@ def history_source(details: DataFrame, as_of: str | datetime, project: str) -> D
 def merge_history(
     details: DataFrame,
     history: DataFrame,
-    as_of: str | datetime | Sequence[str | datetime],
+    as_of: Moment | Sequence[Moment],
     project: str,
 ) -> DataFrame:
     """New content of ``history`` after the merge of one day, or of several days.
@@ -137,12 +158,11 @@ def merge_history(
     The rows of a day touch that load day only, so merging several days at once gives
     what merging them one after the other gives.
     """
-    days = [as_of] if isinstance(as_of, (str, date)) else list(as_of)
-    source = reduce(DataFrame.unionByName, [history_source(details, d, project) for d in days])
-    current = (F.col("status") == NEW) & F.to_date("data_carga").isin([day_of(d) for d in days])
+    days = [day_of(m) for m in moments_of(as_of)]
+    current = (F.col("status") == NEW) & F.to_date("data_carga").isin(days)
     return upsert(
         schemas.conform(history, schemas.HISTORY),
-        source,
+        history_source(details, as_of, project),
         HISTORY_KEYS,
         update_when=current,
         overrides={"status": F.lit(CORRECTED)},
@@ -168,8 +188,7 @@ def daily_snapshot(
     users = last_users(access_log, project, allow_list)
     yearly = table_costs.select(*TABLE, "yearly_cost")
     return (
-        daily.join(users, TABLE, "left")
-        .join(yearly, TABLE, "left")
+        left_join_many(daily.join(users, TABLE, "left"), yearly, TABLE)
         .select(
             "access_date", "user_email", "tipo_user", *TABLE, "data_ult_modificacao",
             decimal_comma(F.col("size_tb"), null=None).alias("size_tb"),

@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions import classify, costs, dates
 from ledgermill.functions.dates import LOCAL_ZONE, days_before, is_ntz, local_datetime, local_midnight
-from ledgermill.functions.text import regexp_group
 
 
 def classified_jobs(job_log: DataFrame, zone: str = LOCAL_ZONE, keep_other: bool = True) -> DataFrame:
     """Every job with local start, duration, cost, executor and dataset class."""
     target = {k: F.col(f"destination_table.{k}") for k in ("project_id", "dataset_id", "table_id")}
+    matched = classify.add_matches(
+        job_log, F.col("job_id"), F.col("parent_job_id"), target["dataset_id"], target["table_id"]
+    )
     billed = F.col("total_bytes_billed")
-    dataset = target["dataset_id"]
-    return job_log.select(
+    return matched.select(
         "statement_type", "user_email", "job_id", "job_type",
         local_datetime(F.col("start_time"), zone, is_ntz(job_log, "start_time")).alias("start_time"),
         "query", "state", "total_bytes_billed", "total_slot_ms", "transferred_bytes",
@@ -28,13 +29,10 @@ def classified_jobs(job_log: DataFrame, zone: str = LOCAL_ZONE, keep_other: bool
         costs.query_cost(billed).alias("cost_us_dol"),
         (F.col("total_slot_ms") / 1000).alias("total_slot"),
         *[value.alias(name) for name, value in target.items()],
-        classify.script_dataset(dataset).alias("dataset"),
-        classify.hidden_dataset(dataset).alias("dataset_others"),
-        classify.anonymous_match(target["table_id"]).alias("executor_anon_job"),
-        regexp_group(F.col("parent_job_id"), classify.PARENT_SCHEDULED).alias("executor_parent_cons_prog_job"),
-        regexp_group(F.col("parent_job_id"), classify.PARENT_AIRFLOW).alias("executor_parent_airflow_job"),
-        classify.executor_class(F.col("job_id"), F.col("parent_job_id"), keep_other).alias("executor_job"),
-        classify.dataset_class(dataset).alias("dataset_id_job"),
+        "dataset", "dataset_others", "executor_anon_job", "executor_parent_cons_prog_job",
+        "executor_parent_airflow_job",
+        classify.executor_class(keep_other).alias("executor_job"),
+        classify.dataset_class(target["dataset_id"]).alias("dataset_id_job"),
     )
 
 
@@ -54,8 +52,7 @@ def job_costs(
     recent = job_log.filter(F.col("start_time") >= since)
     if tables is not None:
         recent = recent.filter(F.col("destination_table.table_id").isin(*tables))
-    named = recent.filter(classify.anonymous_match(F.col("destination_table.table_id")).isNull())
-    return classified_jobs(named, zone)
+    return classified_jobs(recent, zone).filter(F.col("executor_anon_job").isNull())
 
 
 def job_extract(costed_jobs: DataFrame, project: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.dates import add_calendar, date_lit
 from ledgermill.operators.aggregates import money_sum
+from ledgermill.operators.joins import left_join_many
 from ledgermill.operators.latest import latest_by
 from ledgermill.operators.numbering import running_total
 
@@ -101,7 +102,11 @@ def receipts_with_forecast(
     loaded_at: datetime,
     since: str | date = RECEIPTS_SINCE,
 ) -> DataFrame:
-    """Receipts beside the open forecasts of the same month, day and value."""
+    """Receipts beside the open forecasts of the same month, day and value.
+
+    One receipt may meet many forecasts and the other way round, so the join is the
+    kind that can be split on both sides.
+    """
     kept = ordered_receipts(receipts.filter(F.col("dt_mes_base") >= date_lit(since)))
     keys = ["dt_mes_base", "dt_recebido", "valor_recebido"]
     planned = forms.filter(F.col("dt_recebido") >= date_lit(as_of)).select(
@@ -110,7 +115,7 @@ def receipts_with_forecast(
         F.col("dt_recebido").alias("dt_recebido_previsao"),
         F.col("valor_recebido").alias("valor_recebido_previsao"),
     )
-    return kept.join(planned, keys, "left").select(
+    return left_join_many(kept, planned, keys).select(
         "descricao", "dt_recebido", "dt_mes_base", "valor_recebido", "ordem_recebimento",
         "fonte_previsao", "dt_recebido_previsao", "valor_recebido_previsao",
         F.when(F.col("valor_recebido_previsao").isNull(), "Historico")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "ledgermill", **conf: str) -> SparkSession:
@@ -16,20 +17,32 @@ def local_session(cores: int | str = "*", app: str = "ledgermill", **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a private one only if none is set."""
-    context = spark.sparkContext
-    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names; a private one only for local runs without it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="ledgermill-checkpoint-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+        folder = tempfile.mkdtemp(prefix="ledgermill-")
+        spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, written once to the shared folder and read back.
+
+    Cuts the lineage as a checkpoint does and survives lost executors; being Parquet,
+    it also keeps column pruning, pushed filters and size statistics. The files lie
+    under the application id, so they can be removed when the application has ended.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -18,7 +18,7 @@ from ledgermill.operators.joins import anti_null_aware, left_join_many
 from ledgermill.operators.latest import latest_by, latest_ties
 from ledgermill.operators.numbering import rank_in_group
 from ledgermill.plans import access, balance, history, inventory, jobs, ledger, monitor
-from ledgermill.session import ensure_checkpoint_dir
+from ledgermill.session import stored
 from ledgermill.workloads.inputs import (
     AS_OF,
     CATEGORIES,
@@ -51,17 +51,15 @@ class Inputs:
     @cached_property
     def details(self) -> DataFrame:
         """Table details, stored once as the monitoring run stores them."""
-        ensure_checkpoint_dir(self.spark)
-        return self.fresh_details().checkpoint()
+        return stored(self.fresh_details())
 
     @cached_property
     def snapshot(self) -> DataFrame:
-        ensure_checkpoint_dir(self.spark)
-        return self.fresh_snapshot().checkpoint()
+        return stored(self.fresh_snapshot())
 
     def fresh_details(self) -> DataFrame:
         tables = inventory.table_inventory(self.catalog, AS_OF)
-        return inventory.table_details(tables, self.flags(tables), self.extract())
+        return inventory.table_details(tables, self.flags(tables), stored(self.extract()))
 
     def flags(self, tables: DataFrame) -> DataFrame:
         return access.last_access_flags(self.access_log, tables, PROJECT, FLAG_USERS)
@@ -238,14 +236,16 @@ def job_extract(t: Inputs) -> DataFrame:
 
 @query
 def job_classes(t: Inputs) -> DataFrame:
-    parent, own = F.col("parent_job_id"), F.col("job_id")
-    dataset = F.col("destination_table.dataset_id")
-    return t.job_log.select(
-        "start_time", "job_id", "parent_job_id", dataset.alias("dataset_id"),
-        classify.executor_class(own, parent).alias("executor_job"),
-        classify.executor_class(own, parent, keep_other=False).alias("executor_strict"),
-        classify.dataset_class(dataset).alias("dataset_id_job"),
-        classify.anonymous_match(F.col("destination_table.table_id")).alias("anon"),
+    target = {n: F.col(f"destination_table.{n}") for n in ("dataset_id", "table_id")}
+    matched = classify.add_matches(
+        t.job_log, F.col("job_id"), F.col("parent_job_id"), target["dataset_id"], target["table_id"]
+    )
+    return matched.select(
+        "start_time", "job_id", "parent_job_id", target["dataset_id"].alias("dataset_id"),
+        classify.executor_class().alias("executor_job"),
+        classify.executor_class(keep_other=False).alias("executor_strict"),
+        classify.dataset_class(target["dataset_id"]).alias("dataset_id_job"),
+        F.col("executor_anon_job").alias("anon"),
     )
 
 
@@ -292,11 +292,16 @@ def dataset_names(t: Inputs) -> DataFrame:
 @query
 def user_classes(t: Inputs) -> DataFrame:
     email = F.col("user_email")
-    return t.access_log.select(
-        "table_id", "access_date", "user_email",
-        classify.user_prefix(email, classify.FLAG_PREFIXES).alias("prefix"),
-        classify.user_class(email, classify.FLAG_PREFIXES, FLAG_USERS).alias("flag_class"),
-        classify.user_class(email, classify.SNAPSHOT_PREFIXES, SNAPSHOT_USERS).alias("snapshot_class"),
+    rows = t.access_log.withColumns(
+        {
+            "prefix": classify.user_prefix(email, classify.FLAG_PREFIXES),
+            "short": classify.user_prefix(email, classify.SNAPSHOT_PREFIXES),
+        }
+    )
+    return rows.select(
+        "table_id", "access_date", "user_email", "prefix",
+        classify.user_class(F.col("prefix"), email, FLAG_USERS).alias("flag_class"),
+        classify.user_class(F.col("short"), email, SNAPSHOT_USERS).alias("snapshot_class"),
     )
 
 
