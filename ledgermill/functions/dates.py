@@ -44,7 +44,7 @@ def datetime_lit(value: str | date | datetime) -> Column:
 
 
 def month_label(day: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(m) for m in MONTH_LABELS]), F.month(day))
+    return F.get(F.array(*[F.lit(m) for m in MONTH_LABELS]), F.month(day) - 1)
 
 
 def sunday_week(day: Column) -> Column:
