@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from helpers import counted, d, rows, ts
 from ledgermill import schemas
 from ledgermill.plans import access, history, inventory, jobs, monitor
+from ledgermill.session import stored
 
 P = "proj"
 
@@ -216,9 +217,9 @@ def test_idle_tables(spark):
 def test_history_merge_corrects_once_and_inserts_later_runs(spark):
     empty = spark.createDataFrame([], schemas.HISTORY)
     morning = details(spark, detail("a", "2024-01-10 08:00:00", cost=1.0), detail("idle", None, executor=None))
-    first = history.merge_history(morning, empty, AS_OF, P)
+    first = stored(history.merge_history(morning, empty, AS_OF, P))
     assert counted(first, "table_id", "status", "custo_query") == Counter([("a", "novo", 1.0), ("idle", "novo", 5.0)])
-    second = history.merge_history(morning, first, AS_OF, P)
+    second = stored(history.merge_history(morning, first, AS_OF, P))
     assert counted(second, "table_id", "status") == Counter([("a", "atualizado"), ("idle", "atualizado")])
     third = history.merge_history(morning, second, AS_OF, P)
     assert counted(third) == counted(second)
@@ -238,10 +239,10 @@ def test_merging_several_days_at_once_equals_one_after_the_other(spark):
     )
     moments = monitor.restated_moments(AS_OF)
     assert [str(m)[:10] for m in moments] == ["2024-01-11", "2024-01-10", "2024-01-09", "2024-01-08", "2024-01-07"]
-    past = history.merge_history(df, spark.createDataFrame([], schemas.HISTORY), moments[2], P)
+    past = stored(history.merge_history(df, spark.createDataFrame([], schemas.HISTORY), moments[2], P))
     step_by_step = past
     for moment in moments:
-        step_by_step = history.merge_history(df, step_by_step, moment, P)
+        step_by_step = stored(history.merge_history(df, step_by_step, moment, P))
     assert counted(history.merge_history(df, past, moments, P)) == counted(step_by_step)
     sources = monitor.restate(lambda m: history.history_source(df, m, P), AS_OF)
     assert counted(sources) == counted(history.history_source(df, moments, P))
@@ -326,7 +327,7 @@ def test_restating_the_monitor_equals_single_days(spark):
     target = spark.createDataFrame([], schemas.MONITOR)
     step_by_step = target
     for moment in moments:
-        step_by_step = monitor.merge_active_tables(log, shot, step_by_step, moment)
+        step_by_step = stored(monitor.merge_active_tables(log, shot, step_by_step, moment))
     assert counted(monitor.merge_active_tables(log, shot, target, moments)) == counted(step_by_step)
 
 
