@@ -26,6 +26,10 @@ NAMED_USER = "usuario nominal"
 OTHER_USER = "Na"
 
 
+def anonymous_match(table_id: Column) -> Column:
+    return regexp_group(table_id, ANONYMOUS_TABLE)
+
+
 def add_matches(
     df: DataFrame, job_id: Column, parent_job_id: Column, dataset_id: Column, table_id: Column
 ) -> DataFrame:
@@ -35,7 +39,7 @@ def add_matches(
             "executor": regexp_group(job_id, OWN_EXECUTOR),
             "executor_parent_cons_prog_job": regexp_group(parent_job_id, PARENT_SCHEDULED),
             "executor_parent_airflow_job": regexp_group(parent_job_id, PARENT_AIRFLOW),
-            "executor_anon_job": regexp_group(table_id, ANONYMOUS_TABLE),
+            "executor_anon_job": anonymous_match(table_id),
             "dataset": regexp_group(dataset_id, SCRIPT_DATASET),
             "dataset_others": regexp_group(dataset_id, HIDDEN_DATASET),
         }

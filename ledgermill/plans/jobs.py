@@ -52,16 +52,19 @@ def job_costs(
     recent = job_log.filter(F.col("start_time") >= since)
     if tables is not None:
         recent = recent.filter(F.col("destination_table.table_id").isin(*tables))
-    return classified_jobs(recent, zone).filter(F.col("executor_anon_job").isNull())
+    named = recent.filter(classify.anonymous_match(F.col("destination_table.table_id")).isNull())
+    # Null in every row that is left, so its pattern need not run again.
+    no_match = F.lit(None).cast("string")
+    return classified_jobs(named, zone).withColumn("executor_anon_job", no_match)
 
 
 def job_extract(costed_jobs: DataFrame, project: str) -> DataFrame:
     """Jobs of one project with a known target, without DELETE; an unknown statement
-    type drops out too."""
+    type drops out too. A dataset class is known exactly if the dataset is."""
     return costed_jobs.filter(
         (F.col("statement_type") != "DELETE")
         & (F.col("project_id") == project)
-        & F.col("dataset_id_job").isNotNull()
+        & F.col("dataset_id").isNotNull()
         & F.col("table_id").isNotNull()
     ).select(
         "project_id",

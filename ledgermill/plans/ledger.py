@@ -29,9 +29,10 @@ LIVING_SINCE = date(2022, 1, 1)
 RECEIPTS_SINCE = date(2021, 1, 1)
 FORECAST_YEAR = 2023
 
-COST_KEYS = (YEAR, "custo", "valor_custo", "dt_mes_base", "dt_custo")
-CREDIT_KEYS = (YEAR, "custo_credito", "dt_credito", "valor_credito_parc", "dt_mes_base")
-RECEIPT_KEYS = (YEAR, "descricao", "dt_recebido", "valor_recebido", "dt_mes_base")
+# Order matters for speed only: sorts compare the most distinct, fixed-width key first.
+COST_KEYS = ("valor_custo", "dt_custo", "custo", "dt_mes_base", YEAR)
+CREDIT_KEYS = ("valor_credito_parc", "dt_credito", "custo_credito", "dt_mes_base", YEAR)
+RECEIPT_KEYS = ("valor_recebido", "dt_recebido", "descricao", "dt_mes_base", YEAR)
 
 
 def newest_costs(costs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
