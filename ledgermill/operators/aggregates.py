@@ -7,11 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+# Six decimals keep instalments such as 100 / 3; 18 digits still fit one long.
+MONEY = "decimal(18,6)"
 
 
 def money(amount: Column) -> Column:
-    """Cents as DECIMAL: sums are exact, so they do not depend on partition order."""
+    """Amount as DECIMAL: sums are exact, so they do not depend on partition order."""
     return amount.cast(MONEY)
 
 

@@ -22,7 +22,11 @@ def _on_latest_day(day: Column, flag: Column) -> Column:
 
 
 def last_access_flags(
-    access_log: DataFrame, tables: DataFrame, project: str, allow_list: Iterable[str]
+    access_log: DataFrame,
+    tables: DataFrame,
+    project: str,
+    allow_list: Iterable[str],
+    newest_first: bool = False,
 ) -> DataFrame:
     """Per table its latest access day and which kinds of user came on that day.
 
@@ -40,7 +44,7 @@ def last_access_flags(
         "flag_sem_acesso": classify.SECURITY_ACCOUNT,
     }
     day = F.col("access_date")
-    return (
+    found = (
         wanted.groupBy("dataset_id", "table_id")
         .agg(
             F.max(day).alias("access_date"),
@@ -54,6 +58,7 @@ def last_access_flags(
             F.lit(1).cast("long").alias("nrows"),
         )
     )
+    return found.orderBy(F.desc("access_date")) if newest_first else found
 
 
 def last_users(access_log: DataFrame, project: str, allow_list: Iterable[str]) -> DataFrame:

@@ -55,10 +55,10 @@ def daily_runs(
     )
     jobs = classified_jobs(window, zone, keep_other=False)
     runs = paid_runs(jobs, TABLE, "start_time", "cost_us_dol", payload=["executor_job"])
-    cents = money(F.round("cost_us_dol", 2))
+    rounded = money(F.round("cost_us_dol", 2))
     return runs.groupBy(*TABLE, F.to_date("start_time").alias("day")).agg(
         F.count(F.lit(1)).alias("runs"),
-        F.sum(cents).alias("cost"),
+        F.sum(rounded).alias("cost"),
         F.min("start_time").alias("first_run"),
         F.max(F.struct("start_time", "executor_job")).alias("last"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,7 +88,8 @@ def refresh_finance(inputs: LedgerInputs, root: str, as_of: str | date, loaded_a
 
 
 def append_details(details: DataFrame, root: str) -> None:
-    append_table(details, f"{root}/{DETAILS}", schemas.DETAILS)
+    """Append table details, partitioned by the day of the run."""
+    append_table(details, f"{root}/{DETAILS}", schemas.DETAILS, moment=history.RUN)
 
 
 def monitoring_run(
@@ -104,7 +105,8 @@ def monitoring_run(
 ) -> None:
     """Job costs, details, history of the restated days, snapshot, monitor.
 
-    Each merge reads and replaces only the load days it can change.
+    Each merge reads and replaces only the load days it can change, and reads only the
+    details of those days, of the days before them, and of tables without a run.
     """
     moments = monitor.restated_moments(as_of, offsets)
     load_days = [day_of(m) for m in moments]
@@ -115,7 +117,9 @@ def monitoring_run(
     tables = inventory.table_inventory(inputs.catalog, as_of)
     flags = access.last_access_flags(inputs.access_log, tables, project, flag_users)
     append_details(inventory.table_details(tables, flags, jobs.job_extract(costed, project)), root)
+    eves = [day - timedelta(days=1) for day in load_days]
     details = read_stored(spark, f"{root}/{DETAILS}", schemas.DETAILS)
+    details = on_load_days(details, [*load_days, *eves], unknown=True)
 
     past = on_load_days(read_stored(spark, f"{root}/{HISTORY}", schemas.HISTORY), load_days)
     merged = history.merge_history(details, past, moments, project)

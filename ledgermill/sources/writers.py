@@ -36,40 +36,52 @@ def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
         return spark.createDataFrame([], schema)
     df = spark.read.parquet(path)
     if LOAD_DAY in df.columns:
-        schema = T.StructType([*schema.fields, T.StructField(LOAD_DAY, T.DateType())])
-        df = spark.read.option("mergeSchema", False).schema(schema).parquet(path)
-        return df
+        read_table(spark, path, schema)
+        with_day = T.StructType([*schema.fields, T.StructField(LOAD_DAY, T.DateType())])
+        return spark.read.schema(with_day).parquet(path)
     return read_table(spark, path, schema)
 
 
-def on_load_days(df: DataFrame, days: list) -> DataFrame:
-    """The partitions of the given days of a stored table, without the partition column."""
+def on_load_days(df: DataFrame, days: list, unknown: bool = False) -> DataFrame:
+    """The partitions of the given days of a stored table, without the partition column;
+    ``unknown`` adds the rows without a day."""
     if LOAD_DAY not in df.columns:
         return df
-    return df.filter(F.col(LOAD_DAY).isin(days)).drop(LOAD_DAY)
+    wanted = F.col(LOAD_DAY).isin(days)
+    return df.filter(wanted | F.col(LOAD_DAY).isNull() if unknown else wanted).drop(LOAD_DAY)
+
+
+def _by_day(df: DataFrame, moment: str) -> DataFrame:
+    """Rows with their day; ``rebalance`` evens out the files and splits a day that
+    holds most of the rows."""
+    return df.withColumn(LOAD_DAY, F.to_date(moment)).hint("rebalance", LOAD_DAY)
 
 
-def append_table(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """Append rows of exactly the declared columns; the first append creates the table."""
+def append_table(df: DataFrame, path: str, schema: T.StructType, moment: str | None = None) -> None:
+    """Append rows of exactly the declared columns; the first append creates the table.
+
+    ``moment`` partitions the table by the day of that column.
+    """
     unknown = [c for c in df.columns if c not in schema.names]
     if unknown:
         raise ValueError(f"{path}: columns not in the table: {unknown}")
     rows = schemas.conform(df, schema)
     if table_exists(df.sparkSession, path):
         read_table(df.sparkSession, path, schema)
-    rows.write.mode("append").parquet(path)
+    if moment is None:
+        rows.write.mode("append").parquet(path)
+    else:
+        _by_day(rows, moment).write.mode("append").partitionBy(LOAD_DAY).parquet(path)
 
 
 def replace_load_days(df: DataFrame, path: str, moment: str) -> None:
     """Write rows by the day of ``moment`` and replace only those day partitions.
 
     Spark writes to a staging folder and swaps the partitions at commit, so ``df`` may
-    read the table it replaces. ``rebalance`` evens out file sizes and splits a day
-    that holds most of the rows.
+    read the table it replaces.
     """
     (
-        df.withColumn(LOAD_DAY, F.to_date(moment))
-        .hint("rebalance", LOAD_DAY)
+        _by_day(df, moment)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(LOAD_DAY)

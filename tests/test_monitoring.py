@@ -132,6 +132,13 @@ def test_last_access_flags(spark):
     }
 
 
+def test_flags_can_come_newest_first(spark):
+    tables = spark.createDataFrame([(f"t{i}",) for i in range(1, 9)], "table_id string")
+    got = access.last_access_flags(access_log(spark), tables, P, [], newest_first=True)
+    days = [r[0] for r in rows(got, "access_date") if r[0]]
+    assert days == sorted(days, reverse=True)
+
+
 def test_last_users(spark):
     got = access.last_users(access_log(spark), P, ["dash@x.example"])
     kinds = {r[2]: r[4:] for r in rows(got)}

@@ -56,9 +56,6 @@ def brute_rank(data):
     return out
 
 
-ORDER = [F.desc, F.desc, F.asc]
-
-
 def order():
     return [F.desc("day"), F.desc("v"), F.asc("name")]
 
@@ -131,6 +128,11 @@ def test_money_sum_is_exact(spark):
     assert df.agg(money_sum(F.col("x"))).first()[0] == 1000000001.0
 
 
+def test_money_sum_keeps_thirds(spark):
+    df = spark.createDataFrame([(100 / 3,)] * 3, "x double")
+    assert df.agg(money_sum(F.col("x"))).first()[0] == pytest.approx(100, abs=1e-5)
+
+
 def test_pivot_sum_gives_zero_for_other_tags(spark):
     df = spark.createDataFrame([("a", "real", 1.5), ("a", "prev", 2.0), ("b", "real", 3.0)], "k string, s string, v double")
     got = pivot_sum(df, ["k"], "s", "v", {"real": "r", "prev": "p"})
