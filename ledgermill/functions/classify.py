@@ -26,8 +26,8 @@ NAMED_USER = "usuario nominal"
 OTHER_USER = "Na"
 
 
-def anonymous_match(table_id: Column) -> Column:
-    return regexp_group(table_id, ANONYMOUS_TABLE)
+def is_anonymous(table_id: Column) -> Column:
+    return F.coalesce(F.rlike(table_id, F.lit(ANONYMOUS_TABLE)), F.lit(False))
 
 
 def add_matches(
@@ -39,7 +39,7 @@ def add_matches(
             "executor": regexp_group(job_id, OWN_EXECUTOR),
             "executor_parent_cons_prog_job": regexp_group(parent_job_id, PARENT_SCHEDULED),
             "executor_parent_airflow_job": regexp_group(parent_job_id, PARENT_AIRFLOW),
-            "executor_anon_job": anonymous_match(table_id),
+            "executor_anon_job": regexp_group(table_id, ANONYMOUS_TABLE),
             "dataset": regexp_group(dataset_id, SCRIPT_DATASET),
             "dataset_others": regexp_group(dataset_id, HIDDEN_DATASET),
         }

@@ -52,7 +52,7 @@ def job_costs(
     recent = job_log.filter(F.col("start_time") >= since)
     if tables is not None:
         recent = recent.filter(F.col("destination_table.table_id").isin(*tables))
-    named = recent.filter(classify.anonymous_match(F.col("destination_table.table_id")).isNull())
+    named = recent.filter(~classify.is_anonymous(F.col("destination_table.table_id")))
     # Null in every row that is left, so its pattern need not run again.
     no_match = F.lit(None).cast("string")
     return classified_jobs(named, zone).withColumn("executor_anon_job", no_match)

@@ -13,6 +13,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermill.functions.dates import MONTH_LABELS
 from ledgermill.operators.balance import ALL_COSTS, FORECAST_COSTS, BalancePolicy
 
 PROJECT = "acme-warehouse"
@@ -33,11 +34,6 @@ POLICY = BalancePolicy(
     forecast_balance={date(1998, 7, 1): ALL_COSTS, date(1998, 8, 1): FORECAST_COSTS},
 )
 
-MONTH_CASE = (
-    "CASE month({0}) WHEN 1 THEN 'JAN' WHEN 2 THEN 'FEV' WHEN 3 THEN 'MAR' WHEN 4 THEN 'ABR'"
-    " WHEN 5 THEN 'MAI' WHEN 6 THEN 'JUN' WHEN 7 THEN 'JUL' WHEN 8 THEN 'AGO' WHEN 9 THEN 'SET'"
-    " WHEN 10 THEN 'OUT' WHEN 11 THEN 'NOV' WHEN 12 THEN 'DEZ' END"
-)
 COST_KIND = (
     "CASE WHEN load > 0 THEN 'compras' WHEN l_returnflag = 'A' THEN 'mercado'"
     " WHEN l_returnflag = 'N' THEN 'farmacia' ELSE 'lazer' END"
@@ -65,6 +61,10 @@ JOB_TARGET = {
 }
 
 
+def month_name(day: str) -> str:
+    return f"substr('{''.join(MONTH_LABELS)}', 3 * CAST(month({day}) AS INT) - 2, 3)"
+
+
 @dataclass(frozen=True)
 class Role:
     table: str
@@ -177,7 +177,7 @@ ROLES = {
             "valor_custo": "l_extendedprice",
             "ano_base": "CAST(year(l_shipdate) AS INT)",
             "mes_base_ordem": "CAST(month(l_shipdate) AS INT)",
-            "mes_base": MONTH_CASE.format("l_shipdate"),
+            "mes_base": month_name("l_shipdate"),
             "pendente": "CASE WHEN l_linestatus = 'O' THEN 'Sim' ELSE 'Não' END",
         },
     ),
