@@ -37,7 +37,7 @@ def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
 
     An outer join cannot be split on its null-supplying side. The inner part can,
     on both sides, and the unmatched left rows need only the distinct right keys.
-    ``right`` is read twice; store it first if it is expensive.
+    Both inputs are read twice, so pass stored tables or plain scans.
     """
     keys = list(keys)
     matched = left.join(right, keys)

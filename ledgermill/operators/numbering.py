@@ -19,17 +19,16 @@ from ledgermill.session import stored
 EXPAND_CHUNK = 100_000
 
 
-def running_total(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], amount: str, name: str
-) -> DataFrame:
-    """Add ``name``: the sum of ``amount`` over the rows of the group before this one.
-
-    ``order`` must tell the rows of a group apart.
-    """
+def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Stored rows with ``_part``: the group and the number of its ordered slice."""
     ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order)
     slices = stored(ranged.withColumn("_slice", F.spark_partition_id()))
-    slices = slices.withColumn("_part", F.struct(*keys, "_slice"))
+    return slices.withColumn("_part", F.struct(*keys, "_slice"))
+
 
+def total_before(
+    slices: DataFrame, keys: Sequence[str], order: Sequence[Column], amount: str, name: str
+) -> DataFrame:
     sizes = slices.groupBy("_part").agg(F.sum(amount).alias("_size"))
     earlier = (
         Window.partitionBy(*[F.col(f"_part.{k}") for k in keys])
@@ -37,44 +36,59 @@ def running_total(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     shifts = sizes.select("_part", F.sum("_size").over(earlier).alias("_shift"))
-
     within = (
         Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
     total = F.coalesce("_shift", F.lit(0)) + F.coalesce(F.sum(amount).over(within), F.lit(0))
-    return slices.join(shifts, "_part").withColumn(name, total).select(*df.columns, name)
+    return slices.join(shifts, "_part").withColumn(name, total).drop("_part", "_slice")
 
 
-def expand_copies(df: DataFrame, count: str, index: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
+def running_total(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], amount: str, name: str
+) -> DataFrame:
+    """Add ``name``: the sum of ``amount`` over the rows of the group before this one.
+
+    ``order`` must tell the rows of a group apart.
+    """
+    return total_before(sliced(df, keys, order), keys, order, amount, name)
+
+
+def expand_copies(
+    df: DataFrame, count: str, index: str, spread: bool, chunk: int = EXPAND_CHUNK
+) -> DataFrame:
     """Repeat each row ``count`` times with ``index`` 0, 1, ...
 
-    Rows with many copies are first cut into chunks that are spread over all tasks.
+    ``spread`` first cuts every row into chunks of copies and spreads the chunks over
+    all tasks; without it a row is repeated where it is.
     """
-    copies = F.col(count)
-    few = df.filter(copies <= chunk).withColumn(
-        index, F.explode(F.sequence(F.lit(0).cast("long"), copies - 1))
-    )
-    starts = F.sequence(F.lit(0).cast("long"), copies - 1, F.lit(chunk).cast("long"))
+    zero, copies = F.lit(0).cast("long"), F.col(count)
+    if not spread:
+        return df.withColumn(index, F.explode(F.sequence(zero, copies - 1)))
+    starts = F.sequence(zero, copies - 1, F.lit(chunk).cast("long"))
     last = F.least(F.col("_start") + chunk, copies) - 1
-    many = (
-        df.filter(copies > chunk)
-        .withColumn("_start", F.explode(starts))
+    return (
+        df.withColumn("_start", F.explode(starts))
         .repartition("_start", *df.columns)
         .withColumn(index, F.explode(F.sequence("_start", last)))
         .drop("_start")
     )
-    return few.unionByName(many)
 
 
 def rank_in_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    name: str,
+    chunk: int = EXPAND_CHUNK,
 ) -> DataFrame:
     """``row_number`` of every row in its group, without one task per group.
 
     ``order`` must leave only fully equal rows tied. Equal rows are counted before
     the shuffle, so a large group of copies travels as one row.
     """
-    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    numbered = running_total(distinct, keys, order, "_copies", "_before")
-    rows = expand_copies(numbered, "_copies", "_index")
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    slices = sliced(counted, keys, order)
+    many = not slices.filter(F.col("_copies") > chunk).isEmpty()
+    numbered = total_before(slices, keys, order, "_copies", "_before")
+    rows = expand_copies(numbered, "_copies", "_index", spread=many, chunk=chunk)
     return rows.withColumn(name, F.col("_before") + F.col("_index") + 1).select(*df.columns, name)

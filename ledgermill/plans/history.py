@@ -17,6 +17,7 @@ from ledgermill.operators.joins import anti_null_aware, left_join_many
 from ledgermill.operators.latest import latest_by
 from ledgermill.operators.upsert import upsert
 from ledgermill.plans.access import last_users
+from ledgermill.session import stored
 
 RUN = "data_hora_execucao_job"
 TABLE = ["project_id", "dataset_id", "table_id"]
@@ -188,7 +189,7 @@ def daily_snapshot(
     users = last_users(access_log, project, allow_list)
     yearly = table_costs.select(*TABLE, "yearly_cost")
     return (
-        left_join_many(daily.join(users, TABLE, "left"), yearly, TABLE)
+        left_join_many(stored(daily.join(users, TABLE, "left")), yearly, TABLE)
         .select(
             "access_date", "user_email", "tipo_user", *TABLE, "data_ult_modificacao",
             decimal_comma(F.col("size_tb"), null=None).alias("size_tb"),

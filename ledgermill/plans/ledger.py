@@ -17,6 +17,7 @@ from ledgermill.operators.aggregates import money_sum
 from ledgermill.operators.joins import left_join_many
 from ledgermill.operators.latest import latest_by
 from ledgermill.operators.numbering import running_total
+from ledgermill.session import stored
 
 YEAR = "ano_fonte"
 
@@ -108,7 +109,7 @@ def receipts_with_forecast(
     One receipt may meet many forecasts and the other way round, so the join is the
     kind that can be split on both sides.
     """
-    kept = ordered_receipts(receipts.filter(F.col("dt_mes_base") >= date_lit(since)))
+    kept = stored(ordered_receipts(receipts.filter(F.col("dt_mes_base") >= date_lit(since))))
     keys = ["dt_mes_base", "dt_recebido", "valor_recebido"]
     planned = forms.filter(F.col("dt_recebido") >= date_lit(as_of)).select(
         *keys,

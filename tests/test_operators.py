@@ -65,15 +65,15 @@ def order():
     return [F.desc("day"), F.desc("v"), F.asc("name")]
 
 
-@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
-def test_rank_in_group_equals_row_number(spark, conf, broadcast):
+@pytest.mark.parametrize("broadcast, chunk", [("10MB", 100_000), ("-1", 100)])
+def test_rank_in_group_equals_row_number(spark, conf, broadcast, chunk):
     conf(
         spark__sql__autoBroadcastJoinThreshold=broadcast,
         spark__sql__adaptive__autoBroadcastJoinThreshold=broadcast,
     )
     data = skewed(1, 6000)
     df = spark.createDataFrame(data, "k string, day int, v double, name string")
-    assert counted(rank_in_group(df, ["k"], order(), "place")) == brute_rank(data)
+    assert counted(rank_in_group(df, ["k"], order(), "place", chunk)) == brute_rank(data)
 
 
 def test_running_total_slices_stay_small_under_one_hot_key(spark, monkeypatch):
@@ -96,9 +96,9 @@ def test_running_total_slices_stay_small_under_one_hot_key(spark, monkeypatch):
 
 def test_expand_copies_cuts_large_counts(spark):
     df = spark.createDataFrame([("a", 1), ("b", 25), ("c", 10)], "k string, n bigint")
-    got = rows(expand_copies(df, "n", "i", chunk=10), "k", "i")
     want = [("a", 0), *[("b", i) for i in range(25)], *[("c", i) for i in range(10)]]
-    assert sorted(got) == want
+    for spread in (True, False):
+        assert sorted(rows(expand_copies(df, "n", "i", spread, chunk=10), "k", "i")) == want
 
 
 @pytest.mark.parametrize(
