@@ -1,4 +1,4 @@
-"""Joins with the reference semantics that a plain join does not give at scale."""
+"""Joins whose plain form would not hold for large groups or null keys."""
 
 from __future__ import annotations
 

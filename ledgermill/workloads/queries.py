@@ -280,7 +280,7 @@ def job_prices(t: Inputs) -> DataFrame:
 def table_inventory(t: Inputs) -> DataFrame:
     rows = inventory.table_inventory(t.catalog, AS_OF)
     return rows.withColumns(
-        {c: F.col(c).cast("timestamp_ntz") for c in ("creation_time", "last_modified_time")}
+        {c: dates.utc_clock(F.col(c)) for c in ("creation_time", "last_modified_time")}
     )
 
 
