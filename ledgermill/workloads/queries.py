@@ -383,7 +383,7 @@ def daily_runs(t: Inputs) -> DataFrame:
     rows = monitor.daily_runs(t.job_log, AS_OF)
     return rows.select(
         *monitor.TABLE, "day", "runs", F.col("cost").cast("double").alias("cost"), "first_run",
-        F.col("last.start_time").alias("last_run"), F.col("last.executor_job").alias("executor_job"),
+        "last_run", monitor.executor_name(F.col("executor")).alias("executor_job"),
     )
 
 
