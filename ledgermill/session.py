@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,14 +24,9 @@ def local_session(cores: int | str = "*", app: str = "ledgermill", **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a private one only for local runs without it."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; without it, the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="ledgermill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
 
 
 def stored(df: DataFrame) -> DataFrame:
