@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.llm.line_dedup import drop_repeated_lines
+from ledgermill.llm.minhash import near_duplicates
 from ledgermill.llm.mixing import mix_sources
+from ledgermill.llm.token_counts import count_tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str = "word_bpe_49k.json") -> DataFrame:
+    with open(public_tokenizers.path(tokenizer), encoding="utf-8") as file:
+        return count_tokens(table(spark, sf_dir, "documents"), file.read())
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = drop_repeated_lines(table(spark, sf_dir, "documents"))
     return found.select(
@@ -25,6 +37,8 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_minhash_dedup": op6_minhash_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_line_dedup": op8_line_dedup,
     "op9_mix_sources": op9_mix_sources,
 }
