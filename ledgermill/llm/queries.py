@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledgermill.llm.line_dedup import drop_repeated_lines
 from ledgermill.llm.minhash import near_duplicates
 from ledgermill.llm.mixing import mix_sources
+from ledgermill.llm.nearest import nearest
 from ledgermill.llm.token_counts import count_tokens
 
 
@@ -16,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, top=20)
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -37,6 +42,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_nearest": op3_nearest,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_line_dedup": op8_line_dedup,
