@@ -2,21 +2,42 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import ledgermill
 from ledgermill.llm.line_dedup import drop_repeated_lines
 from ledgermill.llm.minhash import near_duplicates
 from ledgermill.llm.mixing import mix_sources
 from ledgermill.llm.nearest import nearest
 from ledgermill.llm.token_counts import count_tokens
+from ledgermill.llm.toxicity import fit, held_out, score_toxicity
+
+
+ROOT = str(Path(ledgermill.__file__).resolve().parent.parent)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers look for this package where the driver found it, if it is not installed.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_toxicity(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"),
+    )
+
+
 def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, top=20)
 
@@ -42,6 +63,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_nearest": op3_nearest,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_token_counts": op7_token_counts,
