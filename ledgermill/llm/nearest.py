@@ -149,7 +149,7 @@ def _best(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, visits, top
 def _search(top: int):
     """Groups of index and probes -> the best classes of each query there."""
 
-    def run(key, index: pa.Table, probes: pa.Table) -> pa.Table:
+    def run(index, probes):
         out = {"q1": [], "q2": [], "c1": [], "c2": [], "score": []}
         if index.num_rows and probes.num_rows:
             vectors, queries = _matrix(index.column("vector")), _matrix(probes.column("vector"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import ledgermill
+from ledgermill.llm.decontaminate import find_leaks
 from ledgermill.llm.line_dedup import drop_repeated_lines
 from ledgermill.llm.minhash import near_duplicates
 from ledgermill.llm.mixing import mix_sources
@@ -42,6 +43,12 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, top=20)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    shares = (F.max(c).alias(c) for c in ("lcs", "answer_lcs", "cosine"))
+    return found.groupBy(F.col("doc").alias("doc_id"), F.col("item").alias("item_id")).agg(*shares)
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -65,6 +72,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_nearest": op3_nearest,
+    "op5_decontaminate": op5_decontaminate,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_line_dedup": op8_line_dedup,
