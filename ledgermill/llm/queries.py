@@ -14,6 +14,7 @@ from ledgermill.llm.line_dedup import drop_repeated_lines
 from ledgermill.llm.minhash import near_duplicates
 from ledgermill.llm.mixing import mix_sources
 from ledgermill.llm.nearest import nearest
+from ledgermill.llm.substrings import remove_repeats
 from ledgermill.llm.token_counts import count_tokens
 from ledgermill.llm.toxicity import fit, held_out, score_toxicity
 
@@ -69,6 +70,11 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    return found.select(F.col("doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_nearest": op3_nearest,
@@ -77,4 +83,5 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_line_dedup": op8_line_dedup,
     "op9_mix_sources": op9_mix_sources,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
