@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 import ledgermill
 from ledgermill.llm.decontaminate import find_leaks
+from ledgermill.llm.html_text import extract_text
 from ledgermill.llm.line_dedup import drop_repeated_lines
 from ledgermill.llm.minhash import near_duplicates
 from ledgermill.llm.mixing import mix_sources
 from ledgermill.llm.nearest import nearest
+from ledgermill.llm.pii import replace_personal_data
 from ledgermill.llm.substrings import remove_repeats
 from ledgermill.llm.token_counts import count_tokens
 from ledgermill.llm.toxicity import fit, held_out, score_toxicity
@@ -40,10 +42,19 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, top=20)
 
 
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str, key: bytes = b"replace with a secret key") -> DataFrame:
+    found = replace_personal_data(table(spark, sf_dir, "documents"), key)
+    return found.select(F.col("doc").alias("doc_id"), "text", "n_replaced", "kinds")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     shares = (F.max(c).alias(c) for c in ("lcs", "answer_lcs", "cosine"))
@@ -77,7 +88,9 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_html_text": op2_html_text,
     "op3_nearest": op3_nearest,
+    "op4_pii_surrogates": op4_pii_surrogates,
     "op5_decontaminate": op5_decontaminate,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_token_counts": op7_token_counts,

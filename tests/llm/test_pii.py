@@ -1,0 +1,74 @@
+"""Surrogates: nothing found is left, forms stay, coreference and distinctness hold."""
+
+import re
+
+from ledgermill.llm import pii
+from ledgermill.llm.pii import find, replace_personal_data, surrogate
+
+KEY = b"test key"
+#: How the given documents write personal data.
+GIVEN = re.compile(
+    r'[A-Za-z]+\.\d\d@mail\d\.example\.com|\+1 \(\d{3}\) 555-\d{4}|(?<!\w)\d{16}(?!\w)|(?<![\w.])\d+\.\d+\.\d+\.\d+(?!\w)|(?<=token = ")[0-9a-fA-F]{40}(?=")',
+    re.IGNORECASE,
+)
+
+
+def test_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").limit(4000)
+    before = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    after = {r.doc: r for r in replace_personal_data(docs, KEY).collect()}
+    assert set(after) == set(before)
+    private = {m.group().lower() for text in before.values() for m in GIVEN.finditer(text)}
+    assert len(private) > 100
+    partner = {}
+    for doc, text in before.items():
+        new = after[doc].text
+        assert len(GIVEN.findall(text)) <= after[doc].n_replaced
+        assert not [m for m in GIVEN.findall(new) if m.lower() in private]
+        if after[doc].n_replaced == 0:
+            assert new == text
+        old_finds, new_finds = find(text), find(new)
+        assert [re.sub(r"\d", "", x[2]) for x in old_finds] == [re.sub(r"\d", "", x[2]) for x in new_finds]
+        for a, b in zip(old_finds, new_finds, strict=True):
+            assert partner.setdefault(a[2:], b[3]) == b[3]
+            if a[2] != "ip":
+                pattern = lambda s: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub(r"\d", "9", s)))
+                shape = pattern(text[a[0] : a[1]]), pattern(new[b[0] : b[1]])
+                assert shape[0] == shape[1] or a[2] == "hex"
+    assert len({(k[0], v) for k, v in partner.items()}) == len(partner)
+
+
+def test_coreference_gender_script_and_checks(texts_frame):
+    rows = [
+        (1, "Mrs. Anna Keller met Mr. KELLER and Dr Keller; Anna@Mail.example.org, anna@mail.example.org."),
+        (2, "Frau Keller: +49 (30) 1234567 or +49 30 123-4567, card 4539 1488 0343 6467 or 4539148803436467"),
+        (3, "Госпожа Анна Петрова, Господин Петров. From 10.1.2.3 and 8.8.8.8 to 192.168.7.7"),
+        (4, "no data: version 2.0.1, 3.14, 555, year 2024-01-02, deadbeef, a@b"),
+        (5, None), (6, ""), (None, "ssn 123-45-6789"), (7, "x" * 200_000 + " 9.9.9.9 " + "y" * 200_000), (7, "dup 9.9.9.9"), (7, "dup 9.9.9.9"),
+    ]
+    got = [(r.doc, r.text, r.kinds) for r in replace_personal_data(texts_frame(rows), KEY).collect()]
+    text = {d: t for d, t, _ in got}
+    one = re.fullmatch(r"Mrs\. (\w+) (\w+) met Mr\. (\w+) and Dr (\w+); (\S+), (\S+)\.", text[1])
+    assert one[2].upper() == one[3] and one[2] == one[4] and one[1].endswith("a") and one[1] != "Anna"
+    assert one[5].lower() == one[6].lower() and one[5][0].isupper()
+    two = re.fullmatch(r"Frau (\w+): \+49 \((\d\d)\) (\d{7}) or \+49 (\d\d) (\d{3}-\d{4}), card (.*) or (\d{16})", text[2])
+    assert two[1] == one[2] and two[2] + two[3] == two[4] + two[5].replace("-", "") and two[6].replace(" ", "") == two[7]
+    assert pii._luhn(two[7]) and two[7][0] == "4" and two[7] != "4539148803436467"
+    three = re.fullmatch(r"Госпожа ([а-яА-Я]+а) ([а-яА-Я]+), Господин ([а-яА-Я]+)\. From (10\.\S+) and (\S+) to (192\.168\.\S+)", text[3])
+    assert three and three[5] != "8.8.8.8"
+    assert text[4] == rows[3][1] and text[5] == text[6] == ""
+    assert re.fullmatch(r"ssn \d{3}-\d{2}-\d{4}", text[None]) and "123-45" not in text[None]
+    dup = [t for d, t, _ in got if d == 7]
+    assert len({re.search(r"\d\S+", t).group() for t in dup}) == 1 and not any("9.9.9.9" in t for t in dup)
+    assert replace_personal_data(texts_frame([]), KEY).count() == 0
+
+
+def test_collisions_are_drawn_anew(texts_frame):
+    """A form with few surrogates: all finds still differ, and none becomes another find."""
+    addresses = [f"192.168.{i % 250}.{i // 250}" for i in range(0, 20_000, 7)]
+    first = [surrogate(KEY, "ip", a, 0) for a in addresses]
+    assert len(set(first)) < len(addresses) and set(first) & set(addresses)
+    rows = [(i, f"host {a} up") for i, a in enumerate(addresses)]
+    got = [r.text.split()[1] for r in replace_personal_data(texts_frame(rows), KEY).collect()]
+    assert len(set(got)) == len(addresses) and not set(got) & set(addresses)
+    assert all(a.startswith("192.168.") for a in got)
