@@ -17,8 +17,6 @@ PARENT_SCHEDULED = r"^(scheduled_query)" + NAME_TAIL
 OWN_EXECUTOR = r"(?i)(scheduled_query|script_job|airflow)" + NAME_TAIL
 SCRIPT_DATASET = r"^(_script)" + NAME_TAIL
 HIDDEN_DATASET = r"^(_[a-zA-Z0-9]{6})" + NAME_TAIL
-FLAG_PREFIXES = ("service", "bio", "engcore", "b2w")
-SNAPSHOT_PREFIXES = ("service", "bio")
 SERVICE_ACCOUNT = "service account bio"
 SECURITY_ACCOUNT = "service segurança"
 DASHBOARD_USER = "usuario de dash"

@@ -7,13 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Six decimals keep instalments such as 100 / 3; 18 digits still fit one long.
-MONEY = "decimal(18,6)"
+# Six decimals keep instalments such as 100 / 3; a sum then has 38 digits.
+MONEY = "decimal(28,6)"
 
 
 def money(amount: Column) -> Column:
-    """Amount as DECIMAL: sums are exact, so they do not depend on partition order."""
-    return amount.cast(MONEY)
+    """Amount as DECIMAL, rounded to six decimals: sums are exact, so they do not depend on
+    partition order. An amount of 10^22 or more, or none at all such as NaN, is an error."""
+    exact = amount.try_cast(MONEY)
+    lost = F.raise_error(F.lit("an amount does not fit the money type")).cast(MONEY)
+    return F.when(amount.isNotNull() & exact.isNull(), lost).otherwise(exact)
 
 
 def money_sum(amount: Column) -> Column:

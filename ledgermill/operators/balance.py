@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Forecast formulas: subtract forecast and real costs, or forecast costs only.
@@ -16,45 +16,39 @@ FORECAST_COSTS = "forecast_costs"
 
 @dataclass(frozen=True)
 class BalancePolicy:
-    """Which months are reported, and how each one treats nulls and forecasts."""
+    """How months treat nulls and forecasts: a rule for every month, and the exceptions.
 
-    first: date
-    last: date
+    Every month of the input is reported. ``first`` and ``last`` limit the report if given.
+    """
+
+    first: date | None = None
+    last: date | None = None
     strict_years: frozenset[int] = frozenset()
     forecast_from: date | None = None
     no_forecast: frozenset[date] = frozenset()
     forecast_balance: Mapping[date, str] = field(default_factory=dict)
 
-    def months(self) -> list[date]:
-        count = (self.last.year - self.first.year) * 12 + self.last.month - self.first.month
-        start = self.first.month - 1
-        return [
-            date(self.first.year + (start + i) // 12, (start + i) % 12 + 1, 1)
-            for i in range(count + 1)
-        ]
-
-    def table(self, spark: SparkSession) -> DataFrame:
-        """One row per month of the report; its size is the length of the report."""
-        rows = [
-            (
-                month,
-                month.year in self.strict_years,
-                self.forecast_from is not None
-                and month >= self.forecast_from
-                and month not in self.no_forecast,
-                self.forecast_balance.get(month),
-            )
-            for month in self.months()
-        ]
-        return spark.createDataFrame(
-            rows, "dt_mes_base DATE, _strict BOOLEAN, _forecast BOOLEAN, _formula STRING"
-        )
-
-
-# The months and exceptions of the ledger.
+    def wanted(self, month: Column) -> Column:
+        kept = F.lit(True)
+        if self.first is not None:
+            kept = kept & (month >= F.lit(self.first))
+        if self.last is not None:
+            kept = kept & (month <= F.lit(self.last))
+        return kept
+
+    def rules(self, month: Column) -> dict[str, Column]:
+        """``_strict``, ``_forecast`` and ``_formula`` of a month."""
+        forecast = F.lit(False)
+        if self.forecast_from is not None:
+            forecast = (month >= F.lit(self.forecast_from)) & ~month.isin(*self.no_forecast)
+        formula = F.lit(None).cast("string")
+        for exception, name in self.forecast_balance.items():
+            formula = F.when(month == F.lit(exception), name).otherwise(formula)
+        return {"_strict": F.year(month).isin(*self.strict_years), "_forecast": forecast, "_formula": formula}
+
+
+# The exceptions of the ledger.
 LEDGER_POLICY = BalancePolicy(
-    first=date(2021, 1, 1),
-    last=date(2023, 8, 1),
     strict_years=frozenset({2021}),
     forecast_from=date(2022, 3, 1),
     no_forecast=frozenset({date(2023, 1, 1)}),
@@ -78,7 +72,7 @@ def running_balance(
     whose own balance is null. In a strict year it does not restart: from there on,
     and without an opening balance, every month is null.
     """
-    rows = months.join(F.broadcast(policy.table(months.sparkSession)), "dt_mes_base")
+    rows = months.filter(policy.wanted(F.col("dt_mes_base"))).withColumns(policy.rules(F.col("dt_mes_base")))
     month = F.month("dt_mes_base")
     rows = rows.withColumns(
         {

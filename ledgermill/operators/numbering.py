@@ -54,16 +54,13 @@ def running_total(
 
 
 def expand_copies(
-    df: DataFrame, count: str, index: str, spread: bool, chunk: int = EXPAND_CHUNK
+    df: DataFrame, count: str, index: str, chunk: int = EXPAND_CHUNK
 ) -> DataFrame:
     """Repeat each row ``count`` times with ``index`` 0, 1, ...
 
-    ``spread`` first cuts every row into chunks of copies and spreads the chunks over
-    all tasks; without it a row is repeated where it is.
+    Every row is first cut into chunks of copies, and the chunks are spread over all tasks.
     """
     zero, copies = F.lit(0).cast("long"), F.col(count)
-    if not spread:
-        return df.withColumn(index, F.explode(F.sequence(zero, copies - 1)))
     starts = F.sequence(zero, copies - 1, F.lit(chunk).cast("long"))
     last = F.least(F.col("_start") + chunk, copies) - 1
     return (
@@ -88,7 +85,6 @@ def rank_in_group(
     """
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
     slices = sliced(counted, keys, order)
-    many = not slices.filter(F.col("_copies") > chunk).isEmpty()
     numbered = total_before(slices, keys, order, "_copies", "_before")
-    rows = expand_copies(numbered, "_copies", "_index", spread=many, chunk=chunk)
+    rows = expand_copies(numbered, "_copies", "_index", chunk=chunk)
     return rows.withColumn(name, F.col("_before") + F.col("_index") + 1).select(*df.columns, name)

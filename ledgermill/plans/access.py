@@ -26,16 +26,19 @@ def last_access_flags(
     tables: DataFrame,
     project: str,
     allow_list: Iterable[str],
+    prefixes: Iterable[str],
     newest_first: bool = False,
 ) -> DataFrame:
     """Per table its latest access day and which kinds of user came on that day.
 
+    ``prefixes`` start the addresses that are no persons'.
+
     ``tables`` has the wanted names in ``table_id``; it replaces a list in the query
     text and is a semi join of any size.
     """
     wanted = access_log.join(tables.select("table_id").distinct(), "table_id", "left_semi")
     email = F.col("user_email")
-    wanted = wanted.withColumn("_prefix", classify.user_prefix(email, classify.FLAG_PREFIXES))
+    wanted = wanted.withColumn("_prefix", classify.user_prefix(email, prefixes))
     kind = classify.user_class(F.col("_prefix"), email, list(allow_list))
     known = email.isNotNull() & F.col("dataset_id").isNotNull()
     flags = {
@@ -61,7 +64,9 @@ def last_access_flags(
     return found.orderBy(F.desc("access_date")) if newest_first else found
 
 
-def last_users(access_log: DataFrame, project: str, allow_list: Iterable[str]) -> DataFrame:
+def last_users(
+    access_log: DataFrame, project: str, allow_list: Iterable[str], prefixes: Iterable[str]
+) -> DataFrame:
     """One user of the latest access day of each table: the first by address."""
     last = latest_by(
         access_log.select("table_id", "dataset_id", "access_date", "user_email"),
@@ -70,7 +75,7 @@ def last_users(access_log: DataFrame, project: str, allow_list: Iterable[str]) -
         [F.asc_nulls_last("user_email")],
     )
     email = F.col("user_email")
-    last = last.withColumn("_prefix", classify.user_prefix(email, classify.SNAPSHOT_PREFIXES))
+    last = last.withColumn("_prefix", classify.user_prefix(email, prefixes))
     kind = classify.user_class(F.col("_prefix"), email, list(allow_list))
     return last.select(
         F.lit(project).alias("project_id"), "dataset_id", "table_id", "access_date", "user_email",

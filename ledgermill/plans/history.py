@@ -13,11 +13,10 @@ from ledgermill import schemas
 from ledgermill.functions.dates import datetime_lit, day_of
 from ledgermill.functions.text import decimal_comma
 from ledgermill.operators.aggregates import money_sum
-from ledgermill.operators.joins import anti_null_aware, left_join_many
+from ledgermill.operators.joins import anti_null_aware
 from ledgermill.operators.latest import latest_by
 from ledgermill.operators.upsert import upsert
 from ledgermill.plans.access import last_users
-from ledgermill.session import stored
 
 RUN = "data_hora_execucao_job"
 TABLE = ["project_id", "dataset_id", "table_id"]
@@ -95,7 +94,9 @@ def executed_tables(
 def idle_tables(details: DataFrame, as_of: Moment | Sequence[Moment], project: str) -> DataFrame:
     """Tables not run on a day whose last run is unknown or of the day before.
 
-    "Not run" compares table names only, over all projects and datasets.
+    "Not run" compares table names only, over all projects and datasets. The executor is
+    not named in the result, so a table that several executors ran on the eve is one row:
+    that of the last run, then by the other columns. So rows are unique on the merge key.
     """
     moments = moments_of(as_of)
     days = [day_of(m) for m in moments]
@@ -125,7 +126,7 @@ def idle_tables(details: DataFrame, as_of: Moment | Sequence[Moment], project: s
     offered = one.withColumn("data_carga", F.explode(loads)).withColumn(
         "_as_of", F.to_date("data_carga")
     )
-    return anti_null_aware(offered, ran, "table_id", by="_as_of").select(
+    idle = anti_null_aware(offered, ran, "table_id", by="_as_of").select(
         *TABLE, _access_date(), "flag_user_sa_bio", "flag_user_nominal", "flag_sem_acesso",
         F.col("data_ult_modificacao").cast("timestamp_ntz").alias("data_ult_modificacao"),
         F.lit(NO_EXECUTOR).alias("executor_job"),
@@ -134,8 +135,15 @@ def idle_tables(details: DataFrame, as_of: Moment | Sequence[Moment], project: s
         F.col("pre_cost_us_dol").alias("custo_query"),
         F.col("pre_cost_storage").alias("custo_storage"),
         F.lit(0).cast("long").alias("qtde_execucao"), F.lit(NEW).alias("status"),
-        "data_carga",
+        "data_carga", "_as_of",
     )
+    ties = ("size_tb", "custo_query", "custo_storage", "flag_user_sa_bio", "flag_user_nominal", "flag_sem_acesso")
+    return latest_by(
+        idle,
+        [*TABLE, "data_acesso", "data_ult_modificacao", "_as_of"],
+        [F.desc(RUN)],
+        [*[F.desc(c) for c in ties], F.desc("data_carga")],
+    ).drop("_as_of")
 
 
 def history_source(
@@ -176,8 +184,10 @@ def daily_snapshot(
     table_costs: DataFrame,
     project: str,
     allow_list: Iterable[str],
+    prefixes: Iterable[str],
 ) -> DataFrame:
-    """One row per table and load day, with its last user and yearly cost."""
+    """One row per table and load day, with its last user and yearly cost, the highest if
+    the costs name a table more than once."""
     loads = history.filter(F.col("project_id") == project).withColumn("_day", F.to_date("data_carga"))
     ties = ("executor_job", "data_ult_modificacao", "size_tb", "custo_query", "custo_storage")
     daily = latest_by(
@@ -186,10 +196,11 @@ def daily_snapshot(
         [F.desc("data_carga")],
         [F.asc(ties[0]), *[F.desc(c) for c in ties[1:]]],
     )
-    users = last_users(access_log, project, allow_list)
-    yearly = table_costs.select(*TABLE, "yearly_cost")
+    users = last_users(access_log, project, allow_list, prefixes)
+    yearly = table_costs.groupBy(*TABLE).agg(F.max("yearly_cost").alias("yearly_cost"))
     return (
-        left_join_many(stored(daily.join(users, TABLE, "left")), yearly, TABLE)
+        daily.join(users, TABLE, "left")
+        .join(yearly, TABLE, "left")
         .select(
             "access_date", "user_email", "tipo_user", *TABLE, "data_ult_modificacao",
             decimal_comma(F.col("size_tb"), null=None).alias("size_tb"),

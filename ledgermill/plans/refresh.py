@@ -98,6 +98,8 @@ def monitoring_run(
     root: str,
     as_of: datetime,
     project: str,
+    flag_prefixes: Iterable[str],
+    snapshot_prefixes: Iterable[str],
     flag_users: Iterable[str] = (),
     snapshot_users: Iterable[str] = (),
     days: int = 10,
@@ -115,7 +117,9 @@ def monitoring_run(
     costed = spark.read.parquet(f"{root}/{JOBS}")
 
     tables = inventory.table_inventory(inputs.catalog, as_of)
-    flags = access.last_access_flags(inputs.access_log, tables, project, flag_users)
+    flags = access.last_access_flags(
+        inputs.access_log, tables, project, flag_users, flag_prefixes
+    )
     append_details(inventory.table_details(tables, flags, jobs.job_extract(costed, project)), root)
     eves = [day - timedelta(days=1) for day in load_days]
     details = read_stored(spark, f"{root}/{DETAILS}", schemas.DETAILS)
@@ -127,7 +131,9 @@ def monitoring_run(
 
     stored = read_stored(spark, f"{root}/{HISTORY}", schemas.HISTORY)
     replace_table(
-        history.daily_snapshot(stored, inputs.access_log, inputs.table_costs, project, snapshot_users),
+        history.daily_snapshot(
+            stored, inputs.access_log, inputs.table_costs, project, snapshot_users, snapshot_prefixes
+        ),
         f"{root}/{SNAPSHOT}",
     )
     snapshot = spark.read.parquet(f"{root}/{SNAPSHOT}")

@@ -184,6 +184,17 @@ MONITOR = _table(
 )
 
 
+BALANCE = _table(
+    dt_mes_base=DATE,
+    valor_recebido=DOUBLE,
+    valor_recebido_prev=DOUBLE,
+    valor_custo_prev=DOUBLE,
+    valor_custo_real=DOUBLE,
+    saldo_prev=DOUBLE,
+    saldo_real=DOUBLE,
+)
+
+
 def conform(df, schema: T.StructType):
     """Select ``schema``'s columns in order, cast to its types; missing ones raise."""
     return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema])

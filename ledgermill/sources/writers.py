@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +16,24 @@ LOAD_DAY = "dia_particao"
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Create or replace a whole table."""
-    df.write.mode("overwrite").parquet(path)
+    """Create or replace a whole table, from a complete write beside it.
+
+    A failed job leaves the old table; a reader sees the old or the new one, but for the
+    moment between two renames. ``df`` may read the table it replaces.
+    """
+    spark = df.sparkSession
+    mark = uuid.uuid4().hex
+    fresh, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
+    df.write.parquet(fresh)
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = files.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(place):
+        system.rename(place, files.Path(old))
+    if not system.rename(files.Path(fresh), place):
+        raise OSError(f"{fresh} could not become {path}")
+    system.delete(files.Path(old), True)
+    spark.catalog.refreshByPath(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

@@ -13,21 +13,21 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.functions.dates import MONTH_LABELS
 from ledgermill.operators.balance import ALL_COSTS, FORECAST_COSTS, BalancePolicy
 
 PROJECT = "acme-warehouse"
 FLAG_USERS = ("dash@example.org",)
 SNAPSHOT_USERS = ("dash@example.org", "board@example.org")
+FLAG_PREFIXES = ("service", "bio", "core", "batch")
+SNAPSHOT_PREFIXES = ("service", "bio")
 LEDGER_AS_OF = "1998-06-01"
 FORECAST_YEAR = 1998
 SINCE = "1995-01-01"
 CATEGORIES = ("mercado", "farmacia", "compras")
 JOBS_AS_OF, JOB_DAYS = "2024-01-31", 45
 AS_OF = "2024-01-15 12:00:00"
+RUN_DAYS = 29  # from AS_OF back to the first day of JOB_DAYS
 POLICY = BalancePolicy(
-    first=date(1995, 1, 1),
-    last=date(2001, 12, 1),
     strict_years=frozenset({1996}),
     forecast_from=date(1997, 3, 1),
     no_forecast=frozenset({date(1998, 1, 1)}),
@@ -62,7 +62,12 @@ JOB_TARGET = {
 
 
 def month_name(day: str) -> str:
-    return f"substr('{''.join(MONTH_LABELS)}', 3 * CAST(month({day}) AS INT) - 2, 3)"
+    """The month labels of the ledger."""
+    return (
+        f"CASE month({day}) WHEN 1 THEN 'JAN' WHEN 2 THEN 'FEV' WHEN 3 THEN 'MAR' WHEN 4 THEN 'ABR'"
+        " WHEN 5 THEN 'MAI' WHEN 6 THEN 'JUN' WHEN 7 THEN 'JUL' WHEN 8 THEN 'AGO'"
+        " WHEN 9 THEN 'SET' WHEN 10 THEN 'OUT' WHEN 11 THEN 'NOV' ELSE 'DEZ' END"
+    )
 
 
 @dataclass(frozen=True)
@@ -240,7 +245,7 @@ ROLES = {
             "user_email": (
                 "CASE event_id % 7 WHEN 0 THEN 'bio-' || CAST(event_id AS STRING) || '@svc.example'"
                 " WHEN 1 THEN 'service-' || CAST(event_id AS STRING) || '@svc.example'"
-                " WHEN 2 THEN 'engcore-' || CAST(event_id AS STRING) || '@svc.example'"
+                " WHEN 2 THEN 'core-' || CAST(event_id AS STRING) || '@svc.example'"
                 " WHEN 3 THEN 'ana' || CAST(event_id AS STRING) || '@example.org'"
                 " WHEN 4 THEN 'dash@example.org' WHEN 5 THEN 'board@example.org' END"
             ),

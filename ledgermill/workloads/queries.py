@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
@@ -17,11 +18,14 @@ from ledgermill.operators.corrections import apply_corrections
 from ledgermill.operators.joins import anti_null_aware, left_join_many
 from ledgermill.operators.latest import latest_by, latest_ties
 from ledgermill.operators.numbering import rank_in_group
-from ledgermill.plans import access, balance, history, inventory, jobs, ledger, monitor
-from ledgermill.session import stored
+from ledgermill.plans import access, balance, history, inventory, jobs, ledger, monitor, refresh
+from ledgermill.session import shared_folder, stored
+from ledgermill.sources.readers import read_table, read_years
+from ledgermill.sources.writers import read_stored, replace_table
 from ledgermill.workloads.inputs import (
     AS_OF,
     CATEGORIES,
+    FLAG_PREFIXES,
     FLAG_USERS,
     FORECAST_YEAR,
     JOB_DAYS,
@@ -30,7 +34,9 @@ from ledgermill.workloads.inputs import (
     POLICY,
     PROJECT,
     ROLES,
+    RUN_DAYS,
     SINCE,
+    SNAPSHOT_PREFIXES,
     SNAPSHOT_USERS,
 )
 
@@ -62,7 +68,7 @@ class Inputs:
         return inventory.table_details(tables, self.flags(tables), stored(self.extract()))
 
     def flags(self, tables: DataFrame) -> DataFrame:
-        return access.last_access_flags(self.access_log, tables, PROJECT, FLAG_USERS)
+        return access.last_access_flags(self.access_log, tables, PROJECT, FLAG_USERS, FLAG_PREFIXES)
 
     def costed(self) -> DataFrame:
         return jobs.job_costs(self.job_log, JOBS_AS_OF, JOB_DAYS)
@@ -91,7 +97,7 @@ class Inputs:
 
     def fresh_snapshot(self) -> DataFrame:
         return history.daily_snapshot(
-            self.history(), self.access_log, self.table_costs, PROJECT, SNAPSHOT_USERS
+            self.history(), self.access_log, self.table_costs, PROJECT, SNAPSHOT_USERS, SNAPSHOT_PREFIXES
         )
 
     def monitor(self) -> DataFrame:
@@ -150,8 +156,7 @@ def credit_month(t: Inputs) -> DataFrame:
 @query
 def receipts_forecast(t: Inputs) -> DataFrame:
     loaded_at = datetime(2024, 1, 31, 12, 0)
-    rows = ledger.receipts_with_forecast(t.receipts, t.receipt_forms, LEDGER_AS_OF, loaded_at, SINCE)
-    return rows.drop("data_atualizacao_jobs")
+    return ledger.receipts_with_forecast(t.receipts, t.receipt_forms, LEDGER_AS_OF, loaded_at, SINCE)
 
 
 @query
@@ -294,8 +299,8 @@ def user_classes(t: Inputs) -> DataFrame:
     email = F.col("user_email")
     rows = t.access_log.withColumns(
         {
-            "prefix": classify.user_prefix(email, classify.FLAG_PREFIXES),
-            "short": classify.user_prefix(email, classify.SNAPSHOT_PREFIXES),
+            "prefix": classify.user_prefix(email, FLAG_PREFIXES),
+            "short": classify.user_prefix(email, SNAPSHOT_PREFIXES),
         }
     )
     return rows.select(
@@ -312,7 +317,7 @@ def last_access_flags(t: Inputs) -> DataFrame:
 
 @query
 def last_users(t: Inputs) -> DataFrame:
-    return access.last_users(t.access_log, PROJECT, SNAPSHOT_USERS)
+    return access.last_users(t.access_log, PROJECT, SNAPSHOT_USERS, SNAPSHOT_PREFIXES)
 
 
 @query
@@ -402,3 +407,70 @@ def restate_monitor(t: Inputs) -> DataFrame:
     return monitor.merge_active_tables(
         t.job_log, t.snapshot, t.monitor(), monitor.restated_moments(AS_OF)
     )
+
+
+@query
+def merge_history_twice(t: Inputs) -> DataFrame:
+    """A day, then the restated window, then the day again, each into the result before."""
+    first = stored(history.merge_history(t.details, t.history(), AS_OF, PROJECT))
+    second = stored(history.merge_history(t.details, first, monitor.restated_moments(AS_OF), PROJECT))
+    return history.merge_history(t.details, second, AS_OF, PROJECT)
+
+
+@query
+def merge_active_twice(t: Inputs) -> DataFrame:
+    """A day, then the restated window, into the result."""
+    first = stored(monitor.merge_active_tables(t.job_log, t.snapshot, t.monitor(), AS_OF))
+    return monitor.merge_active_tables(t.job_log, t.snapshot, first, monitor.restated_moments(AS_OF))
+
+
+# --- runs, readers and writers ---
+
+
+def work_folder(t: Inputs) -> str:
+    """A new folder beside the other intermediate data."""
+    return f"{shared_folder(t.spark)}/{t.spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+@query
+def read_source_years(t: Inputs) -> DataFrame:
+    """Receipts written as a table per source year and read back with the declared schema."""
+    root, receipts = work_folder(t), stored(t.receipts)
+    rows = schemas.conform(receipts, schemas.RECEIPT).withColumn("_year", F.year("dt_recebido"))
+    years = [r[0] for r in receipts.select("ano_fonte").distinct().collect()]  # one row per source year
+    for year in years:
+        replace_table(rows.filter(F.col("_year") == year).drop("_year"), f"{root}/{year}")
+    read = read_years(t.spark, {year: f"{root}/{year}" for year in years}, schemas.RECEIPT)
+    return read.withColumn("process_time", F.col("process_time").cast("timestamp_ntz"))
+
+
+@query
+def run_balance(t: Inputs) -> DataFrame:
+    """The balance that the ledger run writes, after a second run over the first."""
+    root = work_folder(t)
+    inputs = refresh.LedgerInputs(t.costs, t.credits, t.receipts, t.balances, t.cost_forms, t.receipt_forms)
+    for _ in range(2):
+        refresh.refresh_finance(
+            inputs, root, LEDGER_AS_OF, datetime(2024, 1, 31, 12, 0), forecast_year=FORECAST_YEAR, policy=POLICY
+        )
+    return read_table(t.spark, f"{root}/{refresh.BALANCE}", schemas.BALANCE)
+
+
+@query
+def run_details(t: Inputs) -> DataFrame:
+    """Table details appended to a partitioned table and read back."""
+    root = work_folder(t)
+    refresh.append_details(t.details, root)
+    return read_stored(t.spark, f"{root}/{refresh.DETAILS}", schemas.DETAILS).select(*schemas.DETAILS.names)
+
+
+@query
+def run_history(t: Inputs) -> DataFrame:
+    """The history that the first monitoring run writes; its job log starts where ``costed`` starts."""
+    root = work_folder(t)
+    inputs = refresh.WarehouseInputs(t.job_log, t.catalog, t.access_log, t.table_costs)
+    refresh.monitoring_run(
+        t.spark, inputs, root, datetime.fromisoformat(AS_OF), PROJECT, FLAG_PREFIXES, SNAPSHOT_PREFIXES,
+        FLAG_USERS, SNAPSHOT_USERS, days=RUN_DAYS,
+    )
+    return read_stored(t.spark, f"{root}/{refresh.HISTORY}", schemas.HISTORY).select(*schemas.HISTORY.names)

@@ -5,6 +5,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import rows
 from ledgermill.operators.balance import (
@@ -21,10 +22,14 @@ COLUMNS = (
 )
 
 
+#: The months that the tests draw rows for; the policy itself has no limits.
+MONTHS = [date(2020 + n // 12, n % 12 + 1, 1) for n in range(60)]
+
+
 def chain(data: dict, policy: BalancePolicy) -> list[tuple]:
     """One account: month -> (received, planned, due, spent, bank)."""
     out, previous = [], None
-    for month in policy.months():
+    for month in MONTHS:
         if month.month == 1:
             previous = None
         row = data.get(month)
@@ -54,7 +59,7 @@ def random_months(rng, policy):
         return None if rng.random() < null else Decimal(rng.randrange(0, 100_000)) / 100
 
     data = {}
-    for month in policy.months():
+    for month in MONTHS:
         if rng.random() < 0.12:
             continue
         spent = amount(0.12)
@@ -80,9 +85,8 @@ def test_window_equals_the_literal_chain(spark, seed):
 
 
 def test_policy_months_and_exceptions(spark):
-    months = LEDGER_POLICY.months()
-    assert (months[0], months[-1], len(months)) == (date(2021, 1, 1), date(2023, 8, 1), 32)
-    table = {r[0]: r[1:] for r in rows(LEDGER_POLICY.table(spark))}
+    df = spark.createDataFrame([(m,) for m in MONTHS], "m date")
+    table = {r[0]: r[1:] for r in rows(df.withColumns(LEDGER_POLICY.rules(F.col("m"))))}
     assert table[date(2021, 5, 1)] == (True, False, None)
     assert table[date(2022, 2, 1)] == (False, False, None)
     assert table[date(2022, 3, 1)] == (False, True, None)
@@ -91,6 +95,8 @@ def test_policy_months_and_exceptions(spark):
     assert table[date(2023, 8, 1)] == (False, True, FORECAST_COSTS)
 
 
-def test_months_outside_the_report_are_left_out(spark):
-    df = spark.createDataFrame([(1, date(2020, 12, 1), *[Decimal(1)] * 5)], COLUMNS)
-    assert rows(running_balance(df, LEDGER_POLICY, ["conta"])) == []
+def test_every_month_is_reported_unless_limits_are_given(spark):
+    df = spark.createDataFrame([(1, m, *[Decimal(1)] * 5) for m in MONTHS], COLUMNS)
+    assert [r[0] for r in sorted(rows(running_balance(df, LEDGER_POLICY, ["conta"]), "dt_mes_base"))] == MONTHS
+    limited = BalancePolicy(first=MONTHS[3], last=MONTHS[9])
+    assert [r[0] for r in sorted(rows(running_balance(df, limited, ["conta"]), "dt_mes_base"))] == MONTHS[3:10]

@@ -97,8 +97,7 @@ def test_running_total_slices_stay_small_under_one_hot_key(spark, monkeypatch):
 def test_expand_copies_cuts_large_counts(spark):
     df = spark.createDataFrame([("a", 1), ("b", 25), ("c", 10)], "k string, n bigint")
     want = [("a", 0), *[("b", i) for i in range(25)], *[("c", i) for i in range(10)]]
-    for spread in (True, False):
-        assert sorted(rows(expand_copies(df, "n", "i", spread, chunk=10), "k", "i")) == want
+    assert sorted(rows(expand_copies(df, "n", "i", chunk=10), "k", "i")) == want
 
 
 @pytest.mark.parametrize(

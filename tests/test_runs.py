@@ -130,7 +130,7 @@ def test_monitoring_run_twice(spark, tmp_path):
     as_of, root = datetime(2024, 1, 10, 18), str(tmp_path)
 
     def run(moment):
-        refresh.monitoring_run(spark, inputs, root, moment, P)
+        refresh.monitoring_run(spark, inputs, root, moment, P, ["service", "bio"], ["service", "bio"])
         past = read_stored(spark, f"{root}/{refresh.HISTORY}", schemas.HISTORY)
         seen = read_stored(spark, f"{root}/{refresh.MONITOR}", schemas.MONITOR)
         return past, seen
@@ -160,3 +160,39 @@ def test_monitoring_run_twice(spark, tmp_path):
     past, _ = run(datetime(2024, 1, 15, 18))
     assert counted(past.filter("dia_particao < '2024-01-12'")) == before
     assert monitor.RESTATED_OFFSETS == range(-1, 4)
+
+
+def test_monitoring_run_with_several_executors_on_the_eve(spark, tmp_path):
+    """Two executors on the eve and yearly costs that name a table twice: three days in a row."""
+    catalog = spark.createDataFrame([(P, "ds", "t1", 5, 10**9, 0, 1_704_067_200_000, 1)], schemas.CATALOG)
+    log = job_log(
+        spark,
+        job("2024-01-09 12:00:00", job_id="airflow_77"),
+        job("2024-01-09 13:00:00", job_id="scheduled_query_5"),
+    )
+    costs = spark.createDataFrame([(P, "ds", "t1", 3.5), (P, "ds", "t1", 4.5)], schemas.TABLE_COSTS)
+    inputs = refresh.WarehouseInputs(log, catalog, access_log(spark), costs)
+    for day in (10, 11, 12):
+        refresh.monitoring_run(
+            spark, inputs, str(tmp_path), datetime(2024, 1, day, 18), P, ["service", "bio"], ["service", "bio"]
+        )
+    past = read_stored(spark, f"{tmp_path}/{refresh.HISTORY}", schemas.HISTORY)
+    idle = past.filter("executor_job = 'null'")
+    assert idle.count() == idle.select(*history_keys()).distinct().count() > 0
+    seen = read_stored(spark, f"{tmp_path}/{refresh.MONITOR}", schemas.MONITOR)
+    assert seen.count() == seen.select("table_id", "data_carga").distinct().count() > 0
+    assert {r[0] for r in rows(seen, "custo_ano_bee")} == {"4,5"}
+
+
+def history_keys():
+    return [F.expr(k) for k in refresh.history.HISTORY_KEYS]
+
+
+def test_replace_table_keeps_the_old_table_when_the_write_fails(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    replace_table(spark.range(3), path)
+    with pytest.raises(Exception):
+        replace_table(spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id")), path)
+    assert spark.read.parquet(path).count() == 3
+    replace_table(spark.read.parquet(path).filter("id > 0"), path)
+    assert spark.read.parquet(path).count() == 2

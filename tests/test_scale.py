@@ -73,7 +73,7 @@ def test_top_row_choice_is_limited_before_the_shuffle(spark):
 def test_access_flags_are_one_hash_aggregate(spark):
     log = spark.createDataFrame([], schemas.ACCESS_LOG)
     tables = spark.createDataFrame([], "table_id string")
-    plan = plan_of(access.last_access_flags(log, tables, "p", []))
+    plan = plan_of(access.last_access_flags(log, tables, "p", [], ["service"]))
     assert "SortAggregate" not in plan and "Window" not in plan and "collect_list" not in plan
 
 
