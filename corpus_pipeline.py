@@ -2,13 +2,75 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from ledgermill.llm.decontaminate import find_leaks
 from ledgermill.llm.line_dedup import drop_repeated_lines
+from ledgermill.llm.minhash import near_duplicates
 from ledgermill.llm.mixing import mix_sources
+from ledgermill.llm.queries import table
+from ledgermill.llm.toxicity import fit, score_toxicity
 from ledgermill.session import stored
 
-STAGES = []
+#: Score from which a document is rejected as toxic.
+TOXIC = 0.3
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below TOXIC, by a model of the labelled ones among them."""
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    return score_toxicity(rows, model, columns=("row",)).filter(F.col("score") < TOXIC).select("row.*")
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that are kept elsewhere; ``n_chars`` is counted anew."""
+    left = drop_repeated_lines(docs, columns=tuple(c for c in docs.columns if c != "text"))
+    new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
+    return left.select(*(new.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates; rows that share an id are one document."""
+    groups = near_duplicates(docs, width=5, percent=80)
+    copies = groups.filter(~F.col("kept")).select("doc_id").distinct()
+    nameless = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    first = Window.partitionBy("doc_id", "_own").orderBy("text", *(c for c in docs.columns if c not in ("doc_id", "text")))
+    rest = docs.join(copies, "doc_id", "left_anti").select(*docs.columns, nameless.alias("_own"))
+    return rest.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").select(*docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark passage was found."""
+    leaks = find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc", "text_hash").distinct()
+    same = F.xxhash64(F.coalesce(docs["text"], F.lit(""))).eqNullSafe(leaks["text_hash"])
+    return docs.join(leaks, same & docs["doc_id"].eqNullSafe(leaks["doc"]), "left_anti")
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the mix takes, with ``size``, ``source_size``, ``target``, ``taken`` and ``copies``."""
+    text = F.coalesce("text", F.lit(""))
+    k1, k2 = F.xxhash64("doc_id", text), F.xxhash64(F.lit(1), "doc_id", text)
+    same = Window.partitionBy("_k1", "_k2")
+    keyed = docs.withColumn("_k1", k1).withColumn("_k2", k2)
+    numbers = ("size", "source_size", "target", "taken")
+    found = mix_sources(keyed.select("doc_id", "source", "text", "_k1", "_k2"), columns=("_k1", "_k2"))
+    found = found.withColumn("_nth", F.row_number().over(same.orderBy("taken"))).filter("taken > 0")
+    found = found.select("_k1", "_k2", "_nth", F.struct(*numbers, (F.col("taken") / F.col("size")).cast("int").alias("copies")).alias("_mix"))
+    rows = keyed.withColumn("_nth", F.row_number().over(same.orderBy("source")))
+    names = [c for c in docs.columns if c not in (*numbers, "copies")]
+    return rows.join(found, ["_k1", "_k2", "_nth"]).select(*names, "_mix.*")
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("line dedup", without_repeated_lines),
+    ("near dedup", without_near_duplicates),
+    ("decontamination", without_benchmark),
+    ("mixing", mixed),
+]
+#: Scores, signatures and latent vectors are not SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 

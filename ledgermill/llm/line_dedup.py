@@ -40,10 +40,14 @@ def text_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def with_document_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc``, ``text`` and two hashes that name a document, so null and repeated ids can be joined."""
+def with_document_key(docs: DataFrame, id_col: str, text_col: str, columns: tuple[str, ...] = ()) -> DataFrame:
+    """``doc``, ``text`` and two hashes that name a document, so null and repeated ids can be joined.
+
+    ``row`` holds the named ``columns``.
+    """
     doc, text = F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
+        F.struct(*columns).alias("row") if columns else F.lit(None).alias("row"),
         doc.alias("doc"),
         text.alias("text"),
         F.xxhash64(doc, text).alias("k1"),
@@ -90,9 +94,14 @@ def keep_bitmaps(keyed: DataFrame, min_points: int, min_docs: int) -> DataFrame:
 
 
 def drop_repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_points: int = 20, min_docs: int = 3
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_points: int = 20,
+    min_docs: int = 3,
+    columns: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc``, ``text`` that is left, ``n_lines``, ``n_dropped``, ``keep``.
+    """One row per row of ``docs``: ``doc``, ``text`` that is left, ``n_lines``, ``n_dropped``, ``keep``, ``row``.
 
     A text is split at line feeds. Lines whose key (see ``line_key``) has ``min_points`` code points
     or more and is held by ``min_docs`` documents or more leave every document but the one with
@@ -101,10 +110,10 @@ def drop_repeated_lines(
 
     Null and empty texts are one empty line. Rows that agree in id and text are one document, and
     each gets its result; rows that share an id only are documents ordered by a hash of the text.
-    A null id counts as the smallest. Other columns of ``docs`` are ignored. An empty table gives
-    an empty result.
+    A null id counts as the smallest. ``row`` holds the named ``columns`` of ``docs`` as they are; other
+    columns are ignored. An empty table gives an empty result.
     """
-    keyed = with_document_key(docs, id_col, text_col)
+    keyed = with_document_key(docs, id_col, text_col, columns)
     bitmaps = keep_bitmaps(keyed, min_points, min_docs)
     words = F.expr(
         "transform(sequence(0, cast((size(lines) - 1) div 64 as int)), w -> coalesce(keep[w], 0L))"
@@ -115,7 +124,7 @@ def drop_repeated_lines(
     )
     return (
         keyed.join(bitmaps, ["k1", "k2"], "left")
-        .select("doc", "keep", text_lines(F.col("text")).alias("lines"))
+        .select("doc", "row", "keep", text_lines(F.col("text")).alias("lines"))
         .withColumn("words", words)
         .withColumn("left", stays)
         .select(
@@ -124,5 +133,6 @@ def drop_repeated_lines(
             F.size("lines").cast("long").alias("n_lines"),
             (F.size("lines") - F.size("left")).cast("long").alias("n_dropped"),
             "keep",
+            "row",
         )
     )

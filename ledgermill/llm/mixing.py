@@ -12,17 +12,26 @@ cut, copies are counted in slots of finish time; only the slot in which the budg
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgermill.llm.words import texts
 from ledgermill.session import stored
 
-WORD = r"[^\x20\x09-\x0D]+"
 DIGITS = 3
 #: Slots of finish time up to 2; beyond, the slots widen with the time.
 SLOTS = 4096
 
 
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        size = pa.array([len(text.split()) for text in texts(batch, "text")], pa.int64())
+        yield batch.drop_columns(["text"]).append_column("size", size)
+
+
 def source_targets(sized: DataFrame, rounds: int, weights: tuple[int, ...]) -> DataFrame:
     """One row per source: ``nth`` in code point order, ``source_size``, ``target``.
 
@@ -86,9 +95,11 @@ def mix_sources(
     agree in all three are alike. Null ids are shuffled as an empty text. Without any word all
     targets and ``taken`` are 0; an empty table gives an empty result.
     """
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    sized = stored(docs.select("doc_id", "source", size.alias("size"), key.alias("key"), *columns))
+    narrow = list(dict.fromkeys(["doc_id", "source", *columns]))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*narrow).schema)
+    sizes = docs.select(*narrow, "text").mapInArrow(_sizes, f"{kinds}, size long")
+    sized = stored(sizes.withColumn("key", key))
     targets = stored(source_targets(sized, rounds, weights))
     named = sized.withColumnRenamed("source", "own").join(targets, F.col("own").eqNullSafe(F.col("source")))
     named = named.drop("own", *({"source"} - set(columns))).withColumn("slice", F.substring("key", 1, DIGITS))
