@@ -12,7 +12,6 @@ from ledgermill import schemas
 from ledgermill.functions import costs
 from ledgermill.functions.dates import datetime_lit, utc_clock
 from ledgermill.operators.joins import left_join_many
-from ledgermill.session import stored
 
 TABLE = ["project_id", "table_id", "dataset_id"]
 
@@ -46,9 +45,9 @@ def dataset_names(schemata: DataFrame) -> DataFrame:
 def table_details(inventory: DataFrame, flags: DataFrame, jobs: DataFrame) -> DataFrame:
     """Every table with its access flags, once per job that wrote it.
 
-    Tables and flags have one row per table and are stored, so that the access log is
-    read once. Jobs are many and one table may have a large part of them, so that join
-    is split into matched and unmatched tables; it reads ``jobs`` twice.
+    Tables and flags have one row per table. Jobs are many and one table may have a large
+    part of them, so that join is split into matched and unmatched tables; it reads
+    ``jobs`` twice, so pass a stored table.
     """
     modified = utc_clock(F.col("last_modified_time"))
     tables = inventory.select(
@@ -61,5 +60,5 @@ def table_details(inventory: DataFrame, flags: DataFrame, jobs: DataFrame) -> Da
         "flag_user_sa_bio", "flag_user_nominal", "flag_sem_acesso",
     )
     runs = jobs.select(*TABLE, "data_hora_execucao_job", "executor_job", "cost_us_dol")
-    used = stored(tables.join(users, TABLE, "left"))
+    used = tables.join(users, TABLE, "left")
     return schemas.conform(left_join_many(used, runs, TABLE), schemas.DETAILS)

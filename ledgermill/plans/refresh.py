@@ -13,6 +13,7 @@ from ledgermill.functions.dates import day_of
 from ledgermill.operators.balance import LEDGER_POLICY, BalancePolicy
 from ledgermill.plans import access, balance, history, inventory, jobs, ledger, monitor
 from ledgermill.plans.ledger import YEAR
+from ledgermill.session import intermediate
 from ledgermill.sources.writers import (
     append_table,
     on_load_days,
@@ -83,8 +84,9 @@ def ledger_tables(
 
 def refresh_finance(inputs: LedgerInputs, root: str, as_of: str | date, loaded_at: datetime, **options) -> None:
     """Write the five ledger tables under ``root``."""
-    for name, df in ledger_tables(inputs, as_of, loaded_at, **options).items():
-        replace_table(df, f"{root}/{name}")
+    with intermediate(inputs.costs.sparkSession):
+        for name, df in ledger_tables(inputs, as_of, loaded_at, **options).items():
+            replace_table(df, f"{root}/{name}")
 
 
 def append_details(details: DataFrame, root: str) -> None:
@@ -110,10 +112,20 @@ def monitoring_run(
     Each merge reads and replaces only the load days it can change, and reads only the
     details of those days, of the days before them, and of tables without a run.
     """
+    with intermediate(spark):
+        _monitoring_steps(
+            spark, inputs, root, as_of, project, list(flag_prefixes), list(snapshot_prefixes),
+            list(flag_users), list(snapshot_users), days, list(offsets),
+        )
+
+
+def _monitoring_steps(
+    spark, inputs, root, as_of, project, flag_prefixes, snapshot_prefixes, flag_users, snapshot_users, days, offsets
+) -> None:
     moments = monitor.restated_moments(as_of, offsets)
     load_days = [day_of(m) for m in moments]
 
-    replace_table(jobs.job_costs(inputs.job_log, as_of, days), f"{root}/{JOBS}")
+    replace_table(jobs.job_costs(inputs.job_log, as_of, days), f"{root}/{JOBS}", moment="start_time")
     costed = spark.read.parquet(f"{root}/{JOBS}")
 
     tables = inventory.table_inventory(inputs.catalog, as_of)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,14 +31,35 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
 
 
+#: What ``stored`` has written in this process and not removed.
+_written: list[str] = []
+
+
+@contextmanager
+def intermediate(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what ``stored`` writes inside: for runs whose results are written by then."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        paths = _written[before:]
+        del _written[before:]
+        files = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in paths:
+            place = files.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows of ``df``, written once to the shared folder and read back.
 
     Cuts the lineage as a checkpoint does and survives lost executors; being Parquet,
     it also keeps column pruning, pushed filters and size statistics. The files lie
-    under the application id, so they can be removed when the application has ended.
+    under the application id, so they can be removed when the application has ended;
+    ``intermediate`` removes them earlier.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

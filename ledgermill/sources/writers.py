@@ -15,16 +15,21 @@ from ledgermill.sources.readers import read_table
 LOAD_DAY = "dia_particao"
 
 
-def replace_table(df: DataFrame, path: str) -> None:
+def replace_table(df: DataFrame, path: str, moment: str | None = None) -> None:
     """Create or replace a whole table, from a complete write beside it.
 
+    ``moment`` partitions the table by the day of that column.
+
     A failed job leaves the old table; a reader sees the old or the new one, but for the
     moment between two renames. ``df`` may read the table it replaces.
     """
     spark = df.sparkSession
     mark = uuid.uuid4().hex
     fresh, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
-    df.write.parquet(fresh)
+    if moment is None:
+        df.write.parquet(fresh)
+    else:
+        _by_day(df, moment).write.partitionBy(LOAD_DAY).parquet(fresh)
     files = spark.sparkContext._jvm.org.apache.hadoop.fs
     place = files.Path(path)
     system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
