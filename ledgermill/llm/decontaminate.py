@@ -36,10 +36,14 @@ PASSAGE, BLOCK, SCALES = 32, 8, (2, 4, 8)
 PART = 56
 COMMON, COSINE = 0.01, 0.5
 WHOLE, HALF, ANSWER = 0.75, 0.5, 0.75
+#: Windows are compared in classes of the number of weighing words.
+BINS = ((1, 3), (3, 5), (5, 7), (7, 10), (10, 14), (14, 1 << 30))
+#: Share of a passage's weighing words that a window must hold; less than HALF, as windows cut items.
+HELD = 0.4
 #: Items and distinct words of a slice of the benchmark.
 SLICE_ITEMS, MAX_TERMS = 2_000, 1 << 17
 #: Places that a task works on at once; rows of a partial sum that travel together.
-STEP, SUM_ROWS = 40_000, 1024
+STEP, SUM_ROWS = 30_000, 1024
 CACHE_WORDS, CACHE_BYTES = 200_000, 64
 
 
@@ -242,6 +246,7 @@ class Index:
     weight: np.ndarray
     latent: np.ndarray  # weighted rows of the singular vectors
     by_scale: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]  # blocks, unit vectors, item, words needed
+    sets: list[frozenset[int]]
 
 
 def _index(items: list[Item], weight: np.ndarray, latent: np.ndarray) -> Index:
@@ -256,12 +261,14 @@ def _index(items: list[Item], weight: np.ndarray, latent: np.ndarray) -> Index:
             length = np.linalg.norm(vector)
             if length > 0:
                 scale = next((s for s in SCALES if s * BLOCK >= len(part)), SCALES[-1])
-                light = sum(weight[t] <= 0 for t in part)
-                held[scale].append((vector / length, n, max(1, int(HALF * len(part)) - light)))
-    by_scale = [
-        (s, np.array([x[0] for x in h]), np.array([x[1] for x in h]), np.array([x[2] for x in h])) for s, h in held.items() if h
-    ]
-    return Index(items, weight, rows, by_scale)
+                heavy = sum(weight[t] > 0 for t in part)
+                held[scale].append((vector / length, n, max(1, int(HELD * heavy))))
+    by_scale = []
+    for s, h in held.items():
+        h.sort(key=lambda x: x[2])
+        if h:
+            by_scale.append((s, np.array([x[0] for x in h], np.float32), np.array([x[1] for x in h]), np.array([x[2] for x in h])))
+    return Index(items, weight, rows, by_scale, [frozenset(x.words) for x in items])
 
 
 def _candidates(index: Index, row: np.ndarray, place: np.ndarray, term: np.ndarray) -> dict[tuple[int, int], list[tuple[float, int, int]]]:
@@ -276,16 +283,22 @@ def _candidates(index: Index, row: np.ndarray, place: np.ndarray, term: np.ndarr
     first = np.flatnonzero(np.diff(block, prepend=-1))
     for scale, vectors, item, needed in index.by_scale:
         end = np.searchsorted(block, block[first] + scale)
-        some = np.flatnonzero(end - first >= needed.min())
-        step = max(1, 2_000_000 // len(vectors))
-        for i in range(0, len(some), step):
-            a, b = first[some[i : i + step]], end[some[i : i + step]]
-            window = sums[b] - sums[a]
-            length = np.maximum(np.linalg.norm(window, axis=1), 1e-12)
-            cosine = (window @ vectors.T) / length[:, None]
-            for w, v in np.argwhere((cosine >= COSINE) & ((b - a)[:, None] >= needed)):
-                at = int(place[a[w]] // BLOCK) * BLOCK
-                out.setdefault((int(row[a[w]]), int(item[v])), []).append((float(cosine[w, v]), at, at + scale * BLOCK))
+        count = end - first
+        for low, high in BINS:
+            # Items that need no more words than these windows have; ``needed`` ascends.
+            few = int(np.searchsorted(needed, high))
+            some = np.flatnonzero((count >= low) & (count < high)) if few else ()
+            step = max(1, 2_000_000 // max(1, few))
+            for i in range(0, len(some), step):
+                a, b = first[some[i : i + step]], end[some[i : i + step]]
+                window = (sums[b] - sums[a]).astype(np.float32)
+                window /= np.maximum(np.linalg.norm(window, axis=1), 1e-6)[:, None]
+                cosine = window @ vectors[:few].T
+                for w, v in np.argwhere(cosine >= COSINE):
+                    if b[w] - a[w] >= needed[v]:
+                        at = int(place[a[w]] // BLOCK) * BLOCK
+                        key = (int(row[a[w]]), int(item[v]))
+                        out.setdefault(key, []).append((float(cosine[w, v]), at, at + scale * BLOCK))
     return out
 
 
@@ -297,13 +310,15 @@ def _leaks(shared):
             for row, place, term in _steps(batch):
                 keep = index.weight[term] > 0
                 for (r, n), windows in _candidates(index, row[keep], place[keep], term[keep]).items():
-                    item = index.items[n]
+                    item, wanted = index.items[n], index.sets[n]
                     a, b = np.searchsorted(row, r), np.searchsorted(row, r, "right")
                     best = (0.0, 0.0, 0.0, 0, 0)
                     # Windows that overlap are looked at as one stretch of at least the item's length.
                     for cosine, start, stop in _stretches(windows, len(item.words)):
                         i, j = a + np.searchsorted(place[a:b], (start, stop))
                         words = term[i:j].tolist()
+                        if sum(t in wanted for t in words) < HALF * len(item.words):
+                            continue  # no common subsequence can be long enough
                         whole = common_subsequence(item.words, words) / max(1, len(item.words))
                         answer = common_subsequence(item.answer, words) / max(1, len(item.answer))
                         if whole >= WHOLE or (whole >= HALF and answer >= ANSWER):
@@ -361,7 +376,8 @@ def find_leaks(
     ``lcs`` and ``answer_lcs`` (shares of the item's and its answer's words found in order),
     ``cosine``, ``first_word`` and ``end_word`` of the stretch.
 
-    Words are compared lower-cased, by their letters and digits. Null, empty and wordless texts and items
+    Words are compared lower-cased, by their letters and digits; items without any word that weighs match
+    nothing. Null, empty and wordless texts and items
     match nothing. Rows that share an id are documents of their own (``text_hash`` tells them apart);
     repeated rows give their result once, as do items that share an id. Null ids are kept as they are.
     Other columns are ignored; an empty table on either side gives an empty result.

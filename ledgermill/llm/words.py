@@ -33,6 +33,7 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def texts(batch: pa.RecordBatch, column: str) -> Iterator[bytes]:
-    """The texts as UTF-8 bytes, one at a time; null is empty."""
-    for value in batch.column(column).cast(pa.large_binary()):
+    """The texts as UTF-8 bytes, one at a time, without a copy of the column; null is empty."""
+    own = batch.column(column)
+    for value in own.cast(pa.large_binary() if pa.types.is_large_string(own.type) else pa.binary()):
         yield value.as_py() or b""
