@@ -29,7 +29,9 @@ from ledgermill.session import stored
 
 TABLES, WIDTH, SUCCESS = 2, 2.0, 0.85
 #: Classes of a usual bucket, and of a group at least; groups are at most MAX_GROUPS a table.
-BUCKET, GROUP_ROWS, MAX_GROUPS = 200, 20_000, 1 << 15
+BUCKET, GROUP_ROWS, MAX_GROUPS = 1_500, 20_000, 1 << 15
+#: Spreads the parts of a large bucket over groups.
+PART = 0x9E3779B1
 #: Vectors of the sample, and those of them that look for their neighbours among the rest.
 SAMPLE, SAMPLE_QUERIES = 20_000, 400
 CLASS = "c1 long, c2 long, id long, vector array<double>"
@@ -231,17 +233,6 @@ def nearest(
                 extra = [pa.array(np.full(len(points), t, np.int32)), pa.array(bucket)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, "tab", "bucket"])
 
-    def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h = shared.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            points = h.turned(_matrix(batch.column("vector")))
-            for t in range(TABLES):
-                visits = [h.probes(p) for p in h.places(points, t)]
-                extra = [pa.array(np.full(len(points), t, np.int32)), pa.array(visits, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *extra], ["q1", "q2", "vector", "tab", "buckets"])
-
     indexed = stored(classes.select("c1", "c2", "id", "vector").mapInArrow(index, f"{CLASS}, tab int, bucket long"))
     asked = classes.join(queries.select("c1", "c2").distinct(), ["c1", "c2"], "left_semi").select("c1", "c2", "vector")
     asked = stored(asked)
@@ -249,24 +240,38 @@ def nearest(
     limit = max(GROUP_ROWS, total // MAX_GROUPS)
     # Buckets over the limit: at most TABLES * total / limit of them, so at most TABLES * MAX_GROUPS rows.
     large = indexed.groupBy("tab", "bucket").count().filter(F.col("count") > limit)
-    large = F.broadcast(large.select("tab", "bucket", F.ceil(F.col("count") / limit).cast("int").alias("parts")))
-    parts = F.coalesce("parts", F.lit(1))
-    group = F.pmod(F.xxhash64("bucket", "part"), F.lit(groups)).cast("int").alias("grp")
-    left = (
-        indexed.join(large, ["tab", "bucket"], "left")
-        .withColumn("part", F.pmod("c1", parts).cast("int"))
-        .select("c1", "c2", "id", "vector", "tab", "bucket", group)
-    )
-    visits = asked.mapInArrow(probes, "q1 long, q2 long, vector array<double>, tab int, buckets array<long>")
-    right = (
-        visits.select("q1", "q2", "tab", F.explode("buckets").alias("bucket"))
-        .join(large, ["tab", "bucket"], "left")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .select("q1", "q2", "tab", "bucket", group)
-        .groupBy("q1", "q2", "tab", "grp")
-        .agg(F.collect_set("bucket").alias("buckets"))
-        .join(asked.select(F.col("c1").alias("q1"), F.col("c2").alias("q2"), "vector"), ["q1", "q2"])
-    )
+    large = stored(large.select("tab", "bucket", F.ceil(F.col("count") / limit).cast("long").alias("parts")))
+    parts_of = spark.sparkContext.broadcast({(r["tab"], r["bucket"]): r["parts"] for r in large.collect()})
+
+    def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each query and group that holds buckets it visits."""
+        h, in_parts = shared.value, parts_of.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            points = h.turned(_matrix(batch.column("vector")))
+            who, tab, grp, visits = [], [], [], []
+            for t in range(TABLES):
+                for i, place in enumerate(h.places(points, t)):
+                    by_group: dict[int, list[int]] = {}
+                    for bucket in h.probes(place):
+                        for part in range(in_parts.get((t, bucket), 1)):
+                            by_group.setdefault((bucket ^ (part * PART)) % groups, []).append(bucket)
+                    who += [i] * len(by_group)
+                    tab += [t] * len(by_group)
+                    grp += by_group
+                    visits += by_group.values()
+            columns = [*batch.take(pa.array(who, pa.int64())).columns, pa.array(tab, pa.int32()), pa.array(grp, pa.int32())]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(visits, pa.list_(pa.int64()))], ["q1", "q2", "vector", "tab", "grp", "buckets"]
+            )
+
+    part = F.pmod("c1", F.coalesce("parts", F.lit(1))) * PART
+    left = indexed.join(F.broadcast(large), ["tab", "bucket"], "left").select(
+        "c1", "c2", "id", "vector", "tab", "bucket",
+        F.pmod(F.col("bucket").bitwiseXOR(part), F.lit(groups)).cast("int").alias("grp"),
+    )
+    right = asked.mapInArrow(probes, "q1 long, q2 long, vector array<double>, tab int, grp int, buckets array<long>")
     found = left.groupBy("tab", "grp").cogroup(right.groupBy("tab", "grp")).applyInArrow(_search(top + 1), FOUND)
     found = stored(found.groupBy("q1", "q2", "c1", "c2").agg(F.max("score").alias("score")))
 
