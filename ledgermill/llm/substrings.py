@@ -35,7 +35,7 @@ KEY, CELL = 64, 16
 #: Bytes of a text that are hashed at once, and bits of a hash that hold the place there.
 CHUNK, PLACE_BITS = 1 << 19, 20
 #: Fragments of one anchor that stay together, and bytes that a shard holds on average.
-TOGETHER, SHARD_BYTES = 1_000, 1 << 20
+TOGETHER, SHARD_BYTES = 8_000, 1 << 20
 
 _random = np.random.Generator(np.random.PCG64(77))
 BYTE = _random.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -316,7 +316,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     kind = docs.schema[id_col].dataType.simpleString()
     longs = ", ".join(f"{c} long" for c in RUN)
     runs_found = stored(keyed.select("k1", "k2", "text").mapInArrow(_anchors(length), longs))
-    again = runs_found.groupBy("anchor").count().filter("count > 1").select("anchor")
+    # Stored, so that the join may split an anchor with very many runs.
+    again = stored(runs_found.groupBy("anchor").count().filter("count > 1").select("anchor"))
     wanted = (
         runs_found.join(again, "anchor")
         .groupBy("k1", "k2")
