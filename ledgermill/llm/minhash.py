@@ -2,11 +2,14 @@
 
 1. Every text becomes its set of word shingles, one minimum for each of 128 universal hash functions,
    and 32 bands of four minima. Texts with the same set are one class from here on.
-2. In each bucket of a band all classes are compared with the bucket's centre: first by signature,
-   then on full sets. The links found are joined into components.
-3. A bucket that still holds more than one component is compared between the components in
-   blocks of bounded size, by signature, and what agrees is confirmed on full sets. After that no
-   pair that shares a bucket is left out, and no bucket has been expanded into all its pairs.
+2. Rounds over a few bands at a time: in each bucket the classes of other components than its centre's are
+   compared with the centre, a member drawn by hash, first by signature, then on full sets. The links
+   found are joined into components, so a group of near copies soon is one component.
+3. What is left are buckets that hold more than one component. Shingles that only one document in such buckets
+   has are in no intersection, which bounds a document's similarity with any other: whoever cannot reach the
+   threshold has no links and leaves. Buckets that still are mixed are compared between the components in
+   blocks of bounded size, by signature and by that bound, and what agrees is confirmed on full sets. After
+   that no pair that shares a bucket is left out, and no bucket has been expanded into all its pairs.
 4. Components of all links, by alternating large-star and small-star.
 
 A pair with similarity 0.85 shares no bucket with probability (1 - 0.85^4)^32 < 1e-10, and agrees in
@@ -28,6 +31,8 @@ from ledgermill.session import stored
 
 BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
+#: Bands of each round of stars.
+ROUNDS = ((0, 2), (2, 8), (8, 20), (20, 32))
 #: Minima of 8 bits each that must agree before full sets are compared.
 AGREE = 84
 #: Classes of a block, in which a bucket with several components is compared.
@@ -119,22 +124,30 @@ def _full_sets(width: int, id_col: str, text_col: str):
     return run
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _agreeing(percent: int):
     """Rows with a pair of blocks (or a block and null, for itself): agreeing pairs of different components."""
-    for batch in batches:
-        left, right = [], []
-        for row in batch.to_pylist():
-            one, two = row["one"], row["two"] or row["one"]
-            x = np.frombuffer(b"".join(r["minima"] for r in one), np.uint8).reshape(len(one), MINIMA)
-            y = np.frombuffer(b"".join(r["minima"] for r in two), np.uint8).reshape(len(two), MINIMA)
-            cx, cy = np.array([r["component"] for r in one]), np.array([r["component"] for r in two])
-            ix, iy = np.array([r["id"] for r in one]), np.array([r["id"] for r in two])
-            for i in range(len(one)):
-                same = (y == x[i]).sum(axis=1) >= AGREE
-                for j in np.flatnonzero(same & (cy != cx[i]) & ((iy > ix[i]) | (row["two"] is not None))):
-                    left.append(min(ix[i], iy[j]))
-                    right.append(max(ix[i], iy[j]))
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = [], []
+            for row in batch.to_pylist():
+                one, two = row["one"], row["two"] or row["one"]
+                x = np.frombuffer(b"".join(r["minima"] for r in one), np.uint8).reshape(len(one), MINIMA)
+                y = np.frombuffer(b"".join(r["minima"] for r in two), np.uint8).reshape(len(two), MINIMA)
+                cx, ix, nx, sx = (np.array([r[c] for r in one]) for c in ("component", "id", "n", "common"))
+                cy, iy, ny, sy = (np.array([r[c] for r in two]) for c in ("component", "id", "n", "common"))
+                for i in range(len(one)):
+                    most = np.minimum(sx[i], sy)
+                    apart = (cy != cx[i]) & (100 * most >= percent * (nx[i] + ny - most))
+                    if row["two"] is None:
+                        apart &= iy > ix[i]
+                    some = np.flatnonzero(apart)
+                    for j in some[(y[some] == x[i]).sum(axis=1) >= AGREE]:
+                        left.append(min(ix[i], iy[j]))
+                        right.append(max(ix[i], iy[j]))
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["u", "v"])
+
+    return run
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -143,7 +156,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     two = sets.select(F.col("id").alias("v"), F.col("shingles").alias("t"))
     both = F.size(F.array_intersect("s", "t"))
     whole = F.size("s") + F.size("t") - both
-    return pairs.join(one, "u").join(two, "v").filter(100 * both >= percent * whole).select("u", "v")
+    return pairs.join(one, "u").join(two, "v").filter(100 * both >= percent * whole).select("u", "v").distinct()
 
 
 def near_duplicates(
@@ -157,7 +170,7 @@ def near_duplicates(
     included, and ``kept`` says that it is the row's own.
 
     Null, empty and blank texts have an empty set and are linked with nothing. Rows that share an id
-    are one document: they share its component. Rows without an id are linked with nothing; their
+    are one document, which has the links of all their texts: they share its component. Rows without an id are linked with nothing; their
     component is null and they are kept. Other columns are ignored, and an empty table gives an
     empty result. ``percent`` must be 80 or more: the bands are laid out for that.
     """
@@ -167,32 +180,35 @@ def near_duplicates(
     kinds = "doc_id long, n_shingles long, d1 long, d2 long, minima binary, bands array<long>"
     sketched = stored(source.mapInArrow(_sketches(width, id_col, text_col), kinds))
     linked = sketched.filter("doc_id is not null and n_shingles > 0")
-    members = linked.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("id"))
     classes = stored(
         linked.groupBy("d1", "d2", "n_shingles")
         .agg(F.min("doc_id").alias("id"), F.any_value("minima").alias("minima"), F.any_value("bands").alias("bands"))
     )
-    entries = classes.select("id", F.posexplode("bands").alias("band", "key"))
-    centres = entries.groupBy("band", "key").agg(F.min("id").alias("u"), F.count("*").alias("held")).filter("held > 1")
-    shared = stored(entries.join(centres, ["band", "key"]))
-    stars = shared.filter("id <> u").select("u", F.col("id").alias("v")).distinct()
     marks = classes.select("id", "minima")
-    likely = stored(_alike(stars, marks))
-    sets = _sets_of(source, likely, width, id_col, text_col)
-    links = stored(confirmed(likely, sets, percent))
-    first = connected_components(links)
-
-    named = shared.join(first.withColumnRenamed("node", "id"), "id", "left").withColumn(
-        "component", F.coalesce("component", "id")
-    )
-    mixed = named.groupBy("band", "key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b")
-    rest = named.join(mixed.select("band", "key"), ["band", "key"]).select("band", "key", "held", "id", "component")
-    more = stored(_between_components(rest, marks).join(likely, ["u", "v"], "left_anti"))
-    found = confirmed(more, _sets_of(source, more, width, id_col, text_col), percent)
+    entries = classes.select("id", F.posexplode("bands").alias("band", "key"))
+    # The centre is drawn anew for each band, so a document meets several.
+    # Stored, like the classes, so that joins may split what very many rows share.
+    drawn = F.min(F.struct(F.xxhash64("id", "band").alias("draw"), F.col("id").alias("u")))
+    centres = stored(entries.groupBy("band", "key").agg(drawn.alias("drawn"), F.count("*").alias("held")).filter("held > 1"))
+    shared = stored(entries.join(centres, ["band", "key"]).select("band", "key", "held", "id", F.col("drawn.u").alias("u")))
+    sets = _sets_of(source, shared.select("id").distinct(), width, id_col, text_col)
+    links = first = None
+    for low, high in ROUNDS:
+        stars = shared.filter((F.col("band") >= low) & (F.col("band") < high) & (F.col("id") != F.col("u")))
+        stars = stars.select(F.least("id", "u").alias("u"), F.greatest("id", "u").alias("v")).distinct()
+        found = stored(confirmed(_alike(_apart(stars, first), marks), sets, percent))
+        links = found if links is None else links.union(found)
+        first = connected_components(links)
+
+    rest = stored(_mixed(shared.select("band", "key", "id"), first))
+    able = _linkable(sets.join(rest.select("id").distinct(), "id"), percent)
+    rest = _mixed(rest.select("band", "key", "id").join(able.select("id"), "id"), first)
+    more = stored(_between_components(rest, marks.join(able, "id"), percent))
+    found = confirmed(more, sets, percent)
     nodes = connected_components(links.union(found)).withColumnRenamed("node", "id")
 
     joined = (
-        sketched.join(members, ["d1", "d2", "n_shingles"], "left")
+        sketched.join(classes.select("d1", "d2", "n_shingles", "id"), ["d1", "d2", "n_shingles"], "left")
         .join(nodes, "id", "left")
         .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.coalesce("component", "id")))
         .withColumn("component_id", F.coalesce("component_id", "doc_id"))
@@ -202,6 +218,16 @@ def near_duplicates(
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
+def _apart(pairs: DataFrame, components: DataFrame | None) -> DataFrame:
+    """Pairs that are not in one component yet."""
+    if components is None:
+        return pairs
+    one = components.select(F.col("node").alias("u"), F.col("component").alias("cu"))
+    two = components.select(F.col("node").alias("v"), F.col("component").alias("cv"))
+    named = pairs.join(one, "u", "left").join(two, "v", "left")
+    return named.filter(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v")
+
+
 def _alike(pairs: DataFrame, marks: DataFrame) -> DataFrame:
     """Pairs whose signatures agree in AGREE minima or more."""
 
@@ -218,15 +244,35 @@ def _alike(pairs: DataFrame, marks: DataFrame) -> DataFrame:
     return pairs.join(one, "u").join(two, "v").select("u", "v", "x", "y").mapInArrow(run, "u long, v long")
 
 
-def _sets_of(source: DataFrame, pairs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """Full sets of the documents that occur in ``pairs``."""
-    wanted = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", id_col)
+def _mixed(entries: DataFrame, components: DataFrame) -> DataFrame:
+    """band, key, held, id, component in the buckets that hold more than one component."""
+    named = entries.join(components.withColumnRenamed("node", "id"), "id", "left")
+    named = named.withColumn("component", F.coalesce("component", "id"))
+    buckets = named.groupBy("band", "key").agg(
+        F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("held")
+    )
+    return named.join(buckets.filter("a <> b").select("band", "key", "held"), ["band", "key"])
+
+
+def _linkable(sets: DataFrame, percent: int) -> DataFrame:
+    """id, n, common: set size, and shingles that another document of ``sets`` has, where that allows a link."""
+    alone = sets.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle")
+    alone = alone.agg(F.min("id").alias("id"), F.count("*").alias("holders")).filter("holders = 1")
+    own = alone.groupBy("id").agg(F.count("*").alias("own"))
+    sizes = sets.select("id", F.size("shingles").alias("n")).join(own, "id", "left")
+    able = sizes.select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).cast("int").alias("common"))
+    return stored(able.filter(100 * F.col("common") >= percent * F.col("n")))
+
+
+def _sets_of(source: DataFrame, ids: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """Full sets of the documents in ``ids``."""
+    wanted = ids.withColumnRenamed("id", id_col)
     some = source.join(wanted, id_col, "left_semi").select(id_col, text_col)
     sets = some.mapInArrow(_full_sets(width, id_col, text_col), "id long, shingles array<long>")
-    return stored(sets.dropDuplicates(["id"]))
+    return stored(sets)
 
 
-def _between_components(rest: DataFrame, marks: DataFrame) -> DataFrame:
+def _between_components(rest: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     """Agreeing pairs of one bucket and different components, from blocks and pairs of blocks."""
     parts = F.ceil(F.col("held") / BLOCK).cast("int")
     blocks = (
@@ -234,7 +280,7 @@ def _between_components(rest: DataFrame, marks: DataFrame) -> DataFrame:
         .withColumn("parts", parts)
         .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
         .groupBy("band", "key", "parts", "part")
-        .agg(F.collect_list(F.struct("id", "component", "minima")).alias("one"))
+        .agg(F.collect_list(F.struct("id", "component", "minima", "n", "common")).alias("one"))
     )
     alone = blocks.select("one", F.lit(None).cast(blocks.schema["one"].dataType).alias("two"))
     # Each block meets every later block of its bucket.
@@ -243,4 +289,4 @@ def _between_components(rest: DataFrame, marks: DataFrame) -> DataFrame:
     )
     later = blocks.select("band", "key", "part", F.col("one").alias("two"))
     met = ahead.join(later, ["band", "key", "part"]).select("one", "two")
-    return alone.union(met).mapInArrow(_agreeing, "u long, v long").distinct()
+    return alone.union(met).mapInArrow(_agreeing(percent), "u long, v long").distinct()
