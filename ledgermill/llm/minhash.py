@@ -125,7 +125,10 @@ def _full_sets(width: int, id_col: str, text_col: str):
 
 
 def _agreeing(percent: int):
-    """Rows with a pair of blocks (or a block and null, for itself): agreeing pairs of different components."""
+    """Rows with a pair of blocks (or a block and null, for itself): agreeing pairs of different components.
+
+    A pair is named in the first band whose bucket it shares, and nowhere else.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,13 +139,15 @@ def _agreeing(percent: int):
                 y = np.frombuffer(b"".join(r["minima"] for r in two), np.uint8).reshape(len(two), MINIMA)
                 cx, ix, nx, sx = (np.array([r[c] for r in one]) for c in ("component", "id", "n", "common"))
                 cy, iy, ny, sy = (np.array([r[c] for r in two]) for c in ("component", "id", "n", "common"))
+                kx, ky = (np.array([r["bands"] for r in rows]) for rows in (one, two))
                 for i in range(len(one)):
                     most = np.minimum(sx[i], sy)
                     apart = (cy != cx[i]) & (100 * most >= percent * (nx[i] + ny - most))
                     if row["two"] is None:
                         apart &= iy > ix[i]
                     some = np.flatnonzero(apart)
-                    for j in some[(y[some] == x[i]).sum(axis=1) >= AGREE]:
+                    some = some[(y[some] == x[i]).sum(axis=1) >= AGREE]
+                    for j in some[(ky[some] == kx[i]).argmax(axis=1) == row["band"]]:
                         left.append(min(ix[i], iy[j]))
                         right.append(max(ix[i], iy[j]))
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["u", "v"])
@@ -203,7 +208,7 @@ def near_duplicates(
     rest = stored(_mixed(shared.select("band", "key", "id"), first))
     able = _linkable(sets.join(rest.select("id").distinct(), "id"), percent)
     rest = _mixed(rest.select("band", "key", "id").join(able.select("id"), "id"), first)
-    more = stored(_between_components(rest, marks.join(able, "id"), percent))
+    more = stored(_between_components(rest, classes.select("id", "minima", "bands").join(able, "id"), percent))
     found = confirmed(more, sets, percent)
     nodes = connected_components(links.union(found)).withColumnRenamed("node", "id")
 
@@ -280,13 +285,13 @@ def _between_components(rest: DataFrame, marks: DataFrame, percent: int) -> Data
         .withColumn("parts", parts)
         .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
         .groupBy("band", "key", "parts", "part")
-        .agg(F.collect_list(F.struct("id", "component", "minima", "n", "common")).alias("one"))
+        .agg(F.collect_list(F.struct("id", "component", "minima", "bands", "n", "common")).alias("one"))
     )
-    alone = blocks.select("one", F.lit(None).cast(blocks.schema["one"].dataType).alias("two"))
+    alone = blocks.select("band", "one", F.lit(None).cast(blocks.schema["one"].dataType).alias("two"))
     # Each block meets every later block of its bucket.
     ahead = blocks.filter("parts > 1 and part < parts - 1").select(
         "band", "key", "one", F.explode(F.sequence(F.col("part") + 1, F.col("parts") - 1)).alias("part")
     )
     later = blocks.select("band", "key", "part", F.col("one").alias("two"))
-    met = ahead.join(later, ["band", "key", "part"]).select("one", "two")
-    return alone.union(met).mapInArrow(_agreeing(percent), "u long, v long").distinct()
+    met = ahead.join(later, ["band", "key", "part"]).select("band", "one", "two")
+    return alone.union(met).mapInArrow(_agreeing(percent), "u long, v long")
