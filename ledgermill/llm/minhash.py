@@ -35,6 +35,9 @@ MINIMA = BANDS * ROWS
 ROUNDS = ((0, 2), (2, 8), (8, 20), (20, 32))
 #: Minima of 8 bits each that must agree before full sets are compared.
 AGREE = 84
+#: Times at most that documents which cannot have links are taken out; each time others are left with more
+#: shingles of their own. Stopping early costs comparisons, never a link.
+BOUNDS = 8
 #: Classes of a block, in which a bucket with several components is compared.
 BLOCK = 256
 
@@ -206,8 +209,12 @@ def near_duplicates(
         first = connected_components(links)
 
     rest = stored(_mixed(shared.select("band", "key", "id"), first))
-    able = _linkable(sets.join(rest.select("id").distinct(), "id"), percent)
-    rest = _mixed(rest.select("band", "key", "id").join(able.select("id"), "id"), first)
+    before = None
+    for _ in range(BOUNDS):
+        able = _linkable(sets.join(rest.select("id").distinct(), "id"), percent)
+        if before == (before := able.count()):
+            break
+        rest = stored(_mixed(rest.select("band", "key", "id").join(able.select("id"), "id"), first))
     more = stored(_between_components(rest, classes.select("id", "minima", "bands").join(able, "id"), percent))
     found = confirmed(more, sets, percent)
     nodes = connected_components(links.union(found)).withColumnRenamed("node", "id")
