@@ -2,12 +2,15 @@
 
 1. Every text becomes the places of the words that occur in the benchmark; no other word can
    add to a product with a benchmark passage. Words in more than a hundredth of all passages
-   weigh nothing, the others by inverse passage frequency over all documents.
+   weigh nothing, the others by inverse passage frequency over all documents. Words in a copied run
+   of an item are not counted, so an item cannot make its own words common by leaking often.
 2. Randomised SVD of the TF-IDF matrix of all passages (blocks of 32 words of every document, and the
    benchmark's own): random vectors are multiplied by the matrix and its transpose in two passes over
    the documents, each task adding up its share; the Rayleigh-Ritz step is small.
 3. Windows of 16, 32 and 64 words, starting at every eighth word that leads anything, are projected and
-   compared with the benchmark passages of that length by cosine.
+   compared with the benchmark passages of that length by cosine. Besides, whatever its words weigh,
+   a stretch that holds some runs of three of an item's words is a candidate (runs of all its words, if
+   it has fewer).
 4. A candidate counts if the item's words are found in order around the window: nearly all, or
    half of the item and most of its answer, its last sentence.
 
@@ -40,6 +43,10 @@ WHOLE, HALF, ANSWER = 0.75, 0.5, 0.75
 BINS = ((1, 3), (3, 5), (5, 7), (7, 10), (10, 14), (14, 1 << 30))
 #: Share of a passage's weighing words that a window must hold; less than HALF, as windows cut items.
 HELD = 0.4
+#: Words of a run, and the share of a passage's runs that a stretch must hold.
+RUN, RUNS = 3, 1 / 12
+#: Words in a row that are taken for copied from an item.
+COPY = 5
 #: Items and distinct words of a slice of the benchmark.
 SLICE_ITEMS, MAX_TERMS = 2_000, 1 << 17
 #: Places that a task works on at once; rows of a partial sum that travel together.
@@ -120,14 +127,77 @@ def _steps(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
         start = stop
 
 
-def _frequencies(size: int):
-    """(term, passages that hold it); term -1 counts the passages."""
+@dataclass(frozen=True)
+class Runs:
+    """Word runs of the passages, as sorted numbers; run i is in ``passage[start[i] : start[i + 1]]``."""
+
+    base: int
+    lengths: tuple[int, ...]
+    number: np.ndarray
+    start: np.ndarray
+    passage: np.ndarray
+    words: np.ndarray  # of each passage
+    needed: np.ndarray  # runs of each passage
+
+
+def _numbers(term: np.ndarray, base: int, length: int) -> np.ndarray:
+    """A number for each run of ``length`` terms; runs of other lengths have other numbers."""
+    n = max(0, len(term) - length + 1)
+    out = np.zeros(n, np.int64)
+    for i in range(length):
+        out = out * base + term[i : i + n] + 1
+    return out
+
+
+def word_runs(passages: list[list[int]], size: int) -> Runs:
+    base = size + 1  # at most MAX_TERMS, so three of them fit
+    own = [np.unique(_numbers(np.array(x, np.int64), base, min(RUN, len(x)))) if x else np.empty(0, np.int64) for x in passages]
+    number = np.concatenate([*own, np.empty(0, np.int64)])
+    passage = np.repeat(np.arange(len(own)), [len(x) for x in own])
+    order = np.argsort(number, kind="stable")
+    names, start = np.unique(number[order], return_index=True)
+    words = np.array([len(x) for x in passages])
+    needed = np.maximum(1, (RUNS * (words - RUN + 1)).astype(int))
+    lengths = tuple(sorted({min(RUN, len(x)) for x in passages if x}))
+    return Runs(base, lengths, names, np.append(start, len(number)), passage[order], words, needed)
+
+
+def _run_places(runs: Runs, row: np.ndarray, term: np.ndarray, lengths: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """(index of its first word, place in ``runs.number``) of each run that a passage holds; other words are passed over."""
+    at, found = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for length in lengths:
+        number = _numbers(term, runs.base, length)
+        if len(number) and len(runs.number):
+            i = np.minimum(np.searchsorted(runs.number, number), len(runs.number) - 1)
+            own = np.flatnonzero((runs.number[i] == number) & (row[: len(number)] == row[length - 1 :]))
+            at.append(own)
+            found.append(i[own])
+    return np.concatenate(at), np.concatenate(found)
+
+
+def _copied(runs: Runs, row: np.ndarray, term: np.ndarray) -> np.ndarray:
+    """Whether a word stands among COPY in a row whose runs all occur in the benchmark."""
+    more = COPY - RUN
+    hit = np.zeros(len(term) + more, bool)
+    hit[_run_places(runs, row, term, (RUN,))[0]] = True
+    first = np.logical_and.reduce([hit[i : i + len(term)] for i in range(more + 1)])
+    out = np.zeros(len(term) + COPY, bool)
+    for i in range(COPY):
+        out[i : i + len(term)] |= first
+    return out[: len(term)]
+
+
+def _frequencies(shared, size: int):
+    """(term, passages that hold it other than as a copy of an item); term -1 counts the passages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs: Runs = shared.value
         counts, passages = np.zeros(size, np.int64), 0
         for batch in batches:
             passages += sum(-(-n // PASSAGE) for n in batch.column("n_words").to_pylist())
             for row, place, term in _steps(batch):
+                fresh = ~_copied(runs, row, term)
+                row, place, term = row[fresh], place[fresh], term[fresh]
                 where = _runs(row, place // PASSAGE)
                 counts += np.bincount(np.unique(where * size + term) % size, minlength=size)
         held = np.flatnonzero(counts)
@@ -245,34 +315,73 @@ class Index:
     items: list[Item]
     weight: np.ndarray
     latent: np.ndarray  # weighted rows of the singular vectors
-    by_scale: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]  # blocks, unit vectors, item, words needed
+    by_scale: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]  # blocks, unit vectors, passage, words needed
     sets: list[frozenset[int]]
+    owner: list[int]  # item of each passage
+    unit: np.ndarray  # vectors of the passages; 0 for one whose words weigh nothing
+    runs: Runs
 
 
-def _index(items: list[Item], weight: np.ndarray, latent: np.ndarray) -> Index:
-    rows = latent * weight[:, None]
-    held: dict[int, list] = {s: [] for s in SCALES}
+def passages_of(items: list[Item]) -> tuple[list[list[int]], list[int]]:
+    """The passages of all items, and each one's item."""
+    passages, owner = [], []
     for n, item in enumerate(items):
         parts = max(1, -(-len(item.words) // PART))
         size = -(-len(item.words) // parts)
         for i in range(parts):
-            part = item.words[i * size : (i + 1) * size]
-            vector = rows[part].sum(axis=0) if part else np.zeros(rows.shape[1])
-            length = np.linalg.norm(vector)
-            if length > 0:
-                scale = next((s for s in SCALES if s * BLOCK >= len(part)), SCALES[-1])
-                heavy = sum(weight[t] > 0 for t in part)
-                held[scale].append((vector / length, n, max(1, int(HELD * heavy))))
+            passages.append(item.words[i * size : (i + 1) * size])
+            owner.append(n)
+    return passages, owner
+
+
+def _index(items: list[Item], passages: list[list[int]], owner: list[int], runs: Runs, weight: np.ndarray, latent: np.ndarray) -> Index:
+    rows = latent * weight[:, None]
+    held: dict[int, list] = {s: [] for s in SCALES}
+    unit = np.zeros((len(passages), rows.shape[1]), np.float32)
+    for n, part in enumerate(passages):
+        vector = rows[part].sum(axis=0) if part else np.zeros(rows.shape[1])
+        length = np.linalg.norm(vector)
+        if length > 0:
+            unit[n] = vector / length
+            scale = next((s for s in SCALES if s * BLOCK >= len(part)), SCALES[-1])
+            heavy = sum(weight[t] > 0 for t in part)
+            held[scale].append((unit[n], n, max(1, int(HELD * heavy))))
     by_scale = []
     for s, h in held.items():
         h.sort(key=lambda x: x[2])
         if h:
             by_scale.append((s, np.array([x[0] for x in h], np.float32), np.array([x[1] for x in h]), np.array([x[2] for x in h])))
-    return Index(items, weight, rows, by_scale, [frozenset(x.words) for x in items])
+    return Index(items, weight, rows, by_scale, [frozenset(x.words) for x in items], owner, unit, runs)
+
+
+def _by_runs(index: Index, row: np.ndarray, place: np.ndarray, term: np.ndarray) -> dict[tuple[int, int], list[tuple[float | None, int, int]]]:
+    """(row, passage) -> (None, first word, word after) of the stretches that hold enough of its runs."""
+    runs = index.runs
+    at, run = _run_places(runs, row, term, runs.lengths)
+    if not len(at):
+        return {}
+    count = runs.start[run + 1] - runs.start[run]
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    passage = runs.passage[np.repeat(runs.start[run], count) + nth]
+    at = np.repeat(at, count)
+    span = int(place.max() + runs.words.max()) + 1
+    key = np.sort(((row[at] - row[0]) * len(runs.words) + passage) * span + place[at])
+    passage = key // span % len(runs.words)
+    inside = np.searchsorted(key, key + runs.words[passage]) - np.arange(len(key))
+    key = key[inside >= runs.needed[passage]]
+    # One stretch for each block that such stretches start in.
+    _, first = np.unique(key // span * span + key % span // BLOCK, return_index=True)
+    out: dict[tuple[int, int], list[tuple[float | None, int, int]]] = {}
+    for k in key[first].tolist():
+        pair, start = divmod(k, span)
+        r, n = divmod(pair, len(runs.words))
+        words = int(runs.words[n])
+        out.setdefault((r + int(row[0]), n), []).append((None, max(0, start - words // 4), start + words))
+    return out
 
 
 def _candidates(index: Index, row: np.ndarray, place: np.ndarray, term: np.ndarray) -> dict[tuple[int, int], list[tuple[float, int, int]]]:
-    """(row, item) -> (cosine, first word, word after) of the windows that are alike."""
+    """(row, passage) -> (cosine, first word, word after) of the windows that are alike."""
     out: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
     if not len(row):
         return out
@@ -281,11 +390,11 @@ def _candidates(index: Index, row: np.ndarray, place: np.ndarray, term: np.ndarr
     span = int(block.max()) + max(SCALES) + 1
     block = (row - row[0]) * span + block
     first = np.flatnonzero(np.diff(block, prepend=-1))
-    for scale, vectors, item, needed in index.by_scale:
+    for scale, vectors, passage, needed in index.by_scale:
         end = np.searchsorted(block, block[first] + scale)
         count = end - first
         for low, high in BINS:
-            # Items that need no more words than these windows have; ``needed`` ascends.
+            # Passages that need no more words than these windows have; ``needed`` ascends.
             few = int(np.searchsorted(needed, high))
             some = np.flatnonzero((count >= low) & (count < high)) if few else ()
             step = max(1, 2_000_000 // max(1, few))
@@ -297,7 +406,7 @@ def _candidates(index: Index, row: np.ndarray, place: np.ndarray, term: np.ndarr
                 for w, v in np.argwhere(cosine >= COSINE):
                     if b[w] - a[w] >= needed[v]:
                         at = int(place[a[w]] // BLOCK) * BLOCK
-                        key = (int(row[a[w]]), int(item[v]))
+                        key = (int(row[a[w]]), int(passage[v]))
                         out.setdefault(key, []).append((float(cosine[w, v]), at, at + scale * BLOCK))
     return out
 
@@ -309,7 +418,11 @@ def _leaks(shared):
             found = []
             for row, place, term in _steps(batch):
                 keep = index.weight[term] > 0
-                for (r, n), windows in _candidates(index, row[keep], place[keep], term[keep]).items():
+                alike = _candidates(index, row[keep], place[keep], term[keep])
+                for pair, windows in _by_runs(index, row, place, term).items():
+                    alike[pair] = windows + alike.get(pair, [])
+                for (r, passage), windows in alike.items():
+                    n = index.owner[passage]
                     item, wanted = index.items[n], index.sets[n]
                     a, b = np.searchsorted(row, r), np.searchsorted(row, r, "right")
                     best = (0.0, 0.0, 0.0, 0, 0)
@@ -322,6 +435,7 @@ def _leaks(shared):
                         whole = common_subsequence(item.words, words) / max(1, len(item.words))
                         answer = common_subsequence(item.answer, words) / max(1, len(item.answer))
                         if whole >= WHOLE or (whole >= HALF and answer >= ANSWER):
+                            cosine = _cosine(index, words, passage) if cosine is None else cosine
                             best = max(best, (whole, answer, cosine, start, stop))
                     if best[0]:
                         found.append((r, n, *best))
@@ -341,7 +455,12 @@ def _leaks(shared):
     return run
 
 
-def _stretches(windows: list[tuple[float, int, int]], length: int) -> Iterator[tuple[float, int, int]]:
+def _cosine(index: Index, words: list[int], passage: int) -> float:
+    vector = index.latent[words].sum(axis=0)
+    return float(vector @ index.unit[passage] / max(np.linalg.norm(vector), 1e-6))
+
+
+def _stretches(windows: list[tuple[float | None, int, int]], length: int) -> Iterator[tuple[float | None, int, int]]:
     """Each window with as much around it as the item may reach out of it."""
     for cosine, start, stop in windows:
         reach = max(BLOCK, length - (stop - start) + BLOCK)
@@ -376,8 +495,7 @@ def find_leaks(
     ``lcs`` and ``answer_lcs`` (shares of the item's and its answer's words found in order),
     ``cosine``, ``first_word`` and ``end_word`` of the stretch.
 
-    Words are compared lower-cased, by their letters and digits; items without any word that weighs match
-    nothing. Null, empty and wordless texts and items
+    Words are compared lower-cased, by their letters and digits. Null, empty and wordless texts and items
     match nothing. Rows that share an id are documents of their own (``text_hash`` tells them apart);
     repeated rows give their result once, as do items that share an id. Null ids are kept as they are.
     Other columns are ignored; an empty table on either side gives an empty result.
@@ -412,7 +530,10 @@ def _slice_leaks(spark, keyed: DataFrame, rows: list, kind: str, item_kind: str)
     shared = spark.sparkContext.broadcast(numbers)  # words of about SLICE_ITEMS items
     places = keyed.mapInArrow(_places(shared), f"doc {kind}, text_hash long, gaps array<int>, terms array<int>, n_words long")
     places = stored(places)
-    counted = places.select("gaps", "terms", "n_words").mapInArrow(_frequencies(size), "term int, n long")
+    passages, owner = passages_of(items)
+    runs = word_runs(passages, size)
+    known = spark.sparkContext.broadcast(runs)  # at most a run for each word of the slice
+    counted = places.select("gaps", "terms", "n_words").mapInArrow(_frequencies(known, size), "term int, n long")
     counts = {r["term"]: r["n"] for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect()}  # ``size`` rows
     total = counts.get(-1, 0) + sum(-(-len(x.words) // PASSAGE) for x in items)
     held = np.array([counts.get(t, 0) for t in range(size)], float)
@@ -421,7 +542,7 @@ def _slice_leaks(spark, keyed: DataFrame, rows: list, kind: str, item_kind: str)
             held[list(set(item.words[j : j + PASSAGE]))] += 1
     # In a few passages nothing is common: a word counts as such from a handful of passages on.
     weight = np.where(held > max(COMMON * total, 20), 0.0, np.log((total + 1) / np.maximum(held, 1)))
-    index = _index(items, weight, latent_terms(places, items, weight))
+    index = _index(items, passages, owner, runs, weight, latent_terms(places, items, weight))
     lookup = spark.sparkContext.broadcast(index)  # bounded like the words
     names = spark.createDataFrame([(n, x.name) for n, x in enumerate(items)], f"item long, name {item_kind}")
     found = places.select("doc", "text_hash", "gaps", "terms").mapInArrow(_leaks(lookup), found_kind)

@@ -62,3 +62,23 @@ def test_paraphrases_and_odd_rows(spark, texts_frame):
     assert len(rows) == len(expected)
     assert find_leaks(texts_frame([]), bench).count() == 0
     assert find_leaks(texts_frame(docs), bench.limit(0)).count() == 0
+
+
+def test_item_in_a_third_of_all_rows(spark, texts_frame):
+    """However often an item leaks, its words keep their weight; words that weigh nothing lead to it by their runs."""
+    random = np.random.default_rng(8)
+    words = [f"word{i}" for i in range(4000)]
+    draw = lambda n: random.choice(words, n).tolist()
+    items = [draw(25), "to be or not to be that is the question".split(), draw(30)]
+    common = sorted(set(items[1]))
+    filler = lambda n: [w for x in draw(n) for w in (x, str(random.choice(common)))]
+    rows = []
+    for i in range(300):
+        own = items[0] if i % 3 == 0 else items[1] if i % 50 == 1 else items[2] if i == 2 else []
+        rows.append((i, " ".join(filler(40 + i % 31) + own + filler(50))))
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    expected = verbatim(rows, [(i, " ".join(x)) for i, x in enumerate(items)])
+    assert len(expected) == 100 + 4 + 1
+    got = {(r.doc, r.item) for r in find_leaks(texts_frame(rows), bench).collect()}
+    assert expected <= got
+    assert not {x for x in got - expected if x[1] != 1}
