@@ -7,7 +7,7 @@
 2. Randomised SVD of the TF-IDF matrix of all passages (blocks of 32 words of every document, and the
    benchmark's own): random vectors are multiplied by the matrix and its transpose in two passes over
    the documents, each task adding up its share; the Rayleigh-Ritz step is small.
-3. Windows of 16, 32 and 64 words, starting at every eighth word that leads anything, are projected and
+3. Windows of 16, 24, 32, 48 and 64 words, starting at every eighth word that leads anything, are projected and
    compared with the benchmark passages of that length by cosine. Besides, whatever its words weigh,
    a stretch that holds some runs of three of an item's words is a candidate (runs of all its words, if
    it has fewer).
@@ -34,10 +34,10 @@ from ledgermill.session import stored
 #: Rank of the latent space, and random vectors beyond it.
 RANK, MORE = 64, 8
 #: Words of a passage, of a block, and blocks of a window.
-PASSAGE, BLOCK, SCALES = 32, 8, (2, 4, 8)
+PASSAGE, BLOCK, SCALES = 32, 8, (2, 3, 4, 6, 8)
 #: Longest part of an item that is one passage.
 PART = 56
-COMMON, COSINE = 0.01, 0.5
+COMMON, COSINE = 0.01, 0.4
 WHOLE, HALF, ANSWER = 0.75, 0.5, 0.75
 #: Windows are compared in classes of the number of weighing words.
 BINS = ((1, 3), (3, 5), (5, 7), (7, 10), (10, 14), (14, 1 << 30))
@@ -376,7 +376,7 @@ def _by_runs(index: Index, row: np.ndarray, place: np.ndarray, term: np.ndarray)
         pair, start = divmod(k, span)
         r, n = divmod(pair, len(runs.words))
         words = int(runs.words[n])
-        out.setdefault((r + int(row[0]), n), []).append((None, max(0, start - words // 4), start + words))
+        out.setdefault((r + int(row[0]), n), []).append((None, max(0, start - words), start + words))
     return out
 
 

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from ledgermill.llm.decontaminate import common_subsequence, find_leaks, normal_words
+from ledgermill.llm.decontaminate import benchmark_items, common_subsequence, find_leaks, normal_words
 
 
 def lcs(a, b):
@@ -82,3 +82,27 @@ def test_item_in_a_third_of_all_rows(spark, texts_frame):
     got = {(r.doc, r.item) for r in find_leaks(texts_frame(rows), bench).collect()}
     assert expected <= got
     assert not {x for x in got - expected if x[1] != 1}
+
+
+def halves(words, answer):
+    """The first words and the last ones, half of all together and all of the answer."""
+    return words[: max(0, -(-len(words) // 2) - answer)] + words[len(words) - answer :]
+
+
+def test_verbatim_and_half_with_answer_lead_to_every_item(spark, texts_frame):
+    random = np.random.default_rng(4)
+    docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").limit(1500).collect()]
+    bench = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")
+    rows, expected = [], set()
+    for i, text in bench.select("item_id", "text").collect():
+        words = normal_words(text)
+        numbers = {w: n for n, w in enumerate(words)}
+        (item,) = benchmark_items([(i, text)], numbers)
+        for part in (words, halves(words, len(item.answer))):
+            host = docs[random.integers(len(docs))].split()
+            at = random.integers(len(host) + 1)
+            rows.append((len(rows), " ".join(host[:at] + part + host[at:])))
+            expected.add((len(rows) - 1, i))
+    rows += [(100_000 + i, text) for i, text in enumerate(docs)]
+    got = {(r.doc, r.item) for r in find_leaks(texts_frame(rows), bench).collect()}
+    assert expected <= got
