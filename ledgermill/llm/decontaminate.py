@@ -12,7 +12,8 @@
    a stretch that holds some runs of three of an item's words is a candidate (runs of all its words, if
    it has fewer).
 4. A candidate counts if the item's words are found in order around the window: nearly all, or
-   half of the item and most of its answer, its last sentence.
+   half of the item and most of its answer, its last sentence. A long item counts as found too if that
+   holds for one of its passages: runs of 56 words that overlap by half, or its question and answer.
 
 The benchmark is worked off in slices of bounded size, so what is broadcast is bounded too.
 """
@@ -35,8 +36,8 @@ from ledgermill.session import stored
 RANK, MORE = 64, 8
 #: Words of a passage, of a block, and blocks of a window.
 PASSAGE, BLOCK, SCALES = 32, 8, (2, 3, 4, 6, 8)
-#: Longest part of an item that is one passage.
-PART = 56
+#: Longest part of an item that is one passage, and least words of the question and answer of a longer one.
+PART, TAIL = 56, 12
 COMMON, COSINE = 0.01, 0.4
 WHOLE, HALF, ANSWER = 0.75, 0.5, 0.75
 #: Windows are compared in classes of the number of weighing words.
@@ -68,6 +69,7 @@ class Item:
     name: object
     words: list[int]
     answer: list[int]
+    tail: list[int]  # the answer and what stands before it
 
 
 class Terms(dict):
@@ -316,7 +318,9 @@ class Index:
     weight: np.ndarray
     latent: np.ndarray  # weighted rows of the singular vectors
     by_scale: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]  # blocks, unit vectors, passage, words needed
-    sets: list[frozenset[int]]
+    passages: list[list[int]]
+    sets: list[frozenset[int]]  # of the passages
+    wholes: list[frozenset[int]]  # of the items
     owner: list[int]  # item of each passage
     unit: np.ndarray  # vectors of the passages; 0 for one whose words weigh nothing
     runs: Runs
@@ -326,11 +330,13 @@ def passages_of(items: list[Item]) -> tuple[list[list[int]], list[int]]:
     """The passages of all items, and each one's item."""
     passages, owner = [], []
     for n, item in enumerate(items):
-        parts = max(1, -(-len(item.words) // PART))
-        size = -(-len(item.words) // parts)
-        for i in range(parts):
-            passages.append(item.words[i * size : (i + 1) * size])
-            owner.append(n)
+        last = max(0, len(item.words) - PART)
+        # A copied run of PART words holds three quarters of a passage wherever it starts.
+        own = [item.words[i : i + PART] for i in [*range(0, last, PART // 2), last]]
+        if last and TAIL <= len(item.tail) < PART:
+            own.append(item.tail)
+        passages += own
+        owner += [n] * len(own)
     return passages, owner
 
 
@@ -351,7 +357,7 @@ def _index(items: list[Item], passages: list[list[int]], owner: list[int], runs:
         h.sort(key=lambda x: x[2])
         if h:
             by_scale.append((s, np.array([x[0] for x in h], np.float32), np.array([x[1] for x in h]), np.array([x[2] for x in h])))
-    return Index(items, weight, rows, by_scale, [frozenset(x.words) for x in items], owner, unit, runs)
+    return Index(items, weight, rows, by_scale, passages, [frozenset(x) for x in passages], [frozenset(x.words) for x in items], owner, unit, runs)
 
 
 def _by_runs(index: Index, row: np.ndarray, place: np.ndarray, term: np.ndarray) -> dict[tuple[int, int], list[tuple[float | None, int, int]]]:
@@ -423,20 +429,24 @@ def _leaks(shared):
                     alike[pair] = windows + alike.get(pair, [])
                 for (r, passage), windows in alike.items():
                     n = index.owner[passage]
-                    item, wanted = index.items[n], index.sets[n]
+                    item, part = index.items[n], index.passages[passage]
+                    own = [(part, index.sets[passage])]
+                    if len(item.words) > PART:
+                        own.append((item.words, index.wholes[n]))
                     a, b = np.searchsorted(row, r), np.searchsorted(row, r, "right")
                     best = (0.0, 0.0, 0.0, 0, 0)
-                    # Windows that overlap are looked at as one stretch of at least the item's length.
-                    for cosine, start, stop in _stretches(windows, len(item.words)):
-                        i, j = a + np.searchsorted(place[a:b], (start, stop))
-                        words = term[i:j].tolist()
-                        if sum(t in wanted for t in words) < HALF * len(item.words):
-                            continue  # no common subsequence can be long enough
-                        whole = common_subsequence(item.words, words) / max(1, len(item.words))
-                        answer = common_subsequence(item.answer, words) / max(1, len(item.answer))
-                        if whole >= WHOLE or (whole >= HALF and answer >= ANSWER):
-                            cosine = _cosine(index, words, passage) if cosine is None else cosine
-                            best = max(best, (whole, answer, cosine, start, stop))
+                    # Windows that overlap are looked at as one stretch of at least the item's length, and of the passage's.
+                    for words_of, wanted in own:
+                        for cosine, start, stop in _stretches(windows, len(words_of)):
+                            i, j = a + np.searchsorted(place[a:b], (start, stop))
+                            words = term[i:j].tolist()
+                            if sum(t in wanted for t in words) < HALF * len(words_of):
+                                continue  # no common subsequence can be long enough
+                            whole = common_subsequence(words_of, words) / max(1, len(words_of))
+                            answer = common_subsequence(item.answer, words) / max(1, len(item.answer))
+                            if whole >= WHOLE or (whole >= HALF and answer >= ANSWER):
+                                cosine = _cosine(index, words, passage) if cosine is None else cosine
+                                best = max(best, (whole, answer, cosine, start, stop))
                     if best[0]:
                         found.append((r, n, *best))
             take = pa.array([f[0] for f in found], pa.int64())
@@ -471,10 +481,12 @@ def benchmark_items(rows: list, numbers: dict[str, int]) -> list[Item]:
     out = []
     for name, text in rows:
         sentences = [s for s in re.split(r"(?<=[.!?])\s+|\n", text or "") if normal_words(s)]
-        last = ""
+        last, before = "", ""
         while sentences and len(normal_words(last)) < 3:
             last = f"{sentences.pop()} {last}"
-        out.append(Item(name, [numbers[w] for w in normal_words(text)], [numbers[w] for w in normal_words(last)]))
+        while sentences and (not before or len(normal_words(f"{before} {last}")) < TAIL):
+            before = f"{sentences.pop()} {before}"
+        out.append(Item(name, *([numbers[w] for w in normal_words(x)] for x in (text, last, f"{before} {last}"))))
     return out
 
 
@@ -492,7 +504,8 @@ def find_leaks(
     item_text_col: str = "text",
 ) -> DataFrame:
     """A row for each document and benchmark item found in it: ``doc``, ``text_hash``, ``item``,
-    ``lcs`` and ``answer_lcs`` (shares of the item's and its answer's words found in order),
+    ``lcs`` and ``answer_lcs`` (shares of the item's and its answer's words found in order; of an item of more
+    than PART words, ``lcs`` is the largest such share of the item or one of its passages),
     ``cosine``, ``first_word`` and ``end_word`` of the stretch.
 
     Words are compared lower-cased, by their letters and digits. Null, empty and wordless texts and items

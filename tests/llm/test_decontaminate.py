@@ -106,3 +106,18 @@ def test_verbatim_and_half_with_answer_lead_to_every_item(spark, texts_frame):
     rows += [(100_000 + i, text) for i, text in enumerate(docs)]
     got = {(r.doc, r.item) for r in find_leaks(texts_frame(rows), bench).collect()}
     assert expected <= got
+
+
+def test_one_passage_of_a_long_item(spark, texts_frame):
+    random = np.random.default_rng(9)
+    words = [f"word{i}" for i in range(4000)]
+    draw = lambda n: random.choice(words, n).tolist()
+    item = draw(280)
+    question, answer = draw(12), draw(6)
+    text = " ".join(item) + ". " + " ".join(question) + "? " + " ".join(answer) + "."
+    parts = [item[at : at + 60] for at in (0, 13, 70, 101, 217)] + [question + answer, item + question + answer]
+    rows = [(i, " ".join(draw(45 + i) + part + draw(60))) for i, part in enumerate(parts)]
+    rows += [(100 + i, " ".join(draw(150) + item[50 * i : 50 * i + 12] + draw(20))) for i in range(5)]
+    bench = spark.createDataFrame([(1, text), (2, " ".join(draw(30)))], "item_id long, text string")
+    got = {(r.doc, r.item) for r in find_leaks(texts_frame(rows), bench).collect()}
+    assert got == {(i, 1) for i in range(len(parts))}
