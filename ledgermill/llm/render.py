@@ -34,8 +34,9 @@ TABLE = frozenset("table tr tbody thead tfoot td th caption".split())
 WALLS = frozenset("table td th caption button object template html body".split())
 CLOSES_P = BLOCK - frozenset("td th tr tbody thead tfoot caption option optgroup body html legend summary select".split())
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
-ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
-STOP = re.compile(r"""[>"']""")
+BEFORE = re.compile(r"[\s/]*")
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(\s*=\s*)?")
+UNQUOTED = re.compile(r"[^\s>]*")
 RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 GONE = re.compile(r"display\s*:\s*none", re.I)
 VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
@@ -82,29 +83,28 @@ class Open:
                 return
 
 
-def _tag_end(html: str, at: int, unclosed: set[str]) -> int:
-    """Place of the tag's ``>``; a quote that never closes is an ordinary character."""
+def _attributes(html: str, at: int, unclosed: set[str]) -> tuple[int, dict[str, str]]:
+    """Place of the tag's ``>`` and its attributes. A quote opens a value only where one begins, after ``=``;
+    there, too, one that never closes is an ordinary character."""
+    out: dict[str, str] = {}
     while True:
-        m = STOP.search(html, at)
+        at = BEFORE.match(html, at).end()
+        m = ATTRIBUTE.match(html, at)
         if not m:
-            return -1
-        quote = m.group()
-        if quote == ">":
-            return m.start()
-        at = m.end()
-        if quote not in unclosed:
-            close = html.find(quote, at)
-            if close < 0:
-                unclosed.add(quote)
+            return (at if at < len(html) else -1), out
+        at, value = m.end(), ""
+        if m.group(2):
+            quote, close = html[at : at + 1], -1
+            if quote in ('"', "'") and quote not in unclosed:
+                close = html.find(quote, at + 1)
+                if close < 0:
+                    unclosed.add(quote)
+            if close >= 0:
+                value, at = html[at + 1 : close], close + 1
             else:
-                at = close + 1
-
-
-def _attributes(text: str) -> dict[str, str]:
-    out: dict[str, str] = {}
-    for name, value in ATTRIBUTE.findall(text):
-        out.setdefault(name.lower(), unescape(value[1:-1] if value[:1] in ('"', "'") else value))
-    return out
+                value = UNQUOTED.match(html, at).group()
+                at += len(value)
+        out.setdefault(m.group(1).lower(), unescape(value) if "&" in value else value)
 
 
 def parse(html: str) -> tuple[Node, str, list[str]]:
@@ -140,7 +140,7 @@ def parse(html: str) -> tuple[Node, str, list[str]]:
             stack[-1].children.append("<")
             at += 1
             continue
-        end = _tag_end(html, name.end(), unclosed)
+        end, attrs = _attributes(html, name.end(), unclosed)
         if end < 0:
             break  # a tag that never ends shows nothing
         tag = name.group().lower()
@@ -148,8 +148,7 @@ def parse(html: str) -> tuple[Node, str, list[str]]:
         if follow == "/":
             _close(stack, tag)
             continue
-        inside = html[name.end() : end]
-        node = Node(tag, _attributes(inside) if "=" in inside or "hidden" in inside or "open" in inside else {})
+        node = Node(tag, attrs)
         _open(stack, tag)
         if tag == "html":
             continue

@@ -31,6 +31,9 @@ CASES = {
     "cells of lines": ("<table><tr><td>a<br>b<td><ul><li>x<li>y</ul></table>", "a  - x\nb  - y"),
     "nested table": ("<table><tr><td>l<td><table><tr><td>1<td>2</table></table>", "l  1  2"),
     "quotes in tags": ("<a title='>' href=\"x>y\">a</a><a title='b>c", "ac"),
+    "doubled quote": ("<a href=\"x\"\">one</a> two <b title=\"y\">three</b> \"four\" five", "one two three \"four\" five"),
+    "apostrophe in a value": ("<a title=Bob's>one</a> it's <b>two</b> <i title='z'>three</i>", "one it's two three"),
+    "quotes elsewhere": ("<a 'x>one</a \"> <b =\"y>two</b> it's <i a = '>'>\"three\"</i>", "one two it's \"three\""),
     "comments": ("a<!-- <p> -->b<!doctype x>c<?php ?>d<!-- open", "abcd"),
     "unknown and stray": ("<foo>a</bar></p>b</foo></div>", "a\n\nb"),
     "empty": ("", ""),
