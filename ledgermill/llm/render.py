@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Iterator
 from html import unescape
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -37,8 +38,21 @@ NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 BEFORE = re.compile(r"[\s/]*")
 ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(\s*=\s*)?")
 UNQUOTED = re.compile(r"[^\s>]*")
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-GONE = re.compile(r"display\s*:\s*none", re.I)
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+STRING = re.compile(r"""\"[^"\n]*\"|'[^'\n]*'""")
+BRACE = re.compile(r"[{};]")
+DISPLAY = re.compile(r"(?<![\w-])display\s*:\s*([a-z][a-z -]*[a-z])\s*(!\s*important)?\s*(?:;|\Z)", re.I)
+#: Values of ``display``; others are no declaration.
+VALUES = frozenset(
+    "none block inline inline-block flex inline-flex grid inline-grid flow-root flow contents list-item table inline-table table-row table-cell table-caption table-column table-column-group table-row-group table-header-group table-footer-group ruby ruby-text ruby-base run-in initial inherit unset revert revert-layer math".split()
+)
+#: The screen that media queries are asked about: pixels, and words that hold on it.
+SCREEN = {"width": 1280.0, "height": 800.0}
+FEATURES = frozenset(
+    "color hover:hover any-hover:hover pointer:fine any-pointer:fine hover any-hover pointer any-pointer orientation:landscape prefers-color-scheme:light prefers-reduced-motion:no-preference prefers-contrast:no-preference scripting:enabled update:fast update overflow-block:scroll display-mode:browser grid:0 width height".split()
+)
+LENGTH = re.compile(r"([\d.]+)\s*(px|r?em)?\Z")
+UNITS = {"em": 16, "rem": 16}
 VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
 SIMPLE = re.compile(r"[.#]?[\w-]+\Z")
 BLANKS = re.compile(r"[ \t\n\r\f]+")
@@ -161,7 +175,7 @@ def parse(html: str) -> tuple[Node, str, list[str]]:
             body = html[at:stop]
             if tag == "title":
                 title = title or BLANKS.sub(" ", unescape(body)).strip()
-            elif tag == "style":
+            elif tag == "style" and on_screen(attrs.get("media", "")):
                 styles.append(body)
             node.children.append(unescape(body) if tag == "textarea" else body)
             at = n if not m else (html.find(">", stop) + 1 or n)
@@ -200,32 +214,148 @@ def _close(stack: Open, tag: str) -> None:
             return
 
 
-def hidden_selectors(styles: list[str]) -> frozenset[str]:
-    """Tags, classes and ids that a simple rule takes off the page."""
-    out = set()
-    for sheet in styles:
-        for selectors, body in RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
-            if GONE.search(body):
-                out.update(s.strip().lower() for s in selectors.split(",") if SIMPLE.match(s.strip()))
-    return frozenset(out)
+def _pixels(text: str) -> float | None:
+    m = LENGTH.match(text.strip())
+    try:
+        return float(m.group(1)) * UNITS.get(m.group(2), 1) if m else None
+    except ValueError:
+        return None
 
 
-def _shown(node: Node, hidden: frozenset[str]) -> bool:
-    a = node.attrs
-    if node.tag in UNSEEN or node.tag in hidden or "hidden" in a:
-        return False
-    if node.tag == "dialog" and "open" not in a:
+def _feature(text: str) -> bool:
+    """Whether a media feature, without its brackets, holds on a normal screen; unknown ones do not."""
+    text = text.strip()
+    parts = re.split(r"(<=|>=|<|>|=)", text)
+    if len(parts) > 1:
+        values = [SCREEN.get(x.strip(), _pixels(x)) for x in parts[::2]]
+        if None in values:
+            return False
+        compare = {"<": float.__lt__, "<=": float.__le__, ">": float.__gt__, ">=": float.__ge__, "=": float.__eq__}
+        return all(compare[op](x, y) for x, op, y in zip(values, parts[1::2], values[1:]))
+    name, _, value = (x.strip() for x in text.partition(":"))
+    side, _, size = name.partition("-")
+    if side in ("min", "max") and size in SCREEN:
+        limit = _pixels(value)
+        return limit is not None and (SCREEN[size] >= limit if side == "min" else SCREEN[size] <= limit)
+    return (f"{name}:{value}" if value else name) in FEATURES
+
+
+def _condition(text: str) -> bool:
+    """A media condition: types and bracketed features joined by and, or, not."""
+    text = text.strip()
+    tokens, depth, start = [], 0, 0
+    for i, c in enumerate(text):
+        if c == "(":
+            if not depth:
+                tokens += text[start:i].split()
+                start = i
+            depth += 1
+        elif c == ")" and depth:
+            depth -= 1
+            if not depth:
+                tokens.append(text[start : i + 1])
+                start = i + 1
+    tokens += text[start:].split()
+    if tokens[:1] == ["not"]:
+        return not _condition(" ".join(tokens[1:]))
+    for word, joined in (("or", any), ("and", all)):
+        if word in tokens:
+            parts: list[list[str]] = [[]]
+            for t in tokens:
+                parts.append([]) if t == word else parts[-1].append(t)
+            return joined([_condition(" ".join(x)) for x in parts])
+    if tokens[:1] == ["only"]:
+        tokens = tokens[1:]
+    if len(tokens) != 1:
         return False
-    if not a:
-        return True
-    if "style" in a and GONE.search(a["style"]):
+    if tokens[0][0] != "(":
+        return tokens[0] in ("all", "screen")
+    inside = tokens[0][1:].removesuffix(")").strip()
+    return _condition(inside) if "(" in inside or inside.startswith("not ") else _feature(inside)
+
+
+def on_screen(media: str) -> bool:
+    """Whether a list of media queries applies to a normal screen."""
+    return not media.strip() or any(_condition(x) for x in media.lower().split(","))
+
+
+def _rules(sheet: str, layered: bool = False) -> Iterator[tuple[str, str, bool]]:
+    """(selectors, declarations, whether in a layer) of the rules that apply, in order."""
+    # (what applies, selectors or None for a block of rules, layer, declarations) of the open blocks
+    open_blocks: list[tuple[bool, str | None, bool, list[str]]] = [(True, None, layered, [])]
+    at = 0
+    for m in [*BRACE.finditer(sheet), None]:
+        text = BLANKS.sub(" ", sheet[at : m.start() if m else len(sheet)]).strip()
+        at = m.end() if m else len(sheet)
+        applies, selectors, layer, body = open_blocks[-1]
+        mark = m.group() if m else "}"
+        if mark == "{":
+            if selectors is not None:
+                open_blocks.append((False, "", layer, []))  # a rule within a rule
+            elif text.startswith("@"):
+                name, _, rest = text[1:].partition(" ") if " " in text else (text[1:].partition("(")[0], "", text[text.find("(") :])
+                name, bracket, more = name.partition("(")
+                rest, name = bracket + more + " " + rest if bracket else rest, name.lower()
+                fits = name == "layer" or (name == "media" and on_screen(rest)) or (name == "supports" and not rest.strip().lower().startswith("not"))
+                open_blocks.append((applies and fits, None, layer or name == "layer", []))
+            else:
+                open_blocks.append((applies, text, layer, []))
+            continue
+        if selectors is not None:
+            body.append(text)
+        if mark == "}" and len(open_blocks) > 1:
+            open_blocks.pop()
+            if applies and selectors:
+                yield selectors, ";".join(body), layer
+    for applies, selectors, layer, body in open_blocks:
+        if applies and selectors:  # the sheet ends within a rule
+            yield selectors, ";".join(body), layer
+
+
+def _display(declarations: str) -> tuple[bool, bool] | None:
+    """(important, shown) by the declaration of ``display`` that holds."""
+    found = [(bool(m.group(2)), m.group(1).lower() != "none") for m in DISPLAY.finditer(declarations) if set(m.group(1).lower().split()) <= VALUES]
+    return max(enumerate(found), key=lambda x: (x[1][0], x[0]))[1] if found else None
+
+
+def hidden_selectors(styles: list[str]) -> dict[str, tuple[tuple, bool]]:
+    """Tags, classes and ids whose display a simple rule sets: the rule's rank and whether it shows them."""
+    out: dict[str, tuple[tuple, bool]] = {}
+    order = 0
+    for sheet in styles:
+        for selectors, body, layer in _rules(STRING.sub('""', COMMENT.sub(" ", sheet))):
+            found = _display(body) if "isplay" in body or "ISPLAY" in body else None
+            if not found:
+                continue
+            order += 1
+            important, shown = found
+            for s in selectors.split(","):
+                name = s.strip().lower()
+                if SIMPLE.match(name):
+                    # Among important rules, those in layers come first; among others, last.
+                    rank = (important, layer == important, {"#": 2, ".": 1}.get(name[0], 0), order)
+                    out[name] = max(out.get(name, (rank, shown)), (rank, shown))
+    return out
+
+
+def _shown(node: Node, hidden: dict[str, tuple[tuple, bool]]) -> bool:
+    a = node.attrs
+    if node.tag in UNSEEN:
         return False
-    if hidden:
-        if "class" in a and any("." + c.lower() in hidden for c in a["class"].split()):
-            return False
-        if "id" in a and "#" + a["id"].lower() in hidden:
+    found = [hidden[node.tag]] if node.tag in hidden else []
+    if a:
+        if node.tag == "input" and a.get("type", "").lower() == "hidden":
             return False
-    return not (node.tag == "input" and a.get("type", "").lower() == "hidden")
+        if hidden:
+            found += [hidden[k] for c in a.get("class", "").split() if (k := "." + c.lower()) in hidden]
+            if "id" in a and (k := "#" + a["id"].lower()) in hidden:
+                found.append(hidden[k])
+        if "style" in a and (own := _display(COMMENT.sub(" ", a["style"]))):
+            # An inline value ranks above every rule of its importance.
+            found.append(((own[0], True, 3, 0), own[1]))
+    if found:
+        return max(found)[1]
+    return "hidden" not in a and (node.tag != "dialog" or "open" in a)
 
 
 class Layout:
@@ -302,7 +432,7 @@ def _width(text: str) -> int:
     return len(text) if text.isascii() else sum(0 if unicodedata.combining(c) else 1 + (unicodedata.east_asian_width(c) in "WF") for c in text)
 
 
-def lay_out(top: Node, hidden: frozenset[str], depth: int = 0) -> list[str]:
+def lay_out(top: Node, hidden: dict[str, tuple[tuple, bool]], depth: int = 0) -> list[str]:
     out = Layout()
     # (node or text or closing action, inherited state: visible, pre, list depth)
     stack: list[tuple] = [(child, True, False, 0) for child in reversed(top.children)]
@@ -372,7 +502,7 @@ def lay_out(top: Node, hidden: frozenset[str], depth: int = 0) -> list[str]:
     return out.result()
 
 
-def _rows(table: Node, hidden: frozenset[str]):
+def _rows(table: Node, hidden: dict[str, tuple[tuple, bool]]):
     """(captions, rows of cells, what else stands in the table) in the order of the page."""
     captions, rows, other = [], [], []
     stack = list(reversed(table.children))
@@ -400,7 +530,7 @@ def _span(cell: Node, name: str) -> int:
     return max(1, min(SPAN, int(value))) if re.fullmatch(r"\d{1,9}", value) else 1
 
 
-def _table(table: Node, hidden: frozenset[str], depth: int) -> list[str]:
+def _table(table: Node, hidden: dict[str, tuple[tuple, bool]], depth: int) -> list[str]:
     """The table's lines: what browsers put before it, captions, then rows with aligned columns."""
     captions, rows, other = _rows(table, hidden)
     before = Node("div", {})

@@ -18,6 +18,13 @@ CASES = {
     "head": ("<head><title>t</title><meta x><base></head>a<script>no</script><noscript>no</noscript>", "a"),
     "hidden": ("<p hidden>no</p><p style='display: none'>no<p style='visibility:hidden'>no <b style='visibility:visible'>yes</b></p>", "yes"),
     "sheet": ("<style>.x, #y{color:red;display:none} b{font:x}</style><p class='a X'>no<p id=y>no<p class=z>yes", "yes"),
+    "print rule": ("<style>@media print { .menu { display: none } } .x{display:none}</style><p class=menu>yes<p class=x>no", "yes"),
+    "print sheet": ("<style media=print>p{display:none}</style><p>yes", "yes"),
+    "narrow screen": ("<style>@media (max-width: 600px){.a{display:none}}@media screen and (min-width:40em){.b{display:none}}@media(width<=600px){.c{display:none}}</style><p class=a>a<p class=b>b<p class=c>c", "a\n\nc"),
+    "nested media": ("<style>@media screen{@media print{p{display:none}} b{display:none}}</style><p>yes <b>no</b>", "yes"),
+    "later rule": ("<style>.x{display:none}.y{display:none}</style><style>.x{display:block}</style><p class=x>yes<p class=y>no", "yes"),
+    "stronger rule": ("<style>#i{display:none}.x{display:block}.z{display:none!important}p{display:none}</style><p class=x>yes<p class=x id=i>no<p class=z style='display:block'>no<p>no", "yes"),
+    "inline override": ("<style>.x{display:none}</style><p class=x style='display:block'>yes<p class=x style='color:red'>no<p hidden style='display:flex'>yes", "yes\n\nyes"),
     "details": ("<details><summary>s</summary>no</details><details open><summary>t</summary>yes</details><dialog>no</dialog>", "s\nt\nyes"),
     "preformatted": ("<pre>\n a\n   b\tc\n</pre>x", " a\n   b    c\n\nx"),
     "table": (
