@@ -7,13 +7,16 @@
    It has the same letters-and-digits pattern; names keep script, gender and letter case; valid check
    digits stay valid, private addresses private.
 3. The distinct finds are checked as a table: a surrogate that two finds share, or that is itself found
-   somewhere, is drawn anew for all but one of them, until none is left.
+   somewhere, is drawn anew for all but one of them. What is open after some rounds (but names, which grow) is
+   ranked within its form and takes the free values of the form in the order of a keyed permutation; what a
+   full form has no value for takes one of a wider form (``_slots``), until none is left.
 4. Texts are rewritten in place. Only finds that were drawn anew have to be joined to their documents.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -21,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.operators.numbering import running_total
 from ledgermill.session import stored
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -53,8 +57,10 @@ SYLLABLES = {
     "cyrillic": ("б в г д ж з к л м н п р с т ф х".split(), "а е и о у".split(), {"m": "н р в к т".split(), "f": ["а"], "x": "е и о".split()}),
     "greek": ("β γ δ ζ θ κ λ μ ν π ρ σ τ φ χ".split(), "α ε ι ο υ".split(), {"m": ["ς"], "f": ["α"], "x": "ε ι ο".split()}),
 }
+KEYS = ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xoxb-", "xoxa-", "xoxp-", "xoxr-", "xoxs-")
 DIGIT, LETTER, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "0123456789abcdef"
-MAX_ROUNDS = 40
+#: Rounds of random draws; consecutive values of a form that are made at once, and least of them that are looked at.
+ROUNDS, CHUNK, LEAST = 3, 4096, 65_536
 
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
@@ -149,12 +155,11 @@ def surrogate(key: bytes, kind: str, canon: str, attempt: int) -> str:
     if kind == "hex":
         return "".join(draw.of(HEX) for _ in canon)
     if kind == "key":
-        n = next(len(p) for p in ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xoxb-", "xoxa-", "xoxp-", "xoxr-", "xoxs-") if canon.startswith(p))
+        n = next(len(p) for p in KEYS if canon.startswith(p))
         return canon[:n] + _pattern(draw, canon[n:])
     if kind == "iban":
         bank = _pattern(draw, canon[4:])
-        value = int("".join(str(int(c, 36)) for c in bank + canon[:2] + "00"))
-        return canon[:2] + f"{98 - value % 97:02d}" + bank
+        return _iban(canon[:2], bank)
     if "name-" in kind:
         consonants, vowels, endings = SYLLABLES[kind.rsplit("-", 1)[1]]
         gender = kind.split("-")[1] if kind.startswith("forename") else "x"
@@ -163,6 +168,86 @@ def surrogate(key: bytes, kind: str, canon: str, attempt: int) -> str:
     return _pattern(draw, canon)
 
 
+def _slots(key: bytes, kind: str, canon: str, width: int) -> tuple[list, str]:
+    """Choices for each piece of a surrogate of ``canon``, and what check digits follow.
+
+    A wider form has ``width`` more letters in an address's local part, or more digits (letters after a
+    letter) at its end. Private IP addresses go on to 172.16-31, then all to 10, then to the reserved 240-255,
+    then to more numbers.
+    """
+    kinds = lambda text: [DIGIT if c.isdigit() else LETTER if c.islower() else LETTER.upper() if c.isupper() else [c] for c in text]
+    if kind == "ip":
+        a, b = canon.split(".")[:2]
+        octet = [f".{n}" for n in range(1, 255)]
+        if width == 0:
+            first = [str(n) for n in range(1, 224) if n not in (10, 127, 172, 192)]
+            private = [[a]] if a in ("10", "127") else [[a], ["." + b]] if (a, b) == ("192", "168") or (a == "172" and 16 <= int(b) < 32) else [first]
+            return private + [octet] * (4 - len(private)), ""
+        if width == 1 and a in ("172", "192"):
+            return [["172"], [f".{n}" for n in range(16, 32)], octet, octet], ""
+        return [["10"] if width <= 2 else [str(n) for n in range(240, 256)]] + [octet] * max(3, width), ""
+    if kind == "email":
+        local = canon.rsplit("@", 1)[0]
+        domain = surrogate(key, kind, canon, 0).rsplit("@", 1)[1]
+        return kinds(local) + [LETTER] * width + [["@" + domain]], ""
+    if kind == "card":
+        valid = _luhn(canon)
+        return [[canon[0]]] + [DIGIT] * (len(canon) - 2 + width) + ([] if valid else [DIGIT[:9]]), "valid" if valid else "invalid"
+    if kind == "iban":
+        return kinds(canon[4:]) + [DIGIT] * width, canon[:2]
+    if kind == "hex":
+        return [HEX] * (len(canon) + width), ""
+    fixed = next(len(p) for p in KEYS if canon.startswith(p)) if kind == "key" else int(kind[5:] or 0) if kind.startswith("phone") else 0
+    more = LETTER if canon[-1].islower() else LETTER.upper() if canon[-1].isupper() else DIGIT
+    return [[canon[:fixed]]] + kinds(canon[fixed:]) + [more] * width, ""
+
+
+def form(key: bytes, kind: str, canon: str, width: int) -> tuple[str, int]:
+    """A name that the finds share whose surrogates come from the same values, and how many there are."""
+    slots, check = _slots(key, kind, canon, width)
+    pieces = [f"{len(s)}{s[0]}" for s in slots]
+    return "\x1f".join([kind, check, *pieces]), math.prod(map(len, slots))
+
+
+def _permuted(key: bytes, name: str, size: int, i: int) -> int:
+    """Number ``i`` of a keyed order of range(size): a Feistel network, walked until it is within."""
+    half = max(1, (size - 1).bit_length() + 1 >> 1)
+    mask = (1 << half) - 1
+    while True:
+        left, right = i >> half, i & mask
+        for r in range(6):
+            mixed = hashlib.blake2b(f"{name}\x1f{r}\x1f{right}".encode(), key=key, digest_size=(half + 7) // 8, salt=b"order").digest()
+            left, right = right, left ^ (int.from_bytes(mixed, "big") & mask)
+        i = left << half | right
+        if i < size:
+            return i
+
+
+def values_at(key: bytes, kind: str, canon: str, width: int, places: range) -> list[str]:
+    """Surrogates with these numbers of a find's form."""
+    slots, check = _slots(key, kind, canon, width)
+    name, size = form(key, kind, canon, width)
+    out = []
+    for i in places:
+        i = _permuted(key, name, size, i)
+        pieces = []
+        for choices in slots:
+            i, k = divmod(i, len(choices))
+            pieces.append(choices[k])
+        if kind == "card":
+            body = "".join(pieces) if check == "valid" else "".join(pieces[:-1])
+            right = next(c for c in DIGIT if _luhn(body + c))
+            out.append(body + (right if check == "valid" else [c for c in DIGIT if c != right][int(pieces[-1])]))
+        else:
+            out.append(_iban(check, "".join(pieces)) if kind == "iban" else "".join(pieces))
+    return out
+
+
+def _iban(country: str, bank: str) -> str:
+    value = int("".join(str(int(c, 36)) for c in bank + country + "00"))
+    return country + f"{98 - value % 97:02d}" + bank
+
+
 def render(original: str, kind: str, value: str) -> str:
     """The surrogate in the way the original is written."""
     if "name-" in kind:
@@ -171,6 +256,8 @@ def render(original: str, kind: str, value: str) -> str:
         return value
     if kind == "hex":
         return value.upper() if original.upper() == original else value
+    if kind == "email" and sum(map(str.isalnum, value)) != sum(map(str.isalnum, original)):
+        return value.upper() if original.isupper() else value  # of a wider form
     letters = iter(c for c in value if c.isalnum())
     out = []
     for c in original:
@@ -179,7 +266,7 @@ def render(original: str, kind: str, value: str) -> str:
             out.append(d.upper() if c.isupper() else d)
         else:
             out.append(c)
-    return "".join(out)
+    return "".join([*out, *letters])
 
 
 def _finds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,19 +293,77 @@ def attempts(finds: DataFrame, key: bytes) -> DataFrame:
     """kind, canon, attempt, value for each distinct find, no value twice and none that is a find itself."""
     distinct = stored(finds.select("kind", "canon").distinct())
     real = distinct.select("kind", F.col("canon").alias("value"))
-    todo, settled = distinct.withColumn("attempt", F.lit(0)), None
-    for _ in range(MAX_ROUNDS):
-        drawn = stored(todo.mapInArrow(_drawn(key), "kind string, canon string, attempt int, value string"))
+    todo, settled, attempt = distinct, None, 0
+    while True:
+        # Names grow with each attempt, so they never run out.
+        drawn = stored(todo.withColumn("attempt", F.lit(attempt)).mapInArrow(_drawn(key), "kind string, canon string, attempt int, value string"))
         taken = real if settled is None else real.union(settled.select("kind", "value"))
         first = drawn.groupBy("kind", "value").agg(F.min("canon").alias("canon"))
         free = first.join(taken, ["kind", "value"], "left_anti")
         fine = stored(drawn.join(free, ["kind", "value", "canon"], "left_semi").select("kind", "canon", "attempt", "value"))
         settled = fine if settled is None else settled.union(fine)
-        rest = drawn.join(fine, ["kind", "canon"], "left_anti")
-        todo = stored(rest.select("kind", "canon", (F.col("attempt") + 1).alias("attempt")))
+        todo = drawn.join(fine, ["kind", "canon"], "left_anti").select("kind", "canon")
+        attempt += 1
+        if attempt == ROUNDS:
+            left = stored(todo)
+            todo, rest = left.filter(F.col("kind").contains("name-")), left.filter(~F.col("kind").contains("name-"))
+            settled = settled.union(placed(rest, real, settled, key))
+        todo = stored(todo)
         if todo.isEmpty():
             return settled
-    raise ValueError("some form has too few surrogates for all its finds")
+
+
+def placed(todo: DataFrame, real: DataFrame, settled: DataFrame, key: bytes) -> DataFrame:
+    """kind, canon, attempt, value for finds that no draw has settled: free values of their forms in keyed order."""
+    todo, attempt, out = stored(todo.withColumn("width", F.lit(0)).withColumn("step", F.lit(0))), ROUNDS, settled.limit(0)
+    while not todo.isEmpty():
+        formed = stored(todo.mapInArrow(_forms(key), "kind string, canon string, width int, step int, form string, size long"))
+        # Each step looks at four times as many of the form's values, from its first one.
+        upto = F.least(F.col("size").cast("double"), F.col("n") * F.pow(F.lit(4.0), F.col("step") + 1) + LEAST).cast("long")
+        groups = formed.groupBy("form").agg(
+            F.count(F.lit(1)).alias("n"), F.max("step").alias("step"), F.min("size").alias("size"), F.min(F.struct("kind", "canon", "width")).alias("of")
+        )
+        groups = stored(groups.select("form", "size", "of.*", upto.alias("upto")))
+        chunks = groups.withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("upto") - 1, F.lit(CHUNK).cast("long"))))
+        chunks = chunks.repartition("form", "start").select("form", "kind", "canon", "width", "start", F.least(F.col("start") + CHUNK, "upto").alias("stop"))
+        values = stored(chunks.mapInArrow(_values(key), "form string, kind string, nth long, value string"))
+        taken = real.union(settled.select("kind", "value")).union(out.select("kind", "value"))
+        free = values.join(taken, ["kind", "value"], "left_anti").withColumn("one", F.lit(1).cast("long"))
+        free = running_total(free, ["form"], [F.col("nth")], "one", "rank").select("form", "rank", "value")
+        ranked = running_total(formed.withColumn("one", F.lit(1).cast("long")), ["form"], [F.col("canon")], "one", "rank")
+        found = ranked.join(free, ["form", "rank"], "left").join(groups.select("form", "upto"), "form")
+        found = stored(found.select("kind", "canon", "width", "step", "size", "upto", "value"))
+        out = out.union(found.filter("value is not null").select("kind", "canon", F.lit(attempt).alias("attempt"), "value"))
+        full = F.col("upto") >= F.col("size")
+        todo = stored(
+            found.filter("value is null").select(
+                "kind", "canon", (F.col("width") + full.cast("int")).alias("width"), F.when(full, 0).otherwise(F.col("step") + 1).alias("step")
+            )
+        )
+        attempt += 1
+    return out
+
+
+def _forms(key: bytes):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [form(key, *r.values()) for r in batch.select(["kind", "canon", "width"]).to_pylist()]
+            batch = batch.append_column("form", pa.array([f[0] for f in found], pa.string()))
+            yield batch.append_column("size", pa.array([min(f[1], 1 << 62) for f in found], pa.int64()))
+
+    return run
+
+
+def _values(key: bytes):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():  # at most CHUNK values each
+                nth = range(r["start"], r["stop"])
+                value = values_at(key, r["kind"], r["canon"], r["width"], nth)
+                columns = [pa.array([r["form"]] * len(nth)), pa.array([r["kind"]] * len(nth)), pa.array(nth, pa.int64()), pa.array(value, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["form", "kind", "nth", "value"])
+
+    return run
 
 
 def _rewritten(key: bytes):
@@ -228,10 +373,10 @@ def _rewritten(key: bytes):
             again = batch.column("again").to_pylist()
             for i, text in enumerate(batch.column("text")):
                 text = text.as_py()
-                attempt = {(r["kind"], r["canon"]): r["attempt"] for r in again[i] or ()}
+                settled = {(r["kind"], r["canon"]): r["value"] for r in again[i] or ()}
                 parts, at, seen = [], 0, []
                 for start, end, kind, canon in find(text):
-                    value = surrogate(key, kind, canon, attempt.get((kind, canon), 0))
+                    value = settled.get((kind, canon)) or surrogate(key, kind, canon, 0)
                     parts += [text[at:start], render(text[start:end], kind, value)]
                     seen.append(re.match("[a-z]+", kind).group())
                     at = end
@@ -259,8 +404,8 @@ def replace_personal_data(docs: DataFrame, key: bytes, id_col: str = "doc_id", t
     )
     kind = docs.schema[id_col].dataType.simpleString()
     finds = stored(keyed.select("k1", "k2", "text").mapInArrow(_finds, "k1 long, k2 long, kind string, canon string"))
-    anew = attempts(finds, key).filter("attempt > 0").select("kind", "canon", "attempt")
+    anew = attempts(finds, key).filter("attempt > 0").select("kind", "canon", "value")
     again = finds.distinct().join(anew, ["kind", "canon"]).groupBy("k1", "k2")
-    again = stored(again.agg(F.collect_list(F.struct("kind", "canon", "attempt")).alias("again")))
+    again = stored(again.agg(F.collect_list(F.struct("kind", "canon", "value")).alias("again")))
     rewritten = keyed.join(again, ["k1", "k2"], "left").select("doc", "text", "again")
     return rewritten.mapInArrow(_rewritten(key), f"doc {kind}, text string, n_replaced long, kinds array<string>")
