@@ -1,7 +1,7 @@
 """Personal data and secrets replaced by keyed surrogates of the same type and form.
 
 1. Every text is searched for e-mail addresses, phone, card and account numbers, IP addresses, social
-   security numbers, keys and tokens, and names after a title.
+   security numbers, keys and tokens, and names after a title; then for those names without one.
 2. A surrogate is a keyed hash of the type and the canonical form of what was found, so it is the same
    wherever that occurs and however it is written, and nobody without the key can go back.
    It has the same letters-and-digits pattern; names keep script, gender and letter case; valid check
@@ -51,6 +51,10 @@ TITLES = {
 GENDER = {title: gender for gender, titles in TITLES.items() for title in titles}
 UPPER = "A-ZÀ-ÖØ-ÞĀ-ŽΑ-ΫА-ЯЁ"
 TITLED = re.compile(rf"(?<!\w)(?P<title>{'|'.join(sorted(GENDER, key=len, reverse=True))})\.? (?P<name>[{UPPER}][\w'’-]+(?: [{UPPER}][\w'’-]+){{0,2}})")
+#: Words that begin sentences or follow a title without being a name.
+NO_NAMES = frozenset(
+    "the an and or but if in on at by of to for from with as is was are were be has had he she it we they you his her its our their this that these those then there who what when where why how not no yes der die das und ein eine er sie es wir ihr im in am le la les un une et il elle el los las una y en de".split()
+)
 #: Syllables of invented names, and their endings by gender.
 SYLLABLES = {
     "latin": ("b c d f g h j k l m n p r s t v w z".split(), "a e i o u".split(), {"m": "n r s k t".split(), "f": ["a"], "x": "e i o".split()}),
@@ -85,14 +89,22 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         value = m.group()
         if any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
             out.append((m.start(), m.end(), m.lastgroup, re.sub(r"[ ]", "", value) if m.lastgroup == "iban" else value.lower() if m.lastgroup == "hex" else value))
+    named: dict[str, str] = {}
     for m in TITLED.finditer(text):
         parts = list(re.finditer(r"\S+", m.group("name")))
         gender = GENDER[m.group("title")]
         for i, part in enumerate(parts):
-            name = part.group().rstrip("'’-")
+            name = re.sub(r"['’][sS]\Z", "", part.group().rstrip("'’-"))
             start = m.start("name") + part.start()
             role = "surname" if i == len(parts) - 1 else f"forename-{gender}"
             out.append((start, start + len(name), f"{role}-{_script(name)}", name.lower()))
+            named.setdefault(name.lower(), out[-1][2])
+    # The same names elsewhere in the text, without a title; words of a sentence are no names there.
+    again = sorted(named.keys() - NO_NAMES, key=len, reverse=True)
+    if again:
+        for m in re.finditer(rf"(?<!\w)(?:{'|'.join(map(re.escape, again))})(?!\w)", text, re.IGNORECASE):
+            if m.group()[0].isupper() and m.group().lower() in named:
+                out.append((m.start(), m.end(), named[m.group().lower()], m.group().lower()))
     out.sort(key=lambda x: (x[0], -x[1]))
     kept, reach = [], 0
     for x in out:

@@ -99,3 +99,11 @@ def test_values_of_a_form():
             if kind == "card":
                 assert all(pii._luhn(v) == pii._luhn(canon) and v[0] == "4" for v in values)
     assert {pii._permuted(KEY, "x", 1000, i) for i in range(1000)} == set(range(1000))
+
+
+def test_untitled_mentions_of_a_titled_name(texts_frame):
+    text = "Smith had called. Mr John Smith called. Smith said that JOHN and Smith's smith, a blacksmith, met Smithson; Mr Smith's car."
+    got = {r.doc: r for r in replace_personal_data(texts_frame([(1, text), (2, "Smith said, John.")]), KEY).collect()}
+    m = re.fullmatch(r"(\w+) had called\. Mr (\w+) (\w+) called\. (\w+) said that (\w+) and (\w+)'s smith, a blacksmith, met Smithson; Mr (\w+)'s car\.", got[1].text)
+    assert m and m[1] == m[3] == m[4] == m[6] == m[7] != "Smith" and m[2].upper() == m[5] != "JOHN"
+    assert got[1].n_replaced == 7 and got[2].n_replaced == 0
