@@ -90,7 +90,51 @@ SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(t.taken, 0) AS taken
 FROM queued q LEFT JOIN taken t USING (doc_id)
 """
 
+
+
+def clustering_sql(rounds: int) -> str:
+    """Components in long form; each round is an assignment and a mean of its own."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS (
+    SELECT vec_id, arg_min(cluster, distance * 16 + cluster) AS cluster, min(distance) AS distance
+    FROM (SELECT x.vec_id, c.cluster, CAST(sum((x.v - c.v) * (x.v - c.v)) AS BIGINT) AS distance
+          FROM parts x JOIN c{r} c USING (dim) GROUP BY x.vec_id, c.cluster)
+    GROUP BY vec_id
+)""")
+        if r < rounds:
+            steps.append(f"""
+c{r + 1} AS (
+    SELECT c.cluster, c.dim, coalesce(m.v, c.v) AS v
+    FROM c{r} c LEFT JOIN (
+        SELECT a.cluster, x.dim,
+               CAST((sum(x.v) - ((sum(x.v) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS v
+        FROM parts x JOIN a{r} a USING (vec_id) GROUP BY a.cluster, x.dim
+    ) m USING (cluster, dim)
+)""")
+    return f"""
+WITH kept AS (
+    SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS whole
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+parts AS MATERIALIZED (SELECT vec_id, unnest(whole) AS v, generate_subscripts(whole, 1) AS dim FROM kept),
+c0 AS (
+    SELECT cluster, unnest(whole) AS v, generate_subscripts(whole, 1) AS dim
+    FROM (SELECT whole, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster FROM kept)
+    WHERE cluster < 16
+),{",".join(steps)},
+names AS (SELECT cluster, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY dim)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)
+SELECT a.vec_id, CAST(a.cluster AS INTEGER) AS cluster, a.distance,
+       CAST(sum(a.distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.distance) OVER () AS BIGINT) AS inertia, n.centroid_sha256
+FROM a{rounds} a JOIN names n USING (cluster)
+"""
+
+
 ORACLES = {
     "op8_line_dedup": LINE_DEDUP,
     "op9_mix_sources": MIX,
+    "op12_centroids": clustering_sql(3),
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import ledgermill
+from ledgermill.llm.centroids import cluster_vectors
 from ledgermill.llm.decontaminate import find_leaks
 from ledgermill.llm.html_text import extract_text
 from ledgermill.llm.line_dedup import drop_repeated_lines
@@ -86,6 +87,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_html_text": op2_html_text,
@@ -97,4 +102,5 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_mix_sources": op9_mix_sources,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_centroids": op12_centroids,
 }
