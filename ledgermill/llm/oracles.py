@@ -133,8 +133,59 @@ FROM a{rounds} a JOIN names n USING (cluster)
 """
 
 
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+starts AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM worded),
+occurrences AS (
+    SELECT lang, m, array_to_string(words[i : i + m - 1], ' ') AS phrase
+    FROM starts, (SELECT unnest([1, 2, 3, 4, 5]) AS m)
+    WHERE i + m - 1 <= len(words)
+),
+totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM worded GROUP BY lang),
+counts AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS f FROM occurrences GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+    SELECT lang, m, phrase, f AS a, k, string_split(phrase, ' ') AS w
+    FROM counts, (SELECT unnest([1, 2, 3, 4]) AS k)
+    WHERE m >= 2 AND k < m
+),
+valued AS (
+    SELECT c.lang, c.m, c.phrase, c.a, c.k, x.f AS l, y.f AS r, t.n,
+           CAST((CAST(1000 AS HUGEINT) * c.a * t.n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+    FROM cuts c
+    JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : c.k], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1 : c.m], ' ')
+    JOIN totals t ON t.lang = c.lang
+),
+chosen AS (SELECT * FROM valued QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+-- Every sub-phrase of every candidate, at every place.
+inner_phrases AS (
+    SELECT lang, f AS longer_f, array_to_string(w[i : i + s - 1], ' ') AS phrase
+    FROM (SELECT lang, f, m, string_split(phrase, ' ') AS w FROM counts WHERE m >= 3),
+         (SELECT unnest([2, 3, 4]) AS s), (SELECT unnest([1, 2, 3, 4]) AS i)
+    WHERE s < m AND i + s - 1 <= m
+),
+kept AS (
+    SELECT * FROM chosen c
+    WHERE NOT EXISTS (SELECT 1 FROM inner_phrases p
+                      WHERE p.lang = c.lang AND p.phrase = c.phrase AND 100 * p.longer_f >= 100 * c.a)
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+
 ORACLES = {
     "op8_line_dedup": LINE_DEDUP,
     "op9_mix_sources": MIX,
+    "op11_phrases": COLLOCATIONS,
     "op12_centroids": clustering_sql(3),
 }

@@ -16,6 +16,7 @@ from ledgermill.llm.line_dedup import drop_repeated_lines
 from ledgermill.llm.minhash import near_duplicates
 from ledgermill.llm.mixing import mix_sources
 from ledgermill.llm.nearest import nearest
+from ledgermill.llm.phrases import collocations
 from ledgermill.llm.pii import replace_personal_data
 from ledgermill.llm.substrings import remove_repeats
 from ledgermill.llm.token_counts import count_tokens
@@ -87,6 +88,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -102,5 +107,6 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_mix_sources": op9_mix_sources,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_phrases": op11_phrases,
     "op12_centroids": op12_centroids,
 }
