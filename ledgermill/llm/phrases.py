@@ -3,21 +3,23 @@
 1. A sample proposes: phrases that are frequent in it at a lowered support, found level by level.
 2. One pass over all texts counts the proposals and their negative border: every word, and every phrase
    whose first and last sub-phrase are both proposed, proposed itself or not.
-3. A phrase of the border that turns out to be frequent is a failure of the sample. The failures join the
-   proposals, and a further pass counts what became reachable through them and nothing else. When a
-   pass finds no failure, no frequent phrase is left: the shortest one not counted would have two counted,
-   frequent, hence proposed parts, and would have been counted.
-4. A last pass writes the words of the frequent phrases and counts these texts.
-
-Proposals travel as a bitmap of fixed size over phrase hashes. Where two phrases share a bit, a phrase is
-counted that need not be: more work, never a lost or wrong count, since the last pass counts by text (a task
-tells the phrases of its block apart by 64-bit keys). The border is never listed; it is what the bitmap lets through. Tasks add up blocks of texts
-before anything is shuffled, so a very common phrase is one row a block.
+3. A phrase of the border that turns out to be frequent is a failure of the sample. Failures join the
+   proposals, and an expansion pass counts what becomes reachable through them, and through what it reaches, and
+   nothing else. Then no frequent phrase is left: the two parts of the shortest one not counted would
+   be counted and frequent, so each would be proposed, a failure, or reached by the expansion, and so would be the phrase.
+4. A last pass gives the frequent phrases their words. A count carries the number of a text bucket that
+   holds the phrase, and only texts of that bucket name it.
+
+Sets of phrases travel as bitmaps of fixed size over phrase keys. Where two phrases share a bit, a phrase is
+counted or named that need not be: more work, never a lost or wrong count. The border is never listed; it is
+what the bitmap lets through. Tasks add up blocks of texts before anything is shuffled, so a very
+common phrase is one row a block. Phrases are told apart by keys of 64 bits.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +36,8 @@ LONGEST, SUPPORT, TOP = 5, 100, 2000
 SAMPLE, LOWERED = 0.1, 0.5
 #: The proposals' bitmap has 2^BITS bits.
 BITS = 26
-#: Words of a block that a task counts at once.
-BLOCK_WORDS = 1_000_000
+#: Words of a block that a task counts at once, and buckets of texts.
+BLOCK_WORDS, BUCKETS = 1_000_000, 1 << 16
 
 _CUTS = b".,;:!?\n\x0b\x0c\r"
 _FORM = bytes.maketrans(
@@ -92,40 +94,54 @@ def _has(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _levels(own: np.ndarray, seeds: np.ndarray, longest: int, bitmap: np.ndarray, old: np.ndarray | None):
-    """For each length: (positions, keys, new): reachable phrases, and which of them ``old`` does not reach."""
+def _levels(own: np.ndarray, seeds: np.ndarray, longest: int, bitmap: np.ndarray, old: np.ndarray | None = None):
+    """For each length: positions and keys of the phrases that can be reached through ``bitmap``.
+
+    With ``old``: of those which ``old`` does not reach, also the ones reached through such phrases.
+    """
     words = own != _CUT
     keys = _stir(own ^ seeds)
     at = np.flatnonzero(words)
-    yield at, keys[at], np.full(len(at), old is None)
+    if old is None:
+        yield at, keys[at]
     alive, known = words & _has(bitmap, keys), None if old is None else words & _has(old, keys)
     for k in range(2, longest + 1):
         at = np.flatnonzero(alive[:-1] & alive[1:])
         if not len(at):
             return
         found = _stir(keys[at] * _M1 + own[at + k - 1] * _M2 + np.uint64(k))
-        new = np.ones(len(at), bool) if known is None else ~(known[at] & known[at + 1])
-        yield at, found, new
         keys[at] = found
         alive = np.zeros(len(own), bool)
         alive[at] = _has(bitmap, found)
-        if known is not None:
+        if known is None:
+            yield at, found
+        else:
+            new = ~(known[at] & known[at + 1])
+            yield at[new], found[new]
+            alive[at] |= new
             known = np.zeros(len(own), bool)
             known[at] = ~new & _has(old, found)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], lang_col: str, text_col: str, with_words: bool):
-    """(own hashes, seeds, words, langs, ends) of blocks of whole texts, each text followed by a cut."""
-    own, words, langs, ends, held = [], [], [], [], 0
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, keys, times) of the different keys, each by one of its places."""
+    order = np.argsort(keys)
+    own = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.empty(0, np.int64)
+    return order[first], own[first], np.diff(np.append(first, len(own)))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], with_words: bool):
+    """(own hashes, seeds, buckets, words, langs, ends) of blocks of whole texts, each text followed by a cut."""
+    own, words, langs, marks, held = [], [], [], [], 0
 
     def block():
         lengths = np.array([len(x) for x in own])
         seeds = np.repeat(np.array([xxhash.xxh3_64_intdigest(x.encode(), 1) for x in langs], np.uint64), lengths)
-        return np.concatenate(own), seeds, words, langs, np.cumsum(lengths)
+        return np.concatenate(own), seeds, np.repeat(np.array(marks, np.int32), lengths), words, langs, np.cumsum(lengths)
 
     for batch in batches:
-        names = batch.column(lang_col).to_pylist()
-        for lang, text in zip(names, texts(batch, text_col), strict=True):
+        for lang, text in zip(batch.column("lang").to_pylist(), texts(batch, "text"), strict=True):
             found = pieces_and_words(text)
             found.append(b"\n")
             if with_words:
@@ -135,43 +151,50 @@ def _blocks(batches: Iterator[pa.RecordBatch], lang_col: str, text_col: str, wit
             hashed = hashed[hashed != _NOTHING]
             own.append(hashed)
             langs.append(lang)
+            marks.append(xxhash.xxh3_64_intdigest(text) % BUCKETS)
             held += len(hashed)
             if held >= BLOCK_WORDS:
                 yield block()
-                own, words, langs, held = [], [], [], 0
+                own, words, langs, marks, held = [], [], [], [], 0
     if own:
         yield block()
 
 
 def counted(docs: DataFrame, proposed: Bitmap, before: Bitmap | None, longest: int) -> DataFrame:
-    """``key``, ``f``: occurrences of words and of phrases with proposed parts that ``before`` does not reach."""
+    """``key``, ``f``, ``bucket``: occurrences of what is reached, and the number of a text bucket that holds it."""
     new, old = proposed.shared, before and before.shared
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, former = _unfolded(new), None if old is None else _unfolded(old)
-        for own, seeds, *_ in _blocks(batches, "lang", "text", False):
-            for _, keys, fresh in _levels(own, seeds, longest, bitmap, former):
-                some, times = np.unique(keys[fresh] if old is not None else keys, return_counts=True)
-                if len(some):
-                    yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), pa.array(times)], ["key", "f"])
+        for own, seeds, buckets, *_ in _blocks(batches, False):
+            for at, keys in _levels(own, seeds, longest, bitmap, former):
+                place, some, times = _distinct(keys)
+                columns = [pa.array(some.view(np.int64)), pa.array(times), pa.array(buckets[at[place]])]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "f", "bucket"])
 
-    return docs.mapInArrow(run, "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
+    rows = docs.mapInArrow(run, "key long, f long, bucket int")
+    return rows.groupBy("key").agg(F.sum("f").alias("f"), F.min("bucket").alias("bucket"))
 
 
-def closed(docs: DataFrame, support: int, longest: int, proposed: Bitmap | None = None) -> Bitmap:
-    """The bitmap of all phrases that occur ``support`` times or more, from proposals that need not hold them all."""
-    spark, before = docs.sparkSession, None
-    given = proposed
-    proposed, found = proposed or Bitmap(spark, None), None
+def proposals(sample: DataFrame, support: int, longest: int) -> Bitmap:
+    """The bitmap of what is frequent in the sample, level by level."""
+    proposed = Bitmap(sample.sparkSession, None)
     while True:
-        some = counted(docs, proposed, before, longest).filter(F.col("f") >= support)
-        some = stored(some.select("key"))
-        found = some if found is None else found.union(some)
+        some = stored(counted(sample, proposed, None, longest).filter(F.col("f") >= support).select("key"))
         missed = _outside(some, proposed)
         if not missed.head(1):
-            # What was proposed only is left out.
-            return Bitmap(spark, found) if given else proposed
-        before, proposed = proposed, Bitmap(spark, missed, proposed)
+            return proposed
+        proposed = Bitmap(sample.sparkSession, missed, proposed)
+
+
+def frequent_keys(docs: DataFrame, support: int, longest: int, proposed: Bitmap) -> DataFrame:
+    """``key``, ``f``, ``bucket`` of all phrases that occur ``support`` times or more."""
+    found = stored(counted(docs, proposed, None, longest).filter(F.col("f") >= support))
+    failures = _outside(found.select("key"), proposed)
+    if not failures.head(1):
+        return found
+    wider = Bitmap(docs.sparkSession, failures, proposed)
+    return found.union(stored(counted(docs, wider, proposed, longest).filter(F.col("f") >= support)))
 
 
 def _outside(keys: DataFrame, proposed: Bitmap) -> DataFrame:
@@ -186,50 +209,67 @@ def _outside(keys: DataFrame, proposed: Bitmap) -> DataFrame:
     return keys.mapInArrow(run, "key long")
 
 
-def written(docs: DataFrame, frequent: Bitmap, longest: int) -> DataFrame:
-    """``lang``, ``phrase``, ``length``, ``f`` by text, for phrases in ``frequent``; length 0 counts all words."""
-    shared = frequent.shared
+def _in_bucket(keys: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    return _stir(keys + (buckets.astype(np.uint64) + np.uint64(1)) * _M1)
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        both = _in_bucket(batch.column("key").to_numpy().view(np.uint64), batch.column("bucket").to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(both.view(np.int64))], ["key"])
+
+
+def named(docs: DataFrame, keys: DataFrame, longest: int) -> tuple[DataFrame, DataFrame]:
+    """(``lang``, ``phrase``, ``length``, ``f`` of the phrases in ``keys``; ``lang``, ``n`` words of each lang)."""
+    spark = docs.sparkSession
+    walk = Bitmap(spark, keys.select("key")).shared
+    wanted = Bitmap(spark, keys.select("key", "bucket").mapInArrow(_pairs, "key long")).shared
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = _unfolded(shared)
-        for own, seeds, words, langs, ends in _blocks(batches, "lang", "text", True):
+        bitmap, own_bucket = _unfolded(walk), _unfolded(wanted)
+        for own, seeds, buckets, words, langs, ends in _blocks(batches, True):
             of = np.array(langs, object)
-            for k, (at, keys, _) in enumerate(_levels(own, seeds, longest, bitmap, None), 1):
+            for k, (at, found) in enumerate(_levels(own, seeds, longest, bitmap), 1):
                 if k == 1:
-                    n = np.bincount(np.searchsorted(ends, at, "right"), minlength=len(langs))
-                    yield _rows(of, [b""] * len(of), 0, n)
-                kept = _has(bitmap, keys)
-                _, first, times = np.unique(keys[kept], return_index=True, return_counts=True)
-                first = at[kept][first]
+                    n = Counter()
+                    for lang, held in zip(langs, np.bincount(np.searchsorted(ends, at, "right"), minlength=len(langs)).tolist(), strict=True):
+                        n[lang] += held
+                    yield _rows(np.zeros(len(n), np.int64), list(n), [b""] * len(n), 0, list(n.values()))
+                here = _has(bitmap, found)
+                here[here] = _has(own_bucket, _in_bucket(found[here], buckets[at[here]]))
+                place, some, _ = _distinct(found[here])
+                first = at[here][place]
                 phrases = [b" ".join(words[i : i + k]) for i in first.tolist()]
-                yield _rows(of[np.searchsorted(ends, first, "right")], phrases, k, times)
+                yield _rows(some.view(np.int64), of[np.searchsorted(ends, first, "right")], phrases, k, None)
 
-    schema = "lang string, phrase string, length int, f long"
-    return docs.mapInArrow(run, schema).groupBy("lang", "phrase", "length").agg(F.sum("f").alias("f"))
+    rows = stored(docs.mapInArrow(run, "key long, lang string, phrase string, length int, n long"))
+    names = rows.filter("length > 0").groupBy("key").agg(F.min(F.struct("lang", "phrase", "length")).alias("name"))
+    phrases = keys.join(names, "key").select("name.lang", "name.phrase", "name.length", "f")
+    return phrases, rows.filter("length = 0").groupBy("lang").agg(F.sum("n").alias("n"))
 
 
-def _rows(langs: np.ndarray, phrases: list[bytes], length: int, times: np.ndarray) -> pa.RecordBatch:
+def _rows(keys: np.ndarray, langs, phrases: list[bytes], length: int, n: list[int] | None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
+            pa.array(keys),
             pa.array(langs, pa.string()),
             # Cut at ASCII characters only, so still UTF-8.
             pa.array(phrases, pa.binary()).view(pa.string()),
             pa.array(np.full(len(phrases), length, np.int32)),
-            pa.array(times.astype(np.int64)),
+            pa.nulls(len(phrases), pa.int64()) if n is None else pa.array(n, pa.int64()),
         ],
-        ["lang", "phrase", "length", "f"],
+        ["key", "lang", "phrase", "length", "n"],
     )
 
 
 def frequent_phrases(
     docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, sample: float = SAMPLE, lowered: float = LOWERED
-) -> DataFrame:
-    """``lang``, ``phrase``, ``length``, ``f`` of all phrases with f >= ``support``, and for each lang a row of
-    length 0 that counts all words. ``docs`` has ``lang`` and ``text``."""
+) -> tuple[DataFrame, DataFrame]:
+    """(lang, phrase, length, f of all phrases with f >= ``support``; lang, n). ``docs`` has ``lang`` and ``text``."""
     drawn = docs.filter(F.pmod(F.xxhash64("lang", "text", F.lit(3)), F.lit(10_000)) < int(sample * 10_000))
-    proposed = closed(drawn, max(2, int(support * sample * lowered)), longest)
-    found = written(docs, closed(docs, support, longest, proposed), longest)
-    return stored(found.filter((F.col("f") >= support) | (F.col("length") == 0)))
+    proposed = proposals(drawn, max(2, int(support * sample * lowered)), longest)
+    phrases, totals = named(docs, frequent_keys(docs, support, longest, proposed), longest)
+    return stored(phrases), stored(totals)
 
 
 def _part(words: Column, start: Column, size: Column) -> Column:
@@ -301,9 +341,7 @@ def collocations(
     phrases, gives no rows. The result does not depend on ``sample`` and ``lowered``.
     """
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    found = frequent_phrases(rows, support, longest, sample, lowered)
-    totals = found.filter("length = 0").select("lang", F.col("f").alias("n"))
-    phrases = found.filter("length > 0")
+    phrases, totals = frequent_phrases(rows, support, longest, sample, lowered)
     left = scored(phrases, totals).join(covered(phrases.filter("length >= 2"), cover), ["lang", "phrase"], "left_anti")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = left.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
