@@ -12,6 +12,7 @@ import ledgermill
 from ledgermill.llm.centroids import cluster_vectors
 from ledgermill.llm.decontaminate import find_leaks
 from ledgermill.llm.html_text import extract_text
+from ledgermill.llm.lattice import lattice_scores
 from ledgermill.llm.line_dedup import drop_repeated_lines
 from ledgermill.llm.minhash import near_duplicates
 from ledgermill.llm.mixing import mix_sources
@@ -96,6 +97,11 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op13_lattice(spark: SparkSession, sf_dir: str, model: str = "piece_bpe_32k.model") -> DataFrame:
+    with open(public_tokenizers.path(model), "rb") as file:
+        return lattice_scores(table(spark, sf_dir, "documents"), file.read(), kind_col="lang")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_html_text": op2_html_text,
@@ -109,4 +115,5 @@ QUERIES = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_phrases": op11_phrases,
     "op12_centroids": op12_centroids,
+    "op13_lattice": op13_lattice,
 }
