@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SLICES = 64
-#: The same blanks inside a SQL string.
-SQL_BLANKS = r" \t\n\u000b\u000c\r"
 
 
 def line_key(line: Column) -> Column:
@@ -82,14 +80,14 @@ def kept_lines(keyed: DataFrame, min_points: int, min_docs: int) -> DataFrame:
 
 
 def keep_bitmaps(keyed: DataFrame, min_points: int, min_docs: int) -> DataFrame:
-    """k1, k2, ``keep``: for each 64 lines that hold a kept long line, their number and its bits."""
+    """k1, k2, ``words``: for each 64 lines that hold a kept long line, their number and its bits, in order."""
     bit = F.expr("shiftleft(1L, cast(pos % 64 as int))")
     return (
         kept_lines(keyed, min_points, min_docs)
         .groupBy("k1", "k2", F.expr("cast(pos div 64 as int)").alias("word"))
         .agg(F.bit_or(bit).alias("bits"))
         .groupBy("k1", "k2")
-        .agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("keep"))
+        .agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("words"))
     )
 
 
@@ -115,24 +113,27 @@ def drop_repeated_lines(
     """
     keyed = with_document_key(docs, id_col, text_col, columns)
     bitmaps = keep_bitmaps(keyed, min_points, min_docs)
-    words = F.expr(
-        "transform(sequence(0, cast((size(lines) - 1) div 64 as int)), w -> coalesce(keep[w], 0L))"
-    )
-    stays = F.expr(
-        f"filter(lines, (line, i) -> char_length(btrim(line, '{SQL_BLANKS}')) < {min_points}"
-        " or (shiftright(words[i div 64], cast(i % 64 as int)) & 1L) = 1L)"
+    lines = text_lines(F.col("text"))
+    # One flag a line: the gaps between the words are filled with zeros, then the words are spelled out. What
+    # a lambda names besides its own variables is a column, so nothing is computed anew for each line.
+    gap = "words[i].word - if(i = 0, -1, words[i - 1].word) - 1"
+    spread = f"concat(array_repeat(0L, cast({gap} as int)), array(words[i].bits))"
+    dense = F.expr(f"if(size(words) > 0, flatten(transform(sequence(0, size(words) - 1), i -> {spread})), array())")
+    flags = F.expr("flatten(transform(dense, w -> transform(sequence(0, 63), j -> (shiftright(w, j) & 1L) = 1L)))")
+    left = F.zip_with(
+        lines, flags, lambda line, kept: F.when(kept | (F.char_length(F.btrim(line, F.lit(BLANKS))) < min_points), line)
     )
     return (
         keyed.join(bitmaps, ["k1", "k2"], "left")
-        .select("doc", "row", "keep", text_lines(F.col("text")).alias("lines"))
-        .withColumn("words", words)
-        .withColumn("left", stays)
+        .withColumn("dense", dense)
+        # Flags may go on beyond the last line, and stop at the last kept long one.
+        .select("doc", "row", "words", F.size(lines).alias("n"), F.slice(left, 1, F.size(lines)).alias("left"))
         .select(
             "doc",
             F.array_join("left", "\n").alias("text"),
-            F.size("lines").cast("long").alias("n_lines"),
-            (F.size("lines") - F.size("left")).cast("long").alias("n_dropped"),
-            "keep",
+            F.col("n").cast("long").alias("n_lines"),
+            (F.col("n") - F.size(F.array_compact("left"))).cast("long").alias("n_dropped"),
+            F.map_from_entries("words").alias("keep"),
             "row",
         )
     )

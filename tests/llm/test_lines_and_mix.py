@@ -1,8 +1,10 @@
 """Line dedup and mixing against plain Python, with odd rows."""
 
 import hashlib
+import time
 from collections import Counter
 
+from pyspark.sql import functions as F
 from test_pipeline import lines_left, targets
 
 from ledgermill.llm.line_dedup import drop_repeated_lines
@@ -34,6 +36,20 @@ def test_odd_lines(texts_frame):
     assert drop_repeated_lines(texts_frame([])).count() == 0
 
 
+def test_time_grows_with_the_lines_of_a_text(texts_frame):
+    """Twice the lines take about twice as long, not four or eight times."""
+
+    def seconds(n):
+        docs = texts_frame([(1, "\n".join(f"a line of its own, number {i}" for i in range(n)))])
+        start = time.perf_counter()
+        row = drop_repeated_lines(docs).select("n_lines", "n_dropped", F.length("text").alias("n")).first()
+        assert (row.n_lines, row.n_dropped) == (n, 0)
+        return time.perf_counter() - start
+
+    seconds(1_000)
+    assert seconds(160_000) < 3 * seconds(80_000) + 1
+
+
 def mixed_by_hand(rows):
     """rows: (doc_id, source, size)."""
     sizes = Counter()
