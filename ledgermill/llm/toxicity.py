@@ -7,7 +7,8 @@ of a stem have the stem's score.
 
 A text's scores, less a drift, are scanned once (Ruzzo and Tompa) for all maximal scoring
 segments. Karlin and Altschul's theory gives the law of such scores in documents without toxic
-passages: lambda from the words' scores there, K from those documents' best segments. The best ``r``
+passages: lambda from the words' scores there, K from those documents' best segments. A toxic word that no clean text holds counts there as seen
+less than once. The best ``r``
 segments together are judged by the law of their sum; the largest evidence over ``r`` becomes a
 probability through a logistic curve. Law and curve are fitted on the same sample, each half of it
 scored with the words of the other half.
@@ -278,6 +279,14 @@ def fit(
     histogram: Counter = Counter()
     for r in clean:
         histogram.update(dict(zip(r["bins"], r["sizes"], strict=True)))
+    # One more clean word, dealt over the positive scores of toxic texts: where no clean text holds a toxic
+    # word, lambda follows from how many clean words were seen without one.
+    more: Counter = Counter()
+    for r in looked:
+        if r["label"] > 0:
+            more.update({b: n for b, n in zip(r["bins"], r["sizes"], strict=True) if b > 0})
+    for b, n in more.items():
+        histogram[b] += n / more.total()
     rate = _rate(np.array(list(histogram), float) / 20, np.array(list(histogram.values()), float))
     weight = sum(r["m"] * math.exp(-rate * (r["best"][0] if r["best"] else 0.0)) for r in clean)
     law = Model(known, rate, len(clean) / weight if weight else 1.0, (0.0, 0.0))
