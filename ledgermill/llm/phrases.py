@@ -7,8 +7,8 @@
    proposals, and an expansion pass counts what becomes reachable through them, and through what it reaches, and
    nothing else. Then no frequent phrase is left: the two parts of the shortest one not counted would
    be counted and frequent, so each would be proposed, a failure, or reached by the expansion, and so would be the phrase.
-4. A last pass gives the frequent phrases their words. A count carries the number of a text bucket that
-   holds the phrase, and only texts of that bucket name it.
+4. The frequent phrases get their words: nearly all from a share of the texts, the others from one more pass,
+   so that a phrase is written down a few times and not once a block.
 
 Sets of phrases travel as bitmaps of fixed size over phrase keys. Where two phrases share a bit, a phrase is
 counted or named that need not be: more work, never a lost or wrong count. The border is never listed; it is
@@ -19,7 +19,6 @@ common phrase is one row a block. Phrases are told apart by keys of 64 bits.
 from __future__ import annotations
 
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +35,8 @@ LONGEST, SUPPORT, TOP = 5, 100, 2000
 SAMPLE, LOWERED = 0.1, 0.5
 #: The proposals' bitmap has 2^BITS bits.
 BITS = 26
-#: Words of a block that a task counts at once, and buckets of texts.
-BLOCK_WORDS, BUCKETS = 1_000_000, 1 << 16
+#: Words of a block that a task counts at once, and the part of the texts that is looked at first for names.
+BLOCK_WORDS, NAMED_FIRST = 600_000, 16
 
 _CUTS = b".,;:!?\n\x0b\x0c\r"
 _FORM = bytes.maketrans(
@@ -131,14 +130,22 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order[first], own[first], np.diff(np.append(first, len(own)))
 
 
+def _seeds(langs: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(x.encode(), 1) for x in langs], np.uint64)
+
+
+def _of_all_words(langs: list[str]) -> np.ndarray:
+    """The keys under which all words of a lang are counted."""
+    return _stir(_seeds(langs) + _M1)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], with_words: bool):
-    """(own hashes, seeds, buckets, words, langs, ends) of blocks of whole texts, each text followed by a cut."""
-    own, words, langs, marks, held = [], [], [], [], 0
+    """(own hashes, seeds, words, langs, ends) of blocks of whole texts, each text followed by a cut."""
+    own, words, langs, held = [], [], [], 0
 
     def block():
         lengths = np.array([len(x) for x in own])
-        seeds = np.repeat(np.array([xxhash.xxh3_64_intdigest(x.encode(), 1) for x in langs], np.uint64), lengths)
-        return np.concatenate(own), seeds, np.repeat(np.array(marks, np.int32), lengths), words, langs, np.cumsum(lengths)
+        return np.concatenate(own), np.repeat(_seeds(langs), lengths), words, langs, np.cumsum(lengths)
 
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), texts(batch, "text"), strict=True):
@@ -151,29 +158,29 @@ def _blocks(batches: Iterator[pa.RecordBatch], with_words: bool):
             hashed = hashed[hashed != _NOTHING]
             own.append(hashed)
             langs.append(lang)
-            marks.append(xxhash.xxh3_64_intdigest(text) % BUCKETS)
             held += len(hashed)
             if held >= BLOCK_WORDS:
                 yield block()
-                own, words, langs, marks, held = [], [], [], [], 0
+                own, words, langs, held = [], [], [], 0
     if own:
         yield block()
 
 
 def counted(docs: DataFrame, proposed: Bitmap, before: Bitmap | None, longest: int) -> DataFrame:
-    """``key``, ``f``, ``bucket``: occurrences of what is reached, and the number of a text bucket that holds it."""
+    """``key``, ``f``: occurrences of what is reached; without ``before`` also of all words of each lang."""
     new, old = proposed.shared, before and before.shared
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, former = _unfolded(new), None if old is None else _unfolded(old)
-        for own, seeds, buckets, *_ in _blocks(batches, False):
-            for at, keys in _levels(own, seeds, longest, bitmap, former):
-                place, some, times = _distinct(keys)
-                columns = [pa.array(some.view(np.int64)), pa.array(times), pa.array(buckets[at[place]])]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "f", "bucket"])
+        for own, seeds, _, langs, ends in _blocks(batches, False):
+            for k, (at, keys) in enumerate(_levels(own, seeds, longest, bitmap, former)):
+                if k == 0 and former is None:
+                    of = np.bincount(np.searchsorted(ends, at, "right"), minlength=len(langs))
+                    yield pa.RecordBatch.from_arrays([pa.array(_of_all_words(langs).view(np.int64)), pa.array(of)], ["key", "f"])
+                _, some, times = _distinct(keys)
+                yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), pa.array(times)], ["key", "f"])
 
-    rows = docs.mapInArrow(run, "key long, f long, bucket int")
-    return rows.groupBy("key").agg(F.sum("f").alias("f"), F.min("bucket").alias("bucket"))
+    return docs.mapInArrow(run, "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
 
 
 def proposals(sample: DataFrame, support: int, longest: int) -> Bitmap:
@@ -188,7 +195,7 @@ def proposals(sample: DataFrame, support: int, longest: int) -> Bitmap:
 
 
 def frequent_keys(docs: DataFrame, support: int, longest: int, proposed: Bitmap) -> DataFrame:
-    """``key``, ``f``, ``bucket`` of all phrases that occur ``support`` times or more."""
+    """``key``, ``f`` of all phrases that occur ``support`` times or more."""
     found = stored(counted(docs, proposed, None, longest).filter(F.col("f") >= support))
     failures = _outside(found.select("key"), proposed)
     if not failures.head(1):
@@ -209,67 +216,63 @@ def _outside(keys: DataFrame, proposed: Bitmap) -> DataFrame:
     return keys.mapInArrow(run, "key long")
 
 
-def _in_bucket(keys: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-    return _stir(keys + (buckets.astype(np.uint64) + np.uint64(1)) * _M1)
-
-
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        both = _in_bucket(batch.column("key").to_numpy().view(np.uint64), batch.column("bucket").to_numpy())
-        yield pa.RecordBatch.from_arrays([pa.array(both.view(np.int64))], ["key"])
-
-
-def named(docs: DataFrame, keys: DataFrame, longest: int) -> tuple[DataFrame, DataFrame]:
-    """(``lang``, ``phrase``, ``length``, ``f`` of the phrases in ``keys``; ``lang``, ``n`` words of each lang)."""
-    spark = docs.sparkSession
-    walk = Bitmap(spark, keys.select("key")).shared
-    wanted = Bitmap(spark, keys.select("key", "bucket").mapInArrow(_pairs, "key long")).shared
+def named(docs: DataFrame, walk: Bitmap, wanted: Bitmap, longest: int) -> DataFrame:
+    """``key``, ``name`` (lang, phrase, length) of the keys in ``wanted``; length 0 is all words of a lang."""
+    all_keys, few = walk.shared, wanted.shared
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, own_bucket = _unfolded(walk), _unfolded(wanted)
-        for own, seeds, buckets, words, langs, ends in _blocks(batches, True):
+        bitmap, asked = _unfolded(all_keys), _unfolded(few)
+        for own, seeds, words, langs, ends in _blocks(batches, True):
             of = np.array(langs, object)
+            held = sorted(set(langs))
+            keys = _of_all_words(held)
+            here = _has(asked, keys)
+            yield _rows(keys[here], np.array(held, object)[here], [b""] * int(here.sum()), 0)
             for k, (at, found) in enumerate(_levels(own, seeds, longest, bitmap), 1):
-                if k == 1:
-                    n = Counter()
-                    for lang, held in zip(langs, np.bincount(np.searchsorted(ends, at, "right"), minlength=len(langs)).tolist(), strict=True):
-                        n[lang] += held
-                    yield _rows(np.zeros(len(n), np.int64), list(n), [b""] * len(n), 0, list(n.values()))
-                here = _has(bitmap, found)
-                here[here] = _has(own_bucket, _in_bucket(found[here], buckets[at[here]]))
+                here = _has(asked, found)
                 place, some, _ = _distinct(found[here])
                 first = at[here][place]
                 phrases = [b" ".join(words[i : i + k]) for i in first.tolist()]
-                yield _rows(some.view(np.int64), of[np.searchsorted(ends, first, "right")], phrases, k, None)
+                yield _rows(some, of[np.searchsorted(ends, first, "right")], phrases, k)
 
-    rows = stored(docs.mapInArrow(run, "key long, lang string, phrase string, length int, n long"))
-    names = rows.filter("length > 0").groupBy("key").agg(F.min(F.struct("lang", "phrase", "length")).alias("name"))
-    phrases = keys.join(names, "key").select("name.lang", "name.phrase", "name.length", "f")
-    return phrases, rows.filter("length = 0").groupBy("lang").agg(F.sum("n").alias("n"))
+    rows = docs.mapInArrow(run, "key long, lang string, phrase string, length int")
+    return stored(rows.groupBy("key").agg(F.min(F.struct("lang", "phrase", "length")).alias("name")))
 
 
-def _rows(keys: np.ndarray, langs, phrases: list[bytes], length: int, n: list[int] | None) -> pa.RecordBatch:
+def _rows(keys: np.ndarray, langs: np.ndarray, phrases: list[bytes], length: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(keys),
+            pa.array(keys.view(np.int64)),
             pa.array(langs, pa.string()),
             # Cut at ASCII characters only, so still UTF-8.
             pa.array(phrases, pa.binary()).view(pa.string()),
             pa.array(np.full(len(phrases), length, np.int32)),
-            pa.nulls(len(phrases), pa.int64()) if n is None else pa.array(n, pa.int64()),
         ],
-        ["key", "lang", "phrase", "length", "n"],
+        ["key", "lang", "phrase", "length"],
     )
 
 
+def drawn(docs: DataFrame, share: float, salt: int) -> DataFrame:
+    """About this share of the rows, by a hash of their text, always the same ones."""
+    return docs.filter(F.pmod(F.xxhash64("lang", "text", F.lit(salt)), F.lit(10_000)) < int(share * 10_000))
+
+
 def frequent_phrases(
     docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, sample: float = SAMPLE, lowered: float = LOWERED
-) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, length, f of all phrases with f >= ``support``; lang, n). ``docs`` has ``lang`` and ``text``."""
-    drawn = docs.filter(F.pmod(F.xxhash64("lang", "text", F.lit(3)), F.lit(10_000)) < int(sample * 10_000))
-    proposed = proposals(drawn, max(2, int(support * sample * lowered)), longest)
-    phrases, totals = named(docs, frequent_keys(docs, support, longest, proposed), longest)
-    return stored(phrases), stored(totals)
+) -> DataFrame:
+    """lang, phrase, length, f of all phrases with f >= ``support``, and all words of a lang as length 0.
+
+    ``docs`` has ``lang`` and ``text``.
+    """
+    spark = docs.sparkSession
+    proposed = proposals(drawn(docs, sample, 3), max(2, int(support * sample * lowered)), longest)
+    keys = frequent_keys(docs, support, longest, proposed)
+    walk = Bitmap(spark, keys.select("key"))
+    names = named(drawn(docs, 1 / NAMED_FIRST, 5), walk, walk, longest)
+    rest = stored(keys.select("key").join(names, "key", "left_anti"))
+    if rest.head(1):
+        names = names.union(named(docs, walk, Bitmap(spark, rest), longest).join(rest, "key", "left_semi"))
+    return stored(keys.join(names, "key").select("name.lang", "name.phrase", "name.length", "f"))
 
 
 def _part(words: Column, start: Column, size: Column) -> Column:
@@ -341,7 +344,9 @@ def collocations(
     phrases, gives no rows. The result does not depend on ``sample`` and ``lowered``.
     """
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    phrases, totals = frequent_phrases(rows, support, longest, sample, lowered)
+    found = frequent_phrases(rows, support, longest, sample, lowered)
+    totals = found.filter("length = 0").select("lang", F.col("f").alias("n"))
+    phrases = found.filter("length > 0")
     left = scored(phrases, totals).join(covered(phrases.filter("length >= 2"), cover), ["lang", "phrase"], "left_anti")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = left.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
