@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Partition column of a job log that is stored by local day.
+LOCAL_DAY = "dia_local"
+
 # Local zone and month labels.
 LOCAL_ZONE = "America/Sao_Paulo"
 MONTH_LABELS = (
@@ -95,5 +98,33 @@ def local_midnight(day: str | date | datetime, zone: str = LOCAL_ZONE, ntz: bool
     return F.lit(f"{midnight} {zone}").cast("timestamp")
 
 
+def with_local_day(df: DataFrame, moment: str, zone: str = LOCAL_ZONE) -> DataFrame:
+    return df.withColumn(LOCAL_DAY, local_date(F.col(moment), zone, is_ntz(df, moment)))
+
+
+def in_local_days(
+    df: DataFrame,
+    moment: str,
+    since: str | date | datetime | None = None,
+    until: str | date | datetime | None = None,
+    zone: str = LOCAL_ZONE,
+) -> DataFrame:
+    """Rows from local day ``since`` to local day ``until``, both included.
+
+    The range on the stored moment reaches the Parquet scan; a table that is stored by local day
+    is also read in these day folders only.
+    """
+    ntz, at = is_ntz(df, moment), F.col(moment)
+    if since is not None:
+        df = df.filter(at >= local_midnight(since, zone, ntz))
+    if until is not None:
+        df = df.filter(at < local_midnight(days_before(day_of(until), -1), zone, ntz))
+    if LOCAL_DAY in df.columns:
+        day = F.col(LOCAL_DAY)
+        df = df if since is None else df.filter(day >= date_lit(since))
+        df = df if until is None else df.filter(day <= date_lit(until))
+    return df
+
+
 def whole_seconds(start: Column, end: Column) -> Column:
     return F.timestamp_diff("SECOND", start, end)

@@ -188,25 +188,33 @@ def daily_snapshot(
 ) -> DataFrame:
     """One row per table and load day, with its last user and yearly cost, the highest if
     the costs name a table more than once."""
+    users = last_users(access_log, project, allow_list, prefixes)
+    yearly = yearly_costs(table_costs)
+    return snapshot_rows(day_rows(history, project).join(users, TABLE, "left").join(yearly, TABLE, "left"))
+
+
+def yearly_costs(table_costs: DataFrame) -> DataFrame:
+    return table_costs.groupBy(*TABLE).agg(F.max("yearly_cost").alias("yearly_cost"))
+
+
+def day_rows(history: DataFrame, project: str) -> DataFrame:
+    """The last load of each table and load day, with the day in ``_day``."""
     loads = history.filter(F.col("project_id") == project).withColumn("_day", F.to_date("data_carga"))
     ties = ("executor_job", "data_ult_modificacao", "size_tb", "custo_query", "custo_storage")
-    daily = latest_by(
+    return latest_by(
         loads.select(*TABLE, "_day", "data_carga", *ties),
         [*TABLE, "_day"],
         [F.desc("data_carga")],
         [F.asc(ties[0]), *[F.desc(c) for c in ties[1:]]],
     )
-    users = last_users(access_log, project, allow_list, prefixes)
-    yearly = table_costs.groupBy(*TABLE).agg(F.max("yearly_cost").alias("yearly_cost"))
-    return (
-        daily.join(users, TABLE, "left")
-        .join(yearly, TABLE, "left")
-        .select(
-            "access_date", "user_email", "tipo_user", *TABLE, "data_ult_modificacao",
-            decimal_comma(F.col("size_tb"), null=None).alias("size_tb"),
-            decimal_comma(F.col("custo_query")).alias("custo_query"),
-            decimal_comma(F.col("custo_storage")).alias("custo_storage"),
-            decimal_comma(F.col("yearly_cost")).alias("custo_ano_bee"),
-            F.col("_day").alias("data_carga"),
-        )
-    )
+
+
+def snapshot_rows(joined: DataFrame) -> DataFrame:
+    return joined.select(
+        "access_date", "user_email", "tipo_user", *TABLE, "data_ult_modificacao",
+        decimal_comma(F.col("size_tb"), null=None).alias("size_tb"),
+        decimal_comma(F.col("custo_query")).alias("custo_query"),
+        decimal_comma(F.col("custo_storage")).alias("custo_storage"),
+        decimal_comma(F.col("yearly_cost")).alias("custo_ano_bee"),
+        F.col("_day").alias("data_carga"),
+    )

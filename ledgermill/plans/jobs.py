@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import classify, costs, dates
-from ledgermill.functions.dates import LOCAL_ZONE, days_before, is_ntz, local_datetime, local_midnight
+from ledgermill.functions.dates import LOCAL_ZONE, days_before, in_local_days, is_ntz, local_datetime
 
 
 def classified_jobs(job_log: DataFrame, zone: str = LOCAL_ZONE, keep_other: bool = True) -> DataFrame:
@@ -46,10 +46,10 @@ def job_costs(
     """Jobs since ``days`` local days before ``as_of`` that wrote a named table.
 
     ``tables`` narrows the jobs to those result tables. The date condition is a range
-    on the stored start time and is pushed to the scan.
+    on the stored start time and is pushed to the scan; a log stored by local day is read in the
+    days' folders only.
     """
-    since = local_midnight(days_before(as_of, days), zone, is_ntz(job_log, "start_time"))
-    recent = job_log.filter(F.col("start_time") >= since)
+    recent = in_local_days(job_log, "start_time", since=days_before(as_of, days), zone=zone)
     if tables is not None:
         recent = recent.filter(F.col("destination_table.table_id").isin(*tables))
     named = recent.filter(~classify.is_anonymous(F.col("destination_table.table_id")))

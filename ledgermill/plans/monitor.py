@@ -15,8 +15,7 @@ from ledgermill.functions.dates import (
     date_lit,
     day_of,
     days_before,
-    is_ntz,
-    local_midnight,
+    in_local_days,
 )
 from ledgermill.functions.text import decimal_comma
 from ledgermill.operators.aggregates import mean_cost, money
@@ -55,13 +54,12 @@ def daily_runs(
     maximum is the dearest run. So both steps are hash aggregates on fixed-width
     values, and the job log is never sorted.
     """
-    ntz = is_ntz(job_log, "start_time")
-    start = F.col("start_time")
-    after = days_before(day_of(until), -1)
-    window = job_log.filter(
-        (start >= local_midnight(since, zone, ntz)) & (start < local_midnight(after, zone, ntz))
-    )
-    jobs = classified_jobs(window, zone, keep_other=False).filter(F.col("cost_us_dol") > 0)
+    return runs_by_day(in_local_days(job_log, "start_time", since, until, zone), zone)
+
+
+def runs_by_day(job_log: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
+    """``daily_runs`` of all jobs of a log."""
+    jobs = classified_jobs(job_log, zone, keep_other=False).filter(F.col("cost_us_dol") > 0)
     number = F.array_position(_executors(), F.col("executor_job")) - 1
     micros = F.round(F.col("cost_us_dol") * MICROS, 0).cast("long")
     runs = (
@@ -129,7 +127,13 @@ def monitor_source(
     before, as a filter, would change nothing: only snapshot tables reach the output.
     """
     days = [day_of(d) for d in as_of]
-    figures = run_figures(daily_runs(job_log, max(days), since, zone), days)
+    return monitor_rows(daily_runs(job_log, max(days), since, zone), snapshot, days)
+
+
+def monitor_rows(runs: DataFrame, snapshot: DataFrame, as_of: Sequence[str | date]) -> DataFrame:
+    """``monitor_source`` from runs by day, which may be a stored roll-up."""
+    days = [day_of(d) for d in as_of]
+    figures = run_figures(runs.filter(F.col("day") <= date_lit(max(days))), days)
     rows = (
         snapshot.filter(F.col("data_carga").isin(days))
         .withColumn("as_of", F.col("data_carga"))

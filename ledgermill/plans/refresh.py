@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgermill import schemas
 from ledgermill.functions.dates import day_of
 from ledgermill.operators.balance import LEDGER_POLICY, BalancePolicy
-from ledgermill.plans import access, balance, history, inventory, jobs, ledger, monitor
+from ledgermill.plans import access, balance, history, inventory, jobs, ledger, monitor, rollup, snapshot
 from ledgermill.plans.ledger import YEAR
 from ledgermill.session import intermediate
 from ledgermill.sources.writers import (
-    append_table,
+    append_run,
     on_load_days,
     read_stored,
     replace_load_days,
@@ -32,6 +32,8 @@ JOBS = "information_executor_jobs"
 DETAILS = "information_details_jobs"
 HISTORY = "historico_info_tabelas"
 SNAPSHOT = "consolidado_info_tabelas"
+FACTS = "ultimo_uso_e_custo_tabelas"
+DAILY = "execucoes_por_dia"
 MONITOR = "monitoria_tabelas_ativas"
 
 LIVING_COST_YEARS = (2022,)
@@ -89,9 +91,9 @@ def refresh_finance(inputs: LedgerInputs, root: str, as_of: str | date, loaded_a
             replace_table(df, f"{root}/{name}")
 
 
-def append_details(details: DataFrame, root: str) -> None:
-    """Append table details, partitioned by the day of the run."""
-    append_table(details, f"{root}/{DETAILS}", schemas.DETAILS, moment=history.RUN)
+def append_details(details: DataFrame, root: str, run: str) -> None:
+    """Append table details by the day of their job; a repeated run replaces its own."""
+    append_run(details, f"{root}/{DETAILS}", schemas.DETAILS, run, moment=history.RUN)
 
 
 def monitoring_run(
@@ -107,10 +109,13 @@ def monitoring_run(
     days: int = 10,
     offsets: Iterable[int] = monitor.RESTATED_OFFSETS,
 ) -> None:
-    """Job costs, details, history of the restated days, snapshot, monitor.
+    """Job costs, details, history of the restated days, snapshot, roll-up by day, monitor.
 
     Each merge reads and replaces only the load days it can change, and reads only the
-    details of those days, of the days before them, and of tables without a run.
+    details of those days, of the days before them, and of tables without a run. The
+    lifetime figures come from the stored roll-up, of which a run computes the restated days; the
+    first run computes all. The snapshot is rebuilt where history, users or costs changed. A
+    log that is stored by local day is read in the folders of these days only.
     """
     with intermediate(spark):
         _monitoring_steps(
@@ -132,7 +137,8 @@ def _monitoring_steps(
     flags = access.last_access_flags(
         inputs.access_log, tables, project, flag_users, flag_prefixes
     )
-    append_details(inventory.table_details(tables, flags, jobs.job_extract(costed, project)), root)
+    extract = jobs.job_extract(costed, project)
+    append_details(inventory.table_details(tables, flags, extract), root, as_of.strftime("%Y%m%dT%H%M%S"))
     eves = [day - timedelta(days=1) for day in load_days]
     details = read_stored(spark, f"{root}/{DETAILS}", schemas.DETAILS)
     details = on_load_days(details, [*load_days, *eves], unknown=True)
@@ -142,14 +148,12 @@ def _monitoring_steps(
     replace_load_days(merged, f"{root}/{HISTORY}", "data_carga")
 
     stored = read_stored(spark, f"{root}/{HISTORY}", schemas.HISTORY)
-    replace_table(
-        history.daily_snapshot(
-            stored, inputs.access_log, inputs.table_costs, project, snapshot_users, snapshot_prefixes
-        ),
-        f"{root}/{SNAPSHOT}",
-    )
-    snapshot = spark.read.parquet(f"{root}/{SNAPSHOT}")
+    facts = snapshot.table_facts(inputs.access_log, inputs.table_costs, project, snapshot_users, snapshot_prefixes)
+    snapshot.refresh_snapshot(spark, stored, facts, f"{root}/{SNAPSHOT}", f"{root}/{FACTS}", load_days, project)
+    shown = on_load_days(read_stored(spark, f"{root}/{SNAPSHOT}", schemas.SNAPSHOT), load_days)
 
+    rollup.refresh_runs(spark, inputs.job_log, f"{root}/{DAILY}", load_days)
+    source = monitor.monitor_rows(rollup.read_runs(spark, f"{root}/{DAILY}"), shown, load_days)
     past = on_load_days(read_stored(spark, f"{root}/{MONITOR}", schemas.MONITOR), load_days)
-    merged = monitor.merge_active_tables(inputs.job_log, snapshot, past, load_days)
+    merged = monitor.merge_monitor(source, past, load_days)
     replace_load_days(merged, f"{root}/{MONITOR}", "data_carga")

@@ -147,6 +147,27 @@ HISTORY = _table(
     status=STRING,
     data_carga=CLOCK,
 )
+DAILY_RUNS = _table(
+    project_id=STRING,
+    dataset_id=STRING,
+    table_id=STRING,
+    runs=LONG,
+    cost=T.DecimalType(38, 6),
+    first_run=CLOCK,
+    last_run=CLOCK,
+    executor=INT,
+    day=DATE,
+)
+# Last user and yearly cost of each table, as the snapshot shows them.
+TABLE_FACTS = _table(
+    project_id=STRING,
+    dataset_id=STRING,
+    table_id=STRING,
+    access_date=DATE,
+    user_email=STRING,
+    tipo_user=STRING,
+    yearly_cost=DOUBLE,
+)
 SNAPSHOT = _table(
     access_date=DATE,
     user_email=STRING,

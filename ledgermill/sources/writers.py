@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,8 @@ from pyspark.sql.utils import AnalysisException
 from ledgermill import schemas
 from ledgermill.sources.readers import read_table
 
-LOAD_DAY = "dia_particao"
+#: Partition columns: the day of a row, and the run that appended it.
+LOAD_DAY, RUN_NAME = "dia_particao", "execucao"
 
 
 def replace_table(df: DataFrame, path: str, moment: str | None = None) -> None:
@@ -33,14 +36,28 @@ def replace_table(df: DataFrame, path: str, moment: str | None = None) -> None:
     files = spark.sparkContext._jvm.org.apache.hadoop.fs
     place = files.Path(path)
     system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if system.exists(place):
-        system.rename(place, files.Path(old))
-    if not system.rename(files.Path(fresh), place):
-        raise OSError(f"{fresh} could not become {path}")
-    system.delete(files.Path(old), True)
+    swap(system, files.Path(fresh), place, files.Path(old))
     spark.catalog.refreshByPath(path)
 
 
+def swap(system, fresh, place, old) -> None:
+    """Put ``fresh`` in the place of a table; if that fails, the table goes back to its place."""
+    before = system.exists(place)
+    if before and not system.rename(place, old):
+        raise OSError(f"{place} could not be set aside")
+    try:
+        moved = system.rename(fresh, place)
+    except Exception:
+        moved = False
+        raise
+    finally:
+        if not moved and before:
+            system.rename(old, place)
+    if not moved:
+        raise OSError(f"{fresh} could not become {place}")
+    system.delete(old, True)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         return bool(spark.read.parquet(path).columns)
@@ -57,12 +74,13 @@ def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     """
     if not table_exists(spark, path):
         return spark.createDataFrame([], schema)
-    df = spark.read.parquet(path)
-    if LOAD_DAY in df.columns:
-        read_table(spark, path, schema)
-        with_day = T.StructType([*schema.fields, T.StructField(LOAD_DAY, T.DateType())])
-        return spark.read.schema(with_day).parquet(path)
-    return read_table(spark, path, schema)
+    found = spark.read.parquet(path).columns
+    folders = [(RUN_NAME, T.StringType()), (LOAD_DAY, T.DateType())]
+    folders = [T.StructField(name, kind) for name, kind in folders if name in found]
+    if not folders:
+        return read_table(spark, path, schema)
+    read_table(spark, path, schema)
+    return spark.read.schema(T.StructType([*schema.fields, *folders])).parquet(path).drop(RUN_NAME)
 
 
 def on_load_days(df: DataFrame, days: list, unknown: bool = False) -> DataFrame:
@@ -97,6 +115,41 @@ def append_table(df: DataFrame, path: str, schema: T.StructType, moment: str | N
         _by_day(rows, moment).write.mode("append").partitionBy(LOAD_DAY).parquet(path)
 
 
+def append_run(df: DataFrame, path: str, schema: T.StructType, run: str, moment: str) -> None:
+    """Append rows of exactly the declared columns under the name of a run, by the day of ``moment``.
+
+    A repeated run replaces its own rows; those of other runs stay. ``run`` must be fit for a folder name.
+    """
+    unknown = [c for c in df.columns if c not in schema.names]
+    if unknown:
+        raise ValueError(f"{path}: columns not in the table: {unknown}")
+    replace_table(schemas.conform(df, schema), f"{path}/{RUN_NAME}={run}", moment)
+
+
+def replace_days(df: DataFrame, path: str, column: str, days: Iterable[date]) -> None:
+    """Write rows by the date in ``column`` and replace ``days`` and every day that has rows.
+
+    Of ``days``, those without rows lose their folder. ``df`` is read twice and must not read ``path``.
+    """
+    spark = df.sparkSession
+    written = {r[0] for r in df.select(column).distinct().collect()}  # one value for each day
+    (
+        df.hint("rebalance", column)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    )
+    remove_load_days(spark, path, set(days) - written, column)
+
+
+def remove_load_days(spark: SparkSession, path: str, days: Iterable[date], column: str = LOAD_DAY) -> None:
+    """Remove the folders of the given days from a table that is stored by day."""
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = files.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for day in days:
+        system.delete(files.Path(f"{path}/{column}={day.isoformat()}"), True)
+    spark.catalog.refreshByPath(path)
+
+
 def replace_load_days(df: DataFrame, path: str, moment: str) -> None:
     """Write rows by the day of ``moment`` and replace only those day partitions.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +18,11 @@ from ledgermill.operators.corrections import apply_corrections
 from ledgermill.operators.joins import anti_null_aware, left_join_many
 from ledgermill.operators.latest import latest_by, latest_ties
 from ledgermill.operators.numbering import rank_in_group
-from ledgermill.plans import access, balance, history, inventory, jobs, ledger, monitor, refresh
+from ledgermill.plans import access, balance, history, inventory, jobs, ledger, monitor, refresh, rollup, snapshot
 from ledgermill.session import shared_folder, stored
+from ledgermill.sources.joblog import append_jobs, changed_days, read_jobs
 from ledgermill.sources.readers import read_table, read_years
-from ledgermill.sources.writers import read_stored, replace_table
+from ledgermill.sources.writers import read_stored, remove_load_days, replace_load_days, replace_table
 from ledgermill.workloads.inputs import (
     AS_OF,
     CATEGORIES,
@@ -458,9 +459,10 @@ def run_balance(t: Inputs) -> DataFrame:
 
 @query
 def run_details(t: Inputs) -> DataFrame:
-    """Table details appended to a partitioned table and read back."""
+    """Table details appended to a partitioned table, twice by one run, and read back."""
     root = work_folder(t)
-    refresh.append_details(t.details, root)
+    for _ in range(2):
+        refresh.append_details(t.details, root, "1")
     return read_stored(t.spark, f"{root}/{refresh.DETAILS}", schemas.DETAILS).select(*schemas.DETAILS.names)
 
 
@@ -474,3 +476,64 @@ def run_history(t: Inputs) -> DataFrame:
         FLAG_USERS, SNAPSHOT_USERS, days=RUN_DAYS,
     )
     return read_stored(t.spark, f"{root}/{refresh.HISTORY}", schemas.HISTORY).select(*schemas.HISTORY.names)
+
+
+@query
+def job_costs_by_day(t: Inputs) -> DataFrame:
+    """Job costs from a log that is stored by local day; only the wanted days' folders are read."""
+    log = f"{work_folder(t)}/jobs"
+    append_jobs(t.job_log, log, datetime.fromisoformat(AS_OF))
+    return jobs.job_costs(read_jobs(t.spark, log), JOBS_AS_OF, JOB_DAYS)
+
+
+def stored_runs(t: Inputs, root: str) -> DataFrame:
+    """The roll-up of a log that came in two loads: half of the jobs, then the late ones, whose days alone are
+    computed again; then a day is lost and restated."""
+    log, path = f"{root}/jobs", f"{root}/{refresh.DAILY}"
+    late = F.pmod(F.xxhash64("job_id", "start_time", "transferred_bytes"), F.lit(2)) == 1
+    first, second = datetime.fromisoformat(AS_OF), datetime.fromisoformat(AS_OF) + timedelta(hours=1)
+    append_jobs(t.job_log.filter(~late), log, first)
+    rollup.refresh_runs(t.spark, read_jobs(t.spark, log), path, [AS_OF])
+    append_jobs(t.job_log.filter(late), log, second)
+    rollup.refresh_runs(t.spark, read_jobs(t.spark, log), path, changed_days(t.spark, log, first))
+    lost = dates.day_of(AS_OF)
+    remove_load_days(t.spark, path, [lost], rollup.DAY)
+    rollup.refresh_runs(t.spark, read_jobs(t.spark, log), path, [lost])
+    return rollup.read_runs(t.spark, path)
+
+
+@query
+def daily_runs_stored(t: Inputs) -> DataFrame:
+    runs = stored_runs(t, work_folder(t)).filter(F.col("day") <= dates.date_lit(AS_OF))
+    return runs.select(
+        *monitor.TABLE, "day", "runs", F.col("cost").cast("double").alias("cost"), "first_run",
+        "last_run", monitor.executor_name(F.col("executor")).alias("executor_job"),
+    )
+
+
+@query
+def restate_monitor_stored(t: Inputs) -> DataFrame:
+    """The restated monitor from the stored roll-up."""
+    days = [dates.day_of(m) for m in monitor.restated_moments(AS_OF)]
+    source = monitor.monitor_rows(stored_runs(t, work_folder(t)), t.snapshot, days)
+    return monitor.merge_monitor(source, t.monitor(), days)
+
+
+@query
+def snapshot_refreshed(t: Inputs) -> DataFrame:
+    """A stored snapshot with part of the history, older users and other costs, then brought up to date."""
+    root, past = work_folder(t), stored(t.history())
+    kept = f"{root}/{refresh.HISTORY}"
+    day = F.to_date("data_carga")
+    late = day >= dates.date_lit(AS_OF)
+    used = [PROJECT, SNAPSHOT_USERS, SNAPSHOT_PREFIXES]
+    older = t.access_log.filter(F.pmod(F.xxhash64("table_id"), F.lit(3)) > 0)
+    dearer = t.table_costs.withColumn("yearly_cost", F.col("yearly_cost") + F.when(F.col("table_id").like("%7"), 1).otherwise(0))
+    for rows, log, table_costs in ((past.filter(~late), older, dearer), (past, t.access_log, t.table_costs)):
+        replace_load_days(rows, kept, "data_carga")
+        facts = snapshot.table_facts(log, table_costs, *used)
+        # One value for each late day.
+        days = [r[0] for r in past.filter(late).select(day).distinct().collect()]
+        paths = f"{root}/{refresh.SNAPSHOT}", f"{root}/{refresh.FACTS}"
+        snapshot.refresh_snapshot(t.spark, read_stored(t.spark, kept, schemas.HISTORY), facts, *paths, days, PROJECT)
+    return read_stored(t.spark, f"{root}/{refresh.SNAPSHOT}", schemas.SNAPSHOT).select(*schemas.SNAPSHOT.names)

@@ -153,7 +153,8 @@ def test_monitoring_run_twice(spark, tmp_path):
     past, seen = run(as_of)
     assert Counter(r[0] for r in rows(past, "status")) == {"atualizado": snapshots}
     assert seen.count() == monitored
-    assert spark.read.parquet(f"{root}/{refresh.DETAILS}").count() == 2 * 4
+    # Its details are replaced.
+    assert spark.read.parquet(f"{root}/{refresh.DETAILS}").count() == 4
 
     # Five days later the old load days are not touched.
     before = counted(past.filter("dia_particao < '2024-01-12'"))
