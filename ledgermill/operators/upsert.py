@@ -29,8 +29,10 @@ def upsert(
 
     Only rows that can be updated are shuffled with the source; all other target
     rows pass straight through. Source rows are collapsed per key and target keys are
-    made distinct before their joins, so no key brings its copies into one task. The
-    source is read three times and must be the same each time, so it is stored first.
+    made distinct before their joins, so no key brings its copies into one task. The collapse
+    is a hash aggregate on a count and a row number; the texts of the source row are fetched by
+    that number for the rows that are hit. The source is read more than once and must be the
+    same each time, so it is stored first.
     """
     columns = target.columns
     set_cols = list(set_cols or columns)
@@ -40,7 +42,8 @@ def upsert(
     keyed = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
 
     old = target.withColumns(key_values)
-    new = stored(source.select(*columns)).withColumns(key_values)
+    numbered = stored(source.select(*columns, F.monotonically_increasing_id().alias("_row")))
+    new = numbered.withColumns(key_values)
 
     may_update = keyed if update_when is None else keyed & F.coalesce(update_when, F.lit(False))
     untouched = old.filter(~may_update).select(*columns)
@@ -48,8 +51,10 @@ def upsert(
     collapsed = (
         new.filter(keyed)
         .groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("_found"), F.max(F.struct(*set_cols)).alias("_new"))
+        .agg(F.count(F.lit(1)).alias("_found"), F.max("_row").alias("_row"))
     )
+    # The only source row of a key that is hit, so the choice by number is none.
+    payload = numbered.select("_row", F.struct(*set_cols).alias("_new"))
     clash = F.raise_error(F.lit("several source rows update one target row")).cast("boolean")
     hit = F.when(F.col("_found") > 1, clash).otherwise(F.col("_found") == 1)
 
@@ -66,6 +71,7 @@ def upsert(
         old.filter(may_update)
         .join(collapsed, names, "left")
         .withColumn("_hit", hit)
+        .join(payload, "_row", "left")
         .select(*[merged(c) for c in columns])
     )
     taken = old.filter(keyed).select(*names).distinct()
