@@ -7,13 +7,15 @@
    found are joined into components, so a group of near copies soon is one component.
 3. What is left are buckets that hold more than one component. Shingles that only one document in such buckets
    has are in no intersection, which bounds a document's similarity with any other: whoever cannot reach the
-   threshold has no links and leaves. Buckets that still are mixed are compared between the components in
-   blocks of bounded size, by signature and by that bound, and what agrees is confirmed on full sets. After
-   that no pair that shares a bucket is left out, and no bucket has been expanded into all its pairs.
+   threshold has no links and leaves. The others are clustered by the buckets they share. In a cluster each
+   document travels once with its set, or, in a large cluster, once to each pair of blocks; the tasks compare
+   documents of different components by that bound, by signature and on full sets, and return only links that
+   join two components of what they have seen, so fewer than a block has members.
 4. Components of all links, by alternating large-star and small-star.
 
-A pair with similarity 0.85 shares no bucket with probability (1 - 0.85^4)^32 < 1e-10, and agrees in
-fewer than 84 of 128 minima with about 1e-9.
+A pair with similarity 0.85 shares no bucket with probability (1 - 0.85^4)^32 < 1e-10, one with 0.80
+with 5e-8. Signatures may agree six standard deviations less than expected (``least_agreement``), which
+leaves out about one link in a hundred million.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.llm.components import connected_components
@@ -33,13 +35,11 @@ BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
 #: Bands of each round of stars.
 ROUNDS = ((0, 2), (2, 8), (8, 20), (20, 32))
-#: Minima of 8 bits each that must agree before full sets are compared.
-AGREE = 84
-#: Times at most that documents which cannot have links are taken out; each time others are left with more
-#: shingles of their own. Stopping early costs comparisons, never a link.
-BOUNDS = 8
-#: Classes of a block, in which a bucket with several components is compared.
-BLOCK = 256
+#: Documents which cannot have links are taken out again as long as that takes out this share of the rest, for
+#: others are then left with more shingles of their own. Stopping early costs comparisons, never a link.
+FEWER = 0.1
+#: Shingles of a block of a cluster, about.
+BLOCK_SHINGLES = 200_000
 
 _random = np.random.Generator(np.random.PCG64(20240229))
 #: Multiply-shift: (a * x + b) mod 2^64 >> 32 is strongly universal for 32-bit x.
@@ -127,33 +127,43 @@ def _full_sets(width: int, id_col: str, text_col: str):
     return run
 
 
-def _agreeing(percent: int):
-    """Rows with a pair of blocks (or a block and null, for itself): agreeing pairs of different components.
-
-    A pair is named in the first band whose bucket it shares, and nowhere else.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = [], []
-            for row in batch.to_pylist():
-                one, two = row["one"], row["two"] or row["one"]
-                x = np.frombuffer(b"".join(r["minima"] for r in one), np.uint8).reshape(len(one), MINIMA)
-                y = np.frombuffer(b"".join(r["minima"] for r in two), np.uint8).reshape(len(two), MINIMA)
-                cx, ix, nx, sx = (np.array([r[c] for r in one]) for c in ("component", "id", "n", "common"))
-                cy, iy, ny, sy = (np.array([r[c] for r in two]) for c in ("component", "id", "n", "common"))
-                kx, ky = (np.array([r["bands"] for r in rows]) for rows in (one, two))
-                for i in range(len(one)):
-                    most = np.minimum(sx[i], sy)
-                    apart = (cy != cx[i]) & (100 * most >= percent * (nx[i] + ny - most))
-                    if row["two"] is None:
-                        apart &= iy > ix[i]
-                    some = np.flatnonzero(apart)
-                    some = some[(y[some] == x[i]).sum(axis=1) >= AGREE]
-                    for j in some[(ky[some] == kx[i]).argmax(axis=1) == row["band"]]:
-                        left.append(min(ix[i], iy[j]))
-                        right.append(max(ix[i], iy[j]))
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["u", "v"])
+def least_agreement(percent: int) -> int:
+    """Minima of 8 bits each that must agree before full sets are compared."""
+    share = percent / 100
+    return int(MINIMA * share - 6 * (MINIMA * share * (1 - share)) ** 0.5)
+
+
+def _joining_links(percent: int):
+    """For the documents of two blocks (or one): confirmed links, each of which joins two components."""
+    least = least_agreement(percent)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, of, n, common, part = (table.column(c).to_numpy() for c in ("id", "component", "n", "common", "part"))
+        minima = np.frombuffer(b"".join(table.column("minima").to_pylist()), np.uint8).reshape(-1, MINIMA)
+        column = table.column("shingles").chunk(0)
+        offsets, values = column.offsets.to_numpy(), column.values.to_numpy()
+        sets = [np.sort(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        _, root = np.unique(of, return_inverse=True)
+        across = len(np.unique(part)) > 1
+        left, right = [], []
+        for i in range(len(ids)):
+            most = np.minimum(common[i], common)
+            able = (root != root[i]) & (100 * most >= percent * (n[i] + n - most))
+            able[: i + 1] = False
+            if across:
+                able &= part != part[i]
+            some = np.flatnonzero(able)
+            for j in some[(minima[some] == minima[i]).sum(axis=1) >= least]:
+                if root[i] == root[j]:
+                    continue
+                one, two = (sets[i], sets[j]) if n[i] < n[j] else (sets[j], sets[i])
+                both = int((two[np.minimum(np.searchsorted(two, one), len(two) - 1)] == one).sum())
+                if 100 * both >= percent * (n[i] + n[j] - both):
+                    left.append(min(ids[i], ids[j]))
+                    right.append(max(ids[i], ids[j]))
+                    root[root == root[j]] = root[i]
+        return pa.table({"u": pa.array(left, pa.int64()), "v": pa.array(right, pa.int64())})
 
     return run
 
@@ -204,19 +214,21 @@ def near_duplicates(
     for low, high in ROUNDS:
         stars = shared.filter((F.col("band") >= low) & (F.col("band") < high) & (F.col("id") != F.col("u")))
         stars = stars.select(F.least("id", "u").alias("u"), F.greatest("id", "u").alias("v")).distinct()
-        found = stored(confirmed(_alike(_apart(stars, first), marks), sets, percent))
+        # Stored, so that Spark knows how few they are and need not shuffle the sets.
+        alike = stored(_alike(_apart(stars, first), marks, percent))
+        found = stored(confirmed(alike, sets, percent))
         links = found if links is None else links.union(found)
         first = connected_components(links)
 
-    rest = stored(_mixed(shared.select("band", "key", "id"), first))
-    before = None
-    for _ in range(BOUNDS):
+    rest, before = stored(_mixed(shared.select("band", "key", "id"), first)), None
+    while True:
         able = _linkable(sets.join(rest.select("id").distinct(), "id"), percent)
-        if before == (before := able.count()):
-            break
         rest = stored(_mixed(rest.select("band", "key", "id").join(able.select("id"), "id"), first))
-    more = stored(_between_components(rest, classes.select("id", "minima", "bands").join(able, "id"), percent))
-    found = confirmed(more, sets, percent)
+        held = able.count()
+        if held == 0 or before is not None and held > (1 - FEWER) * before:
+            break
+        before = held
+    found = stored(_between_components(rest, able.join(marks, "id").join(sets, "id"), percent))
     nodes = connected_components(links.union(found)).withColumnRenamed("node", "id")
 
     joined = (
@@ -240,15 +252,16 @@ def _apart(pairs: DataFrame, components: DataFrame | None) -> DataFrame:
     return named.filter(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v")
 
 
-def _alike(pairs: DataFrame, marks: DataFrame) -> DataFrame:
-    """Pairs whose signatures agree in AGREE minima or more."""
+def _alike(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose signatures agree enough."""
+    least = least_agreement(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (
                 np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, MINIMA) for c in ("x", "y")
             )
-            keep = (x == y).sum(axis=1) >= AGREE
+            keep = (x == y).sum(axis=1) >= least
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     one = marks.select(F.col("id").alias("u"), F.col("minima").alias("x"))
@@ -284,21 +297,30 @@ def _sets_of(source: DataFrame, ids: DataFrame, width: int, id_col: str, text_co
     return stored(sets)
 
 
-def _between_components(rest: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
-    """Agreeing pairs of one bucket and different components, from blocks and pairs of blocks."""
-    parts = F.ceil(F.col("held") / BLOCK).cast("int")
-    blocks = (
-        rest.join(marks, "id")
-        .withColumn("parts", parts)
-        .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-        .groupBy("band", "key", "parts", "part")
-        .agg(F.collect_list(F.struct("id", "component", "minima", "bands", "n", "common")).alias("one"))
+def _between_components(rest: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
+    """Links that join components of one cluster, from blocks and pairs of blocks.
+
+    ``documents`` has id, n, common, minima and shingles. A cluster is what mixed buckets connect.
+    """
+    least = F.min("id").over(Window.partitionBy("band", "key"))
+    edges = rest.select("id", least.alias("u")).filter("id <> u").select("u", F.col("id").alias("v"))
+    clusters = connected_components(edges.distinct())
+    own = rest.select("id", "component").distinct()
+    placed = (
+        documents.join(own, "id")
+        .join(clusters.select(F.col("node").alias("id"), F.col("component").alias("cluster")), "id", "left")
+        .withColumn("cluster", F.coalesce("cluster", "id"))
     )
-    alone = blocks.select("band", "one", F.lit(None).cast(blocks.schema["one"].dataType).alias("two"))
-    # Each block meets every later block of its bucket.
-    ahead = blocks.filter("parts > 1 and part < parts - 1").select(
-        "band", "key", "one", F.explode(F.sequence(F.col("part") + 1, F.col("parts") - 1)).alias("part")
+    sizes = placed.groupBy("cluster").agg(F.sum("n").alias("total"), F.min("component").alias("a"), F.max("component").alias("b"))
+    parts = F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int")
+    sizes = sizes.filter("a <> b").select("cluster", parts.alias("parts"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    sent = (
+        placed.join(sizes, "cluster")
+        .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+        .withColumn("other", other)
+        .withColumn("i", F.least("part", "other"))
+        .withColumn("j", F.greatest("part", "other"))
     )
-    later = blocks.select("band", "key", "part", F.col("one").alias("two"))
-    met = ahead.join(later, ["band", "key", "part"]).select("band", "one", "two")
-    return alone.union(met).mapInArrow(_agreeing(percent), "u long, v long")
+    kept = ("cluster", "i", "j", "part", "id", "component", "n", "common", "minima", "shingles")
+    return sent.select(*kept).groupBy("cluster", "i", "j").applyInArrow(_joining_links(percent), "u long, v long")

@@ -2,9 +2,11 @@
 
 import re
 from itertools import combinations
+from random import Random
 
 import pytest
 
+from ledgermill.llm import minhash
 from ledgermill.llm.minhash import near_duplicates
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -55,6 +57,31 @@ def test_chain_of_edits_in_one_large_bucket(texts_frame):
     assert got == brute(rows, 3, 85)
 
 
+def test_pages_of_one_template_below_the_threshold(texts_frame, monkeypatch):
+    """No text is linked with another; the pair stage returns next to nothing, whatever the number of texts."""
+    random = Random(5)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(240):
+        words = list(base)
+        for j in random.sample(range(120), 5):
+            words[j] = f"x{i}of{j}"
+        texts.append((i, " ".join(words)))
+    texts += [(1000 + i, f"{' '.join(base)} tail{i}") for i in range(4)]
+    seen = []
+
+    def counted(*given):
+        seen.append(minhash_links(*given))
+        return seen[-1]
+
+    minhash_links = minhash._between_components
+    monkeypatch.setattr(minhash, "_between_components", counted)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 5_000)
+    got = {tuple(r) for r in near_duplicates(texts_frame(texts), 3, 85).collect()}
+    assert got == brute(texts, 3, 85)
+    assert seen[0].count() <= len(texts)
+
+
 def test_odd_rows(texts_frame):
     long = " ".join(f"v{i}" for i in range(60_000))
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "ONE"), (6, "one two"), (7, "One\ttwo\x0b"), (8, "é É"), (9, "É É")]
