@@ -2,7 +2,7 @@
 
 1. Every text becomes its set of word shingles, one minimum for each of 128 universal hash functions,
    and 32 bands of four minima. Texts with the same set are one class from here on.
-2. Rounds over a few bands at a time: in each bucket the classes of other components than its centre's are
+2. Rounds over the first bands: in each bucket the classes of other components than its centre's are
    compared with the centre, a member drawn by hash, first by signature, then on full sets. The links
    found are joined into components, so a group of near copies soon is one component.
 3. What is left are buckets that hold more than one component. Shingles that only one document in such buckets
@@ -33,8 +33,9 @@ from ledgermill.session import stored
 
 BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
-#: Bands of each round of stars.
-ROUNDS = ((0, 2), (2, 8), (8, 20), (20, 32))
+#: Bands of each round of stars. They make few components of large groups; what is left is compared in clusters
+#: over all bands.
+ROUNDS = ((0, 2), (2, 8))
 #: Documents which cannot have links are taken out again as long as that takes out this share of the rest, for
 #: others are then left with more shingles of their own. Stopping early costs comparisons, never a link.
 FEWER = 0.1
@@ -209,16 +210,16 @@ def near_duplicates(
     drawn = F.min(F.struct(F.xxhash64("id", "band").alias("draw"), F.col("id").alias("u")))
     centres = stored(entries.groupBy("band", "key").agg(drawn.alias("drawn"), F.count("*").alias("held")).filter("held > 1"))
     shared = stored(entries.join(centres, ["band", "key"]).select("band", "key", "held", "id", F.col("drawn.u").alias("u")))
-    sets = _sets_of(source, shared.select("id").distinct(), width, id_col, text_col)
-    links = first = None
+    # Stored, so that Spark knows how few they are and need not shuffle the texts.
+    sets = _sets_of(source, stored(shared.select("id").distinct()), width, id_col, text_col)
+    first = None
     for low, high in ROUNDS:
         stars = shared.filter((F.col("band") >= low) & (F.col("band") < high) & (F.col("id") != F.col("u")))
         stars = stars.select(F.least("id", "u").alias("u"), F.greatest("id", "u").alias("v")).distinct()
         # Stored, so that Spark knows how few they are and need not shuffle the sets.
         alike = stored(_alike(_apart(stars, first), marks, percent))
         found = stored(confirmed(alike, sets, percent))
-        links = found if links is None else links.union(found)
-        first = connected_components(links)
+        first = connected_components(found if first is None else _named(first).union(found))
 
     rest, before = stored(_mixed(shared.select("band", "key", "id"), first)), None
     while True:
@@ -229,7 +230,7 @@ def near_duplicates(
             break
         before = held
     found = stored(_between_components(rest, able.join(marks, "id").join(sets, "id"), percent))
-    nodes = connected_components(links.union(found)).withColumnRenamed("node", "id")
+    nodes = connected_components(_named(first).union(found)).withColumnRenamed("node", "id")
 
     joined = (
         sketched.join(classes.select("d1", "d2", "n_shingles", "id"), ["d1", "d2", "n_shingles"], "left")
@@ -242,6 +243,11 @@ def near_duplicates(
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
+def _named(components: DataFrame) -> DataFrame:
+    """Components as links of their members with their name."""
+    return components.select(F.col("node").alias("u"), F.col("component").alias("v"))
+
+
 def _apart(pairs: DataFrame, components: DataFrame | None) -> DataFrame:
     """Pairs that are not in one component yet."""
     if components is None:

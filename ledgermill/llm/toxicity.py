@@ -107,6 +107,8 @@ class Model:
     rate: float  # lambda
     size: float  # K
     curve: tuple[float, float]
+    #: Whether there was a labelled row to learn from.
+    fitted: bool = True
 
     def evidence(self, best: list[float], m: int) -> float:
         """-ln of the chance that a clean text of ``m`` words has segments as good, over the best ``r``."""
@@ -291,7 +293,7 @@ def fit(
     weight = sum(r["m"] * math.exp(-rate * (r["best"][0] if r["best"] else 0.0)) for r in clean)
     law = Model(known, rate, len(clean) / weight if weight else 1.0, (0.0, 0.0))
     x = np.array([law.feature(r["best"], r["m"]) for r in looked])
-    return Model(known, rate, law.size, _curve(x, np.array([float(r["label"] > 0) for r in looked])))
+    return Model(known, rate, law.size, _curve(x, np.array([float(r["label"] > 0) for r in looked])), bool(looked))
 
 
 RESULT = "score double, n_words long, passages array<struct<start:int,end:int,score:double,expect:double>>"

@@ -26,9 +26,19 @@ def local_session(cores: int | str = "*", app: str = "ledgermill", **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``; without it, the warehouse."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; without it, the warehouse.
+
+    A warehouse in a folder of one machine will do only where everything runs on that machine.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
+    return folder or in_warehouse(spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master)
+
+
+def in_warehouse(warehouse: str, master: str) -> str:
+    here = warehouse.startswith(("file:", "/")) or "://" not in warehouse
+    if here and not master.startswith("local"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share; {warehouse} may not be one")
+    return f"{warehouse.rstrip('/')}/_intermediate"
 
 
 #: What ``stored`` has written in this process and not removed.
@@ -44,10 +54,14 @@ def intermediate(spark: SparkSession) -> Iterator[None]:
     finally:
         paths = _written[before:]
         del _written[before:]
-        files = spark.sparkContext._jvm.org.apache.hadoop.fs
-        for path in paths:
-            place = files.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        remove(spark, paths)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in paths:
+        place = files.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -58,8 +72,14 @@ def stored(df: DataFrame) -> DataFrame:
     under the application id, so they can be removed when the application has ended;
     ``intermediate`` removes them earlier.
     """
+    found, path = stored_at(df)
+    _written.append(path)
+    return found
+
+
+def stored_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """What ``stored`` does, and the folder; ``intermediate`` does not remove it, the caller does."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    _written.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path

@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgermill.session import stored
+
 YEAR = "ano_fonte"
+#: Column of a line that does not fit the schema.
+REJECTED = "_linha_rejeitada"
 
 
 def _shape(schema: T.StructType) -> dict[str, str]:
@@ -38,6 +42,24 @@ def read_table(
     return df.select(*wanted)
 
 
+def read_forms(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit ``schema``, rejected lines with their file) of CSV files that people filled in.
+
+    The header must name the schema's columns. A line with a value that does not parse, or with too few or too
+    many values, is rejected as a whole and does not fail the job. The files are parsed once, with all columns, and
+    what was parsed is stored, so that every query sees the same lines rejected.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+    found = (
+        spark.read.schema(whole)
+        .options(header=True, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED)
+        .csv(path)
+        .withColumn("arquivo", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    )
+    found, bad = stored(found), F.col(REJECTED).isNotNull()
+    return found.filter(~bad).select(*schema.names), found.filter(bad).select("arquivo", F.col(REJECTED).alias("linha"))
+
+
 def stack_years(tables: Mapping[int, DataFrame]) -> DataFrame:
     """One DataFrame from one table per source year, with the year as a column."""
     marked = [df.withColumn(YEAR, F.lit(year)) for year, df in sorted(tables.items())]

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ledgermill import schemas
-from ledgermill.sources.readers import read_table
+from ledgermill.sources.readers import read_forms, read_table
 
 #: Partition columns: the day of a row, and the run that appended it.
 LOAD_DAY, RUN_NAME = "dia_particao", "execucao"
@@ -58,6 +58,14 @@ def swap(system, fresh, place, old) -> None:
     system.delete(old, True)
 
 
+def load_forms(spark: SparkSession, path: str, schema: T.StructType, rejected: str) -> DataFrame:
+    """The rows of form files that fit ``schema``; the lines that do not are kept in the table ``rejected``, which
+    is replaced, so a repaired file empties it."""
+    rows, lines = read_forms(spark, path, schema)
+    replace_table(lines, rejected)
+    return rows
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         return bool(spark.read.parquet(path).columns)

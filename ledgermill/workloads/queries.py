@@ -22,7 +22,7 @@ from ledgermill.plans import access, balance, history, inventory, jobs, ledger,
 from ledgermill.session import shared_folder, stored
 from ledgermill.sources.joblog import append_jobs, changed_days, read_jobs
 from ledgermill.sources.readers import read_table, read_years
-from ledgermill.sources.writers import read_stored, remove_load_days, replace_load_days, replace_table
+from ledgermill.sources.writers import load_forms, read_stored, remove_load_days, replace_load_days, replace_table
 from ledgermill.workloads.inputs import (
     AS_OF,
     CATEGORIES,
@@ -537,3 +537,49 @@ def snapshot_refreshed(t: Inputs) -> DataFrame:
         paths = f"{root}/{refresh.SNAPSHOT}", f"{root}/{refresh.FACTS}"
         snapshot.refresh_snapshot(t.spark, read_stored(t.spark, kept, schemas.HISTORY), facts, *paths, days, PROJECT)
     return read_stored(t.spark, f"{root}/{refresh.SNAPSHOT}", schemas.SNAPSHOT).select(*schemas.SNAPSHOT.names)
+
+
+def forms_as_files(t: Inputs, name: str, schema, root: str) -> DataFrame:
+    """A form table written as CSV, with lines that do not parse among the others, and loaded from there."""
+    path, rows = f"{root}/{name}", stored(schemas.conform(getattr(t, name), schema))
+    rows.write.option("header", True).csv(path)
+    broken = t.orders.filter("o_orderkey % 50 = 0").select(
+        *[F.concat(F.lit("??"), F.col("o_orderkey").cast("string")).alias(c) for c in schema.names]
+    )
+    broken.write.mode("append").option("header", True).csv(path)
+    return load_forms(t.spark, path, schema, f"{root}/{name}_rejeitadas")
+
+
+@query
+def consolidated_cost_files(t: Inputs) -> DataFrame:
+    return ledger.consolidated_cost(t.costs, forms_as_files(t, "cost_forms", schemas.COST_FORM, work_folder(t)), FORECAST_YEAR)
+
+
+@query
+def receipts_forecast_files(t: Inputs) -> DataFrame:
+    forms = forms_as_files(t, "receipt_forms", schemas.RECEIPT_FORM, work_folder(t))
+    return ledger.receipts_with_forecast(t.receipts, forms, LEDGER_AS_OF, datetime(2024, 1, 31, 12, 0), SINCE)
+
+
+@query
+def rejected_lines(t: Inputs) -> DataFrame:
+    """The lines of the receipt forms that were kept aside."""
+    root = work_folder(t)
+    forms_as_files(t, "receipt_forms", schemas.RECEIPT_FORM, root)
+    return t.spark.read.parquet(f"{root}/receipt_forms_rejeitadas").select("linha")
+
+
+@query
+def last_access_newest_first(t: Inputs) -> DataFrame:
+    """The place of each row in the ordered result, equal days counting as one place."""
+    tables = t.catalog
+    ordered = access.last_access_flags(t.access_log, tables, PROJECT, FLAG_USERS, FLAG_PREFIXES, newest_first=True)
+    kept = stored(ordered.select("dataset_id", "table_id", "access_date", F.monotonically_increasing_id().alias("at")))
+    days = kept.groupBy("access_date").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    # One entry for each day, in the order of the rows; a day is unbroken if it ends before the next begins.
+    order = days.agg(F.array_sort(F.collect_set(F.struct("first", "last", "access_date"))).alias("days"))
+    placed = F.expr(
+        "transform(days, (x, i) -> struct(x.access_date, i + 1L as place,"
+        " i = size(days) - 1 or x.last < days[least(i + 1, size(days) - 1)].first as unbroken))"
+    )
+    return kept.drop("at").join(order.select(F.inline(placed)), "access_date")

@@ -84,12 +84,23 @@ def test_odd_rows(spark, texts_frame, tmp_path):
     documents.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    # Without labels nothing is known to be clean, so the first stage is left out here.
-    docs = documents
-    for _, stage in corpus_pipeline.STAGES[1:]:
-        docs = stage(spark, docs, str(tmp_path))
-    got = sorted(str(r.doc_id) for r in docs.collect())
-    assert got == ["3", "5", "None"] or got == ["5", "None"] or "5" in got
+    # Without labels every document stays in the first stage. Then 3, 4 and the nameless one are a group, of which 3
+    # stays once; both texts of 5 stay, and so do the texts without words, which the mix leaves out.
+    docs, kept = documents, {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path)).cache()
+        kept[name] = sorted(((str(r.doc_id), r.text) for r in docs.collect()), key=str)
+    assert kept["toxicity"] == sorted(((str(i), t) for i, t in rows), key=str)
+    assert kept["line dedup"] == sorted(((str(i), t or "") for i, t in rows), key=str)
+    assert kept["near dedup"] == [("1", ""), ("2", ""), ("3", text), ("5", "a line of more than twenty\nb"), ("5", "c")]
+    assert kept["decontamination"] == kept["near dedup"]
+    # Sources 0 and 2 hold 40 words and 7 + 1, their weights are 1 and 2: targets 24 and 24.
+    assert {c: t for c, t in docs.dtypes if "taken" in c} == {"taken": "string", "mix_taken": "bigint"}
+    assert set(docs.columns) >= {*documents.columns, "mix_size", "source_size", "target", "mix_taken", "copies"}
+    by_text = {r.text: (r.doc_id, r.mix_size, r.source_size, r.mix_taken, r.copies, r.taken) for r in docs.collect()}
+    assert by_text == {
+        "a line of more than twenty\nb": (5, 7, 8, 21, 3, "x"), "c": (5, 1, 8, 3, 3, "x"),
+    }
     empty = documents.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, str(tmp_path))

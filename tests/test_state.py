@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from helpers import counted, d, rows, ts
 from ledgermill import schemas
 from ledgermill.plans import history, jobs, monitor, rollup, snapshot
-from ledgermill.session import stored
+from ledgermill.session import in_warehouse, stored
 from ledgermill.sources import writers
 from ledgermill.sources.joblog import append_jobs, changed_days, read_jobs
 from test_monitoring import P, job, job_log
@@ -174,3 +174,41 @@ def test_a_repeated_run_replaces_its_own_rows(spark, tmp_path):
     assert counted(writers.on_load_days(found, [d("2024-01-02")])) == {("c", ts("2024-01-02 10:00:00")): 1, ("d", ts("2024-01-02 11:00:00")): 1}
     with pytest.raises(ValueError, match="not in the table"):
         writers.append_run(stored(make(("e", None)).withColumn("more", F.lit(1))), path, schema, "r3", "at")
+
+
+def test_form_lines_that_do_not_fit_are_kept_aside(spark, tmp_path):
+    path, rejected = f"{tmp_path}/forms", f"{tmp_path}/rejected"
+    os.makedirs(path)
+    head = ",".join(schemas.RECEIPT_FORM.names)
+    with open(f"{path}/a.csv", "w", encoding="utf-8") as file:
+        file.write(f"{head}\naluguel,2024-01-05,2024-01-01,10.5\nx,2024-13-05,2024-01-01,1.0\n,,,\nshort,2024-01-05\nx,2024-01-05,2024-01-01,dez\n")
+    with open(f"{path}/b.csv", "w", encoding="utf-8") as file:
+        file.write(f"{head}\nçédille,2024-02-05,2024-02-01,-1\nlong,2024-01-05,2024-01-01,1.0,more\n")
+    found = writers.load_forms(spark, path, schemas.RECEIPT_FORM, rejected)
+    want = {
+        ("aluguel", d("2024-01-05"), d("2024-01-01"), 10.5): 1, (None, None, None, None): 1,
+        ("çédille", d("2024-02-05"), d("2024-02-01"), -1.0): 1,
+    }
+    assert counted(found) == want
+    # A query that needs one column rejects the same lines.
+    assert counted(found, "descricao") == {(k[0],): 1 for k in want}
+    kept = spark.read.parquet(rejected)
+    assert counted(kept, "arquivo") == {("a.csv",): 3, ("b.csv",): 1}
+    assert "x,2024-13-05,2024-01-01,1.0" in {r[0] for r in rows(kept, "linha")}
+    os.remove(f"{path}/b.csv")
+    with open(f"{path}/a.csv", "w", encoding="utf-8") as file:
+        file.write(f"{head}\naluguel,2024-01-05,2024-01-01,10.5\n")
+    assert writers.load_forms(spark, path, schemas.RECEIPT_FORM, rejected).count() == 1
+    assert spark.read.parquet(rejected).count() == 0
+    with open(f"{path}/a.csv", "w", encoding="utf-8") as file:
+        file.write("a,b,c,d\naluguel,2024-01-05,2024-01-01,10.5\n")
+    with pytest.raises(Exception):
+        writers.load_forms(spark, path, schemas.RECEIPT_FORM, rejected)
+
+
+def test_a_folder_of_one_machine_is_refused_on_a_cluster():
+    assert in_warehouse("file:/x/w", "local[8]") == "file:/x/w/_intermediate"
+    assert in_warehouse("hdfs://n/w/", "yarn") == "hdfs://n/w/_intermediate"
+    for warehouse in ("file:/x/w", "/x/w", "w"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            in_warehouse(warehouse, "yarn")
