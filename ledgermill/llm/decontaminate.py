@@ -1,8 +1,8 @@
 """Benchmark passages in documents: latent semantic retrieval, then common subsequences.
 
 1. Every text becomes the places of the words that occur in the benchmark; no other word can
-   add to a product with a benchmark passage. Words in more than a hundredth of all passages
-   weigh nothing, the others by inverse passage frequency over all documents. Words in a copied run
+   add to a product with a benchmark passage. Words in more than a hundredth of all passages (and in more than 20,
+   for in a few passages nothing is common) weigh nothing, the others by inverse passage frequency over all documents. Words in a copied run
    of an item are not counted, so an item cannot make its own words common by leaking often.
 2. Randomised SVD of the TF-IDF matrix of all passages (blocks of 32 words of every document, and the
    benchmark's own): random vectors are multiplied by the matrix and its transpose in two passes over
@@ -20,12 +20,15 @@ The benchmark is worked off in slices of bounded size, so what is broadcast is b
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,10 +51,14 @@ HELD = 0.4
 RUN, RUNS = 3, 1 / 12
 #: Words in a row that are taken for copied from an item.
 COPY = 5
-#: Items and distinct words of a slice of the benchmark.
-SLICE_ITEMS, MAX_TERMS = 2_000, 1 << 17
-#: Places that a task works on at once; rows of a partial sum that travel together.
-STEP, SUM_ROWS = 30_000, 1024
+#: Items and words of a slice of the benchmark, about.
+SLICE_ITEMS, SLICE_WORDS = 2_000, 1 << 17
+#: Places that a task works on at once, words compared at once, and rows of a partial sum that travel together.
+STEP, COMPARED, SUM_ROWS = 30_000, 1_000_000, 1024
+#: Groups in which the tasks' partial sums are added up before these are added.
+SUM_GROUPS = 32
+#: An odd number; runs of words are told apart by a polynomial in it, modulo 2^64. A clash costs a comparison.
+RUN_BASE = 0x5851F42D4C957F2D
 CACHE_WORDS, CACHE_BYTES = 200_000, 64
 
 
@@ -72,15 +79,19 @@ class Item:
     tail: list[int]  # the answer and what stands before it
 
 
+_LOWER = bytes(range(256)).lower()
+_NO_LETTER = bytes(c for c in range(128) if not chr(c).isalnum())
+
+
 class Terms(dict):
     """Word bytes -> number of the benchmark word; -1 for others, -2 for what holds no letter or digit."""
 
     def __init__(self, numbers: dict[str, int]):
         super().__init__()
-        self.numbers = numbers
+        self.numbers = {w.encode(): n for w, n in numbers.items()}
 
     def __missing__(self, word: bytes) -> int:
-        form = normal_word(word)
+        form = word.translate(_LOWER, _NO_LETTER) if word.isascii() else normal_word(word).encode()
         value = self.numbers.get(form, -1) if form else -2
         if len(word) <= CACHE_BYTES:
             if len(self) >= CACHE_WORDS:
@@ -133,7 +144,6 @@ def _steps(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
 class Runs:
     """Word runs of the passages, as sorted numbers; run i is in ``passage[start[i] : start[i + 1]]``."""
 
-    base: int
     lengths: tuple[int, ...]
     number: np.ndarray
     start: np.ndarray
@@ -142,18 +152,17 @@ class Runs:
     needed: np.ndarray  # runs of each passage
 
 
-def _numbers(term: np.ndarray, base: int, length: int) -> np.ndarray:
+def _numbers(term: np.ndarray, length: int) -> np.ndarray:
     """A number for each run of ``length`` terms; runs of other lengths have other numbers."""
     n = max(0, len(term) - length + 1)
     out = np.zeros(n, np.int64)
     for i in range(length):
-        out = out * base + term[i : i + n] + 1
+        out = out * RUN_BASE + term[i : i + n] + 1
     return out
 
 
-def word_runs(passages: list[list[int]], size: int) -> Runs:
-    base = size + 1  # at most MAX_TERMS, so three of them fit
-    own = [np.unique(_numbers(np.array(x, np.int64), base, min(RUN, len(x)))) if x else np.empty(0, np.int64) for x in passages]
+def word_runs(passages: list[list[int]]) -> Runs:
+    own = [np.unique(_numbers(np.array(x, np.int64), min(RUN, len(x)))) if x else np.empty(0, np.int64) for x in passages]
     number = np.concatenate([*own, np.empty(0, np.int64)])
     passage = np.repeat(np.arange(len(own)), [len(x) for x in own])
     order = np.argsort(number, kind="stable")
@@ -161,14 +170,14 @@ def word_runs(passages: list[list[int]], size: int) -> Runs:
     words = np.array([len(x) for x in passages])
     needed = np.maximum(1, (RUNS * (words - RUN + 1)).astype(int))
     lengths = tuple(sorted({min(RUN, len(x)) for x in passages if x}))
-    return Runs(base, lengths, names, np.append(start, len(number)), passage[order], words, needed)
+    return Runs(lengths, names, np.append(start, len(number)), passage[order], words, needed)
 
 
 def _run_places(runs: Runs, row: np.ndarray, term: np.ndarray, lengths: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
     """(index of its first word, place in ``runs.number``) of each run that a passage holds; other words are passed over."""
     at, found = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for length in lengths:
-        number = _numbers(term, runs.base, length)
+        number = _numbers(term, length)
         if len(number) and len(runs.number):
             i = np.minimum(np.searchsorted(runs.number, number), len(runs.number) - 1)
             own = np.flatnonzero((runs.number[i] == number) & (row[: len(number)] == row[length - 1 :]))
@@ -218,22 +227,25 @@ def _runs(row: np.ndarray, part: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(new)))
 
 
-def _gram(where: np.ndarray, term: np.ndarray, weight: np.ndarray, basis: np.ndarray, out: np.ndarray) -> None:
-    """Adds A'(A basis) of some passages, scaled to unit length, to ``out``; ``where`` ascends."""
+def _gram(where: np.ndarray, term: np.ndarray, weight: np.ndarray, weighted: np.ndarray, out: np.ndarray) -> None:
+    """Adds A'(A basis) of some passages, scaled to unit length, to ``out``; ``where`` ascends.
+
+    ``weighted`` is the basis times the weights, in single precision; ``out`` adds up in double precision.
+    """
     if not len(term):
         return
-    w = weight[term]
     starts = np.flatnonzero(np.diff(where, prepend=-1))
     # Term frequencies: equal terms of a passage are added before the norm.
     key = where.astype(np.int64) * len(weight) + term
     names, count = np.unique(key, return_counts=True)
     norm2 = np.bincount(names // len(weight), (weight[names % len(weight)] * count) ** 2, minlength=where[-1] + 1)
-    rows = np.add.reduceat(basis[term] * w[:, None], starts, axis=0) / norm2[where[starts]][:, None]
+    rows = np.add.reduceat(weighted[term], starts, axis=0) / norm2[where[starts]][:, None].astype(np.float32)
     at = np.cumsum(np.diff(where, prepend=where[0]) != 0)
     order = np.argsort(term, kind="stable")
     sorted_terms = term[order]
     first = np.flatnonzero(np.diff(sorted_terms, prepend=-1))
-    out[sorted_terms[first]] += np.add.reduceat(rows[at[order]] * w[order][:, None], first, axis=0)
+    own = sorted_terms[first]
+    out[own] += np.add.reduceat(rows[at[order]], first, axis=0) * weight[own][:, None]
 
 
 def _products(shared):
@@ -241,13 +253,13 @@ def _products(shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, basis = shared.value
-        out = np.zeros(basis.shape)
+        weighted, out = _weighted(weight, basis), np.zeros(basis.shape)
         for batch in batches:
             for row, place, term in _steps(batch):
                 keep = weight[term] > 0
                 row, place, term = row[keep], place[keep], term[keep]
-                _gram(_runs(row, place // PASSAGE), term, weight, basis, out)
-        salt = int(np.random.default_rng().integers(0, 1 << 30))
+                _gram(_runs(row, place // PASSAGE), term, weight, weighted, out)
+        salt = TaskContext.get().partitionId()
         pieces = [out[i : i + SUM_ROWS].tobytes() for i in range(0, len(out), SUM_ROWS)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(len(pieces)), pa.int32()), pa.array([salt] * len(pieces), pa.int32()), pa.array(pieces, pa.binary())],
@@ -257,23 +269,25 @@ def _products(shared):
     return run
 
 
+def _weighted(weight: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    return (basis * weight[:, None]).astype(np.float32)
+
+
 def _added(table):
+    """The sum of some tasks' pieces, in the tasks' order, so that reruns agree."""
+    table = table.sort_by("salt")
     total = sum(np.frombuffer(x.as_py()) for x in table.column("part"))
-    return pa.table(
-        {"piece": table.column("piece").slice(0, 1), "salt": pa.array([0], pa.int32()), "part": pa.array([total.tobytes()], pa.binary())}
-    )
+    salt = pc.bit_wise_and(table.column("salt").slice(0, 1), SUM_GROUPS - 1)
+    return pa.table({"piece": table.column("piece").slice(0, 1), "salt": salt.cast(pa.int32()), "part": pa.array([total.tobytes()], pa.binary())})
 
 
 def _gram_pass(places: DataFrame, items: list[Item], weight: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    shared = places.sparkSession.sparkContext.broadcast((weight, basis))  # at most MAX_TERMS rows
+    shared = places.sparkSession.sparkContext.broadcast((weight, basis))  # a row for each word of the slice
     kind = "piece int, salt int, part binary"
     parts = places.select("gaps", "terms").mapInArrow(_products(shared), kind)
-    # Two rounds: tasks are added up in groups of about the square root of their number.
-    groups = max(1, int(len(places.inputFiles()) ** 0.5))
-    parts = parts.withColumn("salt", F.pmod("salt", F.lit(groups)))
-    parts = parts.groupBy("piece", "salt").applyInArrow(_added, kind)
+    parts = parts.groupBy("piece", F.col("salt").bitwiseAND(SUM_GROUPS - 1)).applyInArrow(_added, kind)
     parts = parts.groupBy("piece").applyInArrow(_added, kind)
-    out = np.zeros(basis.shape)
+    weighted, out = _weighted(weight, basis), np.zeros(basis.shape)
     for r in parts.toArrow().to_pylist():  # one row for SUM_ROWS terms
         a = r["piece"] * SUM_ROWS
         part = np.frombuffer(r["part"]).reshape(-1, basis.shape[1])
@@ -281,7 +295,7 @@ def _gram_pass(places: DataFrame, items: list[Item], weight: np.ndarray, basis:
     for item in items:
         term = np.array([t for t in item.words if weight[t] > 0], np.int32)
         place = np.array([i for i, t in enumerate(item.words) if weight[t] > 0], np.int64)
-        _gram(_runs(np.zeros(len(term), int), place // PASSAGE), term, weight, basis, out)
+        _gram(_runs(np.zeros(len(term), int), place // PASSAGE), term, weight, weighted, out)
     return out
 
 
@@ -318,9 +332,10 @@ class Index:
     weight: np.ndarray
     latent: np.ndarray  # weighted rows of the singular vectors
     by_scale: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]  # blocks, unit vectors, passage, words needed
-    passages: list[list[int]]
-    sets: list[frozenset[int]]  # of the passages
-    wholes: list[frozenset[int]]  # of the items
+    targets: list[list[int]]  # the passages, then the items that are longer than one
+    lengths: np.ndarray  # words of each target
+    holds: np.ndarray  # bit ``target`` of row ``term``: whether the target holds the term
+    whole: np.ndarray  # target of each passage's item, -1 if the passage is the item
     owner: list[int]  # item of each passage
     unit: np.ndarray  # vectors of the passages; 0 for one whose words weigh nothing
     runs: Runs
@@ -357,15 +372,31 @@ def _index(items: list[Item], passages: list[list[int]], owner: list[int], runs:
         h.sort(key=lambda x: x[2])
         if h:
             by_scale.append((s, np.array([x[0] for x in h], np.float32), np.array([x[1] for x in h]), np.array([x[2] for x in h])))
-    return Index(items, weight, rows, by_scale, passages, [frozenset(x) for x in passages], [frozenset(x.words) for x in items], owner, unit, runs)
+    long = [n for n, item in enumerate(items) if len(item.words) > PART]
+    place = {n: len(passages) + i for i, n in enumerate(long)}
+    targets = [*passages, *(items[n].words for n in long)]
+    bits = np.zeros((len(weight), -(-len(targets) // 8)), np.uint8)
+    for n, words in enumerate(targets):
+        bits[list(set(words)), n >> 3] |= np.uint8(1 << (n & 7))
+    lengths, whole = np.array([len(x) for x in targets]), np.array([place.get(n, -1) for n in owner])
+    return Index(items, weight, rows.astype(np.float32), by_scale, targets, lengths, bits, whole, owner, unit, runs)
 
 
-def _by_runs(index: Index, row: np.ndarray, place: np.ndarray, term: np.ndarray) -> dict[tuple[int, int], list[tuple[float | None, int, int]]]:
-    """(row, passage) -> (None, first word, word after) of the stretches that hold enough of its runs."""
+#: Rows, passages, cosines (NaN where not computed), first words and words after of windows.
+Windows = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _together(found: list[Windows]) -> Windows:
+    kinds = (np.int64, np.int64, float, np.int64, np.int64)
+    return tuple(np.concatenate([np.empty(0, k), *(f[i] for f in found)]) for i, k in enumerate(kinds))
+
+
+def _by_runs(index: Index, row: np.ndarray, place: np.ndarray, term: np.ndarray) -> Windows:
+    """The stretches that hold enough of a passage's runs."""
     runs = index.runs
     at, run = _run_places(runs, row, term, runs.lengths)
     if not len(at):
-        return {}
+        return _together([])
     count = runs.start[run + 1] - runs.start[run]
     nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     passage = runs.passage[np.repeat(runs.start[run], count) + nth]
@@ -377,43 +408,83 @@ def _by_runs(index: Index, row: np.ndarray, place: np.ndarray, term: np.ndarray)
     key = key[inside >= runs.needed[passage]]
     # One stretch for each block that such stretches start in.
     _, first = np.unique(key // span * span + key % span // BLOCK, return_index=True)
-    out: dict[tuple[int, int], list[tuple[float | None, int, int]]] = {}
-    for k in key[first].tolist():
-        pair, start = divmod(k, span)
-        r, n = divmod(pair, len(runs.words))
-        words = int(runs.words[n])
-        out.setdefault((r + int(row[0]), n), []).append((None, max(0, start - words), start + words))
-    return out
+    pair, start = np.divmod(key[first], span)
+    r, n = np.divmod(pair, len(runs.words))
+    words = runs.words[n]
+    return r + int(row[0]), n, np.full(len(n), np.nan), np.maximum(0, start - words), start + words
 
 
-def _candidates(index: Index, row: np.ndarray, place: np.ndarray, term: np.ndarray) -> dict[tuple[int, int], list[tuple[float, int, int]]]:
-    """(row, passage) -> (cosine, first word, word after) of the windows that are alike."""
-    out: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
+def _candidates(index: Index, row: np.ndarray, place: np.ndarray, term: np.ndarray) -> Windows:
+    """The windows that are alike a passage."""
     if not len(row):
-        return out
-    sums = np.vstack([np.zeros(index.latent.shape[1]), np.cumsum(index.latent[term], axis=0)])
+        return _together([])
+    out: list[Windows] = []
     block = place // BLOCK
     span = int(block.max()) + max(SCALES) + 1
     block = (row - row[0]) * span + block
     first = np.flatnonzero(np.diff(block, prepend=-1))
+    blocks = np.add.reduceat(index.latent[term], first, axis=0)
+    sums = np.vstack([np.zeros(blocks.shape[1]), np.cumsum(blocks, axis=0, dtype=float)])
+    first = np.append(first, len(block))
     for scale, vectors, passage, needed in index.by_scale:
-        end = np.searchsorted(block, block[first] + scale)
-        count = end - first
+        # Windows are some blocks in a row of those that have words.
+        beyond = np.searchsorted(block[first[:-1]], block[first[:-1]] + scale)
+        count = first[beyond] - first[:-1]
         for low, high in BINS:
             # Passages that need no more words than these windows have; ``needed`` ascends.
             few = int(np.searchsorted(needed, high))
             some = np.flatnonzero((count >= low) & (count < high)) if few else ()
             step = max(1, 2_000_000 // max(1, few))
             for i in range(0, len(some), step):
-                a, b = first[some[i : i + step]], end[some[i : i + step]]
-                window = (sums[b] - sums[a]).astype(np.float32)
+                here = some[i : i + step]
+                window = (sums[beyond[here]] - sums[here]).astype(np.float32)
                 window /= np.maximum(np.linalg.norm(window, axis=1), 1e-6)[:, None]
                 cosine = window @ vectors[:few].T
-                for w, v in np.argwhere(cosine >= COSINE):
-                    if b[w] - a[w] >= needed[v]:
-                        at = int(place[a[w]] // BLOCK) * BLOCK
-                        key = (int(row[a[w]]), int(passage[v]))
-                        out.setdefault(key, []).append((float(cosine[w, v]), at, at + scale * BLOCK))
+                w, v = np.nonzero(cosine >= COSINE)
+                enough = count[here[w]] >= needed[v]
+                w, v = w[enough], v[enough]
+                a = first[here[w]]
+                at = place[a] // BLOCK * BLOCK
+                out.append((row[a], passage[v], cosine[w, v].astype(float), at, at + scale * BLOCK))
+    return _together(out)
+
+
+def _stretches(index: Index, windows: Windows, row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, passage, target, first and last place in ``row``, cosine, first word, word after) of what is compared with
+    each target: a window with as much around it as the target may reach out of it, each once."""
+    r, passage, cosine, start, stop = windows
+    whole = np.flatnonzero(index.whole[passage] >= 0)
+    both = np.concatenate([np.arange(len(r)), whole])
+    target = np.concatenate([passage, index.whole[passage[whole]]])
+    r, passage, cosine, start, stop = r[both], passage[both], cosine[both], start[both], stop[both]
+    reach = np.maximum(BLOCK, index.lengths[target] - (stop - start) + BLOCK)
+    start, stop = np.maximum(0, start - reach), stop + reach
+    span = int(place.max()) + 2
+    key = (row - row[0]) * span + place
+    own = (r - row[0]) * span
+    i, j = np.searchsorted(key, own + np.minimum(start, span - 1)), np.searchsorted(key, own + np.minimum(stop, span - 1))
+    # Equal stretches are one, that with the highest known cosine.
+    order = np.lexsort((stop, start, -np.nan_to_num(cosine, nan=-2.0), j, i, target, passage, r))
+    columns = [x[order] for x in (r, passage, target, i, j, cosine, start, stop)]
+    new = np.logical_or.reduce([np.diff(x, prepend=-1) != 0 for x in columns[:5]])
+    return tuple(x[new] for x in columns)
+
+
+def _shared_words(index: Index, target: np.ndarray, i: np.ndarray, j: np.ndarray, term: np.ndarray) -> np.ndarray:
+    """How many of ``term[i:j]`` the target holds."""
+    out = np.zeros(len(target), np.int64)
+    ends = np.cumsum(j - i)
+    a = 0
+    while a < len(target):
+        done = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, done + COMPARED, "right")))
+        size = j[a:b] - i[a:b]
+        which = np.repeat(np.arange(b - a), size)
+        at = np.arange(len(which)) + np.repeat(i[a:b] - (ends[a:b] - size - done), size)
+        n = target[a:b][which]
+        hit = (index.holds[term[at], n >> 3] >> (n & 7).astype(np.uint8)) & 1
+        out[a:b] = np.bincount(which, hit, minlength=b - a)
+        a = b
     return out
 
 
@@ -421,34 +492,26 @@ def _leaks(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Index = shared.value
         for batch in batches:
-            found = []
+            best: dict[tuple[int, int], tuple] = {}
             for row, place, term in _steps(batch):
                 keep = index.weight[term] > 0
-                alike = _candidates(index, row[keep], place[keep], term[keep])
-                for pair, windows in _by_runs(index, row, place, term).items():
-                    alike[pair] = windows + alike.get(pair, [])
-                for (r, passage), windows in alike.items():
+                windows = _together([_candidates(index, row[keep], place[keep], term[keep]), _by_runs(index, row, place, term)])
+                if not len(windows[0]):
+                    continue
+                found = _stretches(index, windows, row, place)
+                # With fewer of the target's words no common subsequence can be long enough.
+                enough = _shared_words(index, *found[2:5], term) >= HALF * index.lengths[found[2]]
+                for r, passage, target, i, j, cosine, start, stop in zip(*(x[enough].tolist() for x in found), strict=True):
                     n = index.owner[passage]
-                    item, part = index.items[n], index.passages[passage]
-                    own = [(part, index.sets[passage])]
-                    if len(item.words) > PART:
-                        own.append((item.words, index.wholes[n]))
-                    a, b = np.searchsorted(row, r), np.searchsorted(row, r, "right")
-                    best = (0.0, 0.0, 0.0, 0, 0)
-                    # Windows that overlap are looked at as one stretch of at least the item's length, and of the passage's.
-                    for words_of, wanted in own:
-                        for cosine, start, stop in _stretches(windows, len(words_of)):
-                            i, j = a + np.searchsorted(place[a:b], (start, stop))
-                            words = term[i:j].tolist()
-                            if sum(t in wanted for t in words) < HALF * len(words_of):
-                                continue  # no common subsequence can be long enough
-                            whole = common_subsequence(words_of, words) / max(1, len(words_of))
-                            answer = common_subsequence(item.answer, words) / max(1, len(item.answer))
-                            if whole >= WHOLE or (whole >= HALF and answer >= ANSWER):
-                                cosine = _cosine(index, words, passage) if cosine is None else cosine
-                                best = max(best, (whole, answer, cosine, start, stop))
-                    if best[0]:
-                        found.append((r, n, *best))
+                    wanted, words = index.targets[target], term[i:j].tolist()
+                    whole = common_subsequence(wanted, words) / max(1, len(wanted))
+                    if whole < HALF:
+                        continue
+                    answer = common_subsequence(index.items[n].answer, words) / max(1, len(index.items[n].answer))
+                    if whole >= WHOLE or answer >= ANSWER:
+                        cosine = _cosine(index, words, passage) if math.isnan(cosine) else cosine
+                        best[r, n] = max(best.get((r, n), ()), (whole, answer, cosine, start, stop))
+            found = [(*pair, *values) for pair, values in best.items()]
             take = pa.array([f[0] for f in found], pa.int64())
             columns = list(zip(*found, strict=True)) if found else [[]] * 7
             yield pa.RecordBatch.from_arrays(
@@ -470,13 +533,6 @@ def _cosine(index: Index, words: list[int], passage: int) -> float:
     return float(vector @ index.unit[passage] / max(np.linalg.norm(vector), 1e-6))
 
 
-def _stretches(windows: list[tuple[float | None, int, int]], length: int) -> Iterator[tuple[float | None, int, int]]:
-    """Each window with as much around it as the item may reach out of it."""
-    for cosine, start, stop in windows:
-        reach = max(BLOCK, length - (stop - start) + BLOCK)
-        yield cosine, max(0, start - reach), stop + reach
-
-
 def benchmark_items(rows: list, numbers: dict[str, int]) -> list[Item]:
     out = []
     for name, text in rows:
@@ -491,8 +547,7 @@ def benchmark_items(rows: list, numbers: dict[str, int]) -> list[Item]:
 
 
 def _term_numbers(rows: list) -> dict[str, int]:
-    words = sorted({w for _, text in rows for w in normal_words(text)})
-    return {w: i % MAX_TERMS for i, w in enumerate(words)}
+    return {w: i for i, w in enumerate(sorted({w for _, text in rows for w in normal_words(text)}))}
 
 
 def find_leaks(
@@ -519,11 +574,12 @@ def find_leaks(
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("doc"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     wanted = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).distinct()
-    slices = max(1, -(-wanted.count() // SLICE_ITEMS))
+    n_items, n_words = wanted.agg(F.count("*"), F.sum(F.size(F.split(F.coalesce("text", F.lit("")), r"\s+")))).first()
+    slices = max(1, -(-n_items // SLICE_ITEMS), -(-(n_words or 0) // SLICE_WORDS))
     part = F.pmod(F.xxhash64("item", "text"), F.lit(slices))
     out = None
     for i in range(slices):
-        # About SLICE_ITEMS items: the benchmark's own size never decides what one pass holds.
+        # About SLICE_ITEMS items or SLICE_WORDS words: the benchmark's own size never decides what one pass holds.
         rows = [tuple(r) for r in wanted.filter(part == i).orderBy("item", "text").collect()]
         found = _slice_leaks(spark, keyed, rows, kind, item_kind)
         out = found if out is None else out.union(found)
@@ -536,7 +592,7 @@ def _slice_leaks(spark, keyed: DataFrame, rows: list, kind: str, item_kind: str)
     found_kind = f"doc {kind}, text_hash long, item long, lcs double, answer_lcs double, cosine double, first_word long, end_word long"
     numbers = _term_numbers(rows)
     items = benchmark_items(rows, numbers)
-    size = min(MAX_TERMS, len(numbers))
+    size = len(numbers)
     if not size:
         empty = spark.createDataFrame([], found_kind)
         return empty.withColumn("item", F.lit(None).cast(item_kind))
@@ -544,7 +600,7 @@ def _slice_leaks(spark, keyed: DataFrame, rows: list, kind: str, item_kind: str)
     places = keyed.mapInArrow(_places(shared), f"doc {kind}, text_hash long, gaps array<int>, terms array<int>, n_words long")
     places = stored(places)
     passages, owner = passages_of(items)
-    runs = word_runs(passages, size)
+    runs = word_runs(passages)
     known = spark.sparkContext.broadcast(runs)  # at most a run for each word of the slice
     counted = places.select("gaps", "terms", "n_words").mapInArrow(_frequencies(known, size), "term int, n long")
     counts = {r["term"]: r["n"] for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect()}  # ``size`` rows
