@@ -24,6 +24,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -58,8 +59,7 @@ STEP, COMPARED, SUM_ROWS = 30_000, 1_000_000, 1024
 #: Groups in which the tasks' partial sums are added up before these are added.
 SUM_GROUPS = 32
 #: An odd number; runs of words are told apart by a polynomial in it, modulo 2^64. A clash costs a comparison.
-RUN_BASE = 0x5851F42D4C957F2D
-CACHE_WORDS, CACHE_BYTES = 200_000, 64
+RUN_BASE, SLOT_BITS = 0x5851F42D4C957F2D, 20
 
 
 def normal_word(word: bytes) -> str:
@@ -80,35 +80,30 @@ class Item:
 
 
 _LOWER = bytes(range(256)).lower()
-_NO_LETTER = bytes(c for c in range(128) if not chr(c).isalnum())
+#: ASCII characters that are neither blanks nor part of a word.
+_DROPPED = bytes(c for c in range(128) if not chr(c).isalnum() and not bytes([c]).isspace())
 
 
-class Terms(dict):
-    """Word bytes -> number of the benchmark word; -1 for others, -2 for what holds no letter or digit."""
-
-    def __init__(self, numbers: dict[str, int]):
-        super().__init__()
-        self.numbers = {w.encode(): n for w, n in numbers.items()}
-
-    def __missing__(self, word: bytes) -> int:
-        form = word.translate(_LOWER, _NO_LETTER) if word.isascii() else normal_word(word).encode()
-        value = self.numbers.get(form, -1) if form else -2
-        if len(word) <= CACHE_BYTES:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = value
-        return value
+def _terms(text: bytes, numbers: dict[bytes, int]) -> np.ndarray:
+    """The number of each word of a text, -1 for words that the benchmark does not have."""
+    words = text.translate(_LOWER, _DROPPED).split()
+    own = np.fromiter(map(numbers.get, words, repeat(-1)), np.int32, len(words))
+    if text.isascii():
+        return own
+    for i in np.flatnonzero(own < 0).tolist():
+        if not words[i].isascii():
+            form = normal_word(words[i]).encode()
+            own[i] = numbers.get(form, -1) if form else -2
+    return own[own != -2]
 
 
 def _places(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms(shared.value)
+        numbers = {w.encode(): n for w, n in shared.value.items()}
         for batch in batches:
             places, found, lengths = [], [], []
             for text in texts(batch, "text"):
-                words = text.split()
-                own = np.fromiter(map(terms.__getitem__, words), np.int32, len(words))
-                own = own[own != -2]
+                own = _terms(text, numbers)
                 at = np.flatnonzero(own >= 0).astype(np.int32)
                 places.append(np.diff(at, prepend=0))  # gaps are small numbers
                 found.append(own[at])
@@ -150,6 +145,7 @@ class Runs:
     passage: np.ndarray
     words: np.ndarray  # of each passage
     needed: np.ndarray  # runs of each passage
+    slots: np.ndarray  # by the first SLOT_BITS of a number, whether a passage may hold the run
 
 
 def _numbers(term: np.ndarray, length: int) -> np.ndarray:
@@ -161,6 +157,10 @@ def _numbers(term: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
+def _slot(number: np.ndarray) -> np.ndarray:
+    return (number >> (64 - SLOT_BITS)) & ((1 << SLOT_BITS) - 1)
+
+
 def word_runs(passages: list[list[int]]) -> Runs:
     own = [np.unique(_numbers(np.array(x, np.int64), min(RUN, len(x)))) if x else np.empty(0, np.int64) for x in passages]
     number = np.concatenate([*own, np.empty(0, np.int64)])
@@ -170,7 +170,9 @@ def word_runs(passages: list[list[int]]) -> Runs:
     words = np.array([len(x) for x in passages])
     needed = np.maximum(1, (RUNS * (words - RUN + 1)).astype(int))
     lengths = tuple(sorted({min(RUN, len(x)) for x in passages if x}))
-    return Runs(lengths, names, np.append(start, len(number)), passage[order], words, needed)
+    slots = np.zeros(1 << SLOT_BITS, bool)
+    slots[_slot(names)] = True
+    return Runs(lengths, names, np.append(start, len(number)), passage[order], words, needed, slots)
 
 
 def _run_places(runs: Runs, row: np.ndarray, term: np.ndarray, lengths: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
@@ -179,10 +181,11 @@ def _run_places(runs: Runs, row: np.ndarray, term: np.ndarray, lengths: tuple[in
     for length in lengths:
         number = _numbers(term, length)
         if len(number) and len(runs.number):
-            i = np.minimum(np.searchsorted(runs.number, number), len(runs.number) - 1)
-            own = np.flatnonzero((runs.number[i] == number) & (row[: len(number)] == row[length - 1 :]))
-            at.append(own)
-            found.append(i[own])
+            own = np.flatnonzero(runs.slots[_slot(number)] & (row[: len(number)] == row[length - 1 :]))
+            i = np.minimum(np.searchsorted(runs.number, number[own]), len(runs.number) - 1)
+            same = runs.number[i] == number[own]
+            at.append(own[same])
+            found.append(i[same])
     return np.concatenate(at), np.concatenate(found)
 
 
