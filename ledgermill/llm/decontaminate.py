@@ -97,9 +97,13 @@ def _terms(text: bytes, numbers: dict[bytes, int]) -> np.ndarray:
     return own[own != -2]
 
 
-def _places(shared):
+def _places(shared, size: int):
+    """A row for each text, and a last one for each task: the terms ``held`` and the ``times`` they count for."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = {w.encode(): n for w, n in shared.value.items()}
+        numbers, runs = shared.value
+        numbers = {w.encode(): n for w, n in numbers.items()}
+        counts, passages, kind = np.zeros(size, np.int64), 0, None
         for batch in batches:
             places, found, lengths = [], [], []
             for text in texts(batch, "text"):
@@ -108,15 +112,28 @@ def _places(shared):
                 places.append(np.diff(at, prepend=0))  # gaps are small numbers
                 found.append(own[at])
                 lengths.append(len(own))
-            ints = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("text_hash"), pa.array(places, ints), pa.array(found, ints), pa.array(lengths, pa.int64())],
-                ["doc", "text_hash", "gaps", "terms", "n_words"],
-            )
+            kind, nothing = batch.column("doc").type, [None] * len(places)
+            out = [
+                batch.column("doc"), batch.column("text_hash"), pa.array(places, INTS), pa.array(found, INTS),
+                pa.array(lengths, pa.int64()), pa.array(nothing, INTS), pa.array(nothing, LONGS),
+            ]
+            out = pa.RecordBatch.from_arrays(out, PLACES)
+            passages += sum(-(-n // PASSAGE) for n in lengths)
+            _count(runs, out, counts)
+            yield out
+        if kind is not None:
+            held = np.flatnonzero(counts)
+            empty = [pa.array([None], k) for k in (kind, pa.int64(), INTS, INTS, pa.int64())]
+            last = [pa.array([np.append(held, -1)], INTS), pa.array([np.append(counts[held], passages)], LONGS)]
+            yield pa.RecordBatch.from_arrays([*empty, *last], PLACES)
 
     return run
 
 
+INTS, LONGS = pa.list_(pa.int32()), pa.list_(pa.int64())
+PLACES = ["doc", "text_hash", "gaps", "terms", "n_words", "held", "times"]
+
+
 def _steps(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, place, term) of about STEP places at once; rows are never cut."""
     gaps, terms = batch.column("gaps"), batch.column("terms")
@@ -201,25 +218,14 @@ def _copied(runs: Runs, row: np.ndarray, term: np.ndarray) -> np.ndarray:
     return out[: len(term)]
 
 
-def _frequencies(shared, size: int):
-    """(term, passages that hold it other than as a copy of an item); term -1 counts the passages."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs: Runs = shared.value
-        counts, passages = np.zeros(size, np.int64), 0
-        for batch in batches:
-            passages += sum(-(-n // PASSAGE) for n in batch.column("n_words").to_pylist())
-            for row, place, term in _steps(batch):
-                fresh = ~_copied(runs, row, term)
-                row, place, term = row[fresh], place[fresh], term[fresh]
-                where = _runs(row, place // PASSAGE)
-                counts += np.bincount(np.unique(where * size + term) % size, minlength=size)
-        held = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(held, -1).astype(np.int32)), pa.array(np.append(counts[held], passages))], ["term", "n"]
-        )
-
-    return run
+def _count(runs: Runs, batch: pa.RecordBatch, counts: np.ndarray) -> None:
+    """Adds the passages that hold a term other than as a copy of an item."""
+    size = len(counts)
+    for row, place, term in _steps(batch):
+        fresh = ~_copied(runs, row, term)
+        row, place, term = row[fresh], place[fresh], term[fresh]
+        where = _runs(row, place // PASSAGE)
+        counts += np.bincount(np.unique(where * size + term) % size, minlength=size)
 
 
 def _runs(row: np.ndarray, part: np.ndarray) -> np.ndarray:
@@ -599,14 +605,14 @@ def _slice_leaks(spark, keyed: DataFrame, rows: list, kind: str, item_kind: str)
     if not size:
         empty = spark.createDataFrame([], found_kind)
         return empty.withColumn("item", F.lit(None).cast(item_kind))
-    shared = spark.sparkContext.broadcast(numbers)  # words of about SLICE_ITEMS items
-    places = keyed.mapInArrow(_places(shared), f"doc {kind}, text_hash long, gaps array<int>, terms array<int>, n_words long")
-    places = stored(places)
     passages, owner = passages_of(items)
     runs = word_runs(passages)
-    known = spark.sparkContext.broadcast(runs)  # at most a run for each word of the slice
-    counted = places.select("gaps", "terms", "n_words").mapInArrow(_frequencies(known, size), "term int, n long")
-    counts = {r["term"]: r["n"] for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect()}  # ``size`` rows
+    shared = spark.sparkContext.broadcast((numbers, runs))  # words and runs of about SLICE_ITEMS items
+    kinds = f"doc {kind}, text_hash long, gaps array<int>, terms array<int>, n_words long, held array<int>, times array<long>"
+    stored_places = stored(keyed.mapInArrow(_places(shared, size), kinds))
+    places = stored_places.filter("held is null")
+    counted = stored_places.select(F.inline(F.arrays_zip("held", "times"))).groupBy("held").agg(F.sum("times").alias("n"))
+    counts = {r["held"]: r["n"] for r in counted.collect()}  # a row for each word; -1 counts the passages
     total = counts.get(-1, 0) + sum(-(-len(x.words) // PASSAGE) for x in items)
     held = np.array([counts.get(t, 0) for t in range(size)], float)
     for item in items:
