@@ -30,9 +30,9 @@ def upsert(
     Only rows that can be updated are shuffled with the source; all other target
     rows pass straight through. Source rows are collapsed per key and target keys are
     made distinct before their joins, so no key brings its copies into one task. The collapse
-    is a hash aggregate on a count and a row number; the texts of the source row are fetched by
-    that number for the rows that are hit. The source is read more than once and must be the
-    same each time, so it is stored first.
+    is a hash aggregate on a count and a row number, by which the source row's columns are fetched
+    before the target is met. So a target that lies in buckets of its keys is joined as it lies. The source is
+    read more than once and must be the same each time, so it is stored first.
     """
     columns = target.columns
     set_cols = list(set_cols or columns)
@@ -55,6 +55,7 @@ def upsert(
     )
     # The only source row of a key that is hit, so the choice by number is none.
     payload = numbered.select("_row", F.struct(*set_cols).alias("_new"))
+    offered = collapsed.join(payload, "_row").drop("_row")
     clash = F.raise_error(F.lit("several source rows update one target row")).cast("boolean")
     hit = F.when(F.col("_found") > 1, clash).otherwise(F.col("_found") == 1)
 
@@ -69,9 +70,8 @@ def upsert(
 
     updated = (
         old.filter(may_update)
-        .join(collapsed, names, "left")
+        .join(offered, names, "left")
         .withColumn("_hit", hit)
-        .join(payload, "_row", "left")
         .select(*[merged(c) for c in columns])
     )
     taken = old.filter(keyed).select(*names).distinct()

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ledgermill import schemas
+from ledgermill.operators.corrections import apply_corrections
 from ledgermill.sources.readers import read_forms, read_table
 
 #: Partition columns: the day of a row, and the run that appended it.
@@ -150,12 +151,43 @@ def replace_days(df: DataFrame, path: str, column: str, days: Iterable[date]) ->
 
 def remove_load_days(spark: SparkSession, path: str, days: Iterable[date], column: str = LOAD_DAY) -> None:
     """Remove the folders of the given days from a table that is stored by day."""
+    remove_partitions(spark, path, column, [day.isoformat() for day in days])
+
+
+def remove_partitions(spark: SparkSession, path: str, column: str, values: Iterable[str]) -> None:
     files = spark.sparkContext._jvm.org.apache.hadoop.fs
     place = files.Path(path)
     system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for day in days:
-        system.delete(files.Path(f"{path}/{column}={day.isoformat()}"), True)
+    for value in values:
+        system.delete(files.Path(f"{path}/{column}={value}"), True)
+    spark.catalog.refreshByPath(path)
+
+
+def write_corrections(
+    spark: SparkSession, path: str, partition: str, column: str, rules: Sequence[tuple[Column, str]]
+) -> list:
+    """Correct ``column`` in a stored table and rewrite only the partitions that hold a row to change.
+
+    Returns the values of ``partition`` that were rewritten; a second run finds none. Rules are as in
+    ``apply_corrections`` and see the stored rows. The files of all other partitions stay.
+    """
+    table = spark.read.parquet(path)
+    if column == partition:
+        raise ValueError(f"{column} says where rows lie; correcting it would move them")
+    corrected = apply_corrections(table.withColumn("_before", F.col(column)), column, rules)
+    changed = corrected.filter(~F.col(column).eqNullSafe(F.col("_before")))
+    # One value for each partition.
+    hit = [r[0] for r in changed.select(partition).distinct().collect()]
+    if not hit:
+        return []
+    here = F.col(partition).isin([v for v in hit if v is not None])
+    rows = corrected.filter(here | F.col(partition).isNull() if None in hit else here).select(*table.columns)
+    (
+        rows.hint("rebalance", partition)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    )
     spark.catalog.refreshByPath(path)
+    return hit
 
 
 def replace_load_days(df: DataFrame, path: str, moment: str) -> None:

@@ -18,11 +18,32 @@ from ledgermill.operators.corrections import apply_corrections
 from ledgermill.operators.joins import anti_null_aware, left_join_many
 from ledgermill.operators.latest import latest_by, latest_ties
 from ledgermill.operators.numbering import rank_in_group
-from ledgermill.plans import access, balance, history, inventory, jobs, ledger, monitor, refresh, rollup, snapshot
+from ledgermill.plans import (
+    access,
+    access_state,
+    balance,
+    balance_years,
+    history,
+    inventory,
+    jobs,
+    ledger,
+    merges,
+    monitor,
+    refresh,
+    rollup,
+    snapshot,
+)
 from ledgermill.session import shared_folder, stored
 from ledgermill.sources.joblog import append_jobs, changed_days, read_jobs
 from ledgermill.sources.readers import read_table, read_years
-from ledgermill.sources.writers import load_forms, read_stored, remove_load_days, replace_load_days, replace_table
+from ledgermill.sources.writers import (
+    load_forms,
+    read_stored,
+    remove_load_days,
+    replace_load_days,
+    replace_table,
+    write_corrections,
+)
 from ledgermill.workloads.inputs import (
     AS_OF,
     CATEGORIES,
@@ -207,14 +228,16 @@ def calendar_fields(t: Inputs) -> DataFrame:
     return dates.add_calendar(rows, "dia", week=True)
 
 
-@query
-def corrected_costs(t: Inputs) -> DataFrame:
-    rules = [
+def part_rules():
+    return [
         ((F.col("p_type") == "ECONOMY") & (F.col("p_size") > 40), "grande"),
         (F.col("p_name").rlike(r"^[a-z]+ (ring|bolt)$"), "metal"),
     ]
-    rows = t.part.select("p_partkey", "p_name", "p_type", "p_size")
-    return apply_corrections(rows, "p_type", rules)
+
+
+@query
+def corrected_costs(t: Inputs) -> DataFrame:
+    return apply_corrections(t.part.select("p_partkey", "p_name", "p_type", "p_size"), "p_type", part_rules())
 
 
 @query
@@ -583,3 +606,70 @@ def last_access_newest_first(t: Inputs) -> DataFrame:
         " i = size(days) - 1 or x.last < days[least(i + 1, size(days) - 1)].first as unbroken))"
     )
     return kept.drop("at").join(order.select(F.inline(placed)), "access_date")
+
+
+def bucket_count(t: Inputs) -> int:
+    return int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@query
+def merge_history_bucketed(t: Inputs) -> DataFrame:
+    """The merges of ``merge_history_twice`` into a table that lies in buckets of the merge key."""
+    path, name, n = work_folder(t), f"history_{uuid.uuid4().hex}", bucket_count(t)
+    merges.store_history(t.history(), name, path, n)
+    for moments in (AS_OF, monitor.restated_moments(AS_OF), AS_OF):
+        merges.merge_stored_history(t.spark, t.details, name, path, moments, PROJECT, n)
+    return t.spark.table(name).select(*schemas.HISTORY.names)
+
+
+@query
+def merge_active_bucketed(t: Inputs) -> DataFrame:
+    """The merges of ``merge_active_twice`` into a table that lies in buckets of the merge key."""
+    path, name, n = work_folder(t), f"monitor_{uuid.uuid4().hex}", bucket_count(t)
+    merges.store_monitor(t.monitor(), name, path, n)
+    for days in ([AS_OF], monitor.restated_moments(AS_OF)):
+        source = monitor.monitor_source(t.job_log, t.snapshot, days)
+        merges.merge_stored_monitor(t.spark, source, name, path, days, n)
+    return t.spark.table(name)
+
+
+@query
+def access_flags_stored(t: Inputs) -> DataFrame:
+    """Flags from stored access days: the log before its last day, then that day, then that day again."""
+    path = f"{work_folder(t)}/access"
+    last = t.access_log.agg(F.max("access_date")).first()[0]
+    late = F.coalesce(F.col("access_date") >= F.lit(last), F.lit(False))
+    for rows in (t.access_log.filter(~late), t.access_log.filter(late), t.access_log.filter(late)):
+        access_state.add_access(t.spark, rows, path, FLAG_USERS, FLAG_PREFIXES)
+    state = read_stored(t.spark, path, schemas.ACCESS_DAYS)
+    return access_state.flags_of(state, t.catalog, PROJECT)
+
+
+@query
+def account_balance_by_year(t: Inputs) -> DataFrame:
+    """The balance from a table by year: without the receipts and costs that came late, then the reopened years alone."""
+    path, since = f"{work_folder(t)}/saldo", datetime(1997, 6, 30)
+    late = F.coalesce(F.col("process_time") > dates.datetime_lit(since), F.lit(False))
+    options = {"forecast_year": FORECAST_YEAR, "by": ["conta"], "policy": POLICY}
+    early = [df.filter(~late) for df in (t.receipts, t.costs, t.balances)]
+    balance_years.refresh_balance(
+        t.spark, path, early[0], t.receipt_forms, early[1], t.cost_forms, early[2], LEDGER_AS_OF, **options
+    )
+    years = balance_years.reopened_years(
+        t.receipts, t.costs, t.balances, t.receipt_forms, since, LEDGER_AS_OF, LEDGER_AS_OF
+    )
+    balance_years.refresh_balance(
+        t.spark, path, t.receipts, t.receipt_forms, t.costs, t.cost_forms, t.balances, LEDGER_AS_OF,
+        [FORECAST_YEAR, *years], **options,
+    )
+    return t.spark.read.parquet(path).drop(balance_years.YEAR_OF)
+
+
+@query
+def corrections_written(t: Inputs) -> DataFrame:
+    """Corrections written back to a table that is stored by size, twice; the second time nothing is left to do."""
+    path = f"{work_folder(t)}/part"
+    t.part.select("p_partkey", "p_name", "p_type", "p_size").write.partitionBy("p_size").parquet(path)
+    for _ in range(2):
+        write_corrections(t.spark, path, "p_size", "p_type", part_rules())
+    return t.spark.read.parquet(path)
