@@ -168,8 +168,9 @@ def write_corrections(
 ) -> list:
     """Correct ``column`` in a stored table and rewrite only the partitions that hold a row to change.
 
-    Returns the values of ``partition`` that were rewritten; a second run finds none. Rules are as in
-    ``apply_corrections`` and see the stored rows. The files of all other partitions stay.
+    Returns the values of ``partition`` that were rewritten. Rules are as in ``apply_corrections`` and see the
+    stored rows, so a second run finds none, unless rules test the column that they correct. The files of all other
+    partitions stay.
     """
     table = spark.read.parquet(path)
     if column == partition:
