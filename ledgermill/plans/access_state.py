@@ -1,4 +1,4 @@
-"""Access days as stored state: a bitmap of days for each table and kind of user, to which a day's log is added."""
+"""Access days as stored state: words of 64 days for each table and kind of user, to which a day's log is added."""
 
 from __future__ import annotations
 
@@ -12,10 +12,8 @@ from ledgermill.functions import classify
 from ledgermill.sources.writers import read_stored, replace_table
 
 STATE_KEYS = ["dataset_id", "table_id", "kind", "bucket"]
-#: Days from 0001-01-01 to 1970-01-01, so that every date has a positive number.
-ORIGIN = 719_163
-#: Days of a bitmap.
-BUCKET_DAYS = 32_768
+#: Days of a word, one bit each. Words are longs, so that states are added by hash aggregates of fixed-width values.
+BUCKET_DAYS = 64
 #: The kind of rows that count for the access day only.
 UNNAMED = ""
 
@@ -23,35 +21,32 @@ UNNAMED = ""
 def access_days(access_log: DataFrame, allow_list: Iterable[str], prefixes: Iterable[str]) -> DataFrame:
     """dataset_id, table_id, kind, bucket, days: the state of some rows of the log.
 
-    Rows without an address or a dataset have no kind. A row without a day leaves an empty bitmap, so its
+    Rows without an address or a dataset have no kind. A row without a day leaves an empty word, so its
     table is known. The kinds are those of the lists in force when the rows come in.
     """
     email = F.col("user_email")
     rows = access_log.withColumn("_prefix", classify.user_prefix(email, prefixes))
     known = email.isNotNull() & F.col("dataset_id").isNotNull()
     kind = F.when(known, classify.user_class(F.col("_prefix"), email, list(allow_list))).otherwise(UNNAMED)
-    number = (F.unix_date("access_date") + ORIGIN).cast("long")
+    number = F.unix_date("access_date")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(number, F.lit(BUCKET_DAYS)))
     rows = rows.select(
-        "dataset_id", "table_id", kind.alias("kind"), F.bitmap_bucket_number(number).alias("bucket"),
-        F.bitmap_bit_position(number).alias("bit"),
+        "dataset_id", "table_id", kind.alias("kind"), F.floor(number / BUCKET_DAYS).alias("bucket"),
+        F.coalesce(bit, F.lit(0)).alias("days"),
     )
-    return rows.groupBy(*STATE_KEYS).agg(F.bitmap_construct_agg("bit").alias("days"))
+    return rows.groupBy(*STATE_KEYS).agg(F.bit_or("days").alias("days"))
 
 
 def added(state: DataFrame, more: DataFrame) -> DataFrame:
     """Both states as one. Adding rows again changes nothing."""
     both = state.unionByName(more)
-    return both.groupBy(*STATE_KEYS).agg(F.bitmap_or_agg("days").alias("days"))
+    return both.groupBy(*STATE_KEYS).agg(F.bit_or("days").alias("days"))
 
 
 def last_day(bucket: Column, days: Column) -> Column:
-    """The date of a bitmap's highest bit, null if it has none."""
-    # Bit p is bit p mod 8 of byte p div 8, so the last digit of the hexadecimal form that is not 0 is in the highest byte.
-    digits = F.hex(days)
-    byte = F.floor((F.length(F.rtrim(digits, F.lit("0"))) - 1) / 2)
-    value = F.conv(F.substring(digits, (byte * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("int")
-    number = (bucket - 1) * BUCKET_DAYS + byte * 8 + F.floor(F.log2(value)) + 1
-    return F.when(byte >= 0, F.date_from_unix_date((number - ORIGIN).cast("int")))
+    """The date of a word's highest bit, null if it has none."""
+    number = bucket * BUCKET_DAYS + F.length(F.bin(days)) - 1
+    return F.when(days != 0, F.date_from_unix_date(number.cast("int")))
 
 
 def flags_of(state: DataFrame, tables: DataFrame, project: str) -> DataFrame:

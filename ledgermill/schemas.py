@@ -159,8 +159,8 @@ DAILY_RUNS = _table(
     day=DATE,
 )
 # Last user and yearly cost of each table, as the snapshot shows them.
-#: Days of access as bitmaps (``plans.access_state``).
-ACCESS_DAYS = _table(dataset_id=STRING, table_id=STRING, kind=STRING, bucket=LONG, days=T.BinaryType())
+#: Days of access as words of bits (``plans.access_state``).
+ACCESS_DAYS = _table(dataset_id=STRING, table_id=STRING, kind=STRING, bucket=LONG, days=LONG)
 
 TABLE_FACTS = _table(
     project_id=STRING,
