@@ -95,16 +95,15 @@ def running_balance(
             "_unbroken": F.count("_flow").over(so_far) == month,
             "_year_flow": F.sum("_flow").over(so_far) + F.first("_opening").over(so_far),
         }
-    ).withColumn("_chain", F.sum("_starts").over(so_far))
-
-    chain = (
-        Window.partitionBy(*by, "_year", "_chain")
-        .orderBy("dt_mes_base")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+
+    # A chain's sum is the year's sum so far less that before the chain's first month: one sort does for all windows.
     step = F.coalesce("_flow", F.lit(0)) + F.coalesce("_opening", F.lit(0))
+    rows = rows.withColumns({"_step": step, "_steps": F.sum(step).over(so_far)})
+    first = F.when(F.col("_starts") == 1, F.col("_steps") - F.col("_step"))
+    in_chain = F.col("_steps") - F.last(first, ignorenulls=True).over(so_far)
     balance = F.when(F.col("_strict"), F.when(F.col("_unbroken"), F.col("_year_flow"))).otherwise(
-        F.when(F.col("_flow").isNotNull(), F.sum(step).over(chain))
+        F.when(F.col("_flow").isNotNull(), in_chain)
     )
     rows = rows.withColumn("saldo_real", balance)
 

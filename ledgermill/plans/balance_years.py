@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.functions.dates import date_lit, datetime_lit
-from ledgermill.operators.balance import LEDGER_POLICY, BalancePolicy
-from ledgermill.plans.balance import monthly_balance
+from ledgermill.operators.balance import LEDGER_POLICY, BalancePolicy, running_balance
+from ledgermill.plans.balance import monthly_flows
 from ledgermill.plans.ledger import FORECAST_YEAR
-from ledgermill.session import stored
+from ledgermill.session import smaller_tasks, stored
 from ledgermill.sources.writers import remove_partitions, table_exists
 
 #: Partition column of the stored balance.
@@ -66,9 +66,8 @@ def balance_of_years(
     years = list(years)
     parts = [df.filter(in_years("dt_mes_base", years)) for df in (receipts, forms, costs)]
     due = cost_forms.filter(in_years("data_base_bq", years))
-    return monthly_balance(
-        *parts, due, balances.filter(in_years("dt_mes_base", years)), as_of, forecast_year, by, policy
-    )
+    opening = balances.filter(in_years("dt_mes_base", years))
+    return running_balance(monthly_flows(*parts, due, opening, as_of, forecast_year, by), policy, by)
 
 
 def refresh_balance(
@@ -92,12 +91,13 @@ def refresh_balance(
     """
     args = (receipts, forms, costs, cost_forms, balances, as_of)
     if years is None or not table_exists(spark, path):
-        rows, years = monthly_balance(*args, forecast_year, by, policy), None
+        rows, years = running_balance(monthly_flows(*args, forecast_year, by), policy, by), None
     else:
         years = sorted(set(years))
         rows = balance_of_years(*args, years, forecast_year, by, policy)
     # At most twelve rows for an account and year; what is computed once decides what is removed.
-    rows = stored(rows.withColumn(YEAR_OF, F.year("dt_mes_base")))
+    with smaller_tasks(spark):
+        rows = stored(rows.withColumn(YEAR_OF, F.year("dt_mes_base")))
     mode = "static" if years is None else "dynamic"
     laid = rows.hint("rebalance", YEAR_OF)
     laid.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(YEAR_OF).parquet(path)

@@ -1,12 +1,15 @@
-"""What a task holds: words of days instead of bitmaps."""
+"""What a task holds: words instead of bitmaps, one sort for all windows, smaller tasks for sums by account."""
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows
-from ledgermill import schemas
-from ledgermill.plans import access_state
+from helpers import counted, d, rows
+from ledgermill import schemas, session
+from ledgermill.operators.balance import BalancePolicy, running_balance
+from ledgermill.plans import access_state, balance, balance_years, refresh
+from test_buckets_and_years import frames
 from test_scale import plan_of
 
 PREFIXES = ["service"]
@@ -21,3 +24,26 @@ def test_access_days_are_hash_aggregates_of_words(spark):
     assert dict(schemas.ACCESS_DAYS["days"].jsonValue())["type"] == "long"
     last = both.select("table_id", access_state.last_day(F.col("bucket"), F.col("days")).alias("day")).groupBy("table_id").agg(F.max("day"))
     assert dict(rows(last)) == {f"t{i}": first + timedelta(i) for i in range(200)}
+
+
+def test_one_sort_does_for_all_windows_of_the_balance(spark):
+    flow = "conta int, dt_mes_base date, valor_recebido decimal(38,6), valor_recebido_prev decimal(38,6), custo_prev decimal(38,6), custo_real decimal(38,6), saldo decimal(38,6)"
+    # Chains: with the opening balance; anew after a month without costs; anew after a missing month.
+    cost = {1: 1, 2: 1, 3: None, 4: 2, 5: 2, 8: 3, 9: 4}
+    data = [(1, d(f"2022-{m:02d}-01"), 10, 0, 0, c, 100 if m == 1 else None) for m, c in cost.items()]
+    months = spark.createDataFrame([tuple(str(v) if i > 1 and v is not None else v for i, v in enumerate(r)) for r in data],
+                                   "conta int, dt_mes_base date, a string, b string, c string, d string, e string")
+    months = months.toDF(*[f.split()[0] for f in flow.split(", ")]).selectExpr(
+        *[f"cast({f.split()[0]} as {f.split()[1]}) as {f.split()[0]}" for f in flow.split(", ")]
+    )
+    got = running_balance(months, BalancePolicy(), ["conta"])
+    physical = plan_of(got).split("== Physical Plan ==")[-1]
+    assert physical.count("Sort [") == 1, physical
+    assert dict(rows(got, "dt_mes_base", "saldo_real")) == {
+        d(f"2022-{m:02d}-01"): v for m, v in {1: 109, 2: 118, 3: None, 4: 8, 5: 16, 8: 7, 9: 13}.items()
+    }
+
+
+@pytest.mark.parametrize("size, wanted", [("64MB", 1 << 26), ("67108864b", 1 << 26), ("16m", 1 << 24), ("5", 5), ("1 g".replace(" ", ""), 1 << 30)])
+def test_sizes_are_read_as_spark_writes_them(size, wanted):
+    assert session.bytes_of(size) == wanted
