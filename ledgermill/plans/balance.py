@@ -12,6 +12,7 @@ from ledgermill.functions.dates import date_lit
 from ledgermill.operators.aggregates import money
 from ledgermill.operators.balance import LEDGER_POLICY, BalancePolicy, running_balance
 from ledgermill.plans.ledger import COST_KEYS, FORECAST_YEAR, RECEIPT_KEYS, YEAR, pending_costs
+from ledgermill.session import smaller_tasks, stored
 
 FLOWS = ("valor_recebido", "valor_recebido_prev", "custo_prev", "custo_real", "saldo")
 
@@ -58,16 +59,18 @@ def monthly_flows(
     as_of: str | date,
     forecast_year: int = FORECAST_YEAR,
     by: Sequence[str] = (),
+    spent: DataFrame | None = None,
 ) -> DataFrame:
     """One row per month that has receipts or open receipt forecasts.
 
     The kept values are key columns of the duplicate rule, so a distinct, which is
     pre-aggregated, replaces the choice of the latest row. The five kinds of amount
-    are stacked and summed once; no join is needed.
+    are stacked and summed once; no join is needed. ``spent`` are the distinct costs, if they are known already.
     """
     received = receipts.select(*by, *RECEIPT_KEYS).distinct()
     planned = forms.filter(F.col("dt_recebido") >= date_lit(as_of))
-    spent = costs.select(*by, *COST_KEYS).distinct()
+    if spent is None:
+        spent = costs.select(*by, *COST_KEYS).distinct()
     due = pending_costs(cost_forms, forecast_year)
     opening = opening_balances(balances.filter(F.month("dt_mes_base") == 1), by)
 
@@ -100,6 +103,11 @@ def monthly_balance(
     forecast_year: int = FORECAST_YEAR,
     by: Sequence[str] = (),
     policy: BalancePolicy = LEDGER_POLICY,
+    spent: DataFrame | None = None,
 ) -> DataFrame:
-    flows = monthly_flows(receipts, forms, costs, cost_forms, balances, as_of, forecast_year, by)
+    """The running balance of ``monthly_flows``, which are stored: by tasks small enough for sums by account, of which
+    a task holds nearly as many as rows."""
+    flows = monthly_flows(receipts, forms, costs, cost_forms, balances, as_of, forecast_year, by, spent)
+    with smaller_tasks(flows.sparkSession):
+        flows = stored(flows)
     return running_balance(flows, policy, by)

@@ -44,6 +44,26 @@ def test_one_sort_does_for_all_windows_of_the_balance(spark):
     }
 
 
+def test_sums_by_account_run_in_smaller_tasks(spark, conf, monkeypatch, tmp_path):
+    conf(**{session.TASK_SIZE: "64MB"})
+    seen = []
+
+    def watched(df):
+        seen.append(session.bytes_of(spark.conf.get(session.TASK_SIZE)))
+        return session.stored(df)
+
+    for module in (balance, balance_years):
+        monkeypatch.setattr(module, "stored", watched)
+    data, options = frames(spark, late=True), {"forecast_year": 2023, "by": ["conta"], "policy": BalancePolicy()}
+    whole = balance.monthly_balance(**data, as_of="2023-05-01", **options)
+    balance_years.refresh_balance(spark, str(tmp_path / "b"), **data, as_of="2023-05-01", **options)
+    assert counted(spark.read.parquet(str(tmp_path / "b")).drop(balance_years.YEAR_OF)) == counted(whole)
+    assert seen == [session.SMALL_TASK] * 2 and spark.conf.get(session.TASK_SIZE) == "64MB"
+    conf(**{session.TASK_SIZE: "1m"})  # a smaller setting stays
+    with session.smaller_tasks(spark):
+        assert spark.conf.get(session.TASK_SIZE) == "1m"
+
+
 @pytest.mark.parametrize("size, wanted", [("64MB", 1 << 26), ("67108864b", 1 << 26), ("16m", 1 << 24), ("5", 5), ("1 g".replace(" ", ""), 1 << 30)])
 def test_sizes_are_read_as_spark_writes_them(size, wanted):
     assert session.bytes_of(size) == wanted
