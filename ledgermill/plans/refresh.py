@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgermill import schemas
 from ledgermill.functions.dates import day_of
@@ -66,8 +67,9 @@ def ledger_tables(
     policy: BalancePolicy = LEDGER_POLICY,
     living_cost_years: Sequence[int] = LIVING_COST_YEARS,
     living_credit_years: Sequence[int] = LIVING_CREDIT_YEARS,
+    spent: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """The five ledger tables in the order of the run; none reads another."""
+    """The five ledger tables in the order of the run; none reads another, unless ``spent`` are the first one's costs."""
     i = inputs
     return {
         COSTS: ledger.consolidated_cost(i.costs, i.cost_forms, forecast_year),
@@ -75,7 +77,7 @@ def ledger_tables(
         RECEIPTS: ledger.receipts_with_forecast(i.receipts, i.receipt_forms, as_of, loaded_at),
         BALANCE: balance.monthly_balance(
             i.receipts, i.receipt_forms, i.costs, i.cost_forms, i.balances, as_of,
-            forecast_year, policy=policy,
+            forecast_year, policy=policy, spent=spent,
         ),
         LIVING: ledger.cost_of_living(
             i.costs.filter(i.costs[YEAR].isin(*living_cost_years)),
@@ -84,11 +86,24 @@ def ledger_tables(
     }
 
 
+def distinct_costs(costs: DataFrame, path: str) -> DataFrame | None:
+    """The costs in the consolidated table at ``path``, which holds each of ``costs`` once; none if it holds them as
+    another type."""
+    kept = costs.sparkSession.read.parquet(path).filter(F.col("source") == ledger.CONSOLIDATED)
+    same = all(kept.schema[c].dataType == costs.schema[c].dataType for c in ("dt_mes_base", "valor_custo"))
+    return kept if same else None
+
+
 def refresh_finance(inputs: LedgerInputs, root: str, as_of: str | date, loaded_at: datetime, **options) -> None:
-    """Write the five ledger tables under ``root``."""
+    """Write the five ledger tables under ``root``. The balance reads its costs from the consolidated table just
+    written, so their duplicates are sought once."""
     with intermediate(inputs.costs.sparkSession):
-        for name, df in ledger_tables(inputs, as_of, loaded_at, **options).items():
-            replace_table(df, f"{root}/{name}")
+        year = options.get("forecast_year", ledger.FORECAST_YEAR)
+        replace_table(ledger.consolidated_cost(inputs.costs, inputs.cost_forms, year), f"{root}/{COSTS}")
+        spent = distinct_costs(inputs.costs, f"{root}/{COSTS}")
+        for name, df in ledger_tables(inputs, as_of, loaded_at, spent=spent, **options).items():
+            if name != COSTS:
+                replace_table(df, f"{root}/{name}")
 
 
 def append_details(details: DataFrame, root: str, run: str) -> None:

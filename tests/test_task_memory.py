@@ -67,3 +67,30 @@ def test_sums_by_account_run_in_smaller_tasks(spark, conf, monkeypatch, tmp_path
 @pytest.mark.parametrize("size, wanted", [("64MB", 1 << 26), ("67108864b", 1 << 26), ("16m", 1 << 24), ("5", 5), ("1 g".replace(" ", ""), 1 << 30)])
 def test_sizes_are_read_as_spark_writes_them(size, wanted):
     assert session.bytes_of(size) == wanted
+
+
+def test_the_ledger_run_seeks_the_duplicates_of_costs_once(spark, monkeypatch, tmp_path):
+    cost = "custo string, tipo_custo string, dt_mes_base date, dt_custo date, valor_custo double, process_time timestamp_ntz, ano_fonte int"
+    at = datetime(2022, 5, 1)
+    loads = [("pao", kind, d("2022-01-01"), d("2022-01-03"), 2.0, at + timedelta(i), 2022) for i, kind in enumerate("abb")]
+    loads += [(None, None, None, None, None, None, None)] * 2 + [("pao", "a", d("2022-01-01"), d("2022-01-03"), None, at, 2022)]
+    loads += [("pao", "a", d("2022-01-01"), d("2022-01-03"), 2.0, at, 2021), ("gas", "a", d("2022-02-01"), d("2022-02-03"), 3.0, None, 2022)]
+    costs = spark.createDataFrame(loads, cost)
+    data = frames(spark, late=True)
+    due = spark.createDataFrame([], schemas.COST_FORM)
+    others = {k: data[k].drop("conta") for k in ("receipts", "balances")}
+    inputs = refresh.LedgerInputs(costs, spark.createDataFrame([], schemas.CREDIT).withColumn("ano_fonte", F.lit(2022)), others["receipts"], others["balances"], due, data["forms"].drop("conta"))
+    given, whole = [], balance.monthly_balance
+
+    def watched(*args, **options):
+        given.append(options.get("spent"))
+        return whole(*args, **options)
+
+    monkeypatch.setattr(refresh.balance, "monthly_balance", watched)
+    for _ in range(2):
+        refresh.refresh_finance(inputs, str(tmp_path), "2023-05-01", at, forecast_year=2023)
+    want = whole(others["receipts"], inputs.receipt_forms, costs, due, others["balances"], "2023-05-01", 2023)
+    assert counted(spark.read.parquet(f"{tmp_path}/{refresh.BALANCE}")) == counted(want)
+    assert len(given) == 2 and all(df is not None and "Aggregate" not in plan_of(df) for df in given)
+    # Held as another type, they are sought anew.
+    assert refresh.distinct_costs(costs.withColumn("valor_custo", F.col("valor_custo").cast("float")), f"{tmp_path}/{refresh.COSTS}") is None
