@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.components import connected_components
 from ledgermill.llm.words import WordHashes, texts, words_of
-from ledgermill.session import stored
+from ledgermill.session import stored, stored_by
 
 BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
@@ -212,6 +212,22 @@ def near_duplicates(
     shared = stored(entries.join(centres, ["band", "key"]).select("band", "key", "held", "id", F.col("drawn.u").alias("u")))
     # Stored, so that Spark knows how few they are and need not shuffle the texts.
     sets = _sets_of(source, stored(shared.select("id").distinct()), width, id_col, text_col)
+    nodes = _components(shared, marks, sets, percent).withColumnRenamed("node", "id")
+
+    joined = (
+        sketched.join(classes.select("d1", "d2", "n_shingles", "id"), ["d1", "d2", "n_shingles"], "left")
+        .join(nodes, "id", "left")
+        .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.coalesce("component", "id")))
+        .withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    )
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    component = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
+    return joined.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+
+
+def _components(shared: DataFrame, marks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Components of all links between documents that share buckets; ``sets`` lies in buckets of id, so its joins by id
+    move ids and not sets."""
     first = None
     for low, high in ROUNDS:
         stars = shared.filter((F.col("band") >= low) & (F.col("band") < high) & (F.col("id") != F.col("u")))
@@ -229,18 +245,9 @@ def near_duplicates(
         if held == 0 or before is not None and held > (1 - FEWER) * before:
             break
         before = held
-    found = stored(_between_components(rest, able.join(marks, "id").join(sets, "id"), percent))
-    nodes = connected_components(_named(first).union(found)).withColumnRenamed("node", "id")
-
-    joined = (
-        sketched.join(classes.select("d1", "d2", "n_shingles", "id"), ["d1", "d2", "n_shingles"], "left")
-        .join(nodes, "id", "left")
-        .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.coalesce("component", "id")))
-        .withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    )
-    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    component = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+    documents = able.join(marks, "id").join(sets.select("id", "shingles"), "id")
+    found = stored(_between_components(rest, documents, percent))
+    return connected_components(_named(first).union(found))
 
 
 def _named(components: DataFrame) -> DataFrame:
@@ -290,17 +297,18 @@ def _linkable(sets: DataFrame, percent: int) -> DataFrame:
     alone = sets.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle")
     alone = alone.agg(F.min("id").alias("id"), F.count("*").alias("holders")).filter("holders = 1")
     own = alone.groupBy("id").agg(F.count("*").alias("own"))
-    sizes = sets.select("id", F.size("shingles").alias("n")).join(own, "id", "left")
+    sizes = sets.select("id", "n").join(own, "id", "left")
     able = sizes.select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).cast("int").alias("common"))
     return stored(able.filter(100 * F.col("common") >= percent * F.col("n")))
 
 
 def _sets_of(source: DataFrame, ids: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """Full sets of the documents in ``ids``."""
+    """id, shingles, n: full sets of the documents in ``ids`` and their sizes, in buckets of id."""
     wanted = ids.withColumnRenamed("id", id_col)
     some = source.join(wanted, id_col, "left_semi").select(id_col, text_col)
     sets = some.mapInArrow(_full_sets(width, id_col, text_col), "id long, shingles array<long>")
-    return stored(sets)
+    # The size is a column of its own, so that who needs no more does not read sets.
+    return stored_by(sets.withColumn("n", F.size("shingles")), "id")
 
 
 def _between_components(rest: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
