@@ -105,3 +105,19 @@ def test_odd_rows(spark, texts_frame, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, str(tmp_path))
     assert empty.count() == 0
+
+
+def test_scorer_gets_texts_once(spark, texts_frame, tmp_path, monkeypatch):
+    rows = [(1, "vile words"), (2, "kind words"), (2, "kind words"), (3, ""), (4, None), (None, "x")]
+    # Names that the operator uses itself, and the text as the last column.
+    documents = texts_frame(rows).withColumns({"row": F.lit("r"), "score": F.lit(9), "passages": F.lit(1.5)})
+    documents = documents.select(*(c for c in documents.columns if c != "text"), "text")
+    spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    sent, score = [], corpus_pipeline.score_toxicity
+    monkeypatch.setattr(corpus_pipeline, "score_toxicity", lambda rows, *a, **b: sent.append(rows) or score(rows, *a, **b))
+    monkeypatch.setattr(corpus_pipeline, "TOXIC", 2)  # all rows stay
+    left = corpus_pipeline.without_toxic(spark, documents, str(tmp_path))
+    assert left.dtypes == documents.dtypes
+    assert Counter(map(str, left.collect())) == Counter(map(str, documents.collect()))
+    # The text is not in the struct of the other columns as well.
+    assert re.findall(r"\btext:\w+", sent[0].schema.simpleString()) == ["text:string"]
