@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.words import texts
-from ledgermill.session import stored
+from ledgermill.session import small_batches, stored
 
 #: Rank of the latent space, and random vectors beyond it.
 RANK, MORE = 64, 8
@@ -578,6 +578,7 @@ def find_leaks(
     Other columns are ignored; an empty table on either side gives an empty result.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     item_kind = benchmark.schema[item_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))

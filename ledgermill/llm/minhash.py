@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.components import connected_components
 from ledgermill.llm.words import WordHashes, texts, words_of
-from ledgermill.session import stored, stored_by
+from ledgermill.session import small_batches, stored, stored_by
 
 BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
@@ -195,6 +195,7 @@ def near_duplicates(
     """
     if percent < 80:
         raise ValueError("the bands find links of 80 percent and more")
+    small_batches(docs.sparkSession)
     source = docs.select(id_col, text_col)
     kinds = "doc_id long, n_shingles long, d1 long, d2 long, minima binary, bands array<long>"
     sketched = stored(source.mapInArrow(_sketches(width, id_col, text_col), kinds))

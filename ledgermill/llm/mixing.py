@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.llm.words import texts
-from ledgermill.session import stored
+from ledgermill.session import small_batches, stored
 
 DIGITS = 3
 #: Slots of finish time up to 2; beyond, the slots widen with the time.
@@ -95,6 +95,7 @@ def mix_sources(
     agree in all three are alike. Null ids are shuffled as an empty text. Without any word all
     targets and ``taken`` are 0; an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     narrow = list(dict.fromkeys(["doc_id", "source", *columns]))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*narrow).schema)

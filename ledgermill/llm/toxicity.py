@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.words import texts, words_of
-from ledgermill.session import stored
+from ledgermill.session import small_batches, stored
 
 #: Labelled rows that the model is fitted on, and forms of words that it may hold.
 TRAIN_ROWS, MODEL_FORMS = 20_000, 300_000
@@ -35,6 +35,8 @@ TRAIN_ROWS, MODEL_FORMS = 20_000, 300_000
 SHORT, LONG, LEAST, PRIOR = 3, 8, 3, 30.0
 #: Occurrences of a word that count in one training text.
 MOST = 4
+#: Words that a task counts before their forms travel, and rows of the sample that the driver looks at together.
+COUNTED, LOOKED = 100_000, 1_000
 #: What a form must add to its prefix's score to be kept.
 STEP = 0.1
 #: Taken off each word's score, so that texts without toxic words drift down.
@@ -144,13 +146,20 @@ SIDES = ("clean0", "toxic0", "clean1", "toxic1")
 
 
 def _form_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(form, occurrences in clean and toxic texts of either half)."""
+    """(form, occurrences in clean and toxic texts of either half); a form may have several rows, which add up."""
     counts = [Counter() for _ in SIDES]
     for batch in batches:
         sides = zip(batch.column("half").to_pylist(), batch.column("label").to_pylist(), strict=True)
         for text, (half, label) in zip(texts(batch, "text"), sides, strict=True):
             seen = Counter(words_of(text))
             counts[2 * half + (label > 0)].update({word: min(n, MOST) for word, n in seen.items()})
+            if sum(map(len, counts)) >= COUNTED:
+                yield from _by_form(counts)
+                counts = [Counter() for _ in SIDES]
+    yield from _by_form(counts)
+
+
+def _by_form(counts: list[Counter]) -> Iterator[pa.RecordBatch]:
     both: dict[str, list[int]] = {}
     for side, words in enumerate(counts):
         for word, n in words.items():
@@ -262,6 +271,7 @@ def fit(
 
     Without labelled rows every word scores 0 and every text gets the probability 0.5.
     """
+    small_batches(docs.sparkSession)
     sample = F.broadcast(training_rows(labels, id_col, label_col, rows))  # at most ``rows`` rows
     train = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(sample, "id")
     train = train.groupBy("text").agg(F.max("label").alias("label"))
@@ -271,29 +281,42 @@ def fit(
     counted = train.mapInArrow(_form_counts, f"form string, {', '.join(f'{x} long' for x in SIDES)}").groupBy("form").agg(*sums)
     seen = sum(F.col(side) for side in SIDES)
     frequent = counted.filter((seen >= LEAST) | (F.col("form") == "")).orderBy(seen.desc(), "form").limit(MODEL_FORMS)
-    counts = frequent.toArrow().to_pylist()
-    halves = [_word_scores({r["form"]: (r[f"clean{h}"], r[f"toxic{h}"]) for r in counts}) for h in (0, 1)]
-    known = _word_scores({r["form"]: (r["clean0"] + r["clean1"], r["toxic0"] + r["toxic1"]) for r in counts})
+    counts = frequent.toArrow()  # in columns, as rows of Python objects take many times their bytes
+    names, n = counts.column("form").to_pylist(), {side: counts.column(side).to_numpy() for side in SIDES}
+
+    def scores(clean: np.ndarray, toxic: np.ndarray) -> dict[str, float]:
+        return _word_scores(dict(zip(names, zip(clean.tolist(), toxic.tolist(), strict=True), strict=True)))
+
+    halves = [scores(n[f"clean{h}"], n[f"toxic{h}"]) for h in (0, 1)]
+    known = scores(n["clean0"] + n["clean1"], n["toxic0"] + n["toxic1"])
     shared = docs.sparkSession.sparkContext.broadcast(halves)  # at most MODEL_FORMS forms each
     looked = train.mapInArrow(_scan(shared), "label int, m long, best array<double>, bins array<long>, sizes array<long>")
-    looked = looked.toArrow().to_pylist()  # one row for each of at most ``rows`` texts
-    clean = [r for r in looked if r["label"] <= 0 and r["m"]]
+    looked = looked.toArrow()  # one row for each of at most ``rows`` texts
     histogram: Counter = Counter()
-    for r in clean:
-        histogram.update(dict(zip(r["bins"], r["sizes"], strict=True)))
     # One more clean word, dealt over the positive scores of toxic texts: where no clean text holds a toxic
     # word, lambda follows from how many clean words were seen without one.
     more: Counter = Counter()
-    for r in looked:
+    for r in _rows(looked):
         if r["label"] > 0:
             more.update({b: n for b, n in zip(r["bins"], r["sizes"], strict=True) if b > 0})
+        elif r["m"]:
+            histogram.update(dict(zip(r["bins"], r["sizes"], strict=True)))
     for b, n in more.items():
         histogram[b] += n / more.total()
     rate = _rate(np.array(list(histogram), float) / 20, np.array(list(histogram.values()), float))
-    weight = sum(r["m"] * math.exp(-rate * (r["best"][0] if r["best"] else 0.0)) for r in clean)
+    looked = looked.select(["label", "m", "best"])
+    clean = [r["m"] * math.exp(-rate * (r["best"][0] if r["best"] else 0.0)) for r in _rows(looked) if r["label"] <= 0 and r["m"]]
+    weight = sum(clean)
     law = Model(known, rate, len(clean) / weight if weight else 1.0, (0.0, 0.0))
-    x = np.array([law.feature(r["best"], r["m"]) for r in looked])
-    return Model(known, rate, law.size, _curve(x, np.array([float(r["label"] > 0) for r in looked])), bool(looked))
+    x = np.array([law.feature(r["best"], r["m"]) for r in _rows(looked)])
+    toxic = np.array([float(r["label"] > 0) for r in _rows(looked.select(["label"]))])
+    return Model(known, rate, law.size, _curve(x, toxic), looked.num_rows > 0)
+
+
+def _rows(table: pa.Table) -> Iterator[dict]:
+    """The rows of a table, few at a time as Python objects."""
+    for batch in table.to_batches(max_chunksize=LOOKED):
+        yield from batch.to_pylist()
 
 
 RESULT = "score double, n_words long, passages array<struct<start:int,end:int,score:double,expect:double>>"
@@ -307,6 +330,7 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
     at, all of it. Null, empty and blank texts have no words, no passages and the score of a text without
     evidence. Repeated rows are scored alike, null ids stay, an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MODEL_FORMS forms
     kept = list(dict.fromkeys([id_col, *columns]))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
