@@ -1,22 +1,24 @@
-"""Approximate nearest neighbours by multiprobe p-stable hashing.
+"""Approximate nearest neighbours by multiprobe hashing with Gaussian, that is 2-stable, projections.
 
 Largest inner product becomes least Euclidean distance: vectors are scaled by the largest norm and get
-one more component that brings them to the unit sphere, queries are scaled to it. Each of ``TABLES``
-hash tables cuts ``k`` Gaussian projections into cells of ``WIDTH``; ``k`` grows with the logarithm of
-the number of vectors, so a bucket keeps its size. A query visits a table's buckets in the order of the
-probability that a neighbour fell there, its own bucket first, until these probabilities reach
-``SUCCESS``. The distance of a neighbour, which the probabilities need, is taken from a bounded
-sample; every vector is indexed.
-
-Equal vectors are one class with its smallest ids. Index and probes meet in groups of buckets; a bucket
-with too many classes for a group is dealt over several. Groups return the best of each query only, the
-tables' candidates are merged, and their score is the exact inner product in double precision.
-Queries for which too few were found are compared with every class, in blocks.
+one more component that brings them to the unit sphere, queries are scaled to it. A hash table draws two sets
+of Gaussian directions; a vector lies in the cell of the two directions, one of each set and with their sign,
+along which it reaches farthest. A query visits all cells whose two directions add up to ``cut`` or more for it.
+For a neighbour at a given inner product this sum depends on the draw of the directions only, whatever the data
+are, so the cut that finds a share ``SUCCESS`` of such neighbours follows from the number of tables. The inner
+product of the farthest wanted neighbours is taken from some sampled vectors that are compared with all others.
+Number of tables and directions are those of least expected work; where that is no less than comparing all
+with all, this is done instead.
+
+Equal vectors are one class with its smallest ids. Classes are dealt at random into slices that a task holds in
+memory, in all tables; queries stream past them. Scores of single precision choose the candidates, with a margin
+for their error; what they are judged by is the exact inner product in double precision. A query takes its worst
+find so far along to later slices, so these return few rows. Queries for which too few were found are
+compared with every class.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 
@@ -24,73 +26,93 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
-from ledgermill.session import stored
-
-TABLES, WIDTH, SUCCESS = 2, 2.0, 0.85
-#: Classes of a usual bucket, and of a group at least; groups are at most MAX_GROUPS a table.
-BUCKET, GROUP_ROWS, MAX_GROUPS = 1_500, 20_000, 1 << 15
-#: Spreads the parts of a large bucket over groups.
-PART = 0x9E3779B1
-#: Vectors of the sample, and those of them that look for their neighbours among the rest.
-SAMPLE, SAMPLE_QUERIES = 20_000, 400
-CLASS = "c1 long, c2 long, id long, vector array<double>"
+from pyspark.sql.types import FloatType
+
+from ledgermill.session import small_batches, stored
+
+#: Share of the neighbours at the sampled distance that the tables together find.
+SUCCESS = 1 - (1 - 0.85) ** 2
+#: Classes of a slice at most, and of one of up to SLICES slices at least; slices of the first round.
+SLICE_ROWS, LEAST_ROWS, SLICES, HEAD = 500_000, 4_096, 8, 8
+#: Queries that are searched together, and finds for each, on average, that wait to be ranked.
+TOGETHER, WAITING = 100_000, 20
+#: Rows of a slice that give a first bound, and sides of a block of scores.
+FIRST, BLOCK_QUERIES, BLOCK_ROWS = 2_048, 1_024, 4_096
+#: Sampled vectors that look for their neighbours among all.
+SAMPLE_QUERIES = 400
+#: Choices of tables and of directions in each of a table's two sets.
+TABLES, DIRECTIONS = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32), (2, 4, 6, 8, 12, 16, 24, 32, 48)
+#: Nanoseconds for a pair's score, for a query in a table, for its visit to a cell, and for a cell.
+PAIR_NS, PROBE_NS, VISIT_NS, CELL_NS = 4, 600, 100, 25_000
 
 
 class Hashing:
-    """The tables' projections, and the probes of a query."""
+    """The tables' directions, and the sum from which on a query visits a cell."""
 
-    def __init__(self, dim: int, k: int, norm: float, near: float, seed: int = 11):
+    def __init__(self, dim: int, tables: int, directions: int, cut: float, seed: int = 11):
         random = np.random.Generator(np.random.PCG64(seed))
-        self.a = random.standard_normal((TABLES, k, dim + 1))
-        self.b = random.random((TABLES, k)) * WIDTH
-        self.mix = random.integers(1, 2**62, k, dtype=np.int64) * 2 + 1
-        self.k, self.norm, self.near = k, norm, near
-
-    def lifted(self, vectors: np.ndarray) -> np.ndarray:
-        x = vectors / self.norm
-        rest = np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(axis=1)))
-        return np.hstack([x, rest[:, None]])
-
-    def turned(self, queries: np.ndarray) -> np.ndarray:
-        return np.hstack([queries / np.linalg.norm(queries, axis=1)[:, None], np.zeros((len(queries), 1))])
-
-    def places(self, points: np.ndarray, table: int) -> np.ndarray:
-        return (points @ self.a[table].T + self.b[table]) / WIDTH
-
-    def bucket(self, cells: np.ndarray) -> np.ndarray:
-        return ((cells + 1000) * self.mix).sum(axis=-1)
-
-    def probes(self, place: np.ndarray) -> list[int]:
-        """Buckets by the probability that a neighbour fell there, until SUCCESS is reached.
-
-        A neighbour's projections differ from the query's by a normal variable of ``near``; a bucket's
-        probability is the product of its cells'. Cells of each projection are put in order, and the
-        best-first search over the ranks yields the products in descending order.
-        """
-        spread = self.near * math.sqrt(2.0)
-        options = []
-        for p in place:
-            low = math.floor(p)
-            cells = []
-            for cell in range(low - 4, low + 5):
-                share = 0.5 * (math.erf((cell + 1 - p) * WIDTH / spread) - math.erf((cell - p) * WIDTH / spread))
-                cells.append((share, cell))
-            cells.sort(reverse=True)
-            options.append(cells)
-        whole = math.prod(cells[0][0] for cells in options)
-        ranks = (0,) * self.k
-        heap, out, reached = [(-whole, ranks, 0)], [], 0.0
-        while heap and reached < SUCCESS:
-            share, ranks, since = heapq.heappop(heap)
-            reached -= share
-            out.append([options[j][r][1] for j, r in enumerate(ranks)])
-            for j in range(since, self.k):
-                r = ranks[j]
-                if r + 1 < len(options[j]) and options[j][r + 1][0] > 1e-9:
-                    step = share * options[j][r + 1][0] / options[j][r][0]
-                    heapq.heappush(heap, (step, (*ranks[:j], r + 1, *ranks[j + 1 :]), j))
-        return self.bucket(np.array(out, np.int64)).tolist()
+        a = random.standard_normal((tables, 2, directions, dim + 1))
+        self.a = (a * (math.sqrt(dim + 1) / np.linalg.norm(a, axis=3, keepdims=True))).astype(np.float32)
+        self.tables, self.directions, self.cut = tables, directions, np.float32(cut)
+
+    def cells(self, points: np.ndarray, rest: np.ndarray, table: int) -> np.ndarray:
+        """Cells of points whose last component is ``rest``."""
+        code = []
+        for a in self.a[table]:
+            along = points @ a[:, :-1].T + rest[:, None] * a[:, -1]
+            best = np.abs(along).argmax(axis=1)
+            code.append(best + self.directions * (along[np.arange(len(best)), best] < 0))
+        return code[0] * 2 * self.directions + code[1]
+
+    def visits(self, queries: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
+        """Cells in ascending order, and the query that visits each. The queries' last component is 0."""
+        cells, who = [], []
+        for s in range(0, len(queries), BLOCK_ROWS):
+            one, two = (queries[s : s + BLOCK_ROWS] @ a[:, :-1].T for a in self.a[table])
+            one, two = np.hstack([one, -one]), np.hstack([two, -two])
+            side = two.shape[1]
+            need = self.cut - one
+            q, i = np.divmod(np.flatnonzero((need <= two.max(axis=1)[:, None]).ravel()), side)
+            at, j = np.divmod(np.flatnonzero((two.take(q, axis=0) >= need[q, i][:, None]).ravel()), side)
+            cells.append((i[at] * side + j).astype(np.uint16))  # (2 * 48)^2 at most
+            who.append((q[at] + s).astype(np.int32))
+        cells, who = np.concatenate(cells), np.concatenate(who)
+        order = np.argsort(cells, kind="stable")
+        return cells[order], who[order]
+
+
+def _true(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """np.nonzero of a mask most of whose rows are false."""
+    rows = np.flatnonzero(mask.any(axis=1))
+    at, columns = np.divmod(np.flatnonzero(mask.take(rows, axis=0).ravel()), mask.shape[1])
+    return rows[at], columns
+
+
+def chosen(dim: int, near: float, rows: int, queries: int, draws: int = 20_000) -> Hashing | None:
+    """The cheapest tables for slices of ``rows`` and inner products of ``near``; None if all is to be compared.
+
+    Directions have the length of the root of their dimension D. A vector reaches M1 + M2 along those of its cell, the
+    largest of its projections. A query with the inner product c to it reaches c (M1 + M2) plus about a normal variable of
+    variance (1 - c^2) (2 D - M1^2 - M2^2) / (D - 1) there, and one that has nothing to do with it a variable of variance 2.
+    """
+    random = np.random.Generator(np.random.PCG64(3))
+    size = dim + 1
+    together = min(TOGETHER, queries)
+    best, choice = PAIR_NS * rows, None
+    for directions in DIRECTIONS:
+        one = random.standard_normal((2, draws, directions))
+        rest = random.chisquare(max(1, size - 1), (2, draws, directions))
+        reach = np.abs(one / np.sqrt((one * one + rest) / size)).max(axis=2)
+        spread = (2 * size - (reach * reach).sum(axis=0)) / max(1, size - 1)
+        near_by = near * reach.sum(axis=0) + np.sqrt(max(0.0, 1 - near * near) * spread) * random.standard_normal(draws)
+        for tables in TABLES:
+            cut = float(np.quantile(near_by, (1 - SUCCESS) ** (1 / tables)))
+            share = 0.5 * math.erfc(cut / 2)
+            cells = (2 * directions) ** 2
+            cost = tables * (share * (PAIR_NS * rows + VISIT_NS * cells) + PROBE_NS + CELL_NS * cells / together)
+            if cost < best:
+                best, choice = cost, (tables, directions, cut)
+    return choice and Hashing(dim, *choice)
 
 
 def _matrix(column) -> np.ndarray:
@@ -100,88 +122,181 @@ def _matrix(column) -> np.ndarray:
 
 
 def valid_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, vector of doubles) of the rows that take part."""
-    vector = F.col(vector_col).cast("array<double>")
-    sound = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    """(id, vector of doubles, or of floats as they are) of the rows that take part."""
+    floats = isinstance(table.schema[vector_col].dataType.elementType, FloatType)
+    kind = "float" if floats else "double"
+    vector = F.col(vector_col).cast(f"array<{kind}>")
+    # Looking for NaN gives null if there is none but a null. NaN is above infinity.
+    low, high, inf = F.array_min("vector"), F.array_max("vector"), float("inf")
+    sound = ~F.array_contains("vector", F.lit(float("nan")).cast(kind)) & (low > -inf) & (high < inf)
     rows = table.select(F.col(id_col).cast("long").alias("id"), vector.alias("vector"))
     present = F.col("id").isNotNull() & F.col("vector").isNotNull()
-    return rows.filter(present & sound & F.exists("vector", lambda x: x != 0))
-
-
-def _near(classes: DataFrame, total: int, norm: float, top: int) -> float:
-    """Distance within which nine of ten sampled vectors have ``top`` others, on the unit sphere."""
-    sample = classes.select("vector").sample(min(1.0, SAMPLE / total), seed=5).limit(2 * SAMPLE).toArrow()
-    vectors = _matrix(sample.column("vector")) / norm
-    if len(vectors) < 2:
-        return 1.0
-    few = vectors[:SAMPLE_QUERIES]
-    products = few @ vectors.T / np.linalg.norm(few, axis=1)[:, None]
-    at = min(top + 1, len(vectors))
-    kth = -np.partition(-products, at - 1, axis=1)[:, at - 1]
-    return float(np.sqrt(np.maximum(1e-6, 2 - 2 * np.quantile(kth, 0.1))))
-
-
-def _best(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, visits, top: int):
-    """(query, row) of the ``top`` best rows that each query visits; visits yields (query rows, vector rows)."""
-    least = np.full(len(queries), -np.inf)
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    count = 0
-
-    def settle():
-        q, v, s = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((ids[v], -s, q))
-        q, v, s = q[order], v[order], s[order]
-        first = np.searchsorted(q, q)
-        keep = np.arange(len(q)) - first < top
-        full = np.arange(len(q)) - first == top - 1
-        least[q[full]] = s[full] - 1e-9
-        return q[keep], v[keep], s[keep]
-
-    for who, rows in visits:
-        scores = queries[who] @ vectors[rows].T
-        i, j = np.nonzero(scores >= least[who][:, None])
-        held.append((who[i], rows[j], scores[i, j]))
-        count += len(i)
-        if count > 500_000:
-            held = [settle()]
-            count = len(held[0][0])
-    return settle()[:2] if held else (np.empty(0, np.int64), np.empty(0, np.int64))
-
-
-def _search(top: int):
-    """Groups of index and probes -> the best classes of each query there."""
-
-    def run(index, probes):
-        out = {"q1": [], "q2": [], "c1": [], "c2": [], "score": []}
-        if index.num_rows and probes.num_rows:
-            vectors, queries = _matrix(index.column("vector")), _matrix(probes.column("vector"))
-            ids = index.column("id").to_numpy()
-            buckets = index.column("bucket").to_numpy()
-            order = np.argsort(buckets, kind="stable")
-            wanted = probes.column("buckets").combine_chunks()
-            who = np.repeat(np.arange(len(wanted)), np.diff(wanted.offsets.to_numpy()))
-            probed = wanted.flatten().to_numpy()
-            by_bucket = np.argsort(probed, kind="stable")
-            probed, who = probed[by_bucket], who[by_bucket]
-            names, starts = np.unique(probed, return_index=True)
-            ends = np.append(starts[1:], len(probed))
-            sorted_buckets = buckets[order]
-            low, high = np.searchsorted(sorted_buckets, names), np.searchsorted(sorted_buckets, names, "right")
-            visits = ((who[s:e], order[a:b]) for s, e, a, b in zip(starts, ends, low, high, strict=True) if b > a)
-            q, v = _best(queries, ids, vectors, visits, top)
+    return rows.filter(present & sound & ((low != 0) | (high != 0)))
+
+
+def _near(classes: DataFrame, norm: float, top: int) -> float:
+    """Inner product on the unit sphere that nine of ten sampled vectors reach with ``top`` others."""
+    few = _matrix(classes.orderBy("c1", "c2").limit(SAMPLE_QUERIES).select("vector").toArrow().column("vector")).astype(np.float64)
+    few = (few / np.linalg.norm(few, axis=1)[:, None]).astype(np.float32)
+    shared = classes.sparkSession.sparkContext.broadcast(few)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        few = shared.value
+        held = np.empty((len(few), 0), np.float32)
+        for batch in batches:
+            if batch.num_rows:
+                vectors = (_matrix(batch.column("vector")) / norm).astype(np.float32)
+                held = np.hstack([held, few @ vectors.T])
+                if held.shape[1] > top + 1:
+                    held = -np.partition(-held, top, axis=1)[:, : top + 1]
+        who = np.repeat(np.arange(len(few), dtype=np.int32), held.shape[1])
+        yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(held.ravel().astype(np.float64))], ["who", "score"])
+
+    scores = classes.select("vector").mapInArrow(best, "who int, score double")
+    order = Window.partitionBy("who").orderBy(F.desc("score"))
+    worst = scores.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top + 1).groupBy("who").agg(F.min("score").alias("score"))
+    return float(np.quantile([r["score"] for r in worst.collect()], 0.1))
+
+
+class _Slice:
+    """Classes of a slice, in the cells of all tables, and the search among them."""
+
+    def __init__(self, parts: list[tuple[np.ndarray, ...]], norm: float, hashing: Hashing | None):
+        self.c1, self.c2, self.id = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        self.scale = 2.0 ** math.ceil(math.log2(norm))  # a power of two: floats divided by it are the same numbers
+        dim = parts[0][3].shape[1]
+        self.scan = np.ones((len(self.id), dim + 1), np.float32)  # the last column takes the query's bound
+        at = 0
+        for p in parts:
+            self.scan[at : at + len(p[3]), :dim] = p[3] / p[3].dtype.type(self.scale)
+            at += len(p[3])
+        self.whole = None if parts[0][3].dtype == np.float32 else np.concatenate([p[3] for p in parts])
+        self.margin = np.float32(1.2e-7 * (dim + 16))
+        self.hashing, self.tables = hashing, []
+        for t in range(hashing.tables if hashing else 0):
+            cells = np.empty(len(self.id), np.uint16)  # (2 * 48)^2 at most
+            for s in range(0, len(cells), 50_000):
+                points = self.scan[s : s + 50_000, :dim]
+                rest = np.sqrt(np.maximum(0, np.float32(norm / self.scale) ** 2 - np.einsum("ij,ij->i", points, points)))
+                cells[s : s + 50_000] = hashing.cells(points, rest, t)
+            starts = np.concatenate([[0], np.cumsum(np.bincount(cells, minlength=4 * hashing.directions**2))])
+            self.tables.append((np.argsort(cells, kind="stable").astype(np.int32), starts))
+
+    def vectors(self, rows: np.ndarray) -> np.ndarray:
+        return self.scan[rows, :-1].astype(np.float64) * self.scale if self.whole is None else self.whole[rows]
+
+    def visits(self, queries: np.ndarray):
+        """(queries, rows) that are to be compared."""
+        if self.hashing is None:
+            for s in range(0, len(queries), BLOCK_QUERIES):
+                for v in range(0, len(self.id), BLOCK_ROWS):
+                    yield np.arange(s, min(s + BLOCK_QUERIES, len(queries))), np.arange(v, min(v + BLOCK_ROWS, len(self.id)))
+        for t, (order, starts) in enumerate(self.tables):
+            cells, who = self.hashing.visits(queries, t)
+            first = np.flatnonzero(np.diff(cells, prepend=-1))
+            last = np.append(first, len(cells))[1:]
+            for cell, a, b in zip(cells[first].tolist(), first.tolist(), last.tolist(), strict=True):
+                low, high = int(starts[cell]), int(starts[cell + 1])
+                for s in range(a, b if high > low else a, BLOCK_QUERIES):
+                    for v in range(low, high, BLOCK_ROWS):
+                        yield who[s : min(s + BLOCK_QUERIES, b)], order[v : min(v + BLOCK_ROWS, high)]
+
+    def search(self, queries: np.ndarray, least: np.ndarray, top: int):
+        """(query, row, score) of the ``top`` best rows of each query, of those that it visits and that reach its ``least``."""
+        count, dim = len(self.id), queries.shape[1]
+        norms = np.linalg.norm(queries.astype(np.float64), axis=1)
+        asked = np.empty((len(queries), dim + 1), np.float32)
+        asked[:, :dim] = queries / norms[:, None]
+        # Scores of the scan are at least -1. A first bound comes from any rows, as they are dealt at random.
+        asked[:, dim] = np.minimum(4, self.margin - least / norms / self.scale)
+        open_ = np.flatnonzero(least == -np.inf)
+        for s in range(0, len(open_) if count >= top else 0, BLOCK_QUERIES):
+            who = open_[s : s + BLOCK_QUERIES]
+            scores = asked[who, :dim] @ self.scan[:FIRST, :dim].T
+            asked[who, dim] = 2 * self.margin - np.partition(scores, -top, axis=1)[:, -top]
+        keys, scores, new, waiting = np.empty(0, np.int64), np.empty(0, np.float32), [], 0
+
+        def settle():
+            """The best ``top`` so far by the scan, with all within its error, and the new bounds."""
+            k, x = np.concatenate([keys, *(n[0] for n in new)]), np.concatenate([scores, *(n[1] for n in new)])
+            order = np.argsort(k, kind="stable")
+            k, x = k[order], x[order]
+            once = np.diff(k, prepend=-1) != 0
+            k, x = k[once], x[once]
+            q = k // count
+            order = np.lexsort((-x, q))
+            k, x, q = k[order], x[order], q[order]
+            full = np.arange(len(q)) - np.searchsorted(q, q) == top - 1
+            asked[q[full], dim] = np.minimum(asked[q[full], dim], 2 * self.margin - x[full])
+            reach = x + asked[q, dim] >= 0
+            return k[reach], x[reach]
+
+        block, mask = np.empty(BLOCK_QUERIES * BLOCK_ROWS, np.float32), np.empty(BLOCK_QUERIES * BLOCK_ROWS, bool)
+        for who, rows in self.visits(asked[:, :dim]):
+            part, size, shape = asked.take(who, axis=0), len(who) * len(rows), (len(who), len(rows))
+            above = np.matmul(part, self.scan.take(rows, axis=0).T, out=block[:size].reshape(shape))
+            q, v = _true(np.greater_equal(above, 0, out=mask[:size].reshape(shape)))
+            if len(q):
+                new.append((who[q].astype(np.int64) * count + rows[v], above[q, v] - part[q, dim]))
+                waiting += len(q)
+                if waiting > WAITING * len(queries):
+                    keys, scores = settle()
+                    new, waiting = [], 0
+        keys, scores = settle()
+        exact = np.empty(len(keys))
+        for s in range(0, len(keys), 20_000):
+            q, v = np.divmod(keys[s : s + 20_000], count)
             # The score is summed in one order for a pair, wherever it is found.
-            out["score"] = np.einsum("ij,ij->i", queries[q], vectors[v])
-            for name in ("q1", "q2"):
-                out[name] = probes.column(name).to_numpy()[q]
-            for name in ("c1", "c2"):
-                out[name] = index.column(name).to_numpy()[v]
-        kinds = {n: pa.float64() if n == "score" else pa.int64() for n in out}
-        return pa.table({n: pa.array(x, kinds[n]) for n, x in out.items()})
+            exact[s : s + 20_000] = np.einsum("ij,ij->i", queries[q].astype(np.float64), self.vectors(v))
+        q, v = np.divmod(keys, count)
+        order = np.lexsort((self.id[v], -exact, q))
+        q, v, exact = q[order], v[order], exact[order]
+        keep = (np.arange(len(q)) - np.searchsorted(q, q) < top) & (exact >= least[q])
+        return q[keep], v[keep], exact[keep]
 
-    return run
+
+FOUND = "q long, c1 long, c2 long, id long, score double"
 
 
-FOUND = "q1 long, q2 long, c1 long, c2 long, score double"
+def _search(top: int, norm: float, shared):
+    """Rows in the order of slice and kind, classes (0) before queries (1) -> the best classes of each query in a slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, classes, asked, queries, waiting = None, [], None, [], 0
+
+        def found():
+            nonlocal asked, classes, queries, waiting
+            if queries and (classes or asked):
+                asked = asked or _Slice(classes, norm, shared.value)
+                classes = []
+                q, vectors, least = (np.concatenate(x) for x in zip(*queries, strict=True))
+                who, rows, score = asked.search(vectors, least, top)
+                for s in range(0, len(who), 100_000):
+                    w, r = who[s : s + 100_000], rows[s : s + 100_000]
+                    columns = [q[w], asked.c1[r], asked.c2[r], asked.id[r], score[s : s + 100_000]]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["q", "c1", "c2", "id", "score"])
+            queries, waiting = [], 0
+
+        for batch in batches:
+            place = batch.column("slice").to_numpy() * 2 + batch.column("kind").to_numpy()
+            starts = np.flatnonzero(np.diff(place, prepend=-1)) if len(place) else []
+            for s, e in zip(starts, [*starts[1:], len(place)], strict=True):
+                part = batch.slice(s, e - s)
+                if place[s] // 2 != here:
+                    yield from found()
+                    here, classes, asked = place[s] // 2, [], None
+                vectors = _matrix(part.column("vector"))
+                numbers = [np.array(part.column(x).to_numpy()) for x in ("c1", "c2", "id")]
+                if place[s] % 2 == 0:
+                    classes.append((*numbers, np.array(vectors)))
+                else:
+                    queries.append((numbers[2], np.array(vectors), part.column("least").to_numpy()))
+                    waiting += len(vectors)
+                    if waiting >= TOGETHER:
+                        yield from found()
+        yield from found()
+
+    return run
 
 
 def nearest(
@@ -210,94 +325,73 @@ def nearest(
         "id", "vector", F.xxhash64("vector").alias("c1"), F.xxhash64(F.lit(1), "vector").alias("c2")
     )
     classes = stored(rows.groupBy("c1", "c2").agg(F.min("id").alias("id"), F.any_value("vector").alias("vector")))
+    ids = stored(rows.select("c1", "c2", "id").distinct())
     smallest = Window.partitionBy("c1", "c2").orderBy("id")
-    members = stored(
-        rows.select("c1", "c2", "id").distinct().withColumn("nth", F.row_number().over(smallest)).filter(F.col("nth") <= top + 1)
-    )
-    queries = rows.filter(is_query).select("c1", "c2", "id").distinct()
-    norm2 = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
+    members = ids.withColumn("nth", F.row_number().over(smallest)).filter(F.col("nth") <= top + 1)
+    queries = ids.filter(is_query)
+    norm2 = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     total, largest = classes.agg(F.count("*"), F.max(norm2)).first()
     norm = math.sqrt(largest) or 1.0
-    k = max(2, min(24, round(math.log2(max(4.0, total / BUCKET)))))
-    hashing = Hashing(dim, k, norm, _near(classes, total, norm, top))
-    shared = spark.sparkContext.broadcast(hashing)  # TABLES * k * dim numbers
-
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h = shared.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            points = h.lifted(_matrix(batch.column("vector")))
-            for t in range(TABLES):
-                bucket = h.bucket(np.floor(h.places(points, t)).astype(np.int64))
-                extra = [pa.array(np.full(len(points), t, np.int32)), pa.array(bucket)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, "tab", "bucket"])
-
-    indexed = stored(classes.select("c1", "c2", "id", "vector").mapInArrow(index, f"{CLASS}, tab int, bucket long"))
-    asked = classes.join(queries.select("c1", "c2").distinct(), ["c1", "c2"], "left_semi").select("c1", "c2", "vector")
-    asked = stored(asked)
-    groups = max(1, min(MAX_GROUPS, -(-total // GROUP_ROWS)))
-    limit = max(GROUP_ROWS, total // MAX_GROUPS)
-    # Buckets over the limit: at most TABLES * total / limit of them, so at most TABLES * MAX_GROUPS rows.
-    large = indexed.groupBy("tab", "bucket").count().filter(F.col("count") > limit)
-    large = stored(large.select("tab", "bucket", F.ceil(F.col("count") / limit).cast("long").alias("parts")))
-    parts_of = spark.sparkContext.broadcast({(r["tab"], r["bucket"]): r["parts"] for r in large.collect()})
-
-    def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each query and group that holds buckets it visits."""
-        h, in_parts = shared.value, parts_of.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            points = h.turned(_matrix(batch.column("vector")))
-            who, tab, grp, visits = [], [], [], []
-            for t in range(TABLES):
-                for i, place in enumerate(h.places(points, t)):
-                    by_group: dict[int, list[int]] = {}
-                    for bucket in h.probes(place):
-                        for part in range(in_parts.get((t, bucket), 1)):
-                            by_group.setdefault((bucket ^ (part * PART)) % groups, []).append(bucket)
-                    who += [i] * len(by_group)
-                    tab += [t] * len(by_group)
-                    grp += by_group
-                    visits += by_group.values()
-            columns = [*batch.take(pa.array(who, pa.int64())).columns, pa.array(tab, pa.int32()), pa.array(grp, pa.int32())]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(visits, pa.list_(pa.int64()))], ["q1", "q2", "vector", "tab", "grp", "buckets"]
-            )
-
-    part = F.pmod("c1", F.coalesce("parts", F.lit(1))) * PART
-    left = indexed.join(F.broadcast(large), ["tab", "bucket"], "left").select(
-        "c1", "c2", "id", "vector", "tab", "bucket",
-        F.pmod(F.col("bucket").bitwiseXOR(part), F.lit(groups)).cast("int").alias("grp"),
+    asked = classes.join(queries.select("c1", "c2").distinct(), ["c1", "c2"], "left_semi")
+    asked = stored(asked.select(F.monotonically_increasing_id().alias("q"), "c1", "c2", "vector"))
+    slices = max(-(-total // SLICE_ROWS), min(SLICES, -(-total // LEAST_ROWS)))
+    hashing = chosen(dim, _near(classes, norm, top), -(-total // slices), asked.count())
+    dealt = classes.select(
+        F.pmod("c1", F.lit(slices)).cast("int").alias("slice"), F.lit(0).alias("kind"), "c1", "c2", "id", "vector",
+        F.lit(0.0).alias("least"),
     )
-    right = asked.mapInArrow(probes, "q1 long, q2 long, vector array<double>, tab int, grp int, buckets array<long>")
-    found = left.groupBy("tab", "grp").cogroup(right.groupBy("tab", "grp")).applyInArrow(_search(top + 1), FOUND)
-    found = stored(found.groupBy("q1", "q2", "c1", "c2").agg(F.max("score").alias("score")))
-
-    # Too few found: compared with all classes, in blocks that each hold one bucket.
-    have = found.groupBy("q1", "q2").agg(F.count("*").alias("have"))
-    asked_q = asked.select(F.col("c1").alias("q1"), F.col("c2").alias("q2"), "vector")
-    short = asked_q.join(have, ["q1", "q2"], "left").filter(F.coalesce("have", F.lit(0)) < min(top + 1, total))
-    blocks = classes.select("c1", "c2", "id", "vector", F.lit(0).cast("long").alias("bucket"), F.pmod("c1", F.lit(groups)).cast("int").alias("grp"))
-    every = short.select(
-        "q1", "q2", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"), F.array(F.lit(0).cast("long")).alias("buckets"), "vector"
-    )
-    filled = blocks.groupBy("grp").cogroup(every.groupBy("grp")).applyInArrow(_search(top + 1), FOUND)
-    best = Window.partitionBy("q1", "q2").orderBy(F.desc("score"), "id")
-    merged = (
-        found.union(filled)
-        .groupBy("q1", "q2", "c1", "c2")
-        .agg(F.max("score").alias("score"))
-        .join(members.filter("nth = 1").select("c1", "c2", "id"), ["c1", "c2"])
-        .withColumn("place", F.row_number().over(best))
-        .filter(F.col("place") <= top + 1)
-        .drop("place", "id")
+
+    def search(asked: DataFrame, low: int, high: int, hashing: Hashing | None) -> DataFrame:
+        """FOUND: the best of each query in each of the slices from ``low`` to below ``high``."""
+        passing = asked.select(
+            F.explode(F.sequence(F.lit(low), F.lit(high - 1))).alias("slice"), F.lit(1).alias("kind"), "c1", "c2",
+            F.col("q").alias("id"), "vector", "least",
+        )
+        here = dealt.filter(F.col("slice").between(low, high - 1)).union(passing)
+        here = here.repartitionById(high - low, F.col("slice") - low).sortWithinPartitions("slice", "kind")
+        shared = spark.sparkContext.broadcast(hashing)  # tables * 2 * directions * dim numbers
+        return here.mapInArrow(_search(top + 1, norm, shared), FOUND)
+
+    def best(found: DataFrame) -> DataFrame:
+        order = Window.partitionBy("q").orderBy(F.desc("score"), "id")
+        return stored(found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top + 1).drop("place"))
+
+    small_batches(spark)
+    free = F.lit(float("-inf"))
+    found, done = None, 0
+    while done < slices:
+        more = min(slices, max(HEAD, 3 * done))
+        if found is None:
+            found = best(search(asked.withColumn("least", free), 0, more, hashing))
+        else:
+            least = found.groupBy(F.col("q").alias("of")).agg(F.count("*").alias("have"), F.min("score").alias("worst"))
+            bound = F.when(F.col("have") > top, F.col("worst")).otherwise(free)
+            bounded = asked.join(least, F.col("q") == F.col("of"), "left").withColumn("least", bound)
+            found = best(found.union(search(bounded, done, more, hashing)))
+        done = more
+
+    # Too few found: compared with all classes.
+    if hashing is not None:
+        have = found.groupBy("q").agg(F.count("*").alias("have")).filter(F.col("have") >= min(top + 1, total))
+        short = stored(asked.join(have, "q", "left_anti").withColumn("least", free))
+        if not short.isEmpty():
+            found = best(found.join(short.select("q"), "q", "left_anti").union(search(short, 0, slices, None)))
+    # Members of a query's classes; more than can be wanted by the ids of the query's class are not joined with them.
+    # A query leaves out its own id, which comes so often as it has vectors.
+    of = Window.partitionBy("q")
+    listed = (
+        found.select("q", "c1", "c2", "score")
+        .join(members.select("c1", "c2", "id"), ["c1", "c2"])
+        .withColumn("nth", F.row_number().over(of.orderBy(F.desc("score"), "id")))
+        .withColumn("times", F.count("*").over(Window.partitionBy("q", "id")))
+        .withColumn("most", F.max("times").over(of))
+        .filter(F.col("nth") <= top + F.col("most"))
+        .select("q", "id", "score")
     )
+    asking = asked.select("q", "c1", "c2").join(queries.withColumnRenamed("id", "query_id"), ["c1", "c2"]).select("q", "query_id")
     wanted = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return (
-        merged.join(members.select("c1", "c2", "id"), ["c1", "c2"])
-        .join(queries.select(F.col("c1").alias("q1"), F.col("c2").alias("q2"), F.col("id").alias("query_id")), ["q1", "q2"])
+        listed.join(asking, "q")
         .filter("query_id <> id")
         .withColumn("rank", F.row_number().over(wanted).cast("int"))
         .filter(F.col("rank") <= top)
